@@ -25,20 +25,24 @@ def price_partials(df: DataFrame, keys: str | Sequence[str], price: str = "price
     )
 
 
-def average_from_partials(partials: DataFrame, by: str, names: Sequence[str] = AVG_PRICE_COLUMNS) -> DataFrame:
+def average_from_partials(
+    partials: DataFrame, by: str, names: Sequence[str] = AVG_PRICE_COLUMNS, sort: bool = True
+) -> DataFrame:
     """A1 finish: ``round(sum / count, 2)`` per group, sorted by the average desc.
 
-    The name is a tie-break so the order is total.
+    The name is a tie-break so the order is total.  ``sort=False`` leaves the
+    order open for callers that join or aggregate the KPI further.
     """
     group_name, avg_name = names
-    return (
-        partials.groupBy(F.col(by).alias(group_name))
-        .agg(round_half_up(F.sum("price_sum") / F.sum("price_n"), 2).alias(avg_name))
-        .orderBy(F.col(avg_name).desc(), F.col(group_name).asc())
+    out = partials.groupBy(F.col(by).alias(group_name)).agg(
+        round_half_up(F.sum("price_sum") / F.sum("price_n"), 2).alias(avg_name)
     )
+    return out.orderBy(F.col(avg_name).desc(), F.col(group_name).asc()) if sort else out
 
 
-def avg_price_by(df: DataFrame, by: str = "neighborhood", price: str = "price", operation: str | None = None) -> DataFrame:
+def avg_price_by(
+    df: DataFrame, by: str = "neighborhood", price: str = "price", operation: str | None = None, sort: bool = True
+) -> DataFrame:
     """A1 + O1 + X8: average listing price per ``by``, 2 decimals, desc.
 
     Sale and rent listings are mixed as in the source unless ``operation`` is
@@ -46,7 +50,7 @@ def avg_price_by(df: DataFrame, by: str = "neighborhood", price: str = "price",
     """
     if operation is not None:
         df = df.where(F.col("operation") == operation)
-    return average_from_partials(price_partials(df, by, price), by)
+    return average_from_partials(price_partials(df, by, price), by, sort=sort)
 
 
 def monthly_rent_rows(rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_SENTINELS) -> DataFrame:

@@ -224,7 +224,7 @@ def part_rent_rows(spark, sf) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def q_avg_by_group(spark, sf) -> DataFrame:
+def q_avg_by_group(spark, sf, sort: bool = True) -> DataFrame:
     """A1 + O1 + X8: average order price per nation, 2 decimals, desc.
 
     Orders are summed per customer first; only those partials meet the
@@ -235,7 +235,7 @@ def q_avg_by_group(spark, sf) -> DataFrame:
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nn = nation_names(spark, sf)
     p = partial.join(c, partial.o_custkey == c.c_custkey).join(nn, F.col("c_nationkey") == nn.n_nationkey)
-    return average_from_partials(p.select("neighborhood", "price_sum", "price_n"), "neighborhood")
+    return average_from_partials(p.select("neighborhood", "price_sum", "price_n"), "neighborhood", sort=sort)
 
 
 _A1_SQL = """
@@ -526,7 +526,7 @@ FROM part
 
 def q_bar_view(spark, sf) -> DataFrame:
     """V1 = A6 + O4 over the A1 KPI."""
-    return view_avg_price(q_avg_by_group(spark, sf))
+    return view_avg_price(q_avg_by_group(spark, sf, sort=False))
 
 
 _V1_SQL = f"SELECT Neighborhood, sum(Average_Price) AS sum_Average_Price FROM ({_A1_SQL}) GROUP BY Neighborhood"
@@ -551,7 +551,7 @@ def _mart(roi_df: DataFrame, avg_df: DataFrame) -> DataFrame:
 
 def q_kpi_mart(spark, sf) -> DataFrame:
     """Payback rows related to the average-price KPI by neighborhood."""
-    return _mart(_roi_per_nation(spark, sf), q_avg_by_group(spark, sf))
+    return _mart(_roi_per_nation(spark, sf), q_avg_by_group(spark, sf, sort=False))
 
 
 _J7_SQL = f"""
@@ -562,7 +562,7 @@ FROM ({_G3_SQL}) r FULL OUTER JOIN ({_A1_SQL}) a ON r.neighborhood = a.Neighborh
 
 def q_kpi_mart_disjoint(spark, sf) -> DataFrame:
     """J7 where no name matches (return flags vs nations): both outer sides kept."""
-    return _mart(_line_roi(spark, sf), q_avg_by_group(spark, sf))
+    return _mart(_line_roi(spark, sf), q_avg_by_group(spark, sf, sort=False))
 
 
 _J7_DISJOINT_SQL = f"""
