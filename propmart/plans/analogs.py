@@ -32,7 +32,7 @@ from propmart.operators.ml import (
 )
 from propmart.operators.reconcile import lookup_conflicts, lookup_for, reconcile
 from propmart.operators.snapshot import latest_dates, latest_snapshot, require_key
-from propmart.operators.tables import union_by_name
+from propmart.operators.tables import format_listings, union_by_name
 from propmart.operators.views import kpi_mart, view_avg_price, view_roi
 from propmart.schemas import RENT_MONTHLY_LABEL, ROI_COLUMNS, struct_of
 from propmart.sources.files import inventory, inventory_counts
@@ -624,6 +624,56 @@ WHERE NOT EXISTS (SELECT 1 FROM r s WHERE strpos(s.url, '/en/') > 0 AND s.file_n
 """
 
 
+def q_formatted_listings(spark, sf) -> DataFrame:
+    """G1 listing path F2 + J1 + J4 + P1: each customer's orders of its last
+    order day as listings, neighborhood reconciled, 15 formatted columns."""
+    o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nn = nation_names(spark, sf)
+    raw = (
+        o.join(c, o.o_custkey == c.c_custkey)
+        .join(nn, F.col("c_nationkey") == nn.n_nationkey)
+        .select(
+            "neighborhood",
+            "district",
+            F.col("o_custkey").alias("propertyCode"),
+            F.col("o_orderdate").cast("date").alias("date"),
+            F.floor("o_totalprice").cast("bigint").alias("price"),
+            F.col("o_totalprice").alias("size"),
+            F.lit(None).cast("int").alias("rooms"),
+            F.lit(None).cast("int").alias("bathrooms"),
+            F.lit(None).cast("float").alias("latitude"),
+            F.lit(None).cast("float").alias("longitude"),
+            F.col("o_orderstatus").alias("operation"),
+            F.col("o_orderpriority").alias("propertyType"),
+            F.lit(None).cast("string").alias("floor"),
+            F.col("o_orderstatus").alias("status"),
+            (F.col("o_orderpriority") == "1-URGENT").alias("hasLift"),
+        )
+    )
+    latest = latest_snapshot(require_key(raw, "neighborhood"), "propertyCode", "date")
+    return format_listings(latest, analog_lookup(spark, sf))
+
+
+_G1_SQL = f"""
+WITH lk AS ({_LOOKUP_SQL}),
+raw AS (
+  SELECT n.n_name AS neighborhood, r.r_name AS district, o.o_custkey AS propertyCode,
+         CAST(o.o_orderdate AS DATE) AS date, CAST(floor(o.o_totalprice) AS BIGINT) AS price,
+         o.o_totalprice AS size, o.o_orderstatus AS operation, o.o_orderpriority AS propertyType,
+         o.o_orderstatus AS status, o.o_orderpriority = '1-URGENT' AS hasLift
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE n.n_name IS NOT NULL),
+latest AS (SELECT * FROM raw QUALIFY rank() OVER (PARTITION BY propertyCode ORDER BY date DESC) = 1)
+SELECT l.neighborhood_n_reconciled AS neighborhood, latest.district, CAST(latest.propertyCode AS BIGINT) AS propertyCode,
+       latest.date, latest.price, latest.size, CAST(NULL AS BIGINT) AS rooms, CAST(NULL AS BIGINT) AS bathrooms,
+       CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, latest.operation, latest.propertyType,
+       CAST(NULL AS VARCHAR) AS floor, latest.status, latest.hasLift
+FROM latest JOIN (SELECT DISTINCT neighborhood, neighborhood_n_reconciled FROM lk) l ON latest.neighborhood = l.neighborhood
+"""
+
+
 def q_union_by_name(spark, sf) -> DataFrame:
     """Customers and suppliers as one party table with differing columns."""
     c = _t(spark, sf, "customer").select(
@@ -810,6 +860,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "F7_link_suffix": q_link_suffix,
     "X2_resolve": q_resolve,
     "J6_new_links": q_new_links,
+    "G1_formatted_listings": q_formatted_listings,
     "U1_union_by_name": q_union_by_name,
     "S8_conform": q_conform,
     "M1_string_index": q_string_index,
@@ -848,6 +899,7 @@ ORACLE_SQL: dict[str, str] = {
     "F7_link_suffix": _F7_SQL,
     "X2_resolve": _X2_SQL,
     "J6_new_links": _J6_SQL,
+    "G1_formatted_listings": _G1_SQL,
     "U1_union_by_name": _U1_SQL,
     "S8_conform": _S8_SQL,
     "M1_string_index": _M1_SQL,
