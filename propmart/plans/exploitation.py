@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from propmart.operators.kpi import avg_price_by, roi
-from propmart.schemas import AVG_PRICE_COLUMNS, FORMATTED_LISTING_SCHEMA, FORMATTED_RENT_SCHEMA, ROI_COLUMNS
+from propmart.schemas import AVG_PRICE_COLUMNS, FORMATTED_LISTING_SCHEMA, FORMATTED_RENT_SCHEMA
 from propmart.sources.parquet import read_zone
 from propmart.sources.sinks import write_kpi_csv
 
@@ -17,7 +17,8 @@ def build_exploitation(
     """``avg_price`` (one CSV, sorted desc) and ``ROI`` (payback table).
 
     The payback table has a row per listing, so by default it is written as
-    several sorted parts instead of being funnelled through one task.
+    several parts straight from the distinct stage (unsorted, as the source
+    wrote it) instead of being funnelled through one task or globally sorted.
     """
     src = formatted_dir.rstrip("/")
     dst = out_dir.rstrip("/")
@@ -29,6 +30,5 @@ def build_exploitation(
         f"{dst}/avg_price",
         sort_by=[F.col(value).desc(), F.col(name).asc()],
     )
-    y, n, code, _ = ROI_COLUMNS
-    write_kpi_csv(roi(listings, rent), f"{dst}/ROI", sort_by=[F.col(y), F.col(n), F.col(code)], single_file=roi_single_file)
+    write_kpi_csv(roi(listings, rent), f"{dst}/ROI", single_file=roi_single_file)
     return {"avg_price": f"{dst}/avg_price", "ROI": f"{dst}/ROI"}

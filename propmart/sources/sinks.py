@@ -16,7 +16,7 @@ def persist_landing(df: DataFrame, path: str, batch_ts: int | None = None) -> No
     """
     ts = F.unix_timestamp() if batch_ts is None else F.lit(batch_ts)
     out = df.withColumn("ingest_ts", ts.cast("bigint"))
-    write_zone(out, path)
+    write_zone(out, path, rebalance=True)
 
 
 def write_zone(
@@ -24,15 +24,21 @@ def write_zone(
     path: str,
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """K2/K3: replace one zone dataset with ``df`` as snappy Parquet.
 
-    ``REBALANCE`` lets adaptive execution cut the output into evenly sized
-    files (about the advisory partition size) without a fixed file count;
-    ``overwrite`` replaces this dataset only, so the rest of the zone stays
-    readable while it is written.
+    File sizes follow the last stage: after a shuffle, adaptive execution has
+    already merged/split its partitions to about the advisory size; after a
+    scan they follow the input splits.  ``rebalance=True`` adds a
+    ``REBALANCE`` (one more shuffle) for outputs whose last stage is badly
+    sized, e.g. a narrow plan over many tiny files, or ``partition_by`` on a
+    column the data is not clustered by.  ``overwrite`` replaces this dataset
+    only, so the rest of the zone stays readable while it is written.
     """
-    out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    out = df
+    if rebalance:
+        out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     writer = out.write.mode("overwrite").option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
