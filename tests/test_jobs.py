@@ -87,3 +87,15 @@ def test_model_job(spark, zones, tmp_dir):
     m = metrics.first()
     assert m.n == pred.count() and m.n > 0 and m.rmse >= 0
     assert pred.columns[-1] == "prediction" and len(pred.columns) == 12
+
+
+def test_runner_all_steps(spark, tmp_dir):
+    from propmart.plans.run import run
+
+    build_landing(f"{tmp_dir}/landing")
+    rows = [listing(2000 + i, "Gràcia", 90000 + 500 * i, size=40.0 + i) for i in range(30)]
+    write_json(f"{tmp_dir}/landing/idealista/2022_05_01_more.json", rows)
+    out = run(spark, f"{tmp_dir}/landing", f"{tmp_dir}/zones")
+    assert set(out) == {"persistent", "formatted", "exploitation", "model"}
+    assert out["model"]["n"] > 0
+    assert glob.glob(f"{tmp_dir}/zones/exploitation/avg_price/part-*.csv")

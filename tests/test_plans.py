@@ -76,3 +76,24 @@ def test_segment_average_hot_segment_is_split(spark, skew_conf):
     assert len({r.avg for r in rows if r.code == 0}) == 1 and len(rows) == 6000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
+
+
+def test_kpi_mart_hot_neighborhood_is_split(spark, skew_conf):
+    from propmart.operators.views import kpi_mart
+
+    n = 6000
+    roi = spark.range(n).select(
+        F.lit(2020).cast("bigint").alias("year"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), (F.col("id") % 50).cast("string"))).alias("neighborhood"),
+        F.col("id").alias("propertyCode"),
+        (F.col("id") / 7.0).alias("ROI/Year"),
+    ).repartition(8)
+    avg = spark.range(60).select(
+        F.when(F.col("id") == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("Neighborhood"),
+        F.col("id").cast("double").alias("Average_Price"),
+    )
+    out = kpi_mart(roi, avg)
+    rows = out.collect()
+    assert len(rows) == n + 10  # names n50..n59 have no payback rows
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
