@@ -88,3 +88,13 @@ def test_kpi_invariant_under_partitioning(spark):
     a = [tuple(r) for r in avg_price_by(df).collect()]
     b = [tuple(r) for r in avg_price_by(df.repartition(7)).collect()]
     assert a == b
+
+
+def test_tied_duplicate_counts_twice_in_average_once_in_roi(spark):
+    listings = spark.createDataFrame(
+        [("G", 100, 1, dt.date(2020, 3, 1), "sale"), ("G", 100, 1, dt.date(2020, 3, 1), "sale"), ("G", 400, 2, dt.date(2020, 3, 1), "sale")],
+        LISTING,
+    )
+    assert avg_price_by(listings).first().Average_Price == 200.0  # (100 + 100 + 400) / 3
+    rent = _rent(spark, [(2020, "G", RENT_LABEL, "10")])
+    assert roi(listings, rent).count() == 2
