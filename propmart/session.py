@@ -74,3 +74,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             "spark.checkpoint.dir is not set; configure a shared folder for the cluster"
         )
     return df.checkpoint(eager=True)
+
+
+# Target bytes per shuffle partition, and the factor from input bytes on disk
+# (compressed columnar) to shuffled bytes (uncompressed rows).
+PARTITION_TARGET_BYTES = 128 * 1024 * 1024
+SHUFFLE_EXPANSION = 3.0
+
+
+def shuffle_partitions_for(
+    input_bytes: int,
+    target_bytes: int = PARTITION_TARGET_BYTES,
+    expansion: float = SHUFFLE_EXPANSION,
+    minimum: int = 200,
+    maximum: int = 200_000,
+) -> int:
+    """Shuffle partitions so that one partition holds about ``target_bytes``.
+
+    Adaptive execution merges partitions that turn out smaller, so this is an
+    upper sizing: it keeps a partition of a large stage within executor memory
+    (no spill) without hand-tuning per job.
+    """
+    wanted = int(input_bytes * expansion // target_bytes) + 1
+    return max(minimum, min(maximum, wanted))
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int) -> int:
+    """Set ``spark.sql.shuffle.partitions`` (a per-session runtime setting) for
+    a job reading ``input_bytes``; returns the value set."""
+    n = shuffle_partitions_for(input_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -34,3 +34,9 @@ def inventory(spark: SparkSession, path: str, glob: str | None = None, recursive
 def inventory_counts(files: DataFrame) -> DataFrame:
     """Files and bytes per folder."""
     return files.groupBy("folder").agg(F.count("*").alias("n_files"), F.sum("length").alias("bytes"))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (listing only, nothing is read)."""
+    total = inventory(spark, path).agg(F.sum("length")).first()[0]
+    return int(total or 0)

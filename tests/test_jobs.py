@@ -96,6 +96,8 @@ def test_runner_all_steps(spark, tmp_dir):
     rows = [listing(2000 + i, "Gràcia", 90000 + 500 * i, size=40.0 + i) for i in range(30)]
     write_json(f"{tmp_dir}/landing/idealista/2022_05_01_more.json", rows)
     out = run(spark, f"{tmp_dir}/landing", f"{tmp_dir}/zones")
-    assert set(out) == {"persistent", "formatted", "exploitation", "model"}
+    assert set(out) == {"persistent", "formatted", "exploitation", "model", "shuffle_partitions"}
+    assert all(v == 200 for v in out["shuffle_partitions"].values())  # tiny inputs -> the floor
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out["model"]["n"] > 0
     assert glob.glob(f"{tmp_dir}/zones/exploitation/avg_price/part-*.csv")

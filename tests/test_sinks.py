@@ -22,3 +22,11 @@ def test_write_zone_overwrites_and_partitions(spark, tmp_dir):
     write_zone(df, f"{tmp_dir}/z", partition_by=["y"])
     back = spark.read.parquet(f"{tmp_dir}/z")
     assert back.count() == 10 and sorted(r.y for r in back.select("y").distinct().collect()) == [0, 1]
+
+
+def test_shuffle_partitions_for():
+    from propmart.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 200
+    assert shuffle_partitions_for(100 * 1024**4) == 200_000  # 100 TiB hits the cap
+    assert shuffle_partitions_for(1024**4) == 24577  # 1 TiB * 3 / 128 MiB + 1
