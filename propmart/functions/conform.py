@@ -7,7 +7,7 @@ null for an int column).  ``conform`` then casts on the executors:
 * integral targets go through double and must have no fraction and fit the
   type (``149000.0`` -> 149000, ``1.5`` -> error);
 * other scalars use ``try_cast``; text that does not parse is an error;
-* structs are cast field by field;
+* structs are cast field by field (nested fields are addressed by name, X12);
 * columns of the schema absent from the frame are an error unless listed as
   optional (then null).
 

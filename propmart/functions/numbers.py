@@ -17,7 +17,10 @@ def text_to_double(text: Column) -> Column:
 
 
 def is_price_text(text: Column, sentinels: Iterable[str] = PRICE_SENTINELS) -> Column:
-    """price text that holds a real number (not a sentinel, not NaN/null)."""
+    """price text that holds a real number (not a sentinel, not NaN/null).
+
+    X13: membership, negation and conjunction as ``isin``, ``~`` and ``&``.
+    """
     return (~text.isin(*sentinels)) & text_to_double(text).isNotNull()
 
 

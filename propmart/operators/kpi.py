@@ -77,7 +77,8 @@ def roi_from_avg_rent(listings: DataFrame, rents: DataFrame) -> DataFrame:
 
     The rent side has one row per (year, neighborhood) and is small; the
     planner broadcasts it when its size is known to be small, and adaptive
-    execution does so at runtime otherwise.  ``distinct`` combines map-side.
+    execution does so at runtime otherwise.  ``distinct`` (A4/U2) combines
+    map-side.
     """
     y, n, code, roi_name = ROI_COLUMNS
     l = listings.select(

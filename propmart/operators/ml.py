@@ -80,7 +80,8 @@ def price_pipeline(
     num_trees: int = 20,
     max_depth: int = 5,
 ) -> Pipeline:
-    """M1-M5: indexers, encoders, assembler, random forest (fixed seed)."""
+    """M1-M5: indexers, encoders, assembler (M3), random forest (M4, fixed seed),
+    in that order as one pipeline (M5)."""
     assembler = VectorAssembler(
         inputCols=list(numeric) + [f"{c}_encoded" for c in categorical], outputCol="features", handleInvalid="error"
     )

@@ -16,7 +16,7 @@ def lookup_for(
     values: Sequence[str] = RECONCILED,
     keep_fanout: bool = False,
 ) -> DataFrame:
-    """A5: the distinct lookup rows used for one join.
+    """A5 + U2: the distinct lookup rows used for one join.
 
     By default only key + reconciled columns are kept before ``distinct``, so
     two lookup rows that agree on the reconciled names collapse into one.

@@ -1,4 +1,8 @@
-"""Formatted-zone projections (P1-P6) and the by-name union."""
+"""Formatted-zone projections (P1-P6) and the by-name union.
+
+Columns are named in the ``select`` itself (P4: no positional ``_1.._n``
+rename after inferring a schema); computed columns use ``withColumn`` (P5).
+"""
 
 from __future__ import annotations
 

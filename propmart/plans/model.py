@@ -10,6 +10,7 @@ from propmart.session import checkpoint_dir, cut_lineage
 from propmart.sources.parquet import read_zone
 from propmart.sources.sinks import save_model
 
+# The columns shown next to each prediction.
 PREDICTION_COLUMNS = (
     "neighborhood", "district", "date", "size", "rooms", "bathrooms",
     "propertyType", "floor", "status", "hasLift", "price", "prediction",
