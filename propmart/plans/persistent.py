@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propmart.functions.conform import empty_required_columns
+from propmart.schemas import LISTING_OPTIONAL, LISTING_SCHEMA
 from propmart.sources.files import inventory
 from propmart.sources.raw import read_csv_inferred, read_income, read_json_inferred, read_listings, read_lookup, read_rent
 from propmart.sources.sinks import persist_landing
@@ -37,12 +39,43 @@ def read_landing_dataset(spark: SparkSession, folder: str, on_error: str = "rais
     return read_csv_inferred(spark, folder).select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
-def build_persistent(spark: SparkSession, landing_dir: str, persistent_dir: str, on_error: str = "raise") -> dict[str, str]:
-    """Convert every dataset folder of the landing zone; returns dataset -> output path."""
+class MissingColumnsError(ValueError):
+    """A landing file lacks a required column (reported per file and column)."""
+
+
+def check_required_listing_columns(spark: SparkSession, persisted: str, report_dir: str, on_error: str = "raise") -> int:
+    """T5: files of the written listing dataset in which a required column is all null.
+
+    The explicit read schema turned a column absent from a file into nulls;
+    the source raised on such files.  The check reads the written Parquet
+    (columnar, cheap) instead of parsing the JSON twice; the (file, column)
+    pairs are written to ``report_dir``, not collected.  Returns how many
+    pairs were found and raises in strict mode when there are any.
+    """
+    required = [f.name for f in LISTING_SCHEMA.fields if f.name not in LISTING_OPTIONAL]
+    report = empty_required_columns(spark.read.parquet(persisted), required, by="source_file")
+    report.write.mode("overwrite").parquet(report_dir)
+    found = spark.read.parquet(report_dir).count()
+    if found and on_error == "raise":
+        raise MissingColumnsError(f"{found} (file, column) pairs miss required listing columns; see {report_dir}")
+    return found
+
+
+def build_persistent(
+    spark: SparkSession, landing_dir: str, persistent_dir: str, on_error: str = "raise", check_required: bool = True
+) -> dict[str, str]:
+    """Convert every dataset folder of the landing zone; returns dataset -> output path.
+
+    With ``check_required`` the listing files are also checked for absent
+    required columns (``check_required_listing_columns``).
+    """
     written = {}
     batch_ts = int(spark.range(1).select(F.unix_timestamp()).first()[0])
+    root = persistent_dir.rstrip("/")
     for d in dataset_folders(spark, landing_dir):
-        out = f"{persistent_dir.rstrip('/')}/{d}"
+        out = f"{root}/{d}"
         persist_landing(read_landing_dataset(spark, f"{landing_dir.rstrip('/')}/{d}", on_error), out, batch_ts)
         written[d] = out
+        if check_required and d.endswith("idealista"):
+            check_required_listing_columns(spark, out, f"{root}/_reports/{d}_missing_columns", on_error)
     return written

@@ -73,7 +73,9 @@ def raw_csv(spark: SparkSession, path: str, width: int, glob: str | None = "*.cs
     return reader.csv(path).select("*", F.col("_metadata.file_path").alias("__file"))
 
 
-def bind_by_header(raw: DataFrame, names: Mapping[str, Sequence[str]], width: int) -> DataFrame:
+def bind_by_header(
+    raw: DataFrame, names: Mapping[str, Sequence[str]], width: int, on_error: str = "raise"
+) -> DataFrame:
     """Map positional cells to named columns using each file's own header.
 
     ``names`` maps output column -> header spellings that mean it.  A header
@@ -81,6 +83,10 @@ def bind_by_header(raw: DataFrame, names: Mapping[str, Sequence[str]], width: in
     names every output column.  The header lines (one per file) are joined back
     to the data lines on the file path, so files with the columns in another
     order are read correctly (a plain multi-file CSV read binds by position).
+
+    Lines of a file without a recognised header fail the job
+    (``on_error="raise"``) or are dropped (``"null"``); they are never bound
+    by guesswork.
     """
     spelling_to_col = {s: out for out, spellings in names.items() for s in spellings}
     known = list(spelling_to_col)
@@ -103,12 +109,24 @@ def bind_by_header(raw: DataFrame, names: Mapping[str, Sequence[str]], width: in
         F.col("__file").alias("__hfile"), *[_cell(c).alias(f"__h{i}") for i, c in enumerate(cells)]
     ).distinct()
     data = flagged.where(~F.col("__is_header"))
-    joined = data.join(headers, data["__file"] == headers["__hfile"], "inner")
+    joined = data.join(headers, data["__file"] == headers["__hfile"], "left")
+    no_header = F.col("__hfile").isNull()
+    if on_error == "raise":
+        # part of every output column, so no projection can prune the check
+        def guarded(value):
+            fail = F.raise_error(F.concat(F.lit("no recognised CSV header in "), F.col("__file")))
+            return F.when(no_header, fail).otherwise(value)
+    else:
+        joined = joined.where(~no_header)
+
+        def guarded(value):
+            return value
+
     out = []
     for target, spellings in names.items():
         picks = [F.when(F.col(f"__h{i}").isin(list(spellings)), F.col(c)) for i, c in enumerate(cells)]
-        out.append(F.coalesce(*picks).alias(target))
-    return joined.select(*out, F.col("__file").alias("source_file"))
+        out.append(guarded(F.coalesce(*picks)).alias(target))
+    return joined.select(*out, guarded(F.col("__file")).alias("source_file"))
 
 
 def read_csv_by_name(
@@ -117,10 +135,11 @@ def read_csv_by_name(
     names: Mapping[str, Sequence[str]],
     glob: str | None = "*.csv",
     slack: int = 4,
+    on_error: str = "raise",
 ) -> DataFrame:
     """Headered CSV files -> text columns named by ``names``."""
     width = len(names) + slack
-    return bind_by_header(raw_csv(spark, path, width, glob), names, width)
+    return bind_by_header(raw_csv(spark, path, width, glob), names, width, on_error)
 
 
 def _same_names(schema: T.StructType) -> dict[str, list[str]]:
@@ -129,12 +148,14 @@ def _same_names(schema: T.StructType) -> dict[str, list[str]]:
 
 def read_lookup(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """Lookup CSV files, all text."""
-    return conform(read_csv_by_name(spark, path, _same_names(LOOKUP_SCHEMA)), LOOKUP_SCHEMA, on_error=on_error, keep=["source_file"])
+    raw = read_csv_by_name(spark, path, _same_names(LOOKUP_SCHEMA), on_error=on_error)
+    return conform(raw, LOOKUP_SCHEMA, on_error=on_error, keep=["source_file"])
 
 
 def read_rent(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """Rent CSV files; the price stays text."""
-    return conform(read_csv_by_name(spark, path, _same_names(RENT_SCHEMA)), RENT_SCHEMA, on_error=on_error, keep=["source_file"])
+    raw = read_csv_by_name(spark, path, _same_names(RENT_SCHEMA), on_error=on_error)
+    return conform(raw, RENT_SCHEMA, on_error=on_error, keep=["source_file"])
 
 
 def income_names() -> dict[str, list[str]]:
@@ -145,7 +166,8 @@ def income_names() -> dict[str, list[str]]:
 
 def read_income(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """Income CSV files; the index column comes from its raw header, as text."""
-    return conform(read_csv_by_name(spark, path, income_names()), INCOME_SCHEMA, on_error=on_error, keep=["source_file"])
+    raw = read_csv_by_name(spark, path, income_names(), on_error=on_error)
+    return conform(raw, INCOME_SCHEMA, on_error=on_error, keep=["source_file"])
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

@@ -67,7 +67,7 @@ def persist_csv_stream(
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        typed = conform(bind_by_header(batch, names, width), schema, keep=["source_file"])
+        typed = conform(bind_by_header(batch, names, width), schema, keep=["source_file"])  # strict
         typed.withColumn("ingest_ts", F.unix_timestamp().cast("bigint")).write.mode("overwrite").parquet(
             f"{out_dir.rstrip('/')}/batch={batch_id}"
         )

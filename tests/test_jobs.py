@@ -101,3 +101,17 @@ def test_runner_all_steps(spark, tmp_dir):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out["model"]["n"] > 0
     assert glob.glob(f"{tmp_dir}/zones/exploitation/avg_price/part-*.csv")
+
+
+def test_missing_required_column_is_reported(spark, tmp_dir):
+    from propmart.plans.persistent import MissingColumnsError
+
+    rec = listing(1)
+    del rec["price"]
+    write_json(f"{tmp_dir}/land/idealista/2020_01_01_a.json", [rec])
+    write_json(f"{tmp_dir}/land/idealista/2020_01_02_b.json", [listing(2)])
+    with pytest.raises(MissingColumnsError):
+        build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/p1")
+    build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/p2", on_error="null")
+    report = spark.read.parquet(f"{tmp_dir}/p2/_reports/idealista_missing_columns").collect()
+    assert [(r.source_file, r.column) for r in report] == [("2020_01_01_a.json", "price")]

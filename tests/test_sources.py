@@ -77,3 +77,13 @@ def test_inventory(spark, tmp_dir):
     counts = {r.folder.rsplit("/", 1)[-1]: r.n_files for r in inventory_counts(inv).collect()}
     assert counts == {"idealista": 4, "opendata-rent": 2, "opendatabcn-income": 1, "lookup_tables": 1}
     assert {r.base_name for r in inv.where("folder like '%lookup_tables'").collect()} == {"lookup"}
+
+
+def test_csv_file_without_known_header_fails_or_drops(spark, tmp_dir):
+    write_text(f"{tmp_dir}/c/a.csv", "a,b\n1,x\n")
+    write_text(f"{tmp_dir}/c/b.csv", "a,bee\n2,y\n")
+    names = {"a": ["a"], "b": ["b"]}
+    with pytest.raises(Exception, match="no recognised CSV header"):
+        read_csv_by_name(spark, f"{tmp_dir}/c", names).collect()
+    got = read_csv_by_name(spark, f"{tmp_dir}/c", names, on_error="null").collect()
+    assert [(r.a, r.b) for r in got] == [("1", "x")]
