@@ -24,17 +24,23 @@ def train_price_model(
     seed: int = ML_SEED,
     train_fraction: float = ML_TRAIN_FRACTION,
     key: str = "propertyCode",
+    materialize: bool = False,
 ):
     """Split, fit, save, score and measure.
 
-    Returns (model, predictions, metrics).  The training rows are written to
-    the cluster's checkpoint folder when one is configured: the forest makes
-    many passes over them, and a lost executor then re-reads that copy instead
-    of recomputing the input plan.
+    Returns (model, predictions, metrics).  The indexers read the training
+    rows once each and the forest persists its own bagged copy of them, so a
+    training set that is a filter over a written table (the formatted zone)
+    needs nothing more: a lost executor re-reads the table.  When the input
+    comes out of a long computed plan, ``materialize=True`` writes the
+    training rows to the cluster's checkpoint folder first.
     """
     rows = model_input(listings, ML_NUMERIC, ML_LABEL)
     train, test = hash_split(rows, key, train_fraction)
-    train = cut_lineage(train) if checkpoint_dir(spark) else train.cache()
+    if materialize:
+        if checkpoint_dir(spark) is None:
+            raise RuntimeError("materialize=True needs spark.checkpoint.dir")
+        train = cut_lineage(train)
     model = price_pipeline(ML_CATEGORICAL, ML_NUMERIC, ML_LABEL, seed).fit(train)
     if model_path:
         save_model(model, model_path)

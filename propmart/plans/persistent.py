@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def build_persistent(
     required columns (``check_required_listing_columns``).
     """
     written = {}
-    batch_ts = int(spark.range(1).select(F.unix_timestamp()).first()[0])
+    batch_ts = int(time.time())
     root = persistent_dir.rstrip("/")
     for d in dataset_folders(spark, landing_dir):
         out = f"{root}/{d}"

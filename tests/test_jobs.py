@@ -82,7 +82,7 @@ def test_model_job(spark, zones, tmp_dir):
     build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/pers")
     build_formatted(spark, f"{tmp_dir}/pers", f"{tmp_dir}/fmt")
     listings = read_zone(spark, f"{tmp_dir}/fmt/idealista", FORMATTED_LISTING_SCHEMA)
-    model, pred, metrics = train_price_model(spark, listings, f"{tmp_dir}/model")
+    model, pred, metrics = train_price_model(spark, listings, f"{tmp_dir}/model", materialize=True)
     assert os.path.isdir(f"{tmp_dir}/model/stages")
     m = metrics.first()
     assert m.n == pred.count() and m.n > 0 and m.rmse >= 0
