@@ -40,13 +40,33 @@ def formatted_listings(listings: DataFrame, lookup: DataFrame, keep_fanout: bool
     return format_listings(latest, lookup, keep_fanout=keep_fanout, broadcast_rows=LOOKUP_BROADCAST_ROWS)
 
 
-def build_formatted(spark: SparkSession, persistent_dir: str, formatted_dir: str, keep_fanout: bool = False) -> None:
-    """G1: write formatted ``idealista``, ``income`` and ``rent``."""
+def build_formatted(
+    spark: SparkSession,
+    persistent_dir: str,
+    formatted_dir: str,
+    keep_fanout: bool = False,
+    latest_state: str | None = None,
+) -> None:
+    """G1: write formatted ``idealista``, ``income`` and ``rent``.
+
+    With ``latest_state`` (a folder kept by
+    ``streaming.latest.maintain_latest_listings``) the listings are taken from
+    the incrementally kept latest snapshot instead of recomputing it from every
+    snapshot file.
+    """
     src = persistent_dir.rstrip("/")
     dst = formatted_dir.rstrip("/")
     lookup = read_zone(spark, f"{src}/lookup_tables", LOOKUP_SCHEMA)
-    listings = persisted_listings(spark, f"{src}/idealista")
-    write_zone(formatted_listings(listings, lookup, keep_fanout), f"{dst}/idealista")
+    if latest_state is None:
+        listings = formatted_listings(persisted_listings(spark, f"{src}/idealista"), lookup, keep_fanout)
+    else:
+        from propmart.streaming.latest import read_state
+
+        state = read_state(spark, latest_state)
+        if state is None:
+            raise FileNotFoundError(f"no latest-snapshot state under {latest_state}")
+        listings = format_listings(state, lookup, keep_fanout=keep_fanout, broadcast_rows=LOOKUP_BROADCAST_ROWS)
+    write_zone(listings, f"{dst}/idealista")
     income = read_zone(spark, f"{src}/opendatabcn-income", INCOME_SCHEMA)
     write_zone(format_income(income, lookup, broadcast_rows=LOOKUP_BROADCAST_ROWS), f"{dst}/income")
     rent = read_zone(spark, f"{src}/opendata-rent", RENT_SCHEMA)
