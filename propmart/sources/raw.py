@@ -29,16 +29,20 @@ from propmart.schemas import (
 # ---------------------------------------------------------------------------
 
 
-def read_listings(spark: SparkSession, path: str, on_error: str = "raise", glob: str | None = "*.json") -> DataFrame:
+def read_listings(
+    spark: SparkSession, path: str, on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False
+) -> DataFrame:
     """Listing snapshot files (JSON arrays of records) -> typed rows + ``source_file``.
 
-    Every file is one task (``multiLine``); many files parallelise, a single
-    huge file does not.  Absent optional columns (parking, neighborhood) read
-    as null; an empty array gives no rows.
+    A JSON array file is parsed as a whole (``multiLine``), one task per file:
+    many files parallelise, a single huge file does not.  ``json_lines=True``
+    reads one record per line instead, which Spark splits like any text file.
+    Absent optional columns (parking, neighborhood) read as null; an empty
+    array gives no rows.
     """
     reader = (
         spark.read.schema(LISTING_TEXT_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", not json_lines)
         .option("mode", "FAILFAST" if on_error == "raise" else "DROPMALFORMED")
     )
     if glob:

@@ -18,9 +18,16 @@ from propmart.schemas import LISTING_OPTIONAL, LISTING_SCHEMA, LISTING_TEXT_SCHE
 from propmart.sources.raw import bind_by_header
 
 
-def listing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def listing_stream(
+    spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False
+) -> DataFrame:
     """Streaming form of S2: typed listing rows + ``source_file``."""
-    reader = spark.readStream.schema(LISTING_TEXT_SCHEMA).option("multiLine", True).option("pathGlobFilter", "*.json")
+    reader = (
+        spark.readStream.schema(LISTING_TEXT_SCHEMA)
+        .option("multiLine", not json_lines)
+        .option("mode", "FAILFAST")
+        .option("pathGlobFilter", "*.json")
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(landing_dir).select("*", F.col("_metadata.file_name").alias("source_file"))

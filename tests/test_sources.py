@@ -87,3 +87,12 @@ def test_csv_file_without_known_header_fails_or_drops(spark, tmp_dir):
         read_csv_by_name(spark, f"{tmp_dir}/c", names).collect()
     got = read_csv_by_name(spark, f"{tmp_dir}/c", names, on_error="null").collect()
     assert [(r.a, r.b) for r in got] == [("1", "x")]
+
+
+def test_listings_as_json_lines(spark, tmp_dir):
+    import json
+
+    recs = [listing(i, price=1000 + i) for i in range(50)]
+    write_text(f"{tmp_dir}/jl/2020_01_01_lines.json", "\n".join(json.dumps(r, ensure_ascii=False) for r in recs) + "\n")
+    df = read_listings(spark, f"{tmp_dir}/jl", json_lines=True)
+    assert df.count() == 50 and df.where("price = 1049").first().propertyCode == 49
