@@ -32,7 +32,7 @@ from propmart.operators.ml import (
 )
 from propmart.operators.reconcile import lookup_conflicts, lookup_for, reconcile
 from propmart.operators.snapshot import latest_dates, latest_snapshot, require_key
-from propmart.operators.tables import format_listings, union_by_name
+from propmart.operators.tables import format_income, format_listings, format_rent, union_by_name
 from propmart.operators.views import kpi_mart, view_avg_price, view_roi
 from propmart.schemas import RENT_MONTHLY_LABEL, ROI_COLUMNS, struct_of
 from propmart.sources.files import inventory, inventory_counts
@@ -62,7 +62,10 @@ def nation_names(spark, sf) -> DataFrame:
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _t(spark, sf, "region").select("r_regionkey", "r_name")
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey"), F.col("n_name").alias("neighborhood"), F.col("r_name").alias("district")
+        F.col("n_nationkey"),
+        F.col("n_name").alias("neighborhood"),
+        F.col("r_name").alias("district"),
+        F.col("n_regionkey").alias("district_code"),
     )
 
 
@@ -674,6 +677,103 @@ FROM latest JOIN (SELECT DISTINCT neighborhood, neighborhood_n_reconciled FROM l
 """
 
 
+def income_rows(spark, sf) -> DataFrame:
+    """Income-table rows: per order year and nation, customers as population and
+    order count as the index text; 1995 rows spell the nation in lower case
+    (so they do not reconcile).  Orders are counted per (year, customer) before
+    the customer join."""
+    o = _t(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("Any"))
+    per_cust = o.groupBy("Any", "o_custkey").agg(F.count("*").alias("n_orders"))
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nn = nation_names(spark, sf)
+    per_nation = (
+        per_cust.join(c, per_cust.o_custkey == c.c_custkey)
+        .groupBy("Any", "c_nationkey")
+        .agg(F.count("*").alias("pop"), F.sum("n_orders").alias("n_orders"))
+    )
+    j = per_nation.join(nn, per_nation.c_nationkey == nn.n_nationkey)
+    return j.select(
+        F.col("Any").cast("int").alias("Any"),
+        F.col("district_code").cast("smallint").alias("Codi_Districte"),
+        F.col("district").alias("Nom_Districte"),
+        F.col("n_nationkey").cast("smallint").alias("Codi_Barri"),
+        F.when(F.col("Any") == 1995, F.lower("neighborhood")).otherwise(F.col("neighborhood")).alias("Nom_Barri"),
+        F.col("pop").cast("bigint").alias("Població"),
+        F.col("n_orders").cast("string").alias("Index_RFD_Barcelona_100"),
+    )
+
+
+def q_format_income(spark, sf) -> DataFrame:
+    """P2 + J2: income rows reconciled on (district, neighborhood), formatted."""
+    return format_income(income_rows(spark, sf), analog_lookup(spark, sf))
+
+
+_P2_SQL = f"""
+WITH lk AS ({_LOOKUP_SQL}),
+inc AS (
+  SELECT year(o.o_orderdate) AS y, r.r_name AS Nom_Districte,
+         CASE WHEN year(o.o_orderdate) = 1995 THEN lower(n.n_name) ELSE n.n_name END AS Nom_Barri,
+         count(DISTINCT o.o_custkey) AS pop, count(*) AS n_orders
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  GROUP BY year(o.o_orderdate), r.r_name, n.n_name)
+SELECT lk.district_n_reconciled AS district, lk.neighborhood_n_reconciled AS neighborhood, CAST(inc.y AS BIGINT) AS year,
+       CAST(inc.pop AS BIGINT) AS populatonBCN, CAST(inc.n_orders AS VARCHAR) AS Index_RFD_Barcelona_100
+FROM inc JOIN lk ON inc.Nom_Districte = lk.district AND inc.Nom_Barri = lk.neighborhood
+"""
+
+
+def rent_rows(spark, sf) -> DataFrame:
+    """Rent-table rows, one per line item: shipping year and quarter, the
+    order's customer nation, line price as the price text; returned lines
+    (flag R) carry the per-area measure label."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_shipdate", "l_returnflag")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nn = nation_names(spark, sf)
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).join(
+        nn, F.col("c_nationkey") == nn.n_nationkey
+    )
+    return j.select(
+        F.year("l_shipdate").alias("Any"),
+        F.quarter("l_shipdate").cast("smallint").alias("Trimestre"),
+        F.col("district_code").cast("smallint").alias("Codi_Districte"),
+        F.col("district").alias("Nom_Districte"),
+        F.col("n_nationkey").cast("smallint").alias("Codi_Barri"),
+        F.col("neighborhood").alias("Nom_Barri"),
+        F.when(F.col("l_returnflag") == "R", F.lit(OTHER_RENT_LABEL)).otherwise(F.lit(RENT_MONTHLY_LABEL)).alias("Lloguer_mitja"),
+        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("Preu"),
+    )
+
+
+_RENT_ROWS_SQL = f"""
+SELECT year(l.l_shipdate) AS Any, quarter(l.l_shipdate) AS Trimestre, r.r_name AS Nom_Districte, n.n_name AS Nom_Barri,
+       CASE WHEN l.l_returnflag = 'R' THEN '{OTHER_RENT_LABEL}' ELSE '{RENT_MONTHLY_LABEL}' END AS Lloguer_mitja,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS Preu
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+
+def q_format_rent(spark, sf) -> DataFrame:
+    """P3 + J3: rent rows reconciled on (district, neighborhood), formatted."""
+    return format_rent(rent_rows(spark, sf), analog_lookup(spark, sf))
+
+
+_P3_SQL = f"""
+WITH lk AS ({_LOOKUP_SQL}), rr AS ({_RENT_ROWS_SQL})
+SELECT lk.district_n_reconciled AS district, lk.neighborhood_n_reconciled AS neighborhood, CAST(rr.Any AS BIGINT) AS year,
+       CAST(rr.Trimestre AS BIGINT) AS Trimestre, rr.Lloguer_mitja, rr.Preu
+FROM rr JOIN lk ON rr.Nom_Districte = lk.district AND rr.Nom_Barri = lk.neighborhood
+"""
+
+
+def q_pipeline_roi(spark, sf) -> DataFrame:
+    """G1 + G2 chained: payback KPI from the formatted listing and rent analogs."""
+    out = roi(q_formatted_listings(spark, sf), q_format_rent(spark, sf))
+    return out.select("year", "neighborhood", "propertyCode", _r6(F.col(f"`{ROI}`")).alias(ROI))
+
+
 def q_union_by_name(spark, sf) -> DataFrame:
     """Customers and suppliers as one party table with differing columns."""
     c = _t(spark, sf, "customer").select(
@@ -833,6 +933,17 @@ def q_inventory(spark, sf) -> DataFrame:
     return inventory_counts(inventory(spark, sf, glob="*.parquet"))
 
 
+_G2_SQL = f"""
+WITH fl AS ({_G1_SQL}), fr AS ({_P3_SQL}),
+ar AS (SELECT year, neighborhood, avg(TRY_CAST(Preu AS DOUBLE)) AS avg_rent FROM fr
+       WHERE Lloguer_mitja = '{RENT_MONTHLY_LABEL}' AND Preu NOT IN ('NA', 'N/A', '--')
+         AND TRY_CAST(Preu AS DOUBLE) IS NOT NULL AND NOT isnan(TRY_CAST(Preu AS DOUBLE))
+       GROUP BY year, neighborhood, Lloguer_mitja)
+SELECT DISTINCT CAST(year(fl.date) AS BIGINT) AS year, fl.neighborhood, fl.propertyCode,
+       round(CASE WHEN ar.avg_rent = 0 THEN NULL ELSE fl.price / (12 * ar.avg_rent) END, 6) AS "ROI/Year"
+FROM fl JOIN ar ON CAST(year(fl.date) AS BIGINT) = ar.year AND fl.neighborhood = ar.neighborhood
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "A1_avg_by_group": q_avg_by_group,
     "O3_top_n": q_top_n,
@@ -861,6 +972,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "X2_resolve": q_resolve,
     "J6_new_links": q_new_links,
     "G1_formatted_listings": q_formatted_listings,
+    "P2_format_income": q_format_income,
+    "P3_format_rent": q_format_rent,
+    "G2_pipeline_roi": q_pipeline_roi,
     "U1_union_by_name": q_union_by_name,
     "S8_conform": q_conform,
     "M1_string_index": q_string_index,
@@ -900,6 +1014,9 @@ ORACLE_SQL: dict[str, str] = {
     "X2_resolve": _X2_SQL,
     "J6_new_links": _J6_SQL,
     "G1_formatted_listings": _G1_SQL,
+    "P2_format_income": _P2_SQL,
+    "P3_format_rent": _P3_SQL,
+    "G2_pipeline_roi": _G2_SQL,
     "U1_union_by_name": _U1_SQL,
     "S8_conform": _S8_SQL,
     "M1_string_index": _M1_SQL,
