@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from propmart.functions.conform import conform
 from propmart.functions.dates import snapshot_date
@@ -30,7 +31,7 @@ from propmart.operators.ml import (
     split_label,
     string_indexers,
 )
-from propmart.operators.reconcile import lookup_conflicts, lookup_for, reconcile
+from propmart.operators.reconcile import lookup_conflicts, reconcile
 from propmart.operators.snapshot import latest_dates, latest_snapshot, require_key
 from propmart.operators.tables import format_income, format_listings, format_rent, union_by_name
 from propmart.operators.views import kpi_mart, view_avg_price, view_roi
@@ -38,8 +39,6 @@ from propmart.schemas import RENT_MONTHLY_LABEL, ROI_COLUMNS, struct_of
 from propmart.sources.files import inventory, inventory_counts
 from propmart.sources.parquet import read_table, read_with_source
 
-from pyspark.sql import types as T
-
 ROI = ROI_COLUMNS[3]
 OTHER_RENT_LABEL = "Lloguer mitjà per superfície (Euros/m2 mes)"
 
