@@ -6,6 +6,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from propmart.operators.kpi import avg_price_by, roi
+from propmart.operators.views import kpi_mart, view_avg_price, view_roi
+from propmart.schemas import AVG_PRICE_SCHEMA, ROI_SCHEMA
+from propmart.sources.raw import read_kpi_csv
 from propmart.schemas import AVG_PRICE_COLUMNS, FORMATTED_LISTING_SCHEMA, FORMATTED_RENT_SCHEMA
 from propmart.sources.parquet import read_zone
 from propmart.sources.sinks import write_kpi_csv
@@ -32,3 +35,22 @@ def build_exploitation(
     )
     write_kpi_csv(roi(listings, rent), f"{dst}/ROI", single_file=roi_single_file)
     return {"avg_price": f"{dst}/avg_price", "ROI": f"{dst}/ROI"}
+
+
+def dashboard_views(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """S14 + V1-V3: the published KPI files as typed tables and the chart queries
+    as temporary SQL views (``avg_price``, ``roi``, ``v_avg_price``, ``v_roi``,
+    ``kpi_mart``), for SQL clients of this session."""
+    dst = out_dir.rstrip("/")
+    avg = read_kpi_csv(spark, f"{dst}/avg_price", AVG_PRICE_SCHEMA)
+    payback = read_kpi_csv(spark, f"{dst}/ROI", ROI_SCHEMA)
+    views = {
+        "avg_price": avg,
+        "roi": payback,
+        "v_avg_price": view_avg_price(avg),
+        "v_roi": view_roi(payback),
+        "kpi_mart": kpi_mart(payback, avg),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return {name: name for name in views}

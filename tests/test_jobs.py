@@ -115,3 +115,15 @@ def test_missing_required_column_is_reported(spark, tmp_dir):
     build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/p2", on_error="null")
     report = spark.read.parquet(f"{tmp_dir}/p2/_reports/idealista_missing_columns").collect()
     assert [(r.source_file, r.column) for r in report] == [("2020_01_01_a.json", "price")]
+
+
+def test_dashboard_views(spark, zones):
+    from propmart.plans.exploitation import dashboard_views
+
+    dashboard_views(spark, f"{zones}/exploitation")
+    bars = spark.sql("SELECT * FROM v_avg_price").collect()
+    assert [r.Neighborhood for r in bars] == ["l'Antiga Esquerra", "Horta, Barcelona", "la Vila de Gràcia"]
+    marks = spark.sql("SELECT * FROM v_roi").collect()
+    assert len(marks) == 3  # the null payback (zero rent) is hidden
+    mart = spark.sql("SELECT * FROM kpi_mart WHERE Average_Price IS NOT NULL").count()
+    assert mart == 4
