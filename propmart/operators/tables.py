@@ -48,16 +48,24 @@ def format_listings(
     return _typed(rec, FORMATTED_LISTING_SCHEMA)
 
 
-def format_income(income: DataFrame, lookup: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def format_income(
+    income: DataFrame, lookup: DataFrame, broadcast_rows: int | None = None, keep_fanout: bool = False
+) -> DataFrame:
     """P2 + J2: income rows with reconciled district/neighborhood names."""
-    rec = reconcile(income, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, broadcast_rows=broadcast_rows)
+    rec = reconcile(
+        income, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, keep_fanout=keep_fanout, broadcast_rows=broadcast_rows
+    )
     rec = rec.withColumnRenamed("Any", "year").withColumnRenamed("Població", INCOME_POPULATION_OUT)
     return _typed(rec, FORMATTED_INCOME_SCHEMA)
 
 
-def format_rent(rent: DataFrame, lookup: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def format_rent(
+    rent: DataFrame, lookup: DataFrame, broadcast_rows: int | None = None, keep_fanout: bool = False
+) -> DataFrame:
     """P3 + J3: rent rows with reconciled district/neighborhood names."""
-    rec = reconcile(rent, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, broadcast_rows=broadcast_rows)
+    rec = reconcile(
+        rent, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, keep_fanout=keep_fanout, broadcast_rows=broadcast_rows
+    )
     return _typed(rec.withColumnRenamed("Any", "year"), FORMATTED_RENT_SCHEMA)
 
 

@@ -68,6 +68,6 @@ def build_formatted(
         listings = format_listings(state, lookup, keep_fanout=keep_fanout, broadcast_rows=LOOKUP_BROADCAST_ROWS)
     write_zone(listings, f"{dst}/idealista")
     income = read_zone(spark, f"{src}/opendatabcn-income", INCOME_SCHEMA)
-    write_zone(format_income(income, lookup, broadcast_rows=LOOKUP_BROADCAST_ROWS), f"{dst}/income")
+    write_zone(format_income(income, lookup, LOOKUP_BROADCAST_ROWS, keep_fanout), f"{dst}/income")
     rent = read_zone(spark, f"{src}/opendata-rent", RENT_SCHEMA)
-    write_zone(format_rent(rent, lookup, broadcast_rows=LOOKUP_BROADCAST_ROWS), f"{dst}/rent")
+    write_zone(format_rent(rent, lookup, LOOKUP_BROADCAST_ROWS, keep_fanout), f"{dst}/rent")

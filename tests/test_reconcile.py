@@ -74,3 +74,17 @@ def test_format_income_rent_listings(spark):
     r = out.first()
     assert (r.neighborhood, r.district, r.propertyCode, r.price) == ("Vila R", "raw district", 1, 100)
     assert dict(out.dtypes)["size"] == "double" and dict(out.dtypes)["rooms"] == "bigint"
+
+
+def test_income_fanout_on_two_keys(spark):
+    lk = spark.createDataFrame(
+        [("D", "N", "Dr", "x", "1", "Nr", "a", "2"), ("D", "N", "Dr", "y", "1", "Nr", "b", "2")],
+        "district string, neighborhood string, district_n_reconciled string, district_n string, district_id string, "
+        "neighborhood_n_reconciled string, neighborhood_n string, neighborhood_id string",
+    )
+    inc = spark.createDataFrame(
+        [(2020, 1, "D", 1, "N", 10, "1")],
+        "Any int, Codi_Districte smallint, Nom_Districte string, Codi_Barri smallint, Nom_Barri string, `Població` bigint, Index_RFD_Barcelona_100 string",
+    )
+    assert format_income(inc, lk).count() == 1
+    assert format_income(inc, lk, keep_fanout=True).count() == 2
