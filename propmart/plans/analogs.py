@@ -44,7 +44,8 @@ OTHER_RENT_LABEL = "Lloguer mitjà per superfície (Euros/m2 mes)"
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, sf, name)
+    # the driver's tables are read-only (TESTDATA.md)
+    return read_table(spark, sf, name, read_only=True)
 
 
 def _r6(c):

@@ -96,3 +96,12 @@ def test_listings_as_json_lines(spark, tmp_dir):
     write_text(f"{tmp_dir}/jl/2020_01_01_lines.json", "\n".join(json.dumps(r, ensure_ascii=False) for r in recs) + "\n")
     df = read_listings(spark, f"{tmp_dir}/jl", json_lines=True)
     assert df.count() == 50 and df.where("price = 1049").first().propertyCode == 49
+
+
+def test_read_table_reuses_schema_for_read_only_tables(spark):
+    from propmart.sources.parquet import _KNOWN_SCHEMAS, read_table
+
+    a = read_table(spark, "/root/testdata/sf0.001", "region", read_only=True)
+    assert "/root/testdata/sf0.001/region.parquet" in _KNOWN_SCHEMAS
+    b = read_table(spark, "/root/testdata/sf0.001", "region", read_only=True)
+    assert a.schema == b.schema and sorted(a.collect()) == sorted(b.collect())
