@@ -57,9 +57,15 @@ def _r6(c):
 # ---------------------------------------------------------------------------
 
 
-def nation_names(spark, sf) -> DataFrame:
-    """(nationkey, neighborhood, district) from nation + region (both tiny dimensions)."""
+def nation_names(spark, sf, with_district: bool = True) -> DataFrame:
+    """(nationkey, neighborhood, district, district_code) from nation + region.
+
+    ``with_district=False`` skips the region join for callers that only need
+    the neighborhood name (the planner cannot drop an inner join by itself).
+    """
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    if not with_district:
+        return n.select("n_nationkey", F.col("n_name").alias("neighborhood"))
     r = _t(spark, sf, "region").select("r_regionkey", "r_name")
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey"),
@@ -70,10 +76,10 @@ def nation_names(spark, sf) -> DataFrame:
 
 
 def order_listings(spark, sf) -> DataFrame:
-    """orders as listings: propertyCode, date, price, neighborhood, district."""
+    """orders as listings: propertyCode, date, price, neighborhood."""
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nn = nation_names(spark, sf)
+    nn = nation_names(spark, sf, with_district=False)
     return (
         o.join(c, o.o_custkey == c.c_custkey)
         .join(nn, F.col("c_nationkey") == nn.n_nationkey)
@@ -82,7 +88,6 @@ def order_listings(spark, sf) -> DataFrame:
             F.col("o_orderdate").cast("date").alias("date"),
             F.col("o_totalprice").alias("price"),
             "neighborhood",
-            "district",
         )
     )
 
@@ -136,7 +141,7 @@ def monthly_rent_per_nation(spark, sf) -> DataFrame:
         .agg(F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n"))
     )
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nn = nation_names(spark, sf)
+    nn = nation_names(spark, sf, with_district=False)
     return (
         per_cust.join(c, per_cust.o_custkey == c.c_custkey)
         .join(nn, F.col("c_nationkey") == nn.n_nationkey)
@@ -236,7 +241,7 @@ def q_avg_by_group(spark, sf, sort: bool = True) -> DataFrame:
     o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice")
     partial = price_partials(o, "o_custkey", "o_totalprice")
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nn = nation_names(spark, sf)
+    nn = nation_names(spark, sf, with_district=False)
     p = partial.join(c, partial.o_custkey == c.c_custkey).join(nn, F.col("c_nationkey") == nn.n_nationkey)
     return average_from_partials(p.select("neighborhood", "price_sum", "price_n"), "neighborhood", sort=sort)
 
