@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propmart.functions.dates import snapshot_date
+from propmart.operators.reconcile import lookup_conflicts
 from propmart.operators.snapshot import latest_snapshot, require_key
 from propmart.operators.tables import format_income, format_listings, format_rent
 from propmart.schemas import INCOME_SCHEMA, LISTING_SCHEMA, LOOKUP_SCHEMA, RENT_SCHEMA
@@ -57,6 +58,8 @@ def build_formatted(
     src = persistent_dir.rstrip("/")
     dst = formatted_dir.rstrip("/")
     lookup = read_zone(spark, f"{src}/lookup_tables", LOOKUP_SCHEMA)
+    # Q4: neighborhoods that reconcile to more than one name (one aggregate over the lookup)
+    lookup_conflicts(lookup, ["neighborhood"]).write.mode("overwrite").parquet(f"{dst}/_reports/lookup_conflicts")
     if latest_state is None:
         listings = formatted_listings(persisted_listings(spark, f"{src}/idealista"), lookup, keep_fanout)
     else:

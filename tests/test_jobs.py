@@ -53,6 +53,7 @@ def test_formatted_listings(spark, zones):
     assert sorted((r.neighborhood, r.populatonBCN) for r in inc) == [("Horta, Barcelona", 8000), ("la Vila de Gràcia", 51000)]
     rent = spark.read.parquet(f"{zones}/formatted/rent")
     assert rent.count() == 8
+    assert spark.read.parquet(f"{zones}/formatted/_reports/lookup_conflicts").count() == 0
 
 
 def test_kpi_csv_files(spark, zones):

@@ -23,3 +23,15 @@ def test_extract_resolve_and_new(spark):
     assert [r.file_name for r in res] == ["2020_lloguer_preu_trim.csv", "2021_lloguer_preu_trim.csv"]
     stored = spark.createDataFrame([("2020_lloguer_preu_trim.csv",)], "file_name string")
     assert [r.file_name for r in new_links(resolve_links(links), stored).collect()] == ["2021_lloguer_preu_trim.csv"]
+
+
+def test_files_to_fetch_skips_stored(spark, tmp_dir):
+    import os
+
+    from propmart.plans.collector import files_to_fetch
+
+    os.makedirs(f"{tmp_dir}/local", exist_ok=True)
+    open(f"{tmp_dir}/local/2020_lloguer_preu_trim.csv", "w").write("x")
+    pages = spark.createDataFrame([(1, "https://opendata.example.org", HTML), (2, "https://opendata.example.org", HTML)], "page_id int, url string, html string")
+    got = [r.file_name for r in files_to_fetch(spark, pages, f"{tmp_dir}/local").collect()]
+    assert got == ["2021_lloguer_preu_trim.csv"]
