@@ -29,26 +29,79 @@ from propmart.schemas import (
 # ---------------------------------------------------------------------------
 
 
+_BAD = "__corrupt"
+
+
+def _json_reader(spark: SparkSession, schema: T.StructType, json_lines: bool, glob: str | None, mode: str):
+    reader = spark.read.schema(schema).option("multiLine", not json_lines).option("mode", mode)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader
+
+
+def read_listings_text(
+    spark: SparkSession, paths: str | list[str], on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False
+) -> DataFrame:
+    """S2, exact path: every scalar read as text, then typed by ``conform``.
+
+    Never loses a value (``149000.0`` and ``"921"`` become whole numbers, a
+    fraction is an error), but Spark re-serialises each non-text token, which
+    makes it many times slower than a typed read.
+    """
+    mode = "FAILFAST" if on_error == "raise" else "DROPMALFORMED"
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = _json_reader(spark, LISTING_TEXT_SCHEMA, json_lines, glob, mode).json(paths)
+    raw = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return conform(raw, LISTING_SCHEMA, optional=LISTING_OPTIONAL, on_error=on_error, keep=["source_file"])
+
+
 def read_listings(
     spark: SparkSession, path: str, on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False
 ) -> DataFrame:
     """Listing snapshot files (JSON arrays of records) -> typed rows + ``source_file``.
 
+    Fast path with an exact fallback.  All files are first read with the
+    typed schema plus a corrupt-record column: a value the typed parser cannot
+    take exactly (a float or quoted text for an integer, an overflow, text for
+    a boolean, broken JSON) flags its file instead of turning into null.  Files
+    without a flag are used as read; the flagged files alone are read again
+    through ``read_listings_text``.  Both paths give the same values, and
+    ordinary files skip the text conversion (about 35 times slower).  Finding
+    the flagged files runs one job at call time; only their names reach the
+    driver.
+
     A JSON array file is parsed as a whole (``multiLine``), one task per file:
     many files parallelise, a single huge file does not.  ``json_lines=True``
     reads one record per line instead, which Spark splits like any text file.
     Absent optional columns (parking, neighborhood) read as null; an empty
     array gives no rows.
     """
-    reader = (
-        spark.read.schema(LISTING_TEXT_SCHEMA)
-        .option("multiLine", not json_lines)
-        .option("mode", "FAILFAST" if on_error == "raise" else "DROPMALFORMED")
+    typed_schema = T.StructType(LISTING_SCHEMA.fields + [T.StructField(_BAD, T.StringType())])
+    typed = (
+        _json_reader(spark, typed_schema, json_lines, glob, "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BAD)
+        .json(path)
     )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    raw = reader.json(path).select("*", F.col("_metadata.file_name").alias("source_file"))
-    return conform(raw, LISTING_SCHEMA, optional=LISTING_OPTIONAL, on_error=on_error, keep=["source_file"])
+    fields = [F.col(f"`{f.name}`") for f in LISTING_SCHEMA.fields]
+    typed = typed.select(
+        *fields,
+        F.col(_BAD).isNotNull().alias("__bad"),
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_path").alias("__path"),
+    )
+    # The reader only converts the columns a query uses, so the flag is only
+    # complete when every column is parsed: the hash below makes this query use
+    # them all (and keeps Spark from seeing a query of the flag alone).
+    flagged = typed.where("__bad").groupBy("__path").agg(F.max(F.xxhash64(*fields)).alias("h"))
+    bad_paths = [r[0] for r in flagged.collect()]
+    # Good rows are the files that were not flagged (by path, not by the
+    # per-row flag), so a later projection of fewer columns keeps the split.
+    good = typed.select(*[f.name for f in LISTING_SCHEMA.fields], "source_file", "__path")
+    if not bad_paths:
+        return good.drop("__path")
+    good = good.where(~F.col("__path").isin(bad_paths)).drop("__path")
+    slow = read_listings_text(spark, bad_paths, on_error, glob=None, json_lines=json_lines)
+    return good.unionByName(slow)
 
 
 def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:

@@ -105,3 +105,13 @@ def test_read_table_reuses_schema_for_read_only_tables(spark):
     assert "/root/testdata/sf0.001/region.parquet" in _KNOWN_SCHEMAS
     b = read_table(spark, "/root/testdata/sf0.001", "region", read_only=True)
     assert a.schema == b.schema and sorted(a.collect()) == sorted(b.collect())
+
+
+def test_listing_fast_path_split_is_stable_under_projection(spark, tmp_dir):
+    """A file whose only odd value is in a column not selected later must not be
+    lost or doubled: files go to the fast or the exact path by name."""
+    write_json(f"{tmp_dir}/f/2020_01_01_a.json", [listing(1, price=100), listing(2, price="149000.0")])
+    write_json(f"{tmp_dir}/f/2020_01_02_b.json", [listing(3, price=300)])
+    df = read_listings(spark, f"{tmp_dir}/f")
+    assert sorted(r.propertyCode for r in df.select("propertyCode").collect()) == [1, 2, 3]
+    assert sorted((r.propertyCode, r.price) for r in df.collect()) == [(1, 100), (2, 149000), (3, 300)]
