@@ -29,7 +29,7 @@ from propmart.schemas import (
 # ---------------------------------------------------------------------------
 
 
-_BAD = "__corrupt"
+CORRUPT_COLUMN = "__corrupt"
 
 
 def _json_reader(spark: SparkSession, schema: T.StructType, json_lines: bool, glob: str | None, mode: str):
@@ -76,27 +76,40 @@ def read_listings(
     Absent optional columns (parking, neighborhood) read as null; an empty
     array gives no rows.
     """
-    typed_schema = T.StructType(LISTING_SCHEMA.fields + [T.StructField(_BAD, T.StringType())])
-    typed = (
-        _json_reader(spark, typed_schema, json_lines, glob, "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .json(path)
-    )
-    fields = [F.col(f"`{f.name}`") for f in LISTING_SCHEMA.fields]
-    typed = typed.select(
-        *fields,
-        F.col(_BAD).isNotNull().alias("__bad"),
+    typed = _json_reader(spark, LISTING_FLAGGED_SCHEMA, json_lines, glob, "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", CORRUPT_COLUMN
+    ).json(path)
+    return resolve_flagged(spark, flag_listing_rows(typed), on_error, json_lines)
+
+
+# Typed listing schema plus the corrupt-record column the fast path flags files with.
+LISTING_FLAGGED_SCHEMA = T.StructType(LISTING_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+
+
+def flag_listing_rows(typed: DataFrame) -> DataFrame:
+    """Listing columns + ``__bad`` flag + ``source_file`` + ``__path`` of a
+    typed read with the corrupt-record column (batch or stream)."""
+    return typed.select(
+        *[F.col(f"`{f.name}`") for f in LISTING_SCHEMA.fields],
+        F.col(CORRUPT_COLUMN).isNotNull().alias("__bad"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("__path"),
     )
-    # The reader only converts the columns a query uses, so the flag is only
-    # complete when every column is parsed: the hash below makes this query use
-    # them all (and keeps Spark from seeing a query of the flag alone).
-    flagged = typed.where("__bad").groupBy("__path").agg(F.max(F.xxhash64(*fields)).alias("h"))
+
+
+def resolve_flagged(spark: SparkSession, flagged_rows: DataFrame, on_error: str = "raise", json_lines: bool = False) -> DataFrame:
+    """Fast rows of unflagged files + exact re-read of the flagged files.
+
+    The reader only converts the columns a query uses, so the flag is only
+    complete when every column is parsed: the hash in the flag query makes it
+    use them all (and keeps Spark from seeing a query of the flag alone).
+    Good rows are taken by file path, not by the per-row flag, so a later
+    projection of fewer columns keeps the same split.
+    """
+    fields = [F.col(f"`{f.name}`") for f in LISTING_SCHEMA.fields]
+    flagged = flagged_rows.where("__bad").groupBy("__path").agg(F.max(F.xxhash64(*fields)).alias("h"))
     bad_paths = [r[0] for r in flagged.collect()]
-    # Good rows are the files that were not flagged (by path, not by the
-    # per-row flag), so a later projection of fewer columns keeps the split.
-    good = typed.select(*[f.name for f in LISTING_SCHEMA.fields], "source_file", "__path")
+    good = flagged_rows.select(*[f.name for f in LISTING_SCHEMA.fields], "source_file", "__path")
     if not bad_paths:
         return good.drop("__path")
     good = good.where(~F.col("__path").isin(bad_paths)).drop("__path")

@@ -15,13 +15,15 @@ from pyspark.sql import types as T
 
 from propmart.functions.conform import conform
 from propmart.schemas import LISTING_OPTIONAL, LISTING_SCHEMA, LISTING_TEXT_SCHEMA
-from propmart.sources.raw import bind_by_header
+from propmart.sources.raw import CORRUPT_COLUMN, LISTING_FLAGGED_SCHEMA, bind_by_header, flag_listing_rows, resolve_flagged
 
 
 def listing_stream(
     spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False
 ) -> DataFrame:
-    """Streaming form of S2: typed listing rows + ``source_file``."""
+    """Streaming form of S2 on the exact (all-text) path: typed listing rows +
+    ``source_file`` as a plain streaming DataFrame.  The jobs below use the
+    faster flagged form inside ``foreachBatch``."""
     reader = (
         spark.readStream.schema(LISTING_TEXT_SCHEMA)
         .option("multiLine", not json_lines)
@@ -34,20 +36,59 @@ def listing_stream(
     return conform(raw, LISTING_SCHEMA, optional=LISTING_OPTIONAL, keep=["source_file"])
 
 
-def persist_listing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str):
-    """Append new listing files to the persistent zone; returns the finished query."""
+def flagged_listing_stream(
+    spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False
+) -> DataFrame:
+    """Typed stream of listing rows with the fast-path flag (see ``resolve_flagged``)."""
+    reader = (
+        spark.readStream.schema(LISTING_FLAGGED_SCHEMA)
+        .option("multiLine", not json_lines)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("pathGlobFilter", "*.json")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return flag_listing_rows(reader.json(landing_dir))
+
+
+def run_listing_batches(spark: SparkSession, landing_dir: str, checkpoint: str, handle, json_lines: bool = False):
+    """Run ``handle(rows, batch_id)`` on the typed rows of each batch of new files.
+
+    Each batch's files take the fast typed path unless flagged, as in
+    ``read_listings``; runs until all present files are processed.
+    """
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        handle(resolve_flagged(spark, batch, "raise", json_lines), batch_id)
+
     q = (
-        listing_stream(spark, landing_dir)
-        .withColumn("ingest_ts", F.unix_timestamp().cast("bigint"))
-        .writeStream.format("parquet")
+        flagged_listing_stream(spark, landing_dir, json_lines=json_lines)
+        .writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(out_dir)
+        .start()
     )
     q.awaitTermination()
     return q
 
 
+def persist_listing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str, json_lines: bool = False):
+    """Append new listing files to the persistent zone; returns the finished query.
+
+    Every micro-batch is written to ``out_dir/batch=<id>`` (overwrite), so a
+    replayed batch replaces its own output.
+    """
+    root = out_dir.rstrip("/")
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.withColumn("ingest_ts", F.unix_timestamp().cast("bigint")).write.mode("overwrite").parquet(
+            f"{root}/batch={batch_id}"
+        )
+
+    return run_listing_batches(spark, landing_dir, checkpoint, write, json_lines)
+
+
 def persist_csv_stream(
     spark: SparkSession,
     landing_dir: str,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from propmart.functions.dates import snapshot_date
 from propmart.operators.snapshot import latest_snapshot, require_key
 from propmart.sources.files import inventory
-from propmart.streaming.landing import listing_stream
+from propmart.streaming.landing import run_listing_batches
 
 
 def merge_latest(state: DataFrame | None, new_rows: DataFrame, key: str = "propertyCode", date: str = "date") -> DataFrame:
@@ -56,16 +56,8 @@ def maintain_latest_listings(spark: SparkSession, landing_dir: str, state_root:
     """Run the stream over ``landing_dir`` until all present files are merged; returns the query."""
     root = state_root.rstrip("/")
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        merged = merge_latest(read_state(spark, root, before=batch_id), snapshot_rows(batch))
+    def upsert(rows: DataFrame, batch_id: int) -> None:
+        merged = merge_latest(read_state(spark, root, before=batch_id), snapshot_rows(rows))
         merged.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    q = (
-        listing_stream(spark, landing_dir)
-        .writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return q
+    return run_listing_batches(spark, landing_dir, checkpoint, upsert)
