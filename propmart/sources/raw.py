@@ -82,8 +82,20 @@ def read_listings(
     return resolve_flagged(spark, flag_listing_rows(typed), on_error, json_lines)
 
 
-# Typed listing schema plus the corrupt-record column the fast path flags files with.
-LISTING_FLAGGED_SCHEMA = T.StructType(LISTING_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+def _integral_as_double(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _integral_as_double(f.dataType), True) for f in dtype.fields])
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.DoubleType()
+    return dtype
+
+
+# Fast-path read schema: the listing types, but whole numbers read as double
+# (exact here, and it accepts 149000.0 as well as 149000; ``conform`` then
+# checks for a fraction or overflow exactly as on the text path), plus the
+# corrupt-record column that flags files with values no type can take.
+LISTING_FAST_SCHEMA = _integral_as_double(LISTING_SCHEMA)
+LISTING_FLAGGED_SCHEMA = T.StructType(LISTING_FAST_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
 
 
 def flag_listing_rows(typed: DataFrame) -> DataFrame:
@@ -110,9 +122,11 @@ def resolve_flagged(spark: SparkSession, flagged_rows: DataFrame, on_error: str
     flagged = flagged_rows.where("__bad").groupBy("__path").agg(F.max(F.xxhash64(*fields)).alias("h"))
     bad_paths = [r[0] for r in flagged.collect()]
     good = flagged_rows.select(*[f.name for f in LISTING_SCHEMA.fields], "source_file", "__path")
+    if bad_paths:
+        good = good.where(~F.col("__path").isin(bad_paths))
+    good = conform(good.drop("__path"), LISTING_SCHEMA, on_error=on_error, keep=["source_file"])
     if not bad_paths:
-        return good.drop("__path")
-    good = good.where(~F.col("__path").isin(bad_paths)).drop("__path")
+        return good
     slow = read_listings_text(spark, bad_paths, on_error, glob=None, json_lines=json_lines)
     return good.unionByName(slow)
 
