@@ -1,7 +1,8 @@
 """Raw landing readers: listing JSON (S2, S3) and headered CSV.
 
-All scalars are read as text and typed by ``conform`` (S8), so the reader
-never nulls a value silently.
+No reader nulls a value silently.  CSV cells are text and are typed by
+``conform`` (S8).  Listing JSON takes a typed fast path whose every doubtful
+value flags its file for the exact text path (``read_listings``).
 """
 
 from __future__ import annotations
@@ -61,11 +62,12 @@ def read_listings(
     """Listing snapshot files (JSON arrays of records) -> typed rows + ``source_file``.
 
     Fast path with an exact fallback.  All files are first read with the
-    typed schema plus a corrupt-record column: a value the typed parser cannot
-    take exactly (a float or quoted text for an integer, an overflow, text for
-    a boolean, broken JSON) flags its file instead of turning into null.  Files
-    without a flag are used as read; the flagged files alone are read again
-    through ``read_listings_text``.  Both paths give the same values, and
+    typed schema (whole numbers as double, then checked by ``conform``) plus a
+    corrupt-record column: a value the typed parser cannot take (quoted text
+    for a number, text for a boolean, broken JSON) flags its file instead of
+    turning into null.  Files without a flag are used as read; the flagged
+    files alone are read again through ``read_listings_text``.  Both paths give
+    the same values and the same errors (tests/test_properties.py), and
     ordinary files skip the text conversion (about 35 times slower).  Finding
     the flagged files runs one job at call time; only their names reach the
     driver.
