@@ -177,23 +177,29 @@ def bind_by_header(
     spelling_to_col = {s: out for out, spellings in names.items() for s in spellings}
     known = list(spelling_to_col)
     cells = [f"_c{i}" for i in range(width)]
+    # each cell cleaned once (BOM, blanks); header tests run on these
+    clean = raw.select("*", *[_cell(c).alias(f"__k{i}") for i, c in enumerate(cells)])
+    keys = F.array(*[F.col(f"__k{i}") for i in range(width)])
+    targets = list(names.items())
+
+    def position(spellings):
+        found = [F.array_position(keys, s) for s in spellings]
+        return found[0] if len(found) == 1 else F.greatest(*found)
+
     only_known = None
-    for c in cells:
-        ok = F.col(c).isNull() | _cell(c).isin(known)
+    for i in range(width):
+        ok = F.col(f"__k{i}").isNull() | F.col(f"__k{i}").isin(known)
         only_known = ok if only_known is None else only_known & ok
     has_all = None
-    for spellings in names.values():
-        present = None
-        for c in cells:
-            p = _cell(c).isin(list(spellings))
-            present = p if present is None else present | p
+    for _, spellings in targets:
+        present = position(spellings) > 0
         has_all = present if has_all is None else has_all & present
     is_header = F.coalesce(only_known & has_all, F.lit(False))
 
-    flagged = raw.withColumn("__is_header", is_header)
-    headers = flagged.where("__is_header").select(
-        F.col("__file").alias("__hfile"), *[_cell(c).alias(f"__h{i}") for i, c in enumerate(cells)]
-    ).distinct()
+    # per file, once: the 1-based position of every output column in its header
+    flagged = clean.withColumn("__is_header", is_header)
+    positions = [F.nullif(position(spellings), F.lit(0)).cast("int").alias(f"__p{j}") for j, (_, spellings) in enumerate(targets)]
+    headers = flagged.where("__is_header").select(F.col("__file").alias("__hfile"), *positions).distinct()
     data = flagged.where(~F.col("__is_header"))
     joined = data.join(headers, data["__file"] == headers["__hfile"], "left")
     no_header = F.col("__hfile").isNull()
@@ -208,10 +214,8 @@ def bind_by_header(
         def guarded(value):
             return value
 
-    out = []
-    for target, spellings in names.items():
-        picks = [F.when(F.col(f"__h{i}").isin(list(spellings)), F.col(c)) for i, c in enumerate(cells)]
-        out.append(guarded(F.coalesce(*picks)).alias(target))
+    row = F.array(*[F.col(c) for c in cells])
+    out = [guarded(F.element_at(row, F.col(f"__p{j}"))).alias(target) for j, (target, _) in enumerate(targets)]
     return joined.select(*out, guarded(F.col("__file")).alias("source_file"))
 
 
