@@ -11,7 +11,18 @@ from pyspark.sql import functions as F
 from propmart.functions.conform import empty_required_columns
 from propmart.schemas import LISTING_OPTIONAL, LISTING_SCHEMA
 from propmart.sources.files import inventory
-from propmart.sources.raw import read_csv_inferred, read_income, read_json_inferred, read_listings, read_lookup, read_rent
+from pyspark import StorageLevel
+
+from propmart.sources.raw import (
+    read_csv_inferred,
+    read_income,
+    read_json_inferred,
+    read_listings,
+    read_lookup,
+    read_rent,
+    resolve_flagged,
+    typed_listing_rows,
+)
 from propmart.sources.sinks import persist_landing
 
 
@@ -62,6 +73,21 @@ def check_required_listing_columns(spark: SparkSession, persisted: str, report_d
     return found
 
 
+def persist_listings(spark: SparkSession, folder: str, out: str, on_error: str = "raise", batch_ts: int | None = None) -> None:
+    """S2 + K1 with one JSON parse.
+
+    ``read_listings`` parses the files once to find flagged files and the
+    write would parse them again.  Here the typed rows (with their flag) are
+    kept in memory and on local disk between the two uses, so the JSON is
+    parsed once; a lost block is recomputed from the files.
+    """
+    rows = typed_listing_rows(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        persist_landing(resolve_flagged(spark, rows, on_error), out, batch_ts)
+    finally:
+        rows.unpersist()
+
+
 def build_persistent(
     spark: SparkSession, landing_dir: str, persistent_dir: str, on_error: str = "raise", check_required: bool = True
 ) -> dict[str, str]:
@@ -75,7 +101,11 @@ def build_persistent(
     root = persistent_dir.rstrip("/")
     for d in dataset_folders(spark, landing_dir):
         out = f"{root}/{d}"
-        persist_landing(read_landing_dataset(spark, f"{landing_dir.rstrip('/')}/{d}", on_error), out, batch_ts)
+        src = f"{landing_dir.rstrip('/')}/{d}"
+        if d.endswith("idealista"):
+            persist_listings(spark, src, out, on_error, batch_ts)
+        else:
+            persist_landing(read_landing_dataset(spark, src, on_error), out, batch_ts)
         written[d] = out
         if check_required and d.endswith("idealista"):
             check_required_listing_columns(spark, out, f"{root}/_reports/{d}_missing_columns", on_error)

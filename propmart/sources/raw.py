@@ -78,10 +78,15 @@ def read_listings(
     Absent optional columns (parking, neighborhood) read as null; an empty
     array gives no rows.
     """
+    return resolve_flagged(spark, typed_listing_rows(spark, path, glob, json_lines), on_error, json_lines)
+
+
+def typed_listing_rows(spark: SparkSession, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
+    """The fast-path read: typed listing columns + flag + ``source_file`` + ``__path``."""
     typed = _json_reader(spark, LISTING_FLAGGED_SCHEMA, json_lines, glob, "PERMISSIVE").option(
         "columnNameOfCorruptRecord", CORRUPT_COLUMN
     ).json(path)
-    return resolve_flagged(spark, flag_listing_rows(typed), on_error, json_lines)
+    return flag_listing_rows(typed)
 
 
 def _integral_as_double(dtype: T.DataType) -> T.DataType:
