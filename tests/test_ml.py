@@ -68,3 +68,17 @@ def test_linear_fit_matches_estimator(spark):
     lr = fit_linear_model(p, "p_retailprice", ["p_size"])
     assert abs(closed.slope - lr.coefficients[0]) < 1e-6
     assert abs(closed.intercept - lr.intercept) < 1e-4
+
+
+def test_linear_model_on_the_literal_rows(spark):
+    """S13 + M8: the three literal (price, average rent) rows; rent ~ price by least squares."""
+    import numpy as np
+
+    rows = [(149000.0, 687.025), (130000.0, 645.324), (180000.0, 723.543)]
+    df = spark.createDataFrame(rows, "price double, avg_rent double")
+    model = fit_linear_model(df, "avg_rent", ["price"])
+    slope, intercept = np.polyfit([r[0] for r in rows], [r[1] for r in rows], 1)
+    assert abs(model.coefficients[0] - slope) < 1e-9
+    assert abs(model.intercept - intercept) < 1e-6
+    closed = linear_fit(df, "avg_rent", "price").first()
+    assert abs(closed.slope - slope) < 1e-9 and closed.n == 3
