@@ -29,7 +29,7 @@ def build_exploitation(
     rent = read_zone(spark, f"{src}/rent", FORMATTED_RENT_SCHEMA)
     name, value = AVG_PRICE_COLUMNS
     write_kpi_csv(
-        avg_price_by(listings, "neighborhood", "price", operation),
+        avg_price_by(listings, "neighborhood", "price", operation, sort=False),  # the writer sorts
         f"{dst}/avg_price",
         sort_by=[F.col(value).desc(), F.col(name).asc()],
     )
