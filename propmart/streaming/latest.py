@@ -7,19 +7,21 @@ plus tied rows) and only the files that arrived since, which the file stream
 source tracks in its checkpoint.
 
 State layout: ``<root>/batch=<id>/`` holds the full latest state after
-micro-batch ``id``.  Batch ``id`` reads the newest version below ``id`` and
-overwrites its own folder, so a replayed batch gives the same result, and a
-version becomes visible only when its write job commits.
+micro-batch ``id``, and ``<root>/_versions`` logs each version once it is
+completely written.  Batch ``id`` reads the newest logged version below
+``id`` and overwrites its own folder, so a replayed batch gives the same
+result; readers only ever see logged versions.  Older version folders are
+never read again and can be removed by the storage's retention rules.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propmart.functions.dates import snapshot_date
 from propmart.operators.snapshot import latest_snapshot, require_key
-from propmart.sources.files import inventory
 from propmart.streaming.landing import run_listing_batches
 
 
@@ -30,13 +32,23 @@ def merge_latest(state: DataFrame | None, new_rows: DataFrame, key: str = "prope
 
 
 def state_versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed state versions under ``root`` (from the file listing; nothing is read)."""
+    """Committed state versions under ``root``.
+
+    Read from the version log, which gets a row only after a version's state
+    has been written completely; a half-written version is never visible, and
+    no listing of the (growing) state folders is needed.
+    """
     try:
-        files = inventory(spark, root, glob="*.parquet")
-    except Exception:  # noqa: BLE001 - no state written yet
+        log = spark.read.parquet(f"{root.rstrip('/')}/_versions")
+    except AnalysisException:  # nothing committed yet
         return []
-    ids = files.select(F.regexp_extract("path", r"/batch=(\d+)/", 1).cast("bigint").alias("v")).where("v IS NOT NULL")
-    return sorted(r.v for r in ids.distinct().collect())
+    return sorted(r.v for r in log.select("v").distinct().collect())
+
+
+def _commit_version(spark: SparkSession, root: str, batch_id: int) -> None:
+    spark.range(1).select(F.lit(batch_id).cast("bigint").alias("v")).write.mode("append").parquet(
+        f"{root.rstrip('/')}/_versions"
+    )
 
 
 def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
@@ -59,5 +71,6 @@ def maintain_latest_listings(spark: SparkSession, landing_dir: str, state_root:
     def upsert(rows: DataFrame, batch_id: int) -> None:
         merged = merge_latest(read_state(spark, root, before=batch_id), snapshot_rows(rows))
         merged.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        _commit_version(spark, root, batch_id)
 
     return run_listing_batches(spark, landing_dir, checkpoint, upsert)
