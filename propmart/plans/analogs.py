@@ -779,6 +779,20 @@ def q_pipeline_roi(spark, sf) -> DataFrame:
     return out.select("year", "neighborhood", "propertyCode", _r6(F.col(f"`{ROI}`")).alias(ROI))
 
 
+def q_segment_avg_listings(spark, sf) -> DataFrame:
+    """W1 with the source's seven segment columns over the formatted-listing analog,
+    where floor, rooms and bathrooms are null: null segment keys group together."""
+    out = segment_average(q_formatted_listings(spark, sf))
+    return out.select("propertyCode", "date", "price", _r6(F.col("avg")).alias("avg"))
+
+
+_W1_LISTINGS_SQL = f"""
+SELECT propertyCode, date, price,
+       round(avg(price) OVER (PARTITION BY neighborhood, propertyType, floor, status, size, rooms, bathrooms), 6) AS avg
+FROM ({_G1_SQL})
+"""
+
+
 def q_union_by_name(spark, sf) -> DataFrame:
     """Customers and suppliers as one party table with differing columns."""
     c = _t(spark, sf, "customer").select(
@@ -980,6 +994,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "P2_format_income": q_format_income,
     "P3_format_rent": q_format_rent,
     "G2_pipeline_roi": q_pipeline_roi,
+    "W1_segment_avg_listings": q_segment_avg_listings,
     "U1_union_by_name": q_union_by_name,
     "S8_conform": q_conform,
     "M1_string_index": q_string_index,
@@ -1022,6 +1037,7 @@ ORACLE_SQL: dict[str, str] = {
     "P2_format_income": _P2_SQL,
     "P3_format_rent": _P3_SQL,
     "G2_pipeline_roi": _G2_SQL,
+    "W1_segment_avg_listings": _W1_LISTINGS_SQL,
     "U1_union_by_name": _U1_SQL,
     "S8_conform": _S8_SQL,
     "M1_string_index": _M1_SQL,
