@@ -98,3 +98,35 @@ def test_fast_listing_reader_equals_text_reader(spark, files):
     assert isinstance(fast["raise"], list) == isinstance(exact["raise"], list)
     if isinstance(exact["raise"], list):
         assert fast["raise"] == exact["raise"]
+
+
+NAMES = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
+
+
+@FAST
+@given(
+    roi_rows=st.lists(st.tuples(NAMES, st.integers(0, 5)), max_size=15),
+    avg_rows=st.lists(st.tuples(NAMES, st.integers(1, 9)), max_size=6),
+)
+def test_kpi_mart_equals_full_outer_join(spark, roi_rows, avg_rows):
+    import math
+
+    from propmart.operators.views import kpi_mart
+
+    roi = spark.createDataFrame(
+        [(2020, n, code, code / 3.0) for n, code in roi_rows],
+        "year bigint, neighborhood string, propertyCode bigint, `ROI/Year` double",
+    )
+    avg = spark.createDataFrame([(n, float(v)) for n, v in avg_rows], "Neighborhood string, Average_Price double")
+    got = kpi_mart(roi, avg).collect()
+    roi.createOrReplaceTempView("p_roi")
+    avg.createOrReplaceTempView("p_avg")
+    want = spark.sql(
+        "SELECT coalesce(r.neighborhood, a.Neighborhood) AS neighborhood, r.year, r.propertyCode, r.`ROI/Year`, "
+        "a.Average_Price FROM p_roi r FULL OUTER JOIN p_avg a ON r.neighborhood = a.Neighborhood"
+    ).collect()
+
+    def norm(rows):
+        return sorted((tuple("nan" if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows), key=str)
+
+    assert norm(got) == norm(want)
