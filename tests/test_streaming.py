@@ -72,3 +72,17 @@ def test_formatted_from_state_equals_full(spark, tmp_dir):
     a = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/f_full/idealista").collect())
     b = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/f_state/idealista").collect())
     assert a == b and len(a) == 4
+
+
+def test_income_csv_stream_maps_raw_header(spark, tmp_dir):
+    from propmart.schemas import INCOME_SCHEMA
+    from propmart.sources.raw import income_names
+
+    land, out, ck = f"{tmp_dir}/land", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    write_text(
+        f"{land}/inc.csv",
+        "﻿Any,Codi_Districte,Nom_Districte,Codi_Barri,Nom_Barri,Població,Índex RFD Barcelona = 100\n2020,6,G,31,G,51000,110.5\n",
+    )
+    persist_csv_stream(spark, land, out, ck, income_names(), INCOME_SCHEMA)
+    r = spark.read.parquet(out).first()
+    assert (r.Any, r["Població"], r.Index_RFD_Barcelona_100) == (2020, 51000, "110.5")
