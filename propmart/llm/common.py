@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,7 +96,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
         col = batch.column(batch.schema.get_field_index(column))
         if not len(col):
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0)).astype(np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0)).astype(np.int64)
         ends = np.cumsum(sizes)
         start = 0
         while start < len(col):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import mixing
+from propmart.llm import mixing, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,20 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def byte_bpe() -> str:
+    """The public byte-level BPE file that the contracts name."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_pack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bit-packed ids of all documents, written and read back."""
+    return packing.pack_and_read(_table(spark, sf_dir, "documents"), byte_bpe())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_pack_ids": op8_pack_ids,
     "op7_mix_sources": op7_mix_sources,
 }
 
