@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import mixing, packing
+from propmart.llm import mixing, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,12 +30,29 @@ def op8_pack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_and_read(_table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back through the capture index."""
+    return warc.archive_and_read(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_index": op1_warc_index,
     "op8_pack_ids": op8_pack_ids,
     "op7_mix_sources": op7_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc_index": """
+with sized as (
+  select page_id, url, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), kept as (
+  select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as last from sized
+)
+select page_id, url, payload_bytes, payload_digest,
+       case when last <> page_id then 'revisit' else 'response' end as record_type,
+       case when last <> page_id then last end as refers_to
+from kept
+""",
     "op7_mix_sources": r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
