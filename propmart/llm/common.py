@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from propmart.session import checkpoint_dir
 
@@ -104,3 +105,63 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             stop = max(start + 1, int(np.searchsorted(ends, base + most_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """The groups of rows that agree in the first ``n_keys`` columns.
+
+    The rows must come sorted by those columns; a group may pass the end of a
+    batch.  Memory is that of one batch and one group.
+    """
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        for i in range(n_keys):
+            column = batch.column(i)
+            new[1:] |= np.asarray(pc.not_equal(column[1:], column[:-1]))
+        key = [batch.column(i)[0].as_py() for i in range(n_keys)]
+        new[0] = key != last
+        cuts = np.flatnonzero(new).tolist() + [batch.num_rows]
+        if cuts[0] or not new[0]:
+            held.append(batch.slice(0, cuts[0]))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [batch.slice(a, b - a)]
+        last = [batch.column(i)[batch.num_rows - 1].as_py() for i in range(n_keys)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(node, component) for rows (a, b); a component is named by its least node.
+
+    Alternating star contraction: every node's larger neighbours are hung to
+    its least neighbour, then its smaller ones, until nothing changes.  Every
+    round is a min per node and a join back, written to the shared folder; a
+    star with very many leaves is an ordinary skewed join.
+    """
+    pairs = edges.select("a", "b").filter(F.col("a") != F.col("b"))
+    pairs = written(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    seen = None
+    while True:
+        both = pairs.union(pairs.select("v", "u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+        large = both.join(least, F.col("u") == F.col("n")).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        pairs = written(large.filter(F.col("u") != F.col("v")).distinct(), name)
+        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m")
+        hung = pairs.join(least, F.col("u") == F.col("n"))
+        small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v"))
+        pairs = written(small.union(least.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct(), name)
+        now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == seen:
+            break
+        seen = now
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )

@@ -2,7 +2,7 @@
 
 Each row has a 60-bit hash.  Per source, the words are summed by hash bucket;
 the bucket in which the running sum passes the budget is the only one that is
-refined, first to finer buckets and then to single hashes.  The result is one
+refined, level by level down to single hashes.  The result is one
 threshold per source: rows whose hash is below it are taken once more.
 Nothing is sorted except the histograms, and thresholds of a smaller budget
 are lower, so mixes are nested.
@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from propmart.llm.common import written
 
 HASH_BITS = 60
-# bits of the hash that the first and the second histogram tell apart
-FIRST_BITS, SECOND_BITS = 14, 37
+LEVEL_BITS = 12  # bits that one histogram tells apart: at most 4,096 buckets per source
 
 
 def word_count(text: Column) -> Column:
@@ -91,7 +90,8 @@ def mix_plan(
     taken ``whole`` times, and once more when its hash is below ``threshold``.
     Rows of one hash are taken together; the row set nearest to the target is
     chosen, a tie leaving the boundary hash out.  Empty input gives no rows.
-    ``sized`` is read four times and should be a written table.
+    ``sized`` is read three times and should be a written table; later levels
+    read only the rows of the boundary buckets.
     """
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(totals, weights, share, most).withColumn(
@@ -111,9 +111,9 @@ def mix_plan(
 
     rows = sized.select("source", "size", "h")
     state = plan.select("source", "need", F.lit(0).cast("long").alias("base"))
-    for number, bits in enumerate((FIRST_BITS, SECOND_BITS)):
-        state = written(_boundary(finer(rows, state, HASH_BITS - bits)), f"mix-level{number}")
-        rows = written(within(rows, state, HASH_BITS - bits), f"mix-rows{number}")
+    for shift in range(HASH_BITS - LEVEL_BITS, 0, -LEVEL_BITS):
+        state = written(_boundary(finer(rows, state, shift)), f"mix-level{shift}")
+        rows = written(within(rows, state, shift), f"mix-rows{shift}")
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     units = finer(rows, state, 0).withColumn("end", F.col("base") + F.sum("words").over(run))
     taken = F.col("end") * 2 - F.col("words") < F.col("need") * 2

@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import mixing, packing, warc
+from propmart.llm import lsh_forest, mixing, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word shingle Jaccard join at 0.8: class and number of links per document."""
+    return lsh_forest.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a 5:2:1 mix of 150 % of all words."""
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
@@ -37,6 +42,7 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
+    "op5_jaccard_join": op5_jaccard_join,
     "op8_pack_ids": op8_pack_ids,
     "op7_mix_sources": op7_mix_sources,
 }
