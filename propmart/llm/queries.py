@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import lsh_forest, mixing, packing, warc
+from propmart.llm import decontaminate, language, lsh_forest, mixing, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    return language.predict_all(_table(spark, sf_dir, "documents"))
+
+
+def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item, with the overlap."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-word shingle Jaccard join at 0.8: class and number of links per document."""
     return lsh_forest.jaccard_join(_table(spark, sf_dir, "documents"))
@@ -42,6 +52,8 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
+    "op3_language_mixture": op3_language_mixture,
+    "op4_spaced_seeds": op4_spaced_seeds,
     "op5_jaccard_join": op5_jaccard_join,
     "op8_pack_ids": op8_pack_ids,
     "op7_mix_sources": op7_mix_sources,
