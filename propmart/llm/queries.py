@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import decontaminate, language, lsh_forest, mixing, packing, warc
+from propmart.llm import decontaminate, language, lsh_forest, mixing, packing, secrets, sketch, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of all texts and of their edited texts."""
+    return sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a 5:2:1 mix of 150 % of all words."""
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
@@ -50,11 +55,18 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(_table(spark, sf_dir, "pages"))
 
 
+def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through the trigram index."""
+    return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_trigram_secrets": op9_trigram_secrets,
     "op1_warc_index": op1_warc_index,
     "op3_language_mixture": op3_language_mixture,
     "op4_spaced_seeds": op4_spaced_seeds,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_bottom_k": op6_bottom_k,
     "op8_pack_ids": op8_pack_ids,
     "op7_mix_sources": op7_mix_sources,
 }
