@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import decontaminate, language, lsh_forest, mixing, packing, secrets, sketch, warc
+from propmart.llm import decontaminate, language, lsh_forest, mixing, packing, repeats, secrets, sketch, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +60,13 @@ def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 200-byte strings that occur elsewhere."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_suffix_dedup": op10_suffix_dedup,
     "op9_trigram_secrets": op9_trigram_secrets,
     "op1_warc_index": op1_warc_index,
     "op3_language_mixture": op3_language_mixture,
