@@ -1,25 +1,81 @@
 """Byte-level BPE encoding in batches, through the ``tokenizers`` library.
 
 A byte-level BPE splits a text into pieces by a fixed pattern and encodes each
-piece by itself.  Pieces repeat, so every task encodes each distinct piece
-once with the library and looks the rest up; the ids equal those of encoding
-whole texts (tested).  Tokenizers with any other pre-tokenizer or a normalizer
-are refused.
+piece by itself.  A batch of texts is split in numpy over its code points;
+pieces repeat, so a worker lets the library encode each distinct piece once
+and looks the rest up by a 64-bit hash.  Ids and character spans equal those
+of encoding whole texts (tested).  Tokenizers with any other pre-tokenizer or
+with a normalizer are refused.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 
-# Fixed value: the split pattern of byte-level pre-tokenization.
-BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_PIECES = 400_000  # distinct pieces kept by a worker; then it starts anew
-LONG = 1 << 20  # pieces held at once for one long text
+from propmart.llm.shingles import mix, powers
+
+OTHER, LETTER, NUMBER, SPACE = range(4)
+MOST_PIECES = 500_000  # distinct pieces kept by a worker; then it starts anew
+SLOT_BITS = 21
+LONG = 1 << 22  # characters of one text that are split at once
+JOINED = 500  # new pieces given to the library as one text
+
+
+@cache
+def _classes() -> np.ndarray:
+    """Class of every code point, as the split pattern tells them apart."""
+    import regex
+
+    table = np.zeros(0x110000, np.uint8)
+    for low, high in ((0, 0xD800), (0xE000, 0x110000)):
+        run = "".join(map(chr, range(low, high)))
+        for number, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for m in regex.finditer(pattern, run):
+                table[low + m.start() : low + m.end()] = number
+    return table
+
+
+def split(code: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Starts of the pieces of texts given as code points in a row.
+
+    The rules of byte-level pre-tokenization: runs of letters, numbers or
+    other characters, each with one blank before it; the English contraction
+    endings 's 't 're 've 'm 'll 'd where an apostrophe starts a piece; runs of
+    white space, of which the last character stands alone before other text.
+    """
+    n = len(code)
+    kind = _classes()[code]
+    first = np.zeros(n + 1, bool)  # starts of texts
+    first[bounds] = True
+    start = first.copy()
+    start[1:n] |= kind[1:] != kind[:-1]
+    start[n] = True
+    begin = np.flatnonzero(start[:n])
+    end = np.append(begin[1:], n)
+    run = kind[begin]
+    space = (run == SPACE) & ~first[end]
+    last = end[space] - 1
+    start[last] = True
+    start[end[space][code[last] == 32]] = False
+    lone = np.flatnonzero((run[:-1] == OTHER) & (end[:-1] - begin[:-1] == 1) & (run[1:] == LETTER))
+    lone = lone[(code[begin[lone]] == 39) & start[begin[lone]] & ~first[end[lone]]]
+    if len(lone):
+        at, left = end[lone], end[lone + 1] - end[lone]
+        one, two = code[at], np.where(left > 1, code[np.minimum(at + 1, n - 1)], 0)
+        single = np.isin(one, [ord(c) for c in "stmd"])
+        double = np.zeros(len(at), bool)
+        for a, b in ("re", "ve", "ll"):
+            double |= (one == ord(a)) & (two == ord(b))
+        taken = np.where(single, 1, np.where(double, 2, 0))
+        at, taken = at[taken > 0], taken[taken > 0]
+        start[at] = False
+        start[at + taken] = True
+    return np.flatnonzero(start[:n])
 
 
 class _Grown:
@@ -36,65 +92,124 @@ class _Grown:
         self.size = need
 
 
-class _Seen(dict):
-    """Piece -> number; an unknown piece gets the next number and is listed."""
+class _Numbers:
+    """64-bit hash -> number, for whole arrays (open addressing; 0 is empty)."""
 
     def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
+        self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.values = np.zeros(1 << SLOT_BITS, np.int32)
+        self.count = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        key = self.keys[slot]
+        out = np.where(key == hashes, self.values[slot], -1)
+        left = np.flatnonzero((key != hashes) & (key != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << SLOT_BITS) - 1)
+            key = self.keys[slot[left]]
+            hit = key == hashes[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (key != 0)]
+        return out
 
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = len(self)
-        self.new.append(piece)
-        return number
+    def add(self, hashes: np.ndarray) -> None:
+        """Number distinct new hashes in their order."""
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = hashes[free]
+            put = self.keys[slot[left]] == hashes[left]
+            self.values[slot[left[put]]] = self.count + left[put]
+            left = left[~put]
+            slot[left] = (slot[left] + 1) & ((1 << SLOT_BITS) - 1)
+        self.count += len(hashes)
 
 
 class Encoder:
     """Ids, and on request character spans, of whole texts."""
 
-    def __init__(self, path: str, offsets: bool = False):
-        import regex
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         made = json.loads(self.tokenizer.to_str())
-        split = made.get("pre_tokenizer") or {}
-        if split.get("type") != "ByteLevel" or not split.get("use_regex", True) or split.get("add_prefix_space") or made.get("normalizer"):
+        splits = made.get("pre_tokenizer") or {}
+        if splits.get("type") != "ByteLevel" or not splits.get("use_regex", True) or splits.get("add_prefix_space") or made.get("normalizer"):
             raise ValueError("only byte-level tokenizers without normalizer or added space are supported")
-        self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.find = regex.compile(BYTE_LEVEL_PATTERN)
-        self.offsets = offsets
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.vocab_size = max(vocabulary.values()) + 1
+        self.id_bytes = np.zeros(self.vocab_size, np.int64)  # a byte-level token has a character per byte
+        self.id_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self._clear()
 
     def _clear(self) -> None:
-        self.seen = _Seen()
+        self.numbers = _Numbers()
         self.ids, self.first = _Grown(np.uint32), _Grown(np.int64)
-        self.count, self.chars = _Grown(np.int32), _Grown(np.int32)
+        self.count = _Grown(np.int32)
         self.begin, self.end = _Grown(np.int32), _Grown(np.int32)
 
-    def _learn(self) -> None:
-        new, self.seen.new = self.seen.new, []
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            encode = self.tokenizer.encode_batch if self.offsets else self.tokenizer.encode_batch_fast
-            got = encode(part, add_special_tokens=False)
-            ids = [e.ids for e in got]
-            count = np.fromiter(map(len, ids), np.int32, len(ids))
-            self.first.extend(self.ids.size + np.cumsum(count, dtype=np.int64) - count)
-            self.count.extend(count)
-            self.ids.extend(np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())))
-            if self.offsets:
-                spans = np.array([s for e in got for s in e.offsets], np.int32).reshape(-1, 2)
-                self.begin.extend(spans[:, 0])
-                self.end.extend(spans[:, 1])
-                self.chars.extend(np.fromiter(map(len, part), np.int32, len(part)))
-
-    def _numbers(self, found: Iterable[str]) -> np.ndarray:
-        numbers = np.array(list(map(self.seen.__getitem__, found)), np.int64)
-        if self.seen.new:
-            self._learn()
-        return numbers
+    def _learn(self, new: list[str], joinable: np.ndarray) -> None:
+        """Let the library encode new pieces; blank-and-letters pieces many at once."""
+        order = np.argsort(~joinable, kind="stable")
+        n_join = int(joinable.sum())
+        new = [new[i] for i in order]
+        texts = ["".join(new[i : i + JOINED]) if i + JOINED <= n_join else "".join(new[i:n_join]) for i in range(0, n_join, JOINED)] + new[n_join:]
+        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32)
+        raw = [p.encode() for p in new]
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))  # of pieces, in bytes
+        token_ends = np.cumsum(self.id_bytes[ids])
+        if token_ends[-1] != ends[-1]:
+            raise ValueError("the tokenizer's tokens do not tile the text")
+        past = np.searchsorted(token_ends, ends, side="right")
+        count = np.diff(past, prepend=0)
+        char = np.cumsum((np.frombuffer(b"".join(raw), np.uint8) & 0xC0) != 0x80) - 1
+        base = np.repeat(char[np.concatenate([[0], ends[:-1]])], count)
+        begin, end = char[token_ends - self.id_bytes[ids]] - base, char[token_ends - 1] + 1 - base
+        # back to the order in which the pieces were numbered
+        back = np.empty(len(new), np.int64)
+        back[order] = np.arange(len(new))
+        start = (past - count)[back]
+        self.first.extend(self.ids.size + start)
+        self.count.extend(count[back])
+        self.ids.extend(ids)
+        self.begin.extend(begin)
+        self.end.extend(end)
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers and starts of the pieces of all texts, and the texts' bounds."""
+        if self.numbers.count > MOST_PIECES:
+            self._clear()
+        text = "".join(texts)
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
+        start = split(code, bounds) if len(code) else np.zeros(0, np.int64)
+        end = np.append(start[1:], len(code))
+        up, down = powers(len(code) + 1)
+        prefix = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum((code.astype(np.uint64) + np.uint64(1)) * up[:-1], out=prefix[1:])
+        hashes = mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
+        hashes[hashes == 0] = 1
+        numbers = self.numbers.find(hashes)
+        if len(missing := np.flatnonzero(numbers < 0)):
+            room = (1 << SLOT_BITS) // 2
+            distinct, where = np.unique(hashes[missing], return_index=True)
+            if self.numbers.count + len(distinct) > room:
+                if self.numbers.count == 0:
+                    raise ValueError("too many distinct pieces in one batch of texts")
+                self._clear()
+                return self._pieces(texts)
+            at = missing[where]
+            kind = _classes()
+            joinable = (code[start[at]] == 32) & (end[at] - start[at] > 1)
+            joinable &= kind[code[np.minimum(start[at] + 1, len(code) - 1)]] == LETTER
+            self._learn([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], joinable)
+            self.numbers.add(distinct)
+            numbers[missing] = self.numbers.find(hashes[missing])
+        return numbers, start, bounds
 
     def _expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Position of every token in the piece tables, and tokens per piece."""
@@ -102,40 +217,43 @@ class Encoder:
         shift = self.first.data[numbers] - (np.cumsum(count, dtype=np.int64) - count)
         return np.repeat(shift, count) + np.arange(int(count.sum())), count
 
-    def _room(self) -> None:
-        if len(self.seen) > MOST_PIECES:
-            self._clear()
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        self._room()
-        found = [self.find.findall(t) for t in texts]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        at, count = self._expand(self._numbers(chain.from_iterable(found)))
-        ends = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])[np.concatenate([[0], np.cumsum(lengths)])]
-        return self.ids.data[at], np.diff(ends)
-
-    def parts(self, text: str) -> Iterator[np.ndarray]:
-        """Ids of one text of any length, in bounded parts."""
-        found = (m.group() for m in self.find.finditer(text))
-        while some := list(islice(found, LONG)):
-            self._room()
-            yield self.ids.data[self._expand(self._numbers(some))[0]]
-
-    def spans(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Character starts and ends of the tokens of one text, in bounded parts."""
-        found, base = (m.group() for m in self.find.finditer(text)), 0
-        while some := list(islice(found, LONG)):
-            self._room()
-            numbers = self._numbers(some)
-            at, count = self._expand(numbers)
-            chars = self.chars.data[numbers].astype(np.int64)
-            start = np.repeat(base + np.cumsum(chars) - chars, count)
-            yield start + self.begin.data[at], start + self.end.data[at]
-            base += int(chars.sum())
+        numbers, start, bounds = self._pieces(texts)
+        at, count = self._expand(numbers)
+        ends = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        return self.ids.data[at], np.diff(ends[np.searchsorted(start, bounds)])
+
+    def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Character starts and ends (within its text) of every token, and tokens per text."""
+        numbers, start, bounds = self._pieces(texts)
+        at, count = self._expand(numbers)
+        ends = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        per_text = np.diff(ends[np.searchsorted(start, bounds)])
+        base = np.repeat(start, count) - np.repeat(bounds[:-1], per_text)
+        return base + self.begin.data[at], base + self.end.data[at], per_text
+
+
+def long_parts(text: str, size: int = LONG) -> Iterator[str]:
+    """A text in parts whose pieces are those of the whole text.
+
+    Cuts lie before a blank that stands between other text and a letter;
+    without one the part grows.
+    """
+    import regex
+
+    cut = regex.compile(r"(?<=\S) (?=\p{L})")
+    start = 0
+    while len(text) - start > size:
+        found = cut.search(text, start + size)
+        if not found:
+            break
+        yield text[start : found.start()]
+        start = found.start()
+    yield text[start:]
 
 
 @cache
-def encoder(path: str, offsets: bool = False) -> Encoder:
+def encoder(path: str) -> Encoder:
     """The worker's encoder of one tokenizer file; tasks of a worker share it."""
-    return Encoder(path, offsets)
+    return Encoder(path)
