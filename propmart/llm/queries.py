@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propmart.llm import decontaminate, language, lsh_forest, mixing, packing, repeats, secrets, sketch, warc
+from propmart.llm import attribution, decontaminate, language, lsh_forest, mixing, packing, repeats, secrets, sketch, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bpe() -> str:
+    """The public byte-level BPE file that the contracts name."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, crossing tokens to the line with most of them."""
+    return attribution.attribute(_table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     return language.predict_all(_table(spark, sf_dir, "documents"))
@@ -38,13 +50,6 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
-def byte_bpe() -> str:
-    """The public byte-level BPE file that the contracts name."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op8_pack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bit-packed ids of all documents, written and read back."""
     return packing.pack_and_read(_table(spark, sf_dir, "documents"), byte_bpe())
@@ -66,15 +71,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_suffix_dedup": op10_suffix_dedup,
-    "op9_trigram_secrets": op9_trigram_secrets,
     "op1_warc_index": op1_warc_index,
+    "op2_line_tokens": op2_line_tokens,
     "op3_language_mixture": op3_language_mixture,
     "op4_spaced_seeds": op4_spaced_seeds,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_bottom_k": op6_bottom_k,
-    "op8_pack_ids": op8_pack_ids,
     "op7_mix_sources": op7_mix_sources,
+    "op8_pack_ids": op8_pack_ids,
+    "op9_trigram_secrets": op9_trigram_secrets,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
