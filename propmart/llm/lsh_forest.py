@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propmart.llm import shingles as sh
@@ -44,13 +44,18 @@ def prefix_length(threshold: float, recall: float, trees: int = TREES, depth: in
     return length
 
 
+def text_hash() -> Column:
+    """Tells rows of one id apart, together with a null id from any other."""
+    return F.xxhash64(F.col("text").cast("string"), F.col("doc_id").isNull())
+
+
 def prepare(docs: DataFrame, length: int, size: int = 5, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """Per row: doc_id, key (its sequence of words), n_shingles, bits, buckets."""
+    """Per row: doc_id, text_hash, key (its sequence of words), n_shingles, bits, buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64(1) << np.arange(64, dtype=np.uint64)
         for batch in pieces(batches, "text"):
-            hashes, _, _, bounds = sh.words(*sh.text_bytes(batch.column(1)))
+            hashes, _, _, bounds = sh.words(*sh.text_bytes(batch.column(2)))
             keys = sh.sequence_key(hashes, bounds)
             grams, g_bounds = sh.shingles(hashes, bounds, size)
             sig = sh.signatures(grams, g_bounds, trees * depth)
@@ -66,16 +71,17 @@ def prepare(docs: DataFrame, length: int, size: int = 5, trees: int = TREES, dep
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(keys, pa.string()),
                     pa.array(n),
                     pa.FixedSizeListArray.from_arrays(bits.reshape(-1).view(np.int64), bits.shape[1]).cast(pa.list_(pa.int64())),
                     pa.FixedSizeListArray.from_arrays(bucket.reshape(-1).view(np.int64), trees).cast(pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "n_shingles", "bits", "buckets"],
+                names=["doc_id", "text_hash", "key", "n_shingles", "bits", "buckets"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, key string, n_shingles long, bits array<long>, buckets array<long>")
+    rows = docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, key string, n_shingles long, bits array<long>, buckets array<long>")
 
 
 def _close_pairs(n_bits: int):
@@ -186,17 +192,8 @@ def _compare(threshold: float):
     return run
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.999) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, copies.
-
-    ``class_id`` is the least doc_id of all documents that are connected by
-    links, ``n_links`` the number of other word sequences whose shingles have
-    a Jaccard similarity of at least ``threshold`` with the document's,
-    ``copies`` the number of documents with its own sequence of words.
-    Texts without words (null, empty, blank) are copies of each other without
-    links.  Rows that repeat an id are rows of their own; a null id is never
-    the least of a class that has others.
-    """
+def _joined(docs: DataFrame, threshold: float, size: int, recall: float) -> DataFrame:
+    """Per row: doc_id, text_hash, group (a name of its connected documents), class_id, n_links, copies."""
     length = prefix_length(threshold, recall)
     ready = written(prepare(docs, length, size), "forest-documents")
     classes = written(
@@ -228,7 +225,38 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall:
     info = info.withColumn("group", F.coalesce("component", "key"))
     first = info.filter(F.col("component").isNotNull()).groupBy(F.col("component").alias("g")).agg(F.min("least_id").alias("group_id"))
     info = info.join(first, F.col("group") == F.col("g"), "left").select(
-        F.col("key").alias("k"), F.coalesce("group_id", "least_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies"
+        F.col("key").alias("k"), "group", F.coalesce("group_id", "least_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies"
     )
     info = written(info, "forest-info")
-    return ready.select("doc_id", "key").join(info, F.col("key") == F.col("k")).select("doc_id", "class_id", "n_links", "copies")
+    return ready.select("doc_id", "text_hash", "key").join(info, F.col("key") == F.col("k")).drop("key", "k")
+
+
+def jaccard_join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.999) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links, copies.
+
+    ``class_id`` is the least doc_id of all documents that are connected by
+    links, ``n_links`` the number of other word sequences whose shingles have
+    a Jaccard similarity of at least ``threshold`` with the document's,
+    ``copies`` the number of documents with its own sequence of words.
+    Texts without words (null, empty, blank) are copies of each other without
+    links.  Rows that repeat an id are rows of their own; a null id is never
+    the least of a class that has others.
+    """
+    return _joined(docs, threshold, size, recall).select("doc_id", "class_id", "n_links", "copies")
+
+
+def one_per_group(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.999) -> DataFrame:
+    """One row of ``docs``, with all its columns, per group of connected documents.
+
+    The row with the least doc_id stays (a null id only where there is no
+    other); of several texts or rows with that id, one.
+    """
+    found = _joined(docs, threshold, size, recall)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    kept = found.groupBy("group").agg(first).select(F.coalesce("first.doc_id", F.lit(0)).alias("__kept_id"), F.col("first.text_hash").alias("__kept_hash"))
+    kept = written(kept, "forest-kept")
+    rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn("__hash", text_hash())
+    rows = rows.join(kept, (F.col("__id") == F.col("__kept_id")) & (F.col("__hash") == F.col("__kept_hash")), "left_semi")
+    # the window has the keys of the join, so it shuffles nothing more
+    number = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(0)))
+    return rows.withColumn("__number", number).filter("__number = 1").drop("__id", "__hash", "__number")
