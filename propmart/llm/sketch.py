@@ -92,7 +92,7 @@ def _bucket(doc_id: Column, bounds: list[int]) -> Column:
     whole = F.size(F.filter(least, lambda x: x >= doc_id))
     part = F.coalesce(F.size(F.filter(F.get(lists, whole), lambda x: x >= doc_id)), F.lit(0))
     part = F.when(whole == len(groups), 0).otherwise(part)
-    return F.when(doc_id.isNull(), len(bounds) + 1).otherwise(whole * width + part)
+    return F.when(doc_id.isNull(), len(groups) * width + 1).otherwise(whole * width + part)
 
 
 def with_next(rows: DataFrame, columns: list[str], derived: dict[str, Column], buckets: int) -> DataFrame:
