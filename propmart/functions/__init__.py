@@ -1,36 +1 @@
-"""Column expressions: built-in Spark functions only.
-
-UD1: the file-name and date parsing that the source did in two row-at-a-time
-Python UDFs are ``substring`` + ``to_date`` here; there is no Python UDF in any
-plan (tests/test_plans.py checks for Python evaluation nodes).
-"""
-
-from propmart.functions.conform import cast_checked, conform, empty_required_columns
-from propmart.functions.dates import snapshot_date, year_of
-from propmart.functions.numbers import is_price_text, payback_years, round_half_up, text_to_double
-from propmart.functions.text import (
-    after_last,
-    anchor_hrefs,
-    file_name,
-    name_prefix,
-    resolve_link,
-    strip_extension,
-)
-
-__all__ = [
-    "after_last",
-    "anchor_hrefs",
-    "cast_checked",
-    "conform",
-    "empty_required_columns",
-    "file_name",
-    "is_price_text",
-    "name_prefix",
-    "payback_years",
-    "resolve_link",
-    "round_half_up",
-    "snapshot_date",
-    "strip_extension",
-    "text_to_double",
-    "year_of",
-]
+"""Column expressions."""

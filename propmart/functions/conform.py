@@ -4,8 +4,10 @@ Raw JSON/CSV is read with every scalar as text so that nothing is silently
 nulled by the reader (a typed JSON read turns ``149000.0`` or ``"921"`` into
 null for an int column).  ``conform`` then casts on the executors:
 
-* integral targets go through double and must have no fraction and fit the
-  type (``149000.0`` -> 149000, ``1.5`` -> error);
+* integral targets must have no fraction and fit the type (``149000.0`` and
+  ``1.49E5`` -> 149000, ``1.5`` -> error); they never pass through a double, so
+  whole numbers beyond 2**53 stay exact;
+* ``ranges`` adds bounds to columns, such as those of unsigned types;
 * other scalars use ``try_cast``; text that does not parse is an error;
 * structs are cast field by field (nested fields are addressed by name, X12);
 * columns of the schema absent from the frame are an error unless listed as
@@ -17,7 +19,7 @@ null for an int column).  ``conform`` then casts on the executors:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,11 +63,10 @@ def cast_checked(
     if isinstance(source, T.StringType):
         text = F.trim(col)
         if isinstance(target, _INTEGRAL):
-            as_double = text.try_cast("double")
-            value = as_double.try_cast(target)
-            bad = col.isNotNull() & (
-                as_double.isNull() | F.isnan(as_double) | (as_double != F.floor(as_double)) | value.isNull()
-            )
+            exact = text.try_cast("decimal(38,18)")  # decimal points and exponents
+            whole = F.when(exact == F.floor(exact), exact.try_cast(target))
+            value = F.coalesce(text.try_cast(target), whole)
+            bad = col.isNotNull() & value.isNull()
             return _fail_or_null(bad, value, f"column {name}: value is not a whole {target.simpleString()}", on_error)
         value = text.try_cast(target)
         bad = col.isNotNull() & value.isNull()
@@ -85,11 +86,14 @@ def conform(
     optional: Iterable[str] = (),
     on_error: str = "raise",
     keep: Iterable[str] = (),
+    ranges: Mapping[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Select ``schema``'s columns from ``df`` by name, cast and check them.
 
-    ``keep`` lists extra columns (e.g. ``source_file``) passed through as-is.
+    ``keep`` lists extra columns (e.g. ``source_file``) passed through as-is,
+    ``ranges`` the least and greatest value that a column may have.
     """
+    ranges = ranges or {}
     optional = set(optional)
     present = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in present and f.name not in optional]
@@ -98,27 +102,12 @@ def conform(
     out = []
     for f in schema.fields:
         if f.name in present:
-            out.append(cast_checked(F.col(f"`{f.name}`"), present[f.name], f.dataType, f.name, on_error).alias(f.name))
+            value = cast_checked(F.col(f"`{f.name}`"), present[f.name], f.dataType, f.name, on_error)
+            if f.name in ranges:
+                low, high = ranges[f.name]
+                value = _fail_or_null(~value.between(low, high), value, f"column {f.name}: value is not in {low}..{high}", on_error)
+            out.append(value.alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
     out.extend(F.col(f"`{c}`") for c in keep)
     return df.select(*out)
-
-
-def empty_required_columns(
-    df: DataFrame, required: Iterable[str], by: str = "source_file"
-) -> DataFrame:
-    """T5 report: (file, column) pairs where a required column is entirely null.
-
-    An explicit read schema turns a column absent from a file into nulls; this
-    one aggregate finds such files without reading anything twice.
-    """
-    required = list(required)
-    counts = df.groupBy(by).agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in required])
-    stacked = counts.select(
-        by,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("n")) for c in required])
-        ).alias("s"),
-    )
-    return stacked.where(F.col("s.n") == 0).select(by, F.col("s.column").alias("column"))

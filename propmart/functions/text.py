@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An anchor element's href value.
-ANCHOR_HREF_PATTERN = r'<a\s[^>]*href="([^"]*)"'
+COMMENT = r"(?s)<!--.*?-->"
+# An anchor's opening tag; quoted attribute values may hold '>'.
+ANCHOR = r"""(?is)<a(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# The value of its first href attribute: the name must start an attribute.
+HREF = r"""(?is)^<a(?:[\s/]+(?!href[\s=])[^\s=>/"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Entities that occur in URLs.
+ENTITIES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&#38;": "&", "&#x26;": "&", "&amp;": "&"}
 
 
 def anchor_hrefs(html: Column) -> Column:
-    """Array of the href values of every ``<a ... href="...">`` in ``html``."""
-    return F.regexp_extract_all(html, F.lit(ANCHOR_HREF_PATTERN), 1)
+    """Array of the href values of every anchor element in ``html``.
+
+    Tag and attribute names in any case, values in double, single or no
+    quotes, comments ignored, common entities decoded.  Anchors without href
+    give nothing; an empty value is kept.
+    """
+    tags = F.regexp_extract_all(F.regexp_replace(html, COMMENT, ""), F.lit(ANCHOR), 0)
+    values = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, HREF, 1)), lambda v: v != "")
+    return F.transform(values, lambda v: decode_entities(F.regexp_replace(v, r"""^["']|["']$""", "")))
+
+
+def decode_entities(text: Column) -> Column:
+    """Common entities as the characters they mean; ``&amp;`` last, so nothing is decoded twice."""
+    for entity, character in ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
 
 
 def after_last(text: Column, delimiter: str) -> Column:

@@ -1,68 +1 @@
-"""DataFrame -> DataFrame operators."""
-
-from propmart.operators.kpi import (
-    average_from_partials,
-    avg_price_by,
-    avg_rent,
-    monthly_rent_rows,
-    price_partials,
-    roi,
-    roi_from_avg_rent,
-)
-from propmart.operators.links import extract_links, new_links, resolve_links
-from propmart.operators.ml import (
-    evaluate,
-    fit_linear_model,
-    hash_split,
-    linear_fit,
-    model_input,
-    one_hot_encoder,
-    predict,
-    price_pipeline,
-    regression_metrics,
-    segment_average,
-    split_label,
-    string_indexers,
-)
-from propmart.operators.reconcile import lookup_conflicts, lookup_for, reconcile
-from propmart.operators.snapshot import latest_dates, latest_snapshot, require_key
-from propmart.operators.tables import format_income, format_listings, format_rent, union_by_name
-from propmart.operators.views import kpi_mart, view_avg_price, view_roi
-
-__all__ = [
-    "average_from_partials",
-    "avg_price_by",
-    "avg_rent",
-    "evaluate",
-    "extract_links",
-    "fit_linear_model",
-    "format_income",
-    "format_listings",
-    "format_rent",
-    "hash_split",
-    "kpi_mart",
-    "latest_dates",
-    "latest_snapshot",
-    "linear_fit",
-    "lookup_conflicts",
-    "lookup_for",
-    "model_input",
-    "monthly_rent_rows",
-    "new_links",
-    "one_hot_encoder",
-    "predict",
-    "price_partials",
-    "price_pipeline",
-    "reconcile",
-    "regression_metrics",
-    "require_key",
-    "resolve_links",
-    "roi",
-    "roi_from_avg_rent",
-    "segment_average",
-    "split_label",
-    "string_indexers",
-    "union_by_name",
-    "view_avg_price",
-    "view_roi",
-]
+"""DataFrame operators."""

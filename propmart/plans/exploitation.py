@@ -14,14 +14,11 @@ from propmart.sources.parquet import read_zone
 from propmart.sources.sinks import write_kpi_csv
 
 
-def build_exploitation(
-    spark: SparkSession, formatted_dir: str, out_dir: str, operation: str | None = None, roi_single_file: bool = False
-) -> dict[str, str]:
-    """``avg_price`` (one CSV, sorted desc) and ``ROI`` (payback table).
-
-    The payback table has a row per listing, so by default it is written as
-    several parts straight from the distinct stage (unsorted, as the source
-    wrote it) instead of being funnelled through one task or globally sorted.
+def build_exploitation(spark: SparkSession, formatted_dir: str, out_dir: str, operation: str | None = None) -> dict[str, str]:
+    """``avg_price`` (sorted desc) and ``ROI`` (payback table).
+
+    The payback table has a row per listing and is written unsorted, straight
+    from the distinct stage, as the source wrote it.
     """
     src = formatted_dir.rstrip("/")
     dst = out_dir.rstrip("/")
@@ -33,7 +30,7 @@ def build_exploitation(
         f"{dst}/avg_price",
         sort_by=[F.col(value).desc(), F.col(name).asc()],
     )
-    write_kpi_csv(roi(listings, rent), f"{dst}/ROI", single_file=roi_single_file)
+    write_kpi_csv(roi(listings, rent), f"{dst}/ROI")
     return {"avg_price": f"{dst}/avg_price", "ROI": f"{dst}/ROI"}
 
 

@@ -4,24 +4,24 @@ from __future__ import annotations
 
 import re
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propmart.functions.conform import empty_required_columns
 from propmart.schemas import LISTING_OPTIONAL, LISTING_SCHEMA
 from propmart.sources.files import inventory
-from pyspark import StorageLevel
-
 from propmart.sources.raw import (
+    absent_columns,
+    json_records,
+    json_texts,
+    quarantined_listings,
     read_csv_inferred,
     read_income,
     read_json_inferred,
     read_listings,
     read_lookup,
     read_rent,
-    resolve_flagged,
-    typed_listing_rows,
 )
 from propmart.sources.sinks import persist_landing
 
@@ -35,7 +35,7 @@ def dataset_folders(spark: SparkSession, landing_dir: str) -> list[str]:
 
 
 def read_landing_dataset(spark: SparkSession, folder: str, on_error: str = "raise") -> DataFrame:
-    """Pick the reader by the folder-name suffix (fixed schema) or infer."""
+    """Pick the reader by the folder-name suffix (fixed schema), else by each file's own suffix."""
     name = folder.rstrip("/")
     if name.endswith("idealista"):
         return read_listings(spark, folder, on_error)
@@ -45,27 +45,43 @@ def read_landing_dataset(spark: SparkSession, folder: str, on_error: str = "rais
         return read_rent(spark, folder, on_error)
     if name.endswith("opendatabcn-income"):
         return read_income(spark, folder, on_error)
-    has_json = inventory(spark, folder, glob="*.json").limit(1).count() > 0
-    if has_json:
-        return read_json_inferred(spark, folder).select("*", F.col("_metadata.file_name").alias("source_file"))
-    return read_csv_inferred(spark, folder).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return read_mixed(spark, folder)
+
+
+def read_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """S3 + S7: the JSON and the CSV files of one folder, united by column name.
+
+    A column whose type differs between the two is text in the result.
+    """
+    suffix = F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1))
+    there = {r[0] for r in inventory(spark, folder).select(suffix).distinct().collect()}
+    parts = []
+    if ".json" in there:
+        parts.append(read_json_inferred(spark, folder))
+    if ".csv" in there:
+        parts.append(read_csv_inferred(spark, folder))
+    if not parts:
+        raise ValueError(f"no JSON or CSV file in {folder}")
+    types: dict[str, set[str]] = {}
+    for df in parts:
+        for c, t in df.dtypes:
+            types.setdefault(c, set()).add(t)
+    plain = [df.select(*[F.col(f"`{c}`").cast("string" if len(types[c]) > 1 else t).alias(c) for c, t in df.dtypes]) for df in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), plain)
 
 
 class MissingColumnsError(ValueError):
     """A landing file lacks a required column (reported per file and column)."""
 
 
-def check_required_listing_columns(spark: SparkSession, persisted: str, report_dir: str, on_error: str = "raise") -> int:
-    """T5: files of the written listing dataset in which a required column is all null.
+def check_required_listing_columns(spark: SparkSession, folder: str, report_dir: str, on_error: str = "raise") -> int:
+    """T5: listing files of which no record has a required key; run before anything is written.
 
-    The explicit read schema turned a column absent from a file into nulls;
-    the source raised on such files.  The check reads the written Parquet
-    (columnar, cheap) instead of parsing the JSON twice; the (file, column)
-    pairs are written to ``report_dir``, not collected.  Returns how many
-    pairs were found and raises in strict mode when there are any.
+    The (file, column) pairs are written to ``report_dir``, not collected.
+    Returns how many there are; in strict mode any raises.
     """
     required = [f.name for f in LISTING_SCHEMA.fields if f.name not in LISTING_OPTIONAL]
-    report = empty_required_columns(spark.read.parquet(persisted), required, by="source_file")
+    report = absent_columns(json_records(json_texts(spark.read, folder)), required)
     report.write.mode("overwrite").parquet(report_dir)
     found = spark.read.parquet(report_dir).count()
     if found and on_error == "raise":
@@ -73,19 +89,10 @@ def check_required_listing_columns(spark: SparkSession, persisted: str, report_d
     return found
 
 
-def persist_listings(spark: SparkSession, folder: str, out: str, on_error: str = "raise", batch_ts: int | None = None) -> None:
-    """S2 + K1 with one JSON parse.
-
-    ``read_listings`` parses the files once to find flagged files and the
-    write would parse them again.  Here the typed rows (with their flag) are
-    kept in memory and on local disk between the two uses, so the JSON is
-    parsed once; a lost block is recomputed from the files.
-    """
-    rows = typed_listing_rows(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        persist_landing(resolve_flagged(spark, rows, on_error), out, batch_ts)
-    finally:
-        rows.unpersist()
+def quarantine_listings(spark: SparkSession, folder: str, report_dir: str) -> int:
+    """Write what the lenient reader cannot read, with file, reason and text; returns the count."""
+    quarantined_listings(spark, folder).write.mode("overwrite").parquet(report_dir)
+    return spark.read.parquet(report_dir).count()
 
 
 def build_persistent(
@@ -93,8 +100,9 @@ def build_persistent(
 ) -> dict[str, str]:
     """Convert every dataset folder of the landing zone; returns dataset -> output path.
 
-    With ``check_required`` the listing files are also checked for absent
-    required columns (``check_required_listing_columns``).
+    With ``check_required`` the listing files are first checked for absent
+    required columns, before the old dataset is replaced.  With
+    ``on_error="null"`` unreadable records go to ``_reports/<dataset>_quarantine``.
     """
     written = {}
     batch_ts = int(time.time())
@@ -103,10 +111,10 @@ def build_persistent(
         out = f"{root}/{d}"
         src = f"{landing_dir.rstrip('/')}/{d}"
         if d.endswith("idealista"):
-            persist_listings(spark, src, out, on_error, batch_ts)
-        else:
-            persist_landing(read_landing_dataset(spark, src, on_error), out, batch_ts)
+            if on_error == "null":
+                quarantine_listings(spark, src, f"{root}/_reports/{d}_quarantine")
+            if check_required:
+                check_required_listing_columns(spark, src, f"{root}/_reports/{d}_missing_columns", on_error)
+        persist_landing(read_landing_dataset(spark, src, on_error), out, batch_ts)
         written[d] = out
-        if check_required and d.endswith("idealista"):
-            check_required_listing_columns(spark, out, f"{root}/_reports/{d}_missing_columns", on_error)
     return written

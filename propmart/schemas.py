@@ -99,6 +99,11 @@ INCOME_FIELDS = [
 ]
 INCOME_RAW_INDEX_HEADER = "Índex RFD Barcelona = 100"
 
+# The source types are unsigned: 8 bits for district, neighborhood and quarter
+# codes, 16 for the year, 32 for the population.
+RENT_RANGES = {"Any": (0, 65535), "Trimestre": (0, 255), "Codi_Districte": (0, 255), "Codi_Barri": (0, 255)}
+INCOME_RANGES = {"Any": (0, 65535), "Codi_Districte": (0, 255), "Codi_Barri": (0, 255), "Població": (0, 4294967295)}
+
 # Name-reconciliation lookup (CSV), all text.
 LOOKUP_COLUMNS = [
     "district",
@@ -133,6 +138,11 @@ ML_NUMERIC = ("size", "rooms", "bathrooms")
 ML_LABEL = "price"
 ML_TRAIN_FRACTION = 0.8
 ML_SEED = 1310
+# Columns shown next to each prediction.
+PREDICTION_COLUMNS = (
+    "neighborhood", "district", "date", "size", "rooms", "bathrooms",
+    "propertyType", "floor", "status", "hasLift", "price", "prediction",
+)
 SEGMENT_COLUMNS = ("neighborhood", "propertyType", "floor", "status", "size", "rooms", "bathrooms")
 
 # ---------------------------------------------------------------------------
@@ -150,17 +160,6 @@ INCOME_SCHEMA = struct_of(INCOME_FIELDS)
 LOOKUP_SCHEMA = struct_of([(c, T.StringType()) for c in LOOKUP_COLUMNS])
 
 
-def as_text(dtype: T.DataType) -> T.DataType:
-    """Same shape, every leaf a string: what a lossless raw read should use."""
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, as_text(f.dataType), True) for f in dtype.fields])
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(as_text(dtype.elementType), True)
-    return T.StringType()
-
-
-LISTING_TEXT_SCHEMA = as_text(LISTING_SCHEMA)
-
 # Formatted zone (types widened to bigint/double as the zone stores them).
 FORMATTED_LISTING_SCHEMA = struct_of(
     [
@@ -209,20 +208,3 @@ ROI_SCHEMA = struct_of(
         (ROI_COLUMNS[3], T.DoubleType()),
     ]
 )
-
-# Dataset name (landing sub-directory suffix) -> raw schema.
-SCHEMAS: dict[str, T.StructType] = {
-    "idealista": LISTING_SCHEMA,
-    "opendata-rent": RENT_SCHEMA,
-    "opendatabcn-income": INCOME_SCHEMA,
-    "lookup_tables": LOOKUP_SCHEMA,
-}
-
-
-def schema_for(dataset_dir: str) -> T.StructType | None:
-    """Schema chosen by the sub-directory suffix; None means infer."""
-    name = dataset_dir.rstrip("/")
-    for suffix, schema in SCHEMAS.items():
-        if name.endswith(suffix):
-            return schema
-    return None

@@ -1,13 +1,15 @@
 """Raw landing readers: listing JSON (S2, S3) and headered CSV.
 
-No reader nulls a value silently.  CSV cells are text and are typed by
-``conform`` (S8).  Listing JSON takes a typed fast path whose every doubtful
-value flags its file for the exact text path (``read_listings``).
+No reader nulls or drops a value silently.  JSON records are parsed once into
+variants, which keep every scalar as written, and CSV cells are text; both are
+typed by ``conform`` (S8).  What cannot be read at all goes to a quarantine
+frame with its file, reason and text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,225 +18,206 @@ from pyspark.sql import types as T
 from propmart.functions.conform import conform
 from propmart.schemas import (
     AVG_PRICE_SCHEMA,
+    INCOME_RANGES,
     INCOME_RAW_INDEX_HEADER,
     INCOME_SCHEMA,
     LISTING_OPTIONAL,
     LISTING_SCHEMA,
-    LISTING_TEXT_SCHEMA,
     LOOKUP_SCHEMA,
+    RENT_RANGES,
     RENT_SCHEMA,
 )
 
+_BOM = "﻿"
+
 # ---------------------------------------------------------------------------
 # JSON
 # ---------------------------------------------------------------------------
 
 
-CORRUPT_COLUMN = "__corrupt"
-
+def json_texts(reader, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
+    """(value, source_file) of JSON files: one row per file, or per line.
 
-def _json_reader(spark: SparkSession, schema: T.StructType, json_lines: bool, glob: str | None, mode: str):
-    reader = spark.read.schema(schema).option("multiLine", not json_lines).option("mode", mode)
+    ``reader`` is ``spark.read`` or ``spark.readStream``.
+    """
+    reader = reader.option("wholetext", not json_lines)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader
+    return reader.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
 
 
-def read_listings_text(
-    spark: SparkSession, paths: str | list[str], on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False
-) -> DataFrame:
-    """S2, exact path: every scalar read as text, then typed by ``conform``.
+def json_records(texts: DataFrame) -> DataFrame:
+    """One row per record of JSON texts (arrays of records, or one record each).
 
-    Never loses a value (``149000.0`` and ``"921"`` become whole numbers, a
-    fraction is an error), but Spark re-serialises each non-text token, which
-    makes it many times slower than a typed read.
+    Columns source_file, record (variant) and problem.  A text that is no JSON
+    gives one row with a problem and its text as ``bad_text``, and so does an
+    element that is no object.  Blank texts give no row.
     """
-    mode = "FAILFAST" if on_error == "raise" else "DROPMALFORMED"
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = _json_reader(spark, LISTING_TEXT_SCHEMA, json_lines, glob, mode).json(paths)
-    raw = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
-    return conform(raw, LISTING_SCHEMA, optional=LISTING_OPTIONAL, on_error=on_error, keep=["source_file"])
+    text = F.regexp_replace("value", f"^{_BOM}", "")
+    parsed = texts.where(F.trim(text) != "").select("source_file", "value", F.try_parse_json(text).alias("v"))
+    records = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
+    rows = parsed.select("source_file", F.when(F.col("v").isNull(), F.col("value")).alias("bad_text"), F.explode(records).alias("record"))
+    is_object = F.schema_of_variant("record").startswith("OBJECT")
+    problem = F.when(F.col("bad_text").isNotNull(), "not JSON").when(~F.coalesce(is_object, F.lit(False)), "not a record")
+    rows = rows.select("source_file", "record", problem.alias("problem"), "bad_text")
+    return rows.withColumn("bad_text", F.when(F.col("problem") == "not a record", F.col("record").cast("string")).otherwise(F.col("bad_text")))
 
 
-def read_listings(
-    spark: SparkSession, path: str, on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False
-) -> DataFrame:
-    """Listing snapshot files (JSON arrays of records) -> typed rows + ``source_file``.
+def _leaf(record: Column, path: str, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StructType):
+        fields = [_leaf(record, f"{path}.{f.name}", f.dataType).alias(f.name) for f in dtype.fields]
+        present = F.try_variant_get(record, path, "map<string,variant>").isNotNull()
+        return F.when(present, F.struct(*fields))
+    return F.try_variant_get(record, path, "string")
+
+
+def record_columns(records: DataFrame, schema: T.StructType, record: str = "record") -> DataFrame:
+    """The fields of ``schema`` of each record as text (nested ones by name, X12).
+
+    ``149000.0``, ``"921"`` and whole numbers beyond 2**53 keep their value.
+    """
+    fields = [_leaf(F.col(record), f"$.{f.name}", f.dataType).alias(f.name) for f in schema.fields]
+    return records.select("source_file", *fields)
+
 
-    Fast path with an exact fallback.  All files are first read with the
-    typed schema (whole numbers as double, then checked by ``conform``) plus a
-    corrupt-record column: a value the typed parser cannot take (quoted text
-    for a number, text for a boolean, broken JSON) flags its file instead of
-    turning into null.  Files without a flag are used as read; the flagged
-    files alone are read again through ``read_listings_text``.  Both paths give
-    the same values and the same errors (tests/test_properties.py), and
-    ordinary files skip the text conversion (about 35 times slower).  Finding
-    the flagged files runs one job at call time; only their names reach the
-    driver.
-
-    A JSON array file is parsed as a whole (``multiLine``), one task per file:
-    many files parallelise, a single huge file does not.  ``json_lines=True``
-    reads one record per line instead, which Spark splits like any text file.
-    Absent optional columns (parking, neighborhood) read as null; an empty
-    array gives no rows.
+def listings_from_records(records: DataFrame, on_error: str = "raise") -> DataFrame:
+    """Typed listing rows + ``source_file`` of records with a ``problem`` column.
+
+    A record with a problem fails the job (``raise``) or is left to the
+    quarantine (``null``).  The test is a filter, so that no projection or
+    count can prune it.
     """
-    return resolve_flagged(spark, typed_listing_rows(spark, path, glob, json_lines), on_error, json_lines)
+    if on_error == "raise":
+        message = F.concat(F.lit("unreadable listing record in "), F.col("source_file"), F.lit(": "), F.col("problem"))
+        good = records.where(F.when(F.col("problem").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        good = records.where(F.col("problem").isNull())
+    texts = record_columns(good, LISTING_SCHEMA)
+    return conform(texts, LISTING_SCHEMA, optional=LISTING_OPTIONAL, on_error=on_error, keep=["source_file"])
 
 
-def typed_listing_rows(spark: SparkSession, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
-    """The fast-path read: typed listing columns + flag + ``source_file`` + ``__path``."""
-    typed = _json_reader(spark, LISTING_FLAGGED_SCHEMA, json_lines, glob, "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT_COLUMN
-    ).json(path)
-    return flag_listing_rows(typed)
+def read_listings(spark: SparkSession, path: str, on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
+    """Listing snapshot files (JSON arrays of records) -> typed rows + ``source_file``.
+
+    One pass and one plan for plain, quoted and ``149000.0`` numbers alike:
+    nothing runs at call time.  A JSON array file is one task; many files
+    parallelise, and ``json_lines=True`` reads one record per line instead,
+    which Spark splits like any text file.  Absent optional columns (parking,
+    neighborhood) read as null; an empty array gives no rows.  With
+    ``on_error="null"`` a value that does not fit is null, and unreadable
+    records are found by ``quarantined_listings``.
+    """
+    return listings_from_records(json_records(json_texts(spark.read, path, glob, json_lines)), on_error)
 
 
-def _integral_as_double(dtype: T.DataType) -> T.DataType:
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, _integral_as_double(f.dataType), True) for f in dtype.fields])
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return T.DoubleType()
-    return dtype
-
-
-# Fast-path read schema: the listing types, but whole numbers read as double
-# (exact here, and it accepts 149000.0 as well as 149000; ``conform`` then
-# checks for a fraction or overflow exactly as on the text path), plus the
-# corrupt-record column that flags files with values no type can take.
-LISTING_FAST_SCHEMA = _integral_as_double(LISTING_SCHEMA)
-LISTING_FLAGGED_SCHEMA = T.StructType(LISTING_FAST_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-
-
-def flag_listing_rows(typed: DataFrame) -> DataFrame:
-    """Listing columns + ``__bad`` flag + ``source_file`` + ``__path`` of a
-    typed read with the corrupt-record column (batch or stream)."""
-    return typed.select(
-        *[F.col(f"`{f.name}`") for f in LISTING_SCHEMA.fields],
-        F.col(CORRUPT_COLUMN).isNotNull().alias("__bad"),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_path").alias("__path"),
-    )
+def quarantined_listings(spark: SparkSession, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
+    """(source_file, problem, bad_text) of everything ``read_listings`` cannot read."""
+    records = json_records(json_texts(spark.read, path, glob, json_lines))
+    return records.where(F.col("problem").isNotNull()).select("source_file", "problem", "bad_text")
 
 
-def resolve_flagged(spark: SparkSession, flagged_rows: DataFrame, on_error: str = "raise", json_lines: bool = False) -> DataFrame:
-    """Fast rows of unflagged files + exact re-read of the flagged files.
+def absent_columns(records: DataFrame, required: Sequence[str]) -> DataFrame:
+    """T5 report: (source_file, column) where no record of the file has the key.
 
-    The reader only converts the columns a query uses, so the flag is only
-    complete when every column is parsed: the hash in the flag query makes it
-    use them all (and keeps Spark from seeing a query of the flag alone).
-    Good rows are taken by file path, not by the per-row flag, so a later
-    projection of fewer columns keeps the same split.
+    A key whose values are all null is present.
     """
-    fields = [F.col(f"`{f.name}`") for f in LISTING_SCHEMA.fields]
-    flagged = flagged_rows.where("__bad").groupBy("__path").agg(F.max(F.xxhash64(*fields)).alias("h"))
-    bad_paths = [r[0] for r in flagged.collect()]
-    good = flagged_rows.select(*[f.name for f in LISTING_SCHEMA.fields], "source_file", "__path")
-    if bad_paths:
-        good = good.where(~F.col("__path").isin(bad_paths))
-    good = conform(good.drop("__path"), LISTING_SCHEMA, on_error=on_error, keep=["source_file"])
-    if not bad_paths:
-        return good
-    slow = read_listings_text(spark, bad_paths, on_error, glob=None, json_lines=json_lines)
-    return good.unionByName(slow)
+    good = records.where(F.col("problem").isNull())
+    flags = [F.max(F.try_variant_get("record", f"$.{c}", "variant").isNotNull()).alias(c) for c in required]
+    per_file = good.groupBy("source_file").agg(*flags)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("there")) for c in required])
+    return per_file.select("source_file", F.explode(pairs).alias("s")).where(~F.col("s.there")).select("source_file", F.col("s.column").alias("column"))
 
 
-def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """S3: any other JSON array file, schema inferred."""
-    return spark.read.option("multiLine", True).json(path)
+def read_json_inferred(spark: SparkSession, path: str, glob: str | None = "*.json") -> DataFrame:
+    """S3: any other JSON array files, schema inferred over all of them, + ``source_file``.
+
+    Only files of that suffix are read (F6).  Text that is no JSON stays as a
+    row with ``_corrupt_record``.
+    """
+    reader = spark.read.option("multiLine", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.json(path).select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
 # ---------------------------------------------------------------------------
 # CSV bound by header name
 # ---------------------------------------------------------------------------
 
-_BOM = "\ufeff"
-
+# Header rows (one per file) are broadcast up to this many files.
+HEADER_BROADCAST_FILES = 100_000
 
-def _cell(c: str) -> Column:
-    return F.trim(F.regexp_replace(F.col(c), f"^{_BOM}", ""))
 
-
-def raw_csv(spark: SparkSession, path: str, width: int, glob: str | None = "*.csv", encoding: str = "UTF-8") -> DataFrame:
-    """Every line of the CSV files as ``width`` positional text columns plus
-    ``__file``; header lines included (they are found by ``bind_by_header``)."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    reader = spark.read.schema(schema).option("header", False).option("encoding", encoding)
+def csv_lines(reader, path: str, glob: str | None = "*.csv", encoding: str = "UTF-8") -> DataFrame:
+    """Lines of CSV files: value, __file, and __start/__n, their order within a file."""
+    reader = reader.option("encoding", encoding)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(path).select("*", F.col("_metadata.file_path").alias("__file"))
+    return reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__n")
+    )
 
 
-def bind_by_header(
-    raw: DataFrame, names: Mapping[str, Sequence[str]], width: int, on_error: str = "raise"
-) -> DataFrame:
-    """Map positional cells to named columns using each file's own header.
+def header_lines(lines: DataFrame) -> DataFrame:
+    """(__file, header): the first line with any text of each file."""
+    first = lines.where((F.col("__start") == 0) & (F.trim("value") != ""))
+    return first.groupBy("__file").agg(F.min_by("value", "__n").alias("header"))
 
-    ``names`` maps output column -> header spellings that mean it.  A header
-    line is a line whose non-empty cells are all known spellings and which
-    names every output column.  The header lines (one per file) are joined back
-    to the data lines on the file path, so files with the columns in another
-    order are read correctly (a plain multi-file CSV read binds by position).
 
-    Lines of a file without a recognised header fail the job
-    (``on_error="raise"``) or are dropped (``"null"``); they are never bound
-    by guesswork.
+def _cells(line: Column, width: int) -> Column:
+    """The cells of a CSV line as text: no byte-order mark or outer blanks; empty: null."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    row = F.from_csv(F.regexp_replace(line, f"^{_BOM}", ""), schema, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    return F.array(*[F.nullif(F.trim(row[f"c{i}"]), F.lit("")) for i in range(width)])
+
+
+def bind_by_header(lines: DataFrame, headers: DataFrame, names: Mapping[str, Sequence[str]], on_error: str = "raise") -> DataFrame:
+    """The columns ``names`` of CSV lines, found through each file's own header.
+
+    ``lines`` has value and __file, ``headers`` __file and header; ``names``
+    maps output column -> header spellings.  Columns may come in any order
+    and among others, which are ignored.  A file that lacks one fails the job
+    (``raise``) or reads it as null (``null``; ``lacking_columns`` lists such
+    files).  Lines equal to the header are not data.
     """
-    spelling_to_col = {s: out for out, spellings in names.items() for s in spellings}
-    known = list(spelling_to_col)
-    cells = [f"_c{i}" for i in range(width)]
-    # each cell cleaned once (BOM, blanks); header tests run on these
-    clean = raw.select("*", *[_cell(c).alias(f"__k{i}") for i, c in enumerate(cells)])
-    keys = F.array(*[F.col(f"__k{i}") for i in range(width)])
-    targets = list(names.items())
-
-    def position(spellings):
-        found = [F.array_position(keys, s) for s in spellings]
-        return found[0] if len(found) == 1 else F.greatest(*found)
-
-    only_known = None
-    for i in range(width):
-        ok = F.col(f"__k{i}").isNull() | F.col(f"__k{i}").isin(known)
-        only_known = ok if only_known is None else only_known & ok
-    has_all = None
-    for _, spellings in targets:
-        present = position(spellings) > 0
-        has_all = present if has_all is None else has_all & present
-    is_header = F.coalesce(only_known & has_all, F.lit(False))
-
-    # per file, once: the 1-based position of every output column in its header
-    flagged = clean.withColumn("__is_header", is_header)
-    positions = [F.nullif(position(spellings), F.lit(0)).cast("int").alias(f"__p{j}") for j, (_, spellings) in enumerate(targets)]
-    headers = flagged.where("__is_header").select(F.col("__file").alias("__hfile"), *positions).distinct()
-    data = flagged.where(~F.col("__is_header"))
-    joined = data.join(headers, data["__file"] == headers["__hfile"], "left")
-    no_header = F.col("__hfile").isNull()
+    n_files, width = headers.agg(F.count(F.lit(1)), F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()
+    width = width or 1
+    heads = headers.select(F.col("__file").alias("__hfile"), _cells(F.col("header"), width).alias("__header"))
+    heads = heads.select("*", *[_position(F.col("__header"), s).alias(f"__p{j}") for j, s in enumerate(names.values())])
+    if n_files <= HEADER_BROADCAST_FILES:
+        heads = F.broadcast(heads)
+    cells = lines.where(F.trim("value") != "").select("__file", _cells(F.col("value"), width).alias("__cells"))
+    rows = cells.join(heads, cells["__file"] == F.col("__hfile")).where(F.col("__cells") != F.col("__header"))
     if on_error == "raise":
-        # part of every output column, so no projection can prune the check
-        def guarded(value):
-            fail = F.raise_error(F.concat(F.lit("no recognised CSV header in "), F.col("__file")))
-            return F.when(no_header, fail).otherwise(value)
-    else:
-        joined = joined.where(~no_header)
+        lacking = reduce(lambda a, b: a | b, [F.col(f"__p{j}").isNull() for j in range(len(names))])
+        message = F.concat(F.lit("no recognised CSV header in "), F.col("__file"))
+        # a filter: no projection or count can prune it
+        rows = rows.where(F.when(lacking, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    out = [F.get("__cells", F.col(f"__p{j}") - 1).alias(c) for j, c in enumerate(names)]
+    return rows.select(*out, F.col("__file").alias("source_file"))
+
 
-        def guarded(value):
-            return value
+def _position(header: Column, spellings: Sequence[str]) -> Column:
+    found = [F.array_position(header, s) for s in spellings]
+    return F.nullif(found[0] if len(found) == 1 else F.greatest(*found), F.lit(0)).cast("int")
 
-    row = F.array(*[F.col(c) for c in cells])
-    out = [guarded(F.element_at(row, F.col(f"__p{j}"))).alias(target) for j, (target, _) in enumerate(targets)]
-    return joined.select(*out, guarded(F.col("__file")).alias("source_file"))
 
+def lacking_columns(headers: DataFrame, names: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(source_file, column) of the columns that no spelling of ``names`` finds in a file's header."""
+    width = headers.agg(F.max(F.length("header"))).first()[0] or 1
+    cells = headers.select("__file", F.split(F.regexp_replace("header", f'[{_BOM}"]', ""), r"\s*,\s*", min(width, 10_000)).alias("h"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), _position(F.col("h"), s).isNull().alias("lacks")) for c, s in names.items()])
+    return cells.select(F.col("__file").alias("source_file"), F.explode(pairs).alias("s")).where("s.lacks").select("source_file", "s.column")
 
-def read_csv_by_name(
-    spark: SparkSession,
-    path: str,
-    names: Mapping[str, Sequence[str]],
-    glob: str | None = "*.csv",
-    slack: int = 4,
-    on_error: str = "raise",
-) -> DataFrame:
-    """Headered CSV files -> text columns named by ``names``."""
-    width = len(names) + slack
-    return bind_by_header(raw_csv(spark, path, width, glob), names, width, on_error)
+
+def read_csv_by_name(spark: SparkSession, path: str, names: Mapping[str, Sequence[str]], glob: str | None = "*.csv", on_error: str = "raise") -> DataFrame:
+    """Headered CSV files -> text columns named by ``names``.
+
+    Two passes over the files: one for their first lines, one for the data.
+    Line breaks inside quotes are not supported.
+    """
+    lines = csv_lines(spark.read, path, glob)
+    return bind_by_header(lines, header_lines(lines), names, on_error)
 
 
 def _same_names(schema: T.StructType) -> dict[str, list[str]]:
@@ -250,7 +233,7 @@ def read_lookup(spark: SparkSession, path: str, on_error: str = "raise") -> Data
 def read_rent(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """Rent CSV files; the price stays text."""
     raw = read_csv_by_name(spark, path, _same_names(RENT_SCHEMA), on_error=on_error)
-    return conform(raw, RENT_SCHEMA, on_error=on_error, keep=["source_file"])
+    return conform(raw, RENT_SCHEMA, on_error=on_error, keep=["source_file"], ranges=RENT_RANGES)
 
 
 def income_names() -> dict[str, list[str]]:
@@ -262,12 +245,42 @@ def income_names() -> dict[str, list[str]]:
 def read_income(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """Income CSV files; the index column comes from its raw header, as text."""
     raw = read_csv_by_name(spark, path, income_names(), on_error=on_error)
-    return conform(raw, INCOME_SCHEMA, on_error=on_error, keep=["source_file"])
+    return conform(raw, INCOME_SCHEMA, on_error=on_error, keep=["source_file"], ranges=INCOME_RANGES)
+
+
+INFERRED_TYPES = ("bigint", "double", "boolean", "date", "timestamp")
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Any other headered CSV, types inferred (a sampling pass over the data)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+def infer_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns as the first type that takes every value of them, else text (one aggregate)."""
+    if not columns:
+        return df
+    fits = [F.coalesce(F.min(F.col(f"`{c}`").try_cast(t).isNotNull() | F.col(f"`{c}`").isNull()), F.lit(False)) for c in columns for t in INFERRED_TYPES]
+    some = [F.count(F.col(f"`{c}`")) > 0 for c in columns]
+    found = df.agg(*[e.alias(f"f{i}") for i, e in enumerate(fits + some)]).first()
+    out = []
+    for i, c in enumerate(columns):
+        own = found[i * len(INFERRED_TYPES) : (i + 1) * len(INFERRED_TYPES)]
+        dtype = next((t for t, ok in zip(INFERRED_TYPES, own, strict=True) if ok), "string") if found[len(fits) + i] else "string"
+        out.append(F.col(f"`{c}`").cast(dtype).alias(c))
+    return df.select(*out, *[F.col(f"`{c}`") for c in df.columns if c not in set(columns)])
+
+
+def read_csv_inferred(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
+    """Any other headered CSV files, united by header name, types inferred.
+
+    A column that only some files have is null for the others.  The driver
+    holds the distinct column names.
+    """
+    lines = csv_lines(spark.read, path, glob)
+    headers = header_lines(lines)
+    width = headers.agg(F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()[0]
+    if width is None:
+        return spark.createDataFrame([], "source_file string")
+    cells = headers.select(F.posexplode(_cells(F.col("header"), width))).where("col IS NOT NULL")
+    columns = [r["col"] for r in cells.groupBy("col").agg(F.min("pos").alias("pos")).orderBy("pos", "col").collect()]
+    rows = bind_by_header(lines, headers, {c: [c] for c in columns}, on_error="null")
+    return infer_types(rows.withColumn("source_file", F.substring_index("source_file", "/", -1)), columns)
 
 
 def read_kpi_csv(spark: SparkSession, path: str, schema: T.StructType = AVG_PRICE_SCHEMA) -> DataFrame:

@@ -47,51 +47,17 @@ def write_zone(
     writer.parquet(path)
 
 
-# Most rows one task may sort and write for a single-file KPI.
-SINGLE_FILE_MAX_ROWS = 2_000_000
-
-
-def write_kpi_csv(
-    df: DataFrame,
-    path: str,
-    sort_by: Sequence[Column] = (),
-    single_file: bool = True,
-    single_file_max_rows: int = SINGLE_FILE_MAX_ROWS,
-) -> str:
+def write_kpi_csv(df: DataFrame, path: str, sort_by: Sequence[Column] = ()) -> None:
     """K4: headered CSV of a KPI, replacing the previous one.
 
-    ``single_file`` gathers the rows into one task and sorts them there, which
-    makes the file order a guarantee.  It is only done after the KPI has been
-    materialised (checkpoint folder, or cache when none is configured) and
-    counted: above ``single_file_max_rows`` the KPI is written as several
-    range-partitioned, sorted parts instead.  Returns "single" or "parts".
+    A sorted KPI is range-partitioned, so its files in name order are in sort
+    order at any size; adaptive execution merges the ranges of a small KPI
+    into one file.
     """
-    from propmart.session import checkpoint_dir
-
-    if not single_file:
-        (df.orderBy(*sort_by) if sort_by else df).write.mode("overwrite").option("header", True).csv(path)
-        return "parts"
-    kpi = df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df.cache()
-    try:
-        if kpi.count() <= single_file_max_rows:
-            out = kpi.repartition(1)
-            if sort_by:
-                out = out.sortWithinPartitions(*sort_by)
-            mode = "single"
-        else:
-            out = kpi.orderBy(*sort_by) if sort_by else kpi
-            mode = "parts"
-        out.write.mode("overwrite").option("header", True).csv(path)
-    finally:
-        kpi.unpersist()
-    return mode
+    out = df.orderBy(*sort_by) if sort_by else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def save_model(model, path: str) -> None:
     """K5: save a fitted pipeline, replacing an older one."""
     model.write().overwrite().save(path)
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """K6/O3: the first ``n`` rows (for a console look; a limit, not a sample)."""
-    return df.limit(n)

@@ -14,63 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propmart.functions.conform import conform
-from propmart.schemas import LISTING_OPTIONAL, LISTING_SCHEMA, LISTING_TEXT_SCHEMA
-from propmart.sources.raw import CORRUPT_COLUMN, LISTING_FLAGGED_SCHEMA, bind_by_header, flag_listing_rows, resolve_flagged
-
-
-def listing_stream(
-    spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False
-) -> DataFrame:
-    """Streaming form of S2 on the exact (all-text) path: typed listing rows +
-    ``source_file`` as a plain streaming DataFrame.  The jobs below use the
-    faster flagged form inside ``foreachBatch``."""
-    reader = (
-        spark.readStream.schema(LISTING_TEXT_SCHEMA)
-        .option("multiLine", not json_lines)
-        .option("mode", "FAILFAST")
-        .option("pathGlobFilter", "*.json")
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(landing_dir).select("*", F.col("_metadata.file_name").alias("source_file"))
-    return conform(raw, LISTING_SCHEMA, optional=LISTING_OPTIONAL, keep=["source_file"])
-
-
-def flagged_listing_stream(
-    spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False
-) -> DataFrame:
-    """Typed stream of listing rows with the fast-path flag (see ``resolve_flagged``)."""
-    reader = (
-        spark.readStream.schema(LISTING_FLAGGED_SCHEMA)
-        .option("multiLine", not json_lines)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .option("pathGlobFilter", "*.json")
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return flag_listing_rows(reader.json(landing_dir))
-
+from propmart.sources.raw import bind_by_header, header_lines, json_records, json_texts, listings_from_records
 
-def run_listing_batches(spark: SparkSession, landing_dir: str, checkpoint: str, handle, json_lines: bool = False):
-    """Run ``handle(rows, batch_id)`` on the typed rows of each batch of new files.
 
-    Each batch's files take the fast typed path unless flagged, as in
-    ``read_listings``; runs until all present files are processed.
-    """
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        handle(resolve_flagged(spark, batch, "raise", json_lines), batch_id)
-
-    q = (
-        flagged_listing_stream(spark, landing_dir, json_lines=json_lines)
-        .writeStream.foreachBatch(per_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return q
+def listing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False) -> DataFrame:
+    """Streaming form of S2: typed listing rows + ``source_file``, strict."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return listings_from_records(json_records(json_texts(reader, landing_dir, json_lines=json_lines)))
 
 
 def persist_listing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str, json_lines: bool = False):
@@ -79,52 +31,34 @@ def persist_listing_stream(spark: SparkSession, landing_dir: str, out_dir: str,
     Every micro-batch is written to ``out_dir/batch=<id>`` (overwrite), so a
     replayed batch replaces its own output.
     """
-    root = out_dir.rstrip("/")
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        rows.withColumn("ingest_ts", F.unix_timestamp().cast("bigint")).write.mode("overwrite").parquet(
-            f"{root}/batch={batch_id}"
-        )
+    return _run(listing_stream(spark, landing_dir, json_lines=json_lines), out_dir, checkpoint, lambda rows: rows)
 
-    return run_listing_batches(spark, landing_dir, checkpoint, write, json_lines)
 
-
-def persist_csv_stream(
-    spark: SparkSession,
-    landing_dir: str,
-    out_dir: str,
-    checkpoint: str,
-    names: dict[str, list[str]],
-    schema: T.StructType,
-    slack: int = 4,
-):
+def persist_csv_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str, names: dict[str, list[str]], schema: T.StructType):
     """Append new headered CSV files (rent, income, lookup) bound by header name.
 
     Each micro-batch holds whole files, so a file's header line and data lines
     meet in the same batch; every batch is written to its own folder
     (overwrite), which makes a replayed batch idempotent.
     """
-    width = len(names) + slack
-    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    raw = (
-        spark.readStream.schema(raw_schema)
-        .option("header", False)
-        .option("pathGlobFilter", "*.csv")
-        .csv(landing_dir)
-        .select("*", F.col("_metadata.file_path").alias("__file"))
-    )
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        typed = conform(bind_by_header(batch, names, width), schema, keep=["source_file"])  # strict
-        typed.withColumn("ingest_ts", F.unix_timestamp().cast("bigint")).write.mode("overwrite").parquet(
-            f"{out_dir.rstrip('/')}/batch={batch_id}"
-        )
-
-    q = (
-        raw.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def typed(lines: DataFrame) -> DataFrame:
+        lines = lines.withColumn("__n", F.monotonically_increasing_id())
+        return conform(bind_by_header(lines, header_lines(lines), names), schema, keep=["source_file"])  # strict
+
+    # line numbers are given per batch: a stream has none
+    reader = spark.readStream.option("pathGlobFilter", "*.csv")
+    lines = reader.text(landing_dir).select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"))
+    return _run(lines, out_dir, checkpoint, typed)
+
+
+def _run(stream: DataFrame, out_dir: str, checkpoint: str, convert):
+    root = out_dir.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = convert(batch).withColumn("ingest_ts", F.unix_timestamp().cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q

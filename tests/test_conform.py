@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from propmart.functions.conform import conform, empty_required_columns
+from propmart.functions.conform import conform
 from propmart.schemas import struct_of
 
 SCHEMA = struct_of([("code", T.IntegerType()), ("price", T.IntegerType()), ("size", T.FloatType()), ("lift", T.BooleanType())])
@@ -54,7 +54,18 @@ def test_forced_string_keeps_null(spark):
     assert [r.floor for r in rows] == ["3", None]
 
 
-def test_empty_required_report(spark):
-    df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("b", None, 3)], "source_file string, x int, y int")
-    got = sorted(tuple(r) for r in empty_required_columns(df, ["x", "y"]).collect())
-    assert got == [("a", "y"), ("b", "x")]
+def test_big_whole_numbers_stay_exact(spark):
+    schema = T.StructType([T.StructField("v", T.LongType())])
+    texts = ["9007199254740993", "9007199254740993.000", "-9223372036854775808", "1.49E5", " 7 ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r.v for r in conform(df, schema).collect()] == [9007199254740993, 9007199254740993, -(2**63), 149000, 7, None]
+    bad = spark.createDataFrame([(t,) for t in ("9223372036854775808", "0.5", "nan", "inf", "")], "v string")
+    assert [r.v for r in conform(bad, schema, on_error="null").collect()] == [None] * 5
+
+
+def test_ranges(spark):
+    schema = T.StructType([T.StructField("v", T.ShortType())])
+    df = spark.createDataFrame([("0",), ("255",), ("256",), ("-1",), (None,)], "v string")
+    assert [r.v for r in conform(df, schema, on_error="null", ranges={"v": (0, 255)}).collect()] == [0, 255, None, None, None]
+    with pytest.raises(Exception, match="not in 0..255"):
+        conform(df, schema, ranges={"v": (0, 255)}).collect()

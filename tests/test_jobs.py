@@ -23,7 +23,7 @@ def zones(spark):
     build_landing(f"{root}/landing")
     build_persistent(spark, f"{root}/landing", f"{root}/persistent")
     build_formatted(spark, f"{root}/persistent", f"{root}/formatted")
-    build_exploitation(spark, f"{root}/formatted", f"{root}/exploitation", roi_single_file=True)
+    build_exploitation(spark, f"{root}/formatted", f"{root}/exploitation")
     return root
 
 
@@ -104,18 +104,23 @@ def test_runner_all_steps(spark, tmp_dir):
     assert glob.glob(f"{tmp_dir}/zones/exploitation/avg_price/part-*.csv")
 
 
-def test_missing_required_column_is_reported(spark, tmp_dir):
+def test_missing_required_column_is_reported_before_the_write(spark, tmp_dir):
     from propmart.plans.persistent import MissingColumnsError
 
-    rec = listing(1)
+    rec, empty = listing(1), listing(3, price=None)
     del rec["price"]
+    write_json(f"{tmp_dir}/old/idealista/2019_01_01_a.json", [listing(9)])
+    build_persistent(spark, f"{tmp_dir}/old", f"{tmp_dir}/p1")
     write_json(f"{tmp_dir}/land/idealista/2020_01_01_a.json", [rec])
     write_json(f"{tmp_dir}/land/idealista/2020_01_02_b.json", [listing(2)])
+    write_json(f"{tmp_dir}/land/idealista/2020_01_03_c.json", [empty])  # present, all null
     with pytest.raises(MissingColumnsError):
         build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/p1")
+    assert [r.propertyCode for r in spark.read.parquet(f"{tmp_dir}/p1/idealista").collect()] == [9]
     build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/p2", on_error="null")
     report = spark.read.parquet(f"{tmp_dir}/p2/_reports/idealista_missing_columns").collect()
     assert [(r.source_file, r.column) for r in report] == [("2020_01_01_a.json", "price")]
+    assert spark.read.parquet(f"{tmp_dir}/p2/_reports/idealista_quarantine").count() == 0
 
 
 def test_dashboard_views(spark, zones):

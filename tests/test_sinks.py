@@ -5,15 +5,20 @@ from pyspark.sql import functions as F
 from propmart.sources.sinks import write_kpi_csv, write_zone
 
 
-def test_kpi_csv_falls_back_to_parts_above_bound(spark, tmp_dir):
+def test_kpi_csv_is_sorted_over_its_files(spark, tmp_dir):
     df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
-    assert write_kpi_csv(df, f"{tmp_dir}/one", [F.col("k").desc()]) == "single"
-    files = glob.glob(f"{tmp_dir}/one/part-*.csv")
+    write_kpi_csv(df, f"{tmp_dir}/small", [F.col("k").desc()])
+    files = glob.glob(f"{tmp_dir}/small/part-*.csv")
     assert len(files) == 1
     assert open(files[0]).read().split("\n")[:3] == ["k,v", "99,1", "98,0"]
-    assert write_kpi_csv(df.repartition(4), f"{tmp_dir}/many", [F.col("k")], single_file_max_rows=10) == "parts"
-    back = spark.read.option("header", True).csv(f"{tmp_dir}/many")
-    assert back.count() == 100
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_kpi_csv(df.repartition(4), f"{tmp_dir}/parts", [F.col("k")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(glob.glob(f"{tmp_dir}/parts/part-*.csv"))
+    assert len(files) > 1
+    assert [int(x.split(",")[0]) for f in files for x in open(f).read().split()[1:]] == list(range(100))
 
 
 def test_write_zone_overwrites_and_partitions(spark, tmp_dir):

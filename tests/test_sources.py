@@ -1,10 +1,23 @@
 import pytest
 
 from fixtures import LOOKUP_CSV, build_landing, listing, write_json, write_text
+from propmart.plans.persistent import read_mixed
 from propmart.schemas import LISTING_SCHEMA
 from propmart.sources.files import inventory, inventory_counts
 from propmart.sources.parquet import read_with_source, read_zone
-from propmart.sources.raw import read_csv_by_name, read_income, read_listings, read_lookup, read_rent
+from propmart.sources.raw import (
+    csv_lines,
+    header_lines,
+    lacking_columns,
+    quarantined_listings,
+    read_csv_by_name,
+    read_csv_inferred,
+    read_income,
+    read_json_inferred,
+    read_listings,
+    read_lookup,
+    read_rent,
+)
 
 
 def test_listings_drift_and_number_texts(spark, tmp_dir):
@@ -79,14 +92,74 @@ def test_inventory(spark, tmp_dir):
     assert {r.base_name for r in inv.where("folder like '%lookup_tables'").collect()} == {"lookup"}
 
 
-def test_csv_file_without_known_header_fails_or_drops(spark, tmp_dir):
+def test_csv_file_without_known_header_fails_or_reads_null(spark, tmp_dir):
     write_text(f"{tmp_dir}/c/a.csv", "a,b\n1,x\n")
     write_text(f"{tmp_dir}/c/b.csv", "a,bee\n2,y\n")
     names = {"a": ["a"], "b": ["b"]}
-    with pytest.raises(Exception, match="no recognised CSV header"):
-        read_csv_by_name(spark, f"{tmp_dir}/c", names).collect()
-    got = read_csv_by_name(spark, f"{tmp_dir}/c", names, on_error="null").collect()
-    assert [(r.a, r.b) for r in got] == [("1", "x")]
+    strict = read_csv_by_name(spark, f"{tmp_dir}/c", names)
+    for action in (strict.collect, strict.count, strict.select("a").collect):
+        with pytest.raises(Exception, match="no recognised CSV header"):
+            action()
+    lenient = read_csv_by_name(spark, f"{tmp_dir}/c", names, on_error="null")
+    assert sorted(((r.a, r.b) for r in lenient.collect()), key=str) == [("1", "x"), ("2", None)]
+    assert lenient.count() == 2
+    lacking = lacking_columns(header_lines(csv_lines(spark.read, f"{tmp_dir}/c")), names).collect()
+    assert [(r.source_file.rsplit("/", 1)[-1], r.column) for r in lacking] == [("b.csv", "b")]
+
+
+def test_csv_with_other_columns_quotes_and_blank_lines(spark, tmp_dir):
+    write_text(f"{tmp_dir}/c/a.csv", "\ufeff b , more, a ,x1,x2,x3,x4,x5,x6\n\n\"y, z\",skip,1,,,,,,\n")
+    write_text(f"{tmp_dir}/c/b.csv", "a,b\n 2 ,\n")
+    write_text(f"{tmp_dir}/c/empty.csv", "")
+    df = read_csv_by_name(spark, f"{tmp_dir}/c", {"a": ["a"], "b": ["b"]})
+    assert sorted(((r.a, r.b) for r in df.collect()), key=str) == [("1", "y, z"), ("2", None)]
+    assert df.count() == 2 and df.select("source_file").distinct().count() == 2
+
+
+def test_other_csv_files_unite_by_name(spark, tmp_dir):
+    write_text(f"{tmp_dir}/c/a.csv", "a,b\n1,2\n")
+    write_text(f"{tmp_dir}/c/b.csv", "b,a,c\n20,10,2020-01-31\n2.5,11,\n")
+    write_text(f"{tmp_dir}/c/notes.txt", "a,b\n7,7\n")
+    df = read_csv_inferred(spark, f"{tmp_dir}/c")
+    assert dict(df.dtypes) == {"a": "bigint", "b": "double", "c": "date", "source_file": "string"}
+    got = {(r.source_file, r.a, r.b, str(r.c)) for r in df.collect()}
+    assert got == {("a.csv", 1, 2.0, "None"), ("b.csv", 10, 20.0, "2020-01-31"), ("b.csv", 11, 2.5, "None")}
+
+
+def test_other_json_files_and_suffix(spark, tmp_dir):
+    write_json(f"{tmp_dir}/j/a.json", [{"x": 1, "y": "a"}])
+    write_json(f"{tmp_dir}/j/b.json", [{"x": 2, "z": True}])
+    write_text(f"{tmp_dir}/j/c.csv", "x,w\nseven,1\n")
+    df = read_json_inferred(spark, f"{tmp_dir}/j")
+    assert sorted(((r.x, r.y, r.z, r.source_file) for r in df.collect()), key=str) == [(1, "a", None, "a.json"), (2, None, True, "b.json")]
+    mixed = read_mixed(spark, f"{tmp_dir}/j")
+    assert sorted(((r.x, r.w, r.source_file) for r in mixed.collect()), key=str) == [("1", None, "a.json"), ("2", None, "b.json"), ("seven", 1, "c.csv")]
+
+
+def test_listing_quarantine_keeps_what_cannot_be_read(spark, tmp_dir):
+    write_json(f"{tmp_dir}/q/2020_01_01_a.json", [listing(1), 5, listing("921", rooms="many")])
+    write_text(f"{tmp_dir}/q/2020_01_02_b.json", '[{"propertyCode": 3}, {"prop')
+    write_text(f"{tmp_dir}/q/2020_01_03_c.json", " ")
+    lenient = read_listings(spark, f"{tmp_dir}/q", on_error="null")
+    assert sorted((r.propertyCode, r.rooms) for r in lenient.select("propertyCode", "rooms").fillna(-1).collect()) == [(1, 2), (921, -1)]
+    bad = quarantined_listings(spark, f"{tmp_dir}/q").collect()
+    assert sorted((r.source_file, r.problem, r.bad_text) for r in bad) == [
+        ("2020_01_01_a.json", "not a record", "5"),
+        ("2020_01_02_b.json", "not JSON", '[{"propertyCode": 3}, {"prop'),
+    ]
+    strict = read_listings(spark, f"{tmp_dir}/q")
+    for action in (strict.count, strict.select("source_file").collect):
+        with pytest.raises(Exception, match="unreadable listing record"):
+            action()
+
+
+def test_rent_ranges(spark, tmp_dir):
+    head = "Any,Trimestre,Codi_Districte,Nom_Districte,Codi_Barri,Nom_Barri,Lloguer_mitja,Preu\n"
+    write_text(f"{tmp_dir}/r/a.csv", head + "2020,1,255,a,0,b,c,1\n2020,1,-5,a,300,b,c,1\n")
+    with pytest.raises(Exception, match="not in 0..255"):
+        read_rent(spark, f"{tmp_dir}/r").collect()
+    got = read_rent(spark, f"{tmp_dir}/r", on_error="null").collect()
+    assert sorted(((r.Codi_Districte, r.Codi_Barri) for r in got), key=str) == [(255, 0), (None, None)]
 
 
 def test_listings_as_json_lines(spark, tmp_dir):
@@ -98,18 +171,8 @@ def test_listings_as_json_lines(spark, tmp_dir):
     assert df.count() == 50 and df.where("price = 1049").first().propertyCode == 49
 
 
-def test_read_table_reuses_schema_for_read_only_tables(spark):
-    from propmart.sources.parquet import _KNOWN_SCHEMAS, read_table
-
-    a = read_table(spark, "/root/testdata/sf0.001", "region", read_only=True)
-    assert "/root/testdata/sf0.001/region.parquet" in _KNOWN_SCHEMAS
-    b = read_table(spark, "/root/testdata/sf0.001", "region", read_only=True)
-    assert a.schema == b.schema and sorted(a.collect()) == sorted(b.collect())
-
-
-def test_listing_fast_path_split_is_stable_under_projection(spark, tmp_dir):
-    """A file whose only odd value is in a column not selected later must not be
-    lost or doubled: files go to the fast or the exact path by name."""
+def test_listings_are_stable_under_projection(spark, tmp_dir):
+    """A file whose only odd value is in a column not selected later is neither lost nor doubled."""
     write_json(f"{tmp_dir}/f/2020_01_01_a.json", [listing(1, price=100), listing(2, price="149000.0")])
     write_json(f"{tmp_dir}/f/2020_01_02_b.json", [listing(3, price=300)])
     df = read_listings(spark, f"{tmp_dir}/f")

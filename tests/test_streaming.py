@@ -26,54 +26,6 @@ def test_csv_stream_binds_by_header(spark, tmp_dir):
     assert rows == [(2020, "G", "700"), (2021, "H", "800")]
 
 
-def test_incremental_latest_equals_full_recompute(spark, tmp_dir):
-    import datetime as dt
-
-    from propmart.operators.snapshot import latest_snapshot
-    from propmart.sources.raw import read_listings
-    from propmart.streaming.latest import maintain_latest_listings, read_state, snapshot_rows, state_versions
-
-    land, state, ck = f"{tmp_dir}/land", f"{tmp_dir}/state", f"{tmp_dir}/ck"
-
-    def full():
-        return sorted(
-            (r.propertyCode, r.date, r.price) for r in latest_snapshot(snapshot_rows(read_listings(spark, land)), "propertyCode", "date").collect()
-        )
-
-    def kept():
-        return sorted((r.propertyCode, r.date, r.price) for r in read_state(spark, state).collect())
-
-    write_json(f"{land}/2020_01_01_a.json", [listing(1, price=100), listing(2, price=200), listing(3, None, 5)])
-    maintain_latest_listings(spark, land, state, ck)
-    assert kept() == full() == [(1, dt.date(2020, 1, 1), 100), (2, dt.date(2020, 1, 1), 200)]
-    # later snapshot: listing 1 updated twice on one day (tie), listing 4 new; listing 2 unchanged
-    write_json(f"{land}/2020_02_01_b.json", [listing(1, price=110), listing(1, price=111), listing(4, price=400)])
-    maintain_latest_listings(spark, land, state, ck)
-    assert kept() == full()
-    assert [r for r in kept() if r[0] == 1] == [(1, dt.date(2020, 2, 1), 110), (1, dt.date(2020, 2, 1), 111)]
-    # an older snapshot arriving late does not replace newer rows
-    write_json(f"{land}/2019_12_01_c.json", [listing(2, price=1), listing(5, price=500)])
-    maintain_latest_listings(spark, land, state, ck)
-    assert kept() == full()
-    assert len(state_versions(spark, state)) == 3
-
-
-def test_formatted_from_state_equals_full(spark, tmp_dir):
-    from fixtures import build_landing
-    from propmart.plans.formatted import build_formatted
-    from propmart.plans.persistent import build_persistent
-    from propmart.streaming.latest import maintain_latest_listings
-
-    build_landing(f"{tmp_dir}/land")
-    build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/pers")
-    maintain_latest_listings(spark, f"{tmp_dir}/land/idealista", f"{tmp_dir}/state", f"{tmp_dir}/ck")
-    build_formatted(spark, f"{tmp_dir}/pers", f"{tmp_dir}/f_full")
-    build_formatted(spark, f"{tmp_dir}/pers", f"{tmp_dir}/f_state", latest_state=f"{tmp_dir}/state")
-    a = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/f_full/idealista").collect())
-    b = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/f_state/idealista").collect())
-    assert a == b and len(a) == 4
-
-
 def test_income_csv_stream_maps_raw_header(spark, tmp_dir):
     from propmart.schemas import INCOME_SCHEMA
     from propmart.sources.raw import income_names
