@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propmart.operators.reconcile import broadcast_if_small
 from propmart.schemas import ML_CATEGORICAL, ML_LABEL, ML_NUMERIC, ML_SEED, SEGMENT_COLUMNS
 
 
@@ -21,13 +22,13 @@ def segment_average(
 
     Same values as that window, computed as an aggregate joined back on the
     segment keys (null-safe, as window partitions group nulls together).  The
-    aggregate combines map-side and is usually small enough to broadcast, so
-    the listings are not sorted by segment and a hot segment cannot become one
-    window task.
+    aggregate combines map-side and is counted: a small one is broadcast, so
+    the listings are neither shuffled nor sorted; a large one is an ordinary
+    join whose hot segments adaptive execution splits.
     """
     by = list(by)
     seg = df.groupBy(*by).agg(F.avg(value).alias(out))
-    seg = seg.select(*[F.col(c).alias(f"__seg{i}") for i, c in enumerate(by)], out)
+    seg = broadcast_if_small(seg.select(*[F.col(c).alias(f"__seg{i}") for i, c in enumerate(by)], out))
     cond = None
     for i, c in enumerate(by):
         e = df[c].eqNullSafe(F.col(f"__seg{i}"))
@@ -35,24 +36,27 @@ def segment_average(
     return df.join(seg, cond, "inner").select(*[df[c] for c in df.columns], F.col(out))
 
 
-def hash_split(df: DataFrame, key: str, train_fraction: float = 0.8, buckets: int = 256) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, key: str, train_fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """M6: deterministic train/test split on ``md5(key)``.
 
-    The first two hex digits of the md5 of the key's text give a bucket in
-    0..255; buckets below ``floor(train_fraction * 256)`` train.  Unlike
-    ``randomSplit`` the result does not depend on partitioning or row order.
+    The first 60 bits of the MD5 of the key's text are compared with the
+    fraction, so any fraction is met to about one row in its key count.
+    Unlike ``randomSplit`` the result does not depend on partitioning or row
+    order.
     """
-    in_train = split_label(F.col(key), train_fraction, buckets) == "train"
+    in_train = split_label(F.col(key), train_fraction) == "train"
     return df.where(in_train), df.where(~in_train)
 
 
-def split_label(key, train_fraction: float = 0.8, buckets: int = 256):
-    """Column 'train'/'test' of ``hash_split``."""
-    if buckets != 256:
-        raise ValueError("buckets must be 256 (two hex digits)")
-    threshold = int(train_fraction * buckets)
-    bucket = F.conv(F.substring(F.md5(key.cast("string")), 1, 2), 16, 10).cast("int")
-    return F.when(bucket < threshold, F.lit("train")).otherwise(F.lit("test"))
+SPLIT_HEX = 15  # hexadecimal digits compared: 60 bits
+
+
+def split_label(key, train_fraction: float = 0.8):
+    """Column 'train'/'test' of ``hash_split``; a null key is hashed as empty text."""
+    threshold = int(train_fraction * 16**SPLIT_HEX)
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    place = F.conv(F.substring(F.md5(text.cast("binary")), 1, SPLIT_HEX), 16, 10).cast("long")
+    return F.when(place < threshold, F.lit("train")).otherwise(F.lit("test"))
 
 
 def string_indexers(categorical: Sequence[str] = ML_CATEGORICAL) -> list[StringIndexer]:
@@ -124,7 +128,8 @@ def regression_metrics(pred: DataFrame, label: str = ML_LABEL, prediction: str =
     """Rmse, mae and r2 in one aggregate (r2 against the label mean).
 
     Same definitions as ``RegressionEvaluator``; rows with a null label or
-    prediction are ignored.
+    prediction are ignored.  Where all labels are equal (or there is one row)
+    r2 is undefined and null.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     both = pred.where(y.isNotNull() & p.isNotNull())
@@ -132,7 +137,7 @@ def regression_metrics(pred: DataFrame, label: str = ML_LABEL, prediction: str =
     aggs = [
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.sum(err * err) / (F.var_pop(y) * F.count(y))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(y) * F.count(y))).alias("r2"),
         F.count(y).alias("n"),
     ]
     return both.groupBy(*by).agg(*aggs) if by else both.agg(*aggs)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propmart.operators.reconcile import broadcast_if_small
 from propmart.schemas import AVG_PRICE_COLUMNS, ROI_COLUMNS
 
 
@@ -18,17 +19,19 @@ def view_avg_price(avg_kpi: DataFrame) -> DataFrame:
     )
 
 
-def view_roi(roi_kpi: DataFrame) -> DataFrame:
+def view_roi(roi_kpi: DataFrame, already_distinct: bool = False) -> DataFrame:
     """V2 = F5 + A8: one mark per distinct (neighborhood, property, year, payback).
 
-    Marks with a null or NaN payback are filtered out.
+    Marks with a null or NaN payback are filtered out.  The payback KPI comes
+    out distinct; ``already_distinct=True`` does not do it again.
     """
     y, n, code, roi_name = ROI_COLUMNS
     r = F.col(f"`{roi_name}`")
-    return roi_kpi.where(r.isNotNull() & ~F.isnan(r)).select(n, code, y, roi_name).distinct()
+    marks = roi_kpi.where(r.isNotNull() & ~F.isnan(r)).select(n, code, y, roi_name)
+    return marks if already_distinct else marks.distinct()
 
 
-def kpi_mart(roi_kpi: DataFrame, avg_kpi: DataFrame) -> DataFrame:
+def kpi_mart(roi_kpi: DataFrame, avg_kpi: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Both KPI tables related on the neighborhood name.
 
     Same rows as a full outer join on ``roi.neighborhood = avg.Neighborhood``.
@@ -37,16 +40,21 @@ def kpi_mart(roi_kpi: DataFrame, avg_kpi: DataFrame) -> DataFrame:
     full outer join, both parts keep a hot neighborhood splittable: the left
     join can be broadcast or skew-split, and the anti join reads the distinct
     names only.  The average side is renamed first (``neighborhood`` and
-    ``Neighborhood`` differ only in case).
+    ``Neighborhood`` differ only in case) and broadcast if found small.
+
+    ``names`` has the payback table's neighborhoods where they are known from
+    its inputs (``kpi.roi_names``); otherwise that table is read twice, and
+    should be a written one.
     """
     y, n, code, roi_name = ROI_COLUMNS
     name, value = AVG_PRICE_COLUMNS
-    avg = avg_kpi.select(F.col(name).alias("__avg_name"), F.col(value).alias(value))
+    avg = broadcast_if_small(avg_kpi.select(F.col(name).alias("__avg_name"), F.col(value).alias(value)))
     matched = roi_kpi.join(avg, roi_kpi[n] == avg["__avg_name"], "left").select(
         roi_kpi[n].alias(n), roi_kpi[y], roi_kpi[code], roi_kpi[f"`{roi_name}`"], avg[value]
     )
-    names = roi_kpi.select(F.col(n).alias("__roi_name")).distinct()
-    unmatched = avg.join(names, avg["__avg_name"] == names["__roi_name"], "left_anti").select(
+    known = (roi_kpi if names is None else names).select(F.col(n).alias("__roi_name")).distinct()
+    known = broadcast_if_small(known)
+    unmatched = avg.join(known, avg["__avg_name"] == known["__roi_name"], "left_anti").select(
         F.col("__avg_name").alias(n),
         F.lit(None).cast("bigint").alias(y),
         F.lit(None).cast("bigint").alias(code),

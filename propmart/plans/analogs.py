@@ -11,41 +11,54 @@ engines sum doubles in different orders; the average-price KPI keeps its
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propmart.functions.conform import conform
 from propmart.functions.dates import snapshot_date
-from propmart.operators.kpi import average_from_partials, avg_rent, price_partials, roi, roi_from_avg_rent
+from propmart.operators.kpi import average_from_partials, avg_rent, price_partials, roi, roi_from_avg_rent, roi_names
 from propmart.operators.links import extract_links, new_links, resolve_links
 from propmart.operators.ml import (
     hash_split,
     linear_fit,
     one_hot_encoder,
+    predict,
     price_pipeline,
     regression_metrics,
     segment_average,
     split_label,
     string_indexers,
 )
-from propmart.operators.reconcile import lookup_conflicts, reconcile
+from propmart.operators.reconcile import broadcast_if_small, lookup_conflicts, reconcile
 from propmart.operators.snapshot import latest_dates, latest_snapshot, require_key
 from propmart.operators.tables import format_income, format_listings, format_rent, union_by_name
 from propmart.operators.views import kpi_mart, view_avg_price, view_roi
-from propmart.schemas import RENT_MONTHLY_LABEL, ROI_COLUMNS, struct_of
-from propmart.sources.files import inventory, inventory_counts
+from propmart.schemas import (
+    INCOME_RANGES,
+    INCOME_RAW_INDEX_HEADER,
+    INCOME_SCHEMA,
+    LOOKUP_COLUMNS,
+    LOOKUP_SCHEMA,
+    RENT_MONTHLY_LABEL,
+    RENT_RANGES,
+    RENT_SCHEMA,
+    ROI_COLUMNS,
+    struct_of,
+)
 from propmart.sources.parquet import read_table, read_with_source
+from propmart.sources.raw import bind_by_header, income_names, json_records, listings_from_records
 
 ROI = ROI_COLUMNS[3]
 OTHER_RENT_LABEL = "Lloguer mitjà per superfície (Euros/m2 mes)"
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    # the driver's tables are read-only (TESTDATA.md)
-    return read_table(spark, sf, name, read_only=True)
+    return read_table(spark, sf, name)
 
 
 def _r6(c):
@@ -108,7 +121,6 @@ def analog_lookup(spark, sf) -> DataFrame:
             F.lower("district").alias("district_n_reconciled"),
             F.lower("neighborhood").alias("neighborhood_n_reconciled"),
         )
-        .distinct()
     )
 
 
@@ -194,10 +206,12 @@ ar AS (
   GROUP BY year, neighborhood, Lloguer_mitja),
 lst AS (
   SELECT year(l_shipdate) AS year, l_returnflag AS neighborhood, l_orderkey AS propertyCode,
-         l_extendedprice AS price FROM lineitem)
-SELECT DISTINCT CAST(lst.year AS BIGINT) AS year, lst.neighborhood, CAST(lst.propertyCode AS BIGINT) AS propertyCode,
-       round(CASE WHEN ar.avg_rent = 0 THEN NULL ELSE lst.price / (12 * ar.avg_rent) END, 6) AS "ROI/Year"
-FROM lst JOIN ar ON lst.year = ar.year AND lst.neighborhood = ar.neighborhood
+         l_extendedprice AS price FROM lineitem),
+d AS (
+  SELECT DISTINCT CAST(lst.year AS BIGINT) AS year, lst.neighborhood, CAST(lst.propertyCode AS BIGINT) AS propertyCode,
+         CASE WHEN ar.avg_rent = 0 THEN NULL ELSE lst.price / (12 * ar.avg_rent) END AS payback
+  FROM lst JOIN ar ON lst.year = ar.year AND lst.neighborhood = ar.neighborhood)
+SELECT year, neighborhood, propertyCode, round(payback, 6) AS "ROI/Year" FROM d
 """
 
 
@@ -500,11 +514,13 @@ def q_roi(spark, sf) -> DataFrame:
     return out.select("year", "neighborhood", "propertyCode", _r6(F.col(f"`{ROI}`")).alias(ROI))
 
 
+# paybacks are distinct before they are rounded, as in the operator
 _G3_SQL = f"""
-WITH rent AS ({_RENT_PER_NATION_SQL}), lst AS ({_ORDER_LISTINGS_SQL})
-SELECT DISTINCT CAST(year(lst.date) AS BIGINT) AS year, lst.neighborhood, CAST(lst.propertyCode AS BIGINT) AS propertyCode,
-       round(lst.price / (12 * rent.avg_rent), 6) AS "ROI/Year"
-FROM lst JOIN rent ON CAST(year(lst.date) AS BIGINT) = rent.year AND lst.neighborhood = rent.neighborhood
+WITH rent AS ({_RENT_PER_NATION_SQL}), lst AS ({_ORDER_LISTINGS_SQL}),
+d AS (SELECT DISTINCT CAST(year(lst.date) AS BIGINT) AS year, lst.neighborhood, CAST(lst.propertyCode AS BIGINT) AS propertyCode,
+             lst.price / (12 * rent.avg_rent) AS payback
+      FROM lst JOIN rent ON CAST(year(lst.date) AS BIGINT) = rent.year AND lst.neighborhood = rent.neighborhood)
+SELECT year, neighborhood, propertyCode, round(payback, 6) AS "ROI/Year" FROM d
 """
 
 
@@ -542,24 +558,25 @@ _V1_SQL = f"SELECT Neighborhood, sum(Average_Price) AS sum_Average_Price FROM ({
 
 def q_mark_view(spark, sf) -> DataFrame:
     """V2 = F5 + A8 over a payback table that has null values."""
-    v = view_roi(_line_roi(spark, sf))
+    v = view_roi(_line_roi(spark, sf), already_distinct=True)
     return v.select("neighborhood", "propertyCode", "year", _r6(F.col(f"`{ROI}`")).alias(ROI))
 
 
 _V2_SQL = f"""
-SELECT DISTINCT neighborhood, propertyCode, year, "ROI/Year" FROM ({_LINE_ROI_SQL})
+SELECT neighborhood, propertyCode, year, "ROI/Year" FROM ({_LINE_ROI_SQL})
 WHERE "ROI/Year" IS NOT NULL AND NOT isnan("ROI/Year")
 """
 
 
-def _mart(roi_df: DataFrame, avg_df: DataFrame) -> DataFrame:
-    m = kpi_mart(roi_df, avg_df)
+def _mart(roi_df: DataFrame, avg_df: DataFrame, names: DataFrame) -> DataFrame:
+    m = kpi_mart(roi_df, avg_df, names)
     return m.select("neighborhood", "year", "propertyCode", _r6(F.col(f"`{ROI}`")).alias(ROI), "Average_Price")
 
 
 def q_kpi_mart(spark, sf) -> DataFrame:
     """Payback rows related to the average-price KPI by neighborhood."""
-    return _mart(_roi_per_nation(spark, sf), q_avg_by_group(spark, sf, sort=False))
+    listings, rents = order_listings(spark, sf), broadcast_if_small(monthly_rent_per_nation(spark, sf))
+    return _mart(roi_from_avg_rent(listings, rents), q_avg_by_group(spark, sf, sort=False), roi_names(listings, rents))
 
 
 _J7_SQL = f"""
@@ -570,7 +587,8 @@ FROM ({_G3_SQL}) r FULL OUTER JOIN ({_A1_SQL}) a ON r.neighborhood = a.Neighborh
 
 def q_kpi_mart_disjoint(spark, sf) -> DataFrame:
     """J7 where no name matches (return flags vs nations): both outer sides kept."""
-    return _mart(_line_roi(spark, sf), q_avg_by_group(spark, sf, sort=False))
+    listings, rents = line_listings(spark, sf), broadcast_if_small(avg_rent(line_rent_rows(spark, sf)))
+    return _mart(roi_from_avg_rent(listings, rents), q_avg_by_group(spark, sf, sort=False), roi_names(listings, rents))
 
 
 _J7_DISJOINT_SQL = f"""
@@ -584,8 +602,10 @@ def q_links(spark, sf) -> DataFrame:
     return extract_links(_t(spark, sf, "pages").select("page_id", "url", "html"))
 
 
-_HREFS_SQL = r"""
-SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages
+# written without a pattern: the given pages open every anchor in this one way
+_HREFS_SQL = """
+SELECT page_id, url, replace(split_part(piece, '"', 1), '&amp;', '&') AS href
+FROM (SELECT page_id, url, unnest(str_split(html, '<a href="')[2:]) AS piece FROM pages)
 """
 
 
@@ -828,25 +848,29 @@ ORDERS_TYPED = struct_of(
         ("o_orderdate", T.DateType()),
         ("o_orderpriority", T.StringType()),
         ("price_whole", T.IntegerType()),
+        ("beyond_double", T.LongType()),
     ]
 )
+BEYOND_DOUBLE = 2**53 + 1
 
 
 def q_conform(spark, sf) -> DataFrame:
-    """S8 + X10: orders as raw text (whole prices written as '123.0'), bound to fixed types."""
+    """S8 + X10: orders as raw text (whole prices written as '123.0', codes that no
+    double can hold), bound to fixed types."""
     o = _t(spark, sf, "orders")
     text = o.select(
         *[F.col(c).cast("string").alias(c) for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]],
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
         F.col("o_orderpriority").cast("string").alias("o_orderpriority"),
         F.concat(F.floor("o_totalprice").cast("string"), F.lit(".0")).alias("price_whole"),
+        F.concat((F.col("o_orderkey") + BEYOND_DOUBLE).cast("string"), F.when(F.col("o_orderkey") % 2 == 0, ".00").otherwise("")).alias("beyond_double"),
     )
     return conform(text, ORDERS_TYPED)
 
 
-_S8_SQL = """
+_S8_SQL = f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
-       o_orderpriority, CAST(floor(o_totalprice) AS INTEGER) AS price_whole
+       o_orderpriority, CAST(floor(o_totalprice) AS INTEGER) AS price_whole, o_orderkey + {BEYOND_DOUBLE} AS beyond_double
 FROM orders
 """
 
@@ -873,17 +897,17 @@ def q_one_hot(spark, sf) -> DataFrame:
     indexer = string_indexers(["p_brand"])[0].fit(train)
     indexed = indexer.transform(p)
     encoder = one_hot_encoder(["p_brand"]).fit(indexer.transform(train))
-    arr = vector_to_array(F.col("p_brand_encoded"))
+    slots = F.unwrap_udt("p_brand_encoded")  # the sparse vector's own fields: nothing is made dense
     return encoder.transform(indexed).select(
         "p_partkey",
         "p_brand",
-        F.size(arr).cast("int").alias("vec_size"),
-        (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_slot"),
+        slots["size"].cast("int").alias("vec_size"),
+        F.coalesce(F.get(slots["indices"], F.lit(0)), F.lit(-1)).cast("int").alias("hot_slot"),
     )
 
 
-_M2_SQL = """
-WITH tr AS (SELECT * FROM part WHERE substr(md5(CAST(p_partkey AS VARCHAR)), 1, 2) < 'cc'),
+_M2_SQL = f"""
+WITH tr AS (SELECT * FROM part WHERE substr(md5(CAST(p_partkey AS VARCHAR)), 1, 15) < '{int(0.8 * 16**15):015x}'),
 idx AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS INTEGER) AS slot
         FROM tr GROUP BY p_brand)
 SELECT p.p_partkey, p.p_brand, CAST((SELECT count(*) FROM idx) AS INTEGER) AS vec_size,
@@ -898,8 +922,10 @@ def q_hash_split(spark, sf) -> DataFrame:
     return o.select("o_orderkey", split_label(F.col("o_orderkey")).alias("split"))
 
 
-_M6_SQL = """
-SELECT o_orderkey, CASE WHEN substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 2) < 'cc' THEN 'train' ELSE 'test' END AS split
+_TRAIN_BELOW = f"{int(0.8 * 16**15):015x}"
+
+_M6_SQL = f"""
+SELECT o_orderkey, CASE WHEN substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15) < '{_TRAIN_BELOW}' THEN 'train' ELSE 'test' END AS split
 FROM orders
 """
 
@@ -919,10 +945,11 @@ FROM part GROUP BY p_brand
 
 
 def q_metrics(spark, sf) -> DataFrame:
-    """Rmse, mae, r2 of the per-brand linear fit."""
-    p = _t(spark, sf, "part").select("p_brand", "p_size", "p_retailprice")
+    """Rmse, mae, r2 of the per-brand linear fit; a group of one row has no r2."""
+    p = _t(spark, sf, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
     fit = linear_fit(p, "p_retailprice", "p_size", by=["p_brand"])
     pred = p.join(fit, "p_brand").withColumn("prediction", F.col("intercept") + F.col("slope") * F.col("p_size"))
+    pred = pred.withColumn("p_brand", F.when(F.col("p_partkey") == 1, "one row").otherwise(F.col("p_brand")))
     m = regression_metrics(pred, "p_retailprice", "prediction", by=["p_brand"])
     return m.select("p_brand", *[_r6(F.col(c)).alias(c) for c in ("rmse", "mae", "r2")], "n")
 
@@ -930,26 +957,212 @@ def q_metrics(spark, sf) -> DataFrame:
 _A7_SQL = """
 WITH fit AS (SELECT p_brand, regr_slope(p_retailprice, p_size) AS slope, regr_intercept(p_retailprice, p_size) AS intercept
              FROM part GROUP BY p_brand),
-pred AS (SELECT p.p_brand, p.p_retailprice AS y, fit.intercept + fit.slope * p.p_size AS yhat
+pred AS (SELECT CASE WHEN p.p_partkey = 1 THEN 'one row' ELSE p.p_brand END AS p_brand, p.p_retailprice AS y, fit.intercept + fit.slope * p.p_size AS yhat
          FROM part p JOIN fit ON p.p_brand = fit.p_brand)
 SELECT p_brand, round(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse, round(avg(abs(y - yhat)), 6) AS mae,
-       round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y)), 6) AS r2, count(y) AS n
+       round(1 - sum((y - yhat) * (y - yhat)) / nullif(var_pop(y) * count(y), 0), 6) AS r2, count(y) AS n
 FROM pred GROUP BY p_brand
 """
 
 
+def q_assembled(spark, sf) -> DataFrame:
+    """M3: size, price and the one-hot brand of every part as one vector, slot by slot."""
+    p = _t(spark, sf, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    stages = price_pipeline(categorical=["p_brand"], numeric=["p_size", "p_retailprice"], label="p_retailprice").getStages()[:-1]
+    vector = vector_to_array(F.col("features"))
+    return Pipeline(stages=stages).fit(p).transform(p).select(
+        "p_partkey",
+        F.size(vector).cast("int").alias("vec_size"),
+        F.get(vector, F.lit(0)).alias("first_value"),
+        F.get(vector, F.lit(1)).alias("second_value"),
+        (F.array_position(F.slice(vector, 3, F.size(vector)), 1.0) - 1).cast("int").alias("hot_slot"),
+    )
+
+
+_M3_SQL = """
+WITH idx AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS INTEGER) AS slot
+             FROM part GROUP BY p_brand)
+SELECT p_partkey, CAST(2 + (SELECT count(*) FROM idx) AS INTEGER) AS vec_size, CAST(p_size AS DOUBLE) AS first_value,
+       p_retailprice AS second_value, slot AS hot_slot
+FROM part JOIN idx ON part.p_brand = idx.p_brand
+"""
+
+
+def part_sales(spark, sf) -> DataFrame:
+    """Per part: brand, type, lines and quantity sold, and the price paid for them (the label)."""
+    sold = _t(spark, sf, "lineitem").groupBy("l_partkey").agg(
+        F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_extendedprice").alias("paid")
+    )
+    p = _t(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
+    return p.join(sold, p.p_partkey == sold.l_partkey).drop("l_partkey")
+
+
 def q_forest(spark, sf) -> DataFrame:
-    """M3-M5 + M7: random-forest price model on parts, scored on the test split."""
-    p = _t(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
-    train, test = hash_split(p, "p_partkey")
-    pipe = price_pipeline(categorical=["p_brand", "p_type"], numeric=["p_size"], label="p_retailprice")
-    model = pipe.fit(train)
-    return model.transform(test).select("p_partkey", "p_retailprice", "prediction")
+    """M3-M5 + M7: random-forest model of the price paid per part, scored on the test split."""
+    train, test = hash_split(part_sales(spark, sf), "p_partkey")
+    pipe = price_pipeline(categorical=["p_brand", "p_type"], numeric=["quantity", "n_lines"], label="paid")
+    return predict(pipe.fit(train), test).select("p_partkey", "paid", "prediction")
+
+
+# ---------------------------------------------------------------------------
+# Raw readers on texts made of whole tables
+# ---------------------------------------------------------------------------
+
+
+def order_texts(spark, sf) -> DataFrame:
+    """One JSON array of two listing records per order: numbers plain, then quoted or with '.0'."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    whole = F.floor("o_totalprice").cast("long")
+    common = [
+        F.struct(F.col("o_orderpriority").alias("typology"), F.lit(None).cast("string").alias("subTypology")).alias("detailedType"),
+        F.struct(F.concat(F.col("o_orderstatus"), F.lit(', "quoted" é')).alias("title")).alias("suggestedTexts"),
+    ]
+    plain = F.to_json(F.struct(
+        F.col("o_orderkey").alias("propertyCode"), whole.alias("price"), (whole % 4000 / 4).cast("decimal(18,2)").alias("size"),
+        (F.col("o_orderkey") % 100).alias("floor"), (F.col("o_orderstatus") == "O").alias("hasLift"), *common,
+    ))
+    text = F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("propertyCode"), F.concat(whole.cast("string"), F.lit(".0")).alias("price"),
+        F.lit("12.5").alias("size"), F.col("o_orderstatus").alias("floor"), F.lit("true").alias("hasLift"),
+        F.struct(F.concat((F.col("o_orderkey") % 9).cast("string"), F.lit(".5")).alias("parkingSpacePrice")).alias("parkingSpace"), *common,
+    ))
+    return o.select(F.concat(F.lit("["), plain, F.lit(",\n "), text, F.lit("]")).alias("value"), F.concat(F.lit("orders_"), F.col("o_orderstatus")).alias("source_file"))
+
+
+def _json_listings(spark, sf) -> DataFrame:
+    return listings_from_records(json_records(order_texts(spark, sf)))
+
+
+def q_json_listings(spark, sf) -> DataFrame:
+    """Listing records from JSON texts, every scalar exact."""
+    return _json_listings(spark, sf).select("propertyCode", "price", F.col("size").cast("double").alias("size"), "floor", "hasLift", "neighborhood", "source_file")
+
+
+_S2_SQL = """
+SELECT CAST(o_orderkey AS INTEGER) AS propertyCode, CAST(floor(o_totalprice) AS INTEGER) AS price,
+       CAST(floor(o_totalprice) AS BIGINT) % 4000 / 4 AS size, CAST(o_orderkey % 100 AS VARCHAR) AS floor,
+       o_orderstatus = 'O' AS hasLift, CAST(NULL AS VARCHAR) AS neighborhood, 'orders_' || o_orderstatus AS source_file
+FROM orders
+UNION ALL
+SELECT CAST(o_orderkey AS INTEGER), CAST(floor(o_totalprice) AS INTEGER), 12.5, o_orderstatus, true, NULL, 'orders_' || o_orderstatus
+FROM orders
+"""
+
+
+def q_nested_fields(spark, sf) -> DataFrame:
+    """Nested record fields addressed by name, absent structs null."""
+    return _json_listings(spark, sf).select(
+        "propertyCode",
+        F.col("detailedType.typology").alias("typology"),
+        F.col("detailedType.subTypology").alias("sub_typology"),
+        F.col("suggestedTexts.title").alias("title"),
+        F.col("suggestedTexts.subtitle").alias("subtitle"),
+        F.col("parkingSpace").isNull().alias("no_parking"),
+        F.col("parkingSpace.parkingSpacePrice").cast("double").alias("parking_price"),
+    )
+
+
+_X12_SQL = """
+SELECT CAST(o_orderkey AS INTEGER) AS propertyCode, o_orderpriority AS typology, CAST(NULL AS VARCHAR) AS sub_typology,
+       o_orderstatus || ', "quoted" é' AS title, CAST(NULL AS VARCHAR) AS subtitle, x.quoted = 0 AS no_parking,
+       CASE WHEN x.quoted = 1 THEN o_orderkey % 9 + 0.5::DOUBLE END AS parking_price
+FROM orders, (VALUES (0), (1)) x(quoted)
+"""
+
+
+def _csv_files(spark, rows: DataFrame, second: Column, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Lines and headers of two CSV files made of ``rows``.
+
+    Rows where ``second`` holds go to a file whose columns come in reverse
+    order and with one more; ``names`` maps column -> header spelling.
+    """
+    first = list(names)
+    other = [*reversed(first), "more"]
+    rows = rows.withColumn("more", F.lit('extra, "column"'))
+    value = F.when(second, F.to_csv(F.struct(*other))).otherwise(F.to_csv(F.struct(*first)))
+    lines = rows.select(value.alias("value"), F.when(second, "b.csv").otherwise("a.csv").alias("__file"))
+    headers = [("a.csv", "﻿" + ",".join(names.values())), ("b.csv", ",".join(names.get(c, c) for c in other))]
+    return lines, spark.createDataFrame(headers, "__file string, header string")
+
+
+def q_lookup_csv(spark, sf) -> DataFrame:
+    """Lookup rows bound by each file's header."""
+    nn = nation_names(spark, sf)
+    rows = nn.select(
+        "district", "neighborhood", F.lower("district").alias("district_n_reconciled"), F.concat(F.left("district", F.lit(1)), F.lower(F.substring("district", 2, 100))).alias("district_n"),
+        F.col("district_code").cast("string").alias("district_id"), F.lower("neighborhood").alias("neighborhood_n_reconciled"),
+        F.concat("neighborhood", F.lit(", "), "district").alias("neighborhood_n"), F.col("n_nationkey").cast("string").alias("neighborhood_id"),
+    )
+    names = {c: c for c in LOOKUP_COLUMNS}
+    lines, headers = _csv_files(spark, rows, F.col("neighborhood_id").cast("int") % 2 == 1, names)
+    return conform(bind_by_header(lines, headers, {c: [c] for c in names}), LOOKUP_SCHEMA, keep=["source_file"])
+
+
+_S4_SQL = """
+SELECT r_name AS district, n_name AS neighborhood, lower(r_name) AS district_n_reconciled,
+       upper(r_name[1]) || lower(r_name[2:]) AS district_n, CAST(n_regionkey AS VARCHAR) AS district_id,
+       lower(n_name) AS neighborhood_n_reconciled, n_name || ', ' || r_name AS neighborhood_n,
+       CAST(n_nationkey AS VARCHAR) AS neighborhood_id, CASE WHEN n_nationkey % 2 = 1 THEN 'b.csv' ELSE 'a.csv' END AS source_file
+FROM nation JOIN region ON n_regionkey = r_regionkey
+"""
+
+
+def q_rent_csv(spark, sf) -> DataFrame:
+    """Rent rows of every line item bound by each file's header, typed and range-checked."""
+    li = _t(spark, sf, "lineitem")
+    rows = li.select(
+        F.year("l_shipdate").alias("Any"), F.quarter("l_shipdate").alias("Trimestre"), F.col("l_linenumber").alias("Codi_Districte"),
+        F.col("l_returnflag").alias("Nom_Districte"), (F.col("l_suppkey") % 256).alias("Codi_Barri"),
+        F.concat("l_linestatus", F.lit(", "), "l_returnflag").alias("Nom_Barri"), F.lit(RENT_MONTHLY_LABEL).alias("Lloguer_mitja"),
+        F.col("l_quantity").cast("int").cast("string").alias("Preu"),
+    )
+    names = {f.name: f.name for f in RENT_SCHEMA.fields}
+    lines, headers = _csv_files(spark, rows, F.col("Codi_Districte") % 2 == 1, names)
+    return conform(bind_by_header(lines, headers, {c: [c] for c in names}), RENT_SCHEMA, keep=["source_file"], ranges=RENT_RANGES)
+
+
+_S5_SQL = f"""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS Any, CAST(quarter(l_shipdate) AS SMALLINT) AS Trimestre,
+       CAST(l_linenumber AS SMALLINT) AS Codi_Districte, l_returnflag AS Nom_Districte, CAST(l_suppkey % 256 AS SMALLINT) AS Codi_Barri,
+       l_linestatus || ', ' || l_returnflag AS Nom_Barri, '{RENT_MONTHLY_LABEL}' AS Lloguer_mitja,
+       CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS Preu, CASE WHEN l_linenumber % 2 = 1 THEN 'b.csv' ELSE 'a.csv' END AS source_file
+FROM lineitem
+"""
+
+
+def q_income_csv(spark, sf) -> DataFrame:
+    """Income rows of every customer, the index under its raw header."""
+    c = _t(spark, sf, "customer")
+    rows = c.select(
+        (F.col("c_custkey") % 20 + 2000).alias("Any"), (F.col("c_nationkey") % 10).alias("Codi_Districte"), F.col("c_mktsegment").alias("Nom_Districte"),
+        F.col("c_nationkey").alias("Codi_Barri"), F.col("c_name").alias("Nom_Barri"),
+        F.concat((F.col("c_custkey") + 3_000_000_000).cast("string"), F.lit(".0")).alias("Població"),
+        F.when(F.col("c_nationkey") == 3, "-").otherwise(F.col("c_nationkey").cast("string")).alias("Index_RFD_Barcelona_100"),
+    )
+    names = {f.name: f.name for f in INCOME_SCHEMA.fields} | {"Index_RFD_Barcelona_100": INCOME_RAW_INDEX_HEADER}
+    lines, headers = _csv_files(spark, rows, F.col("Codi_Barri") % 2 == 1, names)
+    return conform(bind_by_header(lines, headers, income_names()), INCOME_SCHEMA, keep=["source_file"], ranges=INCOME_RANGES)
+
+
+_S6_SQL = """
+SELECT CAST(c_custkey % 20 + 2000 AS INTEGER) AS Any, CAST(c_nationkey % 10 AS SMALLINT) AS Codi_Districte, c_mktsegment AS Nom_Districte,
+       CAST(c_nationkey AS SMALLINT) AS Codi_Barri, c_name AS Nom_Barri, c_custkey + 3000000000 AS "Població",
+       CASE WHEN c_nationkey = 3 THEN '-' ELSE CAST(c_nationkey AS VARCHAR) END AS Index_RFD_Barcelona_100,
+       CASE WHEN c_nationkey % 2 = 1 THEN 'b.csv' ELSE 'a.csv' END AS source_file
+FROM customer
+"""
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
 
 
 def q_inventory(spark, sf) -> DataFrame:
-    """S1 + A9: file count and bytes per folder of the table directory."""
-    return inventory_counts(inventory(spark, sf, glob="*.parquet"))
+    """S1 + A9: rows read from each table's files, named through the files themselves."""
+    name = F.regexp_extract("_metadata.file_path", r"([^/]+)\.parquet(?:/[^/]*)?$", 1)
+    counts = [_t(spark, sf, t).groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows")) for t in TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+_A9_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES)
 
 
 _G2_SQL = f"""
@@ -958,9 +1171,10 @@ ar AS (SELECT year, neighborhood, avg(TRY_CAST(Preu AS DOUBLE)) AS avg_rent FROM
        WHERE Lloguer_mitja = '{RENT_MONTHLY_LABEL}' AND Preu NOT IN ('NA', 'N/A', '--')
          AND TRY_CAST(Preu AS DOUBLE) IS NOT NULL AND NOT isnan(TRY_CAST(Preu AS DOUBLE))
        GROUP BY year, neighborhood, Lloguer_mitja)
-SELECT DISTINCT CAST(year(fl.date) AS BIGINT) AS year, fl.neighborhood, fl.propertyCode,
-       round(CASE WHEN ar.avg_rent = 0 THEN NULL ELSE fl.price / (12 * ar.avg_rent) END, 6) AS "ROI/Year"
-FROM fl JOIN ar ON CAST(year(fl.date) AS BIGINT) = ar.year AND fl.neighborhood = ar.neighborhood
+SELECT year, neighborhood, propertyCode, round(payback, 6) AS "ROI/Year"
+FROM (SELECT DISTINCT CAST(year(fl.date) AS BIGINT) AS year, fl.neighborhood, fl.propertyCode,
+             CASE WHEN ar.avg_rent = 0 THEN NULL ELSE fl.price / (12 * ar.avg_rent) END AS payback
+      FROM fl JOIN ar ON CAST(year(fl.date) AS BIGINT) = ar.year AND fl.neighborhood = ar.neighborhood)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -1002,7 +1216,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "M6_hash_split": q_hash_split,
     "M8_linear_fit": q_linear_fit,
     "A7_metrics": q_metrics,
+    "M3_assembled": q_assembled,
     "M4_forest": q_forest,
+    "S2_json_listings": q_json_listings,
+    "X12_nested_fields": q_nested_fields,
+    "S4_lookup_csv": q_lookup_csv,
+    "S5_rent_csv": q_rent_csv,
+    "S6_income_csv": q_income_csv,
     "A9_inventory": q_inventory,
 }
 
@@ -1045,4 +1265,11 @@ ORACLE_SQL: dict[str, str] = {
     "M6_hash_split": _M6_SQL,
     "M8_linear_fit": _M8_SQL,
     "A7_metrics": _A7_SQL,
+    "M3_assembled": _M3_SQL,
+    "S2_json_listings": _S2_SQL,
+    "X12_nested_fields": _X12_SQL,
+    "S4_lookup_csv": _S4_SQL,
+    "S5_rent_csv": _S5_SQL,
+    "S6_income_csv": _S6_SQL,
+    "A9_inventory": _A9_SQL,
 }

@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from propmart.operators.ml import hash_split, model_input, predict, price_pipeline, regression_metrics, segment_average
-from propmart.schemas import FORMATTED_LISTING_SCHEMA, ML_CATEGORICAL, ML_LABEL, ML_NUMERIC, ML_SEED, ML_TRAIN_FRACTION
+from propmart.schemas import FORMATTED_LISTING_SCHEMA, ML_CATEGORICAL, ML_LABEL, ML_NUMERIC, ML_SEED, ML_TRAIN_FRACTION, PREDICTION_COLUMNS
 from propmart.session import checkpoint_dir, cut_lineage
 from propmart.sources.parquet import read_zone
-from propmart.sources.sinks import save_model
-
-# The columns shown next to each prediction.
-PREDICTION_COLUMNS = (
-    "neighborhood", "district", "date", "size", "rooms", "bathrooms",
-    "propertyType", "floor", "status", "hasLift", "price", "prediction",
-)
-
+from propmart.sources.sinks import save_model, write_zone
 
 def train_price_model(
     spark: SparkSession,
@@ -49,12 +42,13 @@ def train_price_model(
     return model, predictions.select(*PREDICTION_COLUMNS), metrics
 
 
-def build_model(spark: SparkSession, formatted_dir: str, model_path: str, seed: int = ML_SEED):
-    """G4 entry: read formatted listings, train, save; also the W1 segment average."""
+def build_model(spark: SparkSession, formatted_dir: str, model_path: str, seed: int = ML_SEED, segments_path: str | None = None):
+    """G4 entry: read formatted listings, train, save.
+
+    ``segments_path`` also writes every listing next to the mean price of its
+    segment (W1).
+    """
     listings = read_zone(spark, f"{formatted_dir.rstrip('/')}/idealista", FORMATTED_LISTING_SCHEMA)
+    if segments_path:
+        write_zone(segment_average(listings), segments_path)
     return train_price_model(spark, listings, model_path, seed)
-
-
-def listings_with_segment_average(listings: DataFrame) -> DataFrame:
-    """W1 on the listings: mean price of each segment next to every listing."""
-    return segment_average(listings)

@@ -5,24 +5,24 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from conftest import SF_SMALL
 from propmart.operators.ml import segment_average
 from propmart.operators.snapshot import latest_snapshot
+from propmart.plans.analogs import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "Window ", "WindowGroupLimit")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"M4_forest"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"M4_forest"}))
 def test_no_cross_products_udfs_or_windows(spark, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN:
         assert node not in plan, f"{name} plans {node}"
 
 
 def test_scans_read_only_used_columns(spark):
-    df = queries()["A1_avg_by_group"](spark, SF_SMALL)
+    df = QUERIES["A1_avg_by_group"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double>" in plan.replace("\n", " ") or (
         "struct<o_custkey:bigint,o_totalprice:double>" in plan
@@ -69,7 +69,22 @@ def test_latest_snapshot_hot_key_is_split(spark, skew_conf):
     assert "SortMergeJoin" in plan and "skew=true" in plan
 
 
-def test_segment_average_hot_segment_is_split(spark, skew_conf):
+@pytest.fixture()
+def nothing_small(monkeypatch):
+    """Every checked side counts as too large for a broadcast."""
+    monkeypatch.setattr("propmart.operators.reconcile.BROADCAST_ROWS", 0)
+
+
+def test_small_sides_are_broadcast_and_the_rows_stay_put(spark, skew_conf):
+    df = _hot_key_frame(spark).select("code", "v")
+    plan = segment_average(df, ["code"], "v", "avg")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "hashpartitioning" not in plan
+    for name in ("G3_roi", "X9_zero_rent", "G2_pipeline_roi"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan, name
+
+
+def test_segment_average_hot_segment_is_split(spark, skew_conf, nothing_small):
     df = _hot_key_frame(spark)
     out = segment_average(df, ["code"], "v", "avg")
     rows = out.collect()
@@ -78,7 +93,7 @@ def test_segment_average_hot_segment_is_split(spark, skew_conf):
     assert "skew=true" in plan
 
 
-def test_kpi_mart_hot_neighborhood_is_split(spark, skew_conf):
+def test_kpi_mart_hot_neighborhood_is_split(spark, skew_conf, nothing_small):
     from propmart.operators.views import kpi_mart
 
     n = 6000
