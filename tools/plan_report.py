@@ -1,4 +1,4 @@
-"""Write PLANS.md: the final adaptive plan of every registered query.
+"""Write PLANS.md: the final adaptive plan of every query of ``propmart.plans.analogs``.
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
 Each query is executed once (collect) so that the plan shown is the one
@@ -16,7 +16,7 @@ from collections import Counter
 
 sys.path.insert(0, ".")
 
-from __spark_entry__ import queries  # noqa: E402
+from propmart.plans.analogs import QUERIES  # noqa: E402
 from propmart.session import build_session  # noqa: E402
 
 KEEP = re.compile(
@@ -61,7 +61,7 @@ def main() -> None:
     print("Generated by `tools/plan_report.py`. Each query ran once; the tree is the plan adaptive execution settled on.")
     print("At this size every small side fits the broadcast threshold; at full scale the joins between large inputs stay")
     print("sort-merge joins (with skew splitting) and only aggregates/lookups are broadcast.\n")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()

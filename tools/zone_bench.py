@@ -11,7 +11,9 @@ Builds a landing folder from ``sf_dir``:
 
 Then times the persistent, formatted and exploitation jobs, and checks the
 average-price KPI against DuckDB computing the same figure from the tables.
-Prints one JSON line.
+Prints one JSON line.  The landing files are written to a local folder, one
+month in one task, so this runs in local mode only and its figures say nothing
+about a cluster.
 """
 
 from __future__ import annotations
