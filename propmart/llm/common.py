@@ -85,7 +85,7 @@ def open_input(folder: str, name: str) -> pa.NativeFile:
     return filesystem.open_input_file(os.path.join(path, name))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slice record batches so that a slice holds about ``most_bytes`` of ``column``.
 
     Long texts come in ordinary batches; slices keep a task's memory bounded

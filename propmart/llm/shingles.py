@@ -25,24 +25,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverses for i below ``size``."""
-    out = []
-    for base in (BASE, INVERSE):
-        p = np.ones(size, np.uint64)
-        done = 1
-        step = base
-        while done < size:  # doubles the filled part
-            p[done : 2 * done] = p[: min(done, size - done)] * step
-            done, step = 2 * done, np.uint64(int(step) ** 2 % (1 << 64))
-        out.append(p)
-    return out[0], out[1]
+_POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(22, int(size).bit_length()))
-    return up[:size], down[:size]
+    """BASE**i and its inverses for i below ``size``; a worker keeps the longest so far."""
+    have = _POWERS.get("held")
+    if have is None or len(have[0]) < size:
+        out, room = [], 1 << max(16, int(size - 1).bit_length())
+        for base in (BASE, INVERSE):
+            p = np.ones(room, np.uint64)
+            done, step = 1, base
+            while done < room:  # doubles the filled part
+                p[done : 2 * done] = p[:done] * step
+                done, step = 2 * done, np.uint64(int(step) ** 2 % (1 << 64))
+            out.append(p)
+        have = _POWERS["held"] = (out[0], out[1])
+    return have[0][:size], have[1][:size]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
