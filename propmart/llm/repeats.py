@@ -35,7 +35,8 @@ from propmart.llm.common import pieces, sorted_groups, written
 WIDTH, GRAM = 200, 64
 CHUNK = 8 << 20  # bytes of one long text that are searched at once
 LARGE_GROUP = 20_000  # contexts of one anchor that are sorted in one task
-BATCH_CONTEXTS = 10_000
+BATCH_CONTEXTS = 5_000
+BATCH_TEXTS = 500  # texts that are Python objects at once
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -239,12 +240,18 @@ def repeated_places(data: np.ndarray, at: np.ndarray, before: np.ndarray, after:
     return least, greatest
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int = BATCH_TEXTS) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _contexts(width: int, gram: int):
     """Contexts of the listed anchors of each text: (anchor, key, place, before, single, bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("place", pa.int32()), ("before", pa.int32()), ("single", pa.bool_()), ("bytes", pa.binary())])
-        for batch in batches:
+        for batch in few(batches):
             out = []
             for key, data, n, listed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if not listed:
@@ -295,7 +302,7 @@ def _windows(width: int, gram: int):
     """(hash, key, low) of every window through the listed anchors of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             for key, data, n, listed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if not listed:
                     continue
@@ -324,7 +331,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, n_removed, n_spans, kept_sha256, kept) of texts and their spans."""
-    for batch in batches:
+    for batch in few(batches):
         rows = []
         for key, data, n, spans in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             text, cuts = pa.decompress(data, n, "zstd", asbytes=True), merged([(s["low"], s["high"]) for s in spans])
@@ -359,8 +366,9 @@ def spans_by_text(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> tupl
     once = F.xxhash64("key", "place")
     shared = found.groupBy(F.col("anchor").alias("s")).agg(F.min(once).alias("a"), F.max(once).alias("b")).filter("a != b").select("s")
     shared = written(shared, "repeat-anchors")
-    several = found.join(shared, F.col("anchor") == F.col("s")).select("anchor", "context", "key", "place").distinct()
-    several = written(several, "repeat-shared")
+    joined = written(found.join(shared, F.col("anchor") == F.col("s")).select("anchor", "context", "key", "place"), "repeat-joined")
+    # apart from the join, whose hot anchors can so be split; copies of a text combine before the shuffle
+    several = written(joined.distinct(), "repeat-shared")
 
     # contexts that occur twice are repeated as a whole
     kinds = several.groupBy(F.col("anchor").alias("k"), F.col("context").alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("at"))
