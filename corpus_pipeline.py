@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from propmart.llm import decontaminate, language, lsh_forest, mixing, packing
-from propmart.llm.common import written
+from propmart.llm.common import ship_package, written
 from propmart.llm.queries import byte_bpe
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -55,6 +55,7 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; the rows are those of the last one."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
