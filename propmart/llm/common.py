@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +18,21 @@ from pyspark.sql import functions as F
 from propmart.session import checkpoint_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they find it by themselves.
+
+    They do where its folder is the working folder or on PYTHONPATH, or where
+    the job was submitted with ``--py-files``.  Once per Spark context.
+    """
+    root = Path(__file__).resolve().parents[2]
+    known = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    sc = spark.sparkContext
+    if root.suffix == ".zip" or any(p.resolve() == root for p in known) or any("propmart" in f for f in sc.listFiles):
+        return
+    made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='propmart-')}/propmart", "zip", root, "propmart")
+    sc.addPyFile(made)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
@@ -24,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     found = checkpoint_dir(spark)
     if found is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="propmart-shared-"))
         found = spark.sparkContext.getCheckpointDir()
@@ -152,9 +169,10 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     while True:
         both = pairs.union(pairs.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+        least = written(least, name)  # a table of its own, so that the join can split a node with very many edges
         large = both.join(least, F.col("u") == F.col("n")).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = written(large.filter(F.col("u") != F.col("v")).distinct(), name)
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m")
+        least = written(pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m"), name)
         hung = pairs.join(least, F.col("u") == F.col("n"))
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v"))
         pairs = written(small.union(least.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct(), name)
