@@ -40,22 +40,22 @@ def test_quarters_weigh_equally(spark):
     assert avg_rent(_rent(spark, rows)).first().avg_rent == 700.0
 
 
-def test_roi_literal_rows(spark):
-    """The three literal rows of the source: price / (12 * average rent)."""
+def test_roi_of_three_years(spark):
+    """price / (12 * average rent), each year and neighborhood by itself."""
     listings = spark.createDataFrame(
         [
-            ("El Carmel", 149000, 92175668, dt.date(2020, 5, 1), "sale"),
-            ("Can Baró", 130000, 84215678, dt.date(2021, 5, 1), "sale"),
-            ("Gràcia", 180000, 79134567, dt.date(2022, 5, 1), "sale"),
+            ("North", 120000, 11, dt.date(2019, 5, 1), "sale"),
+            ("South", 90000, 12, dt.date(2020, 5, 1), "sale"),
+            ("Hill", 210000, 13, dt.date(2021, 5, 1), "sale"),
         ],
         LISTING,
     )
     rents = spark.createDataFrame(
-        [(2020, "El Carmel", 687.025), (2021, "Can Baró", 645.324), (2022, "Gràcia", 723.543)],
+        [(2019, "North", 500.0), (2020, "South", 600.0), (2021, "Hill", 1000.0)],
         "year bigint, neighborhood string, avg_rent double",
     )
     got = {r.propertyCode: round(r["ROI/Year"], 6) for r in roi_from_avg_rent(listings, rents).collect()}
-    assert got == {92175668: 18.073093, 84215678: 16.787433, 79134567: 20.731318}
+    assert got == {11: 20.0, 12: 12.5, 13: 17.5}
 
 
 def test_roi_zero_rent_duplicates_and_missing(spark):

@@ -70,11 +70,11 @@ def test_linear_fit_matches_estimator(spark):
     assert abs(closed.intercept - lr.intercept) < 1e-4
 
 
-def test_linear_model_on_the_literal_rows(spark):
-    """S13 + M8: the three literal (price, average rent) rows; rent ~ price by least squares."""
+def test_linear_model_on_rows_made_here(spark):
+    """S13 + M8: three (price, average rent) rows; rent ~ price by least squares."""
     import numpy as np
 
-    rows = [(149000.0, 687.025), (130000.0, 645.324), (180000.0, 723.543)]
+    rows = [(120000.0, 500.0), (90000.0, 610.5), (210000.0, 1000.25)]
     df = spark.createDataFrame(rows, "price double, avg_rent double")
     model = fit_linear_model(df, "avg_rent", ["price"])
     slope, intercept = np.polyfit([r[0] for r in rows], [r[1] for r in rows], 1)
