@@ -42,7 +42,7 @@ def run(spark, landing: str, root: str, steps=STEPS, tune: bool = True) -> dict:
         sized(f"{root}/formatted")
         done["exploitation"] = build_exploitation(spark, f"{root}/formatted", f"{root}/exploitation")
     if "model" in steps:
-        _, _, metrics = build_model(spark, f"{root}/formatted", f"{root}/model")
+        _, _, metrics = build_model(spark, f"{root}/formatted", f"{root}/model", segments_path=f"{root}/segments")
         done["model"] = metrics.first().asDict()
     return done
 

@@ -101,6 +101,9 @@ def test_runner_all_steps(spark, tmp_dir):
     assert all(v == 200 for v in out["shuffle_partitions"].values())  # tiny inputs -> the floor
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out["model"]["n"] > 0
+    segments = spark.read.parquet(f"{tmp_dir}/zones/segments")
+    assert segments.count() == spark.read.parquet(f"{tmp_dir}/zones/formatted/idealista").count()
+    assert segments.where("avg IS NULL").count() == 0
     assert glob.glob(f"{tmp_dir}/zones/exploitation/avg_price/part-*.csv")
 
 
