@@ -81,44 +81,53 @@ def fingerprint(sketch: Column) -> Column:
     return F.translate(F.base64(F.unhex(F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), ""))), "\r\n", "")
 
 
+def _longs(values: list[int]) -> Column:
+    """An array of numbers as one constant, however many there are."""
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _bucket(doc_id: Column, bounds: list[int]) -> Column:
-    """Number of bounds that are at least ``doc_id``, in two steps; null: after all others."""
+    """Number of descending bounds that are at least ``doc_id``, in two steps; null: after all others."""
     if not bounds:
         return F.when(doc_id.isNull(), 1).otherwise(0)
     width = max(1, int(len(bounds) ** 0.5))
-    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]  # descending
-    least = F.array(*[F.lit(g[-1]).cast("long") for g in groups])
-    lists = F.array(*[F.array(*[F.lit(x).cast("long") for x in g]) for g in groups])
-    whole = F.size(F.filter(least, lambda x: x >= doc_id))
-    part = F.coalesce(F.size(F.filter(F.get(lists, whole), lambda x: x >= doc_id)), F.lit(0))
-    part = F.when(whole == len(groups), 0).otherwise(part)
-    return F.when(doc_id.isNull(), len(groups) * width + 1).otherwise(whole * width + part)
+    whole = F.size(F.filter(_longs(bounds[width - 1 :: width]), lambda x: x >= doc_id))  # full groups of bounds
+    part = F.size(F.filter(F.slice(_longs(bounds), whole * width + 1, width), lambda x: x >= doc_id))
+    return F.when(doc_id.isNull(), len(bounds) + 1).otherwise(whole * width + part)
 
 
 def with_next(rows: DataFrame, columns: list[str], derived: dict[str, Column], buckets: int) -> DataFrame:
     """Each row with ``columns`` of the next one in descending doc_id, as next_<column>.
 
-    ``derived`` columns are computed after the shuffle and led likewise.  The last row's next is the first; null ids come last, rows of one id are
-    ordered by text.  Ids are cut into about ``buckets`` runs; the first id
-    of a run also visits the run before it, so one shuffle is enough.  The
-    driver holds one id per run.
+    ``derived`` columns are computed after the shuffle and led likewise.  The last
+    row's next is the first; null ids come last, rows of one id are ordered by
+    text.  Ids are cut into about ``buckets`` runs; the first id of a run also
+    visits the run before it, so one shuffle is enough.  The driver holds one
+    id per run, and that list is broadcast.
     """
     probabilities = [i / buckets for i in range(1, buckets)]
     found = rows.agg(F.percentile_approx("doc_id", probabilities, max(10_000, 10 * buckets))).first()[0] if probabilities else None
     bounds = sorted(set(found or []), reverse=True)
     bucket = _bucket(F.col("doc_id"), bounds)
     tops = sorted((r.b, r.top) for r in rows.select("doc_id").groupBy(bucket.alias("b")).agg(F.max("doc_id").alias("top")).collect())
-    before = {b: tops[i - 1][0] for i, (b, _) in enumerate(tops)}
     if not tops:
         same = rows.select("*", *[F.col(c).alias(f"next_{c}") for c in columns]).withColumns(derived)
         return same.select("*", *[F.col(c).alias(f"next_{c}") for c in derived])
-    visits = F.element_at(F.create_map(*[F.lit(x) for b, p in before.items() for x in (b, p)]), F.col("__bucket"))
-    is_top = F.col("doc_id").eqNullSafe(F.element_at(F.create_map(*[x for b, top in tops for x in (F.lit(b), F.lit(top).cast("long"))]), F.col("__bucket")))
-    own = F.struct(F.col("__bucket").alias("run"), F.lit(False).alias("guest"))
-    guest = F.struct(visits.alias("run"), F.lit(True).alias("guest"))
-    dealt = rows.withColumn("__bucket", bucket).withColumn("__at", F.explode(F.when(is_top, F.array(own, guest)).otherwise(F.array(own))))
+    numbers = [b for b, _ in tops]
+    runs = rows.sparkSession.range(len(tops)).select(
+        F.get(_longs(numbers), F.col("id").cast("int")).alias("__own"),
+        # the run of null ids has no first id
+        F.get(_longs([t for _, t in tops if t is not None]), F.col("id").cast("int")).alias("__top"),
+        F.get(_longs(numbers[-1:] + numbers[:-1]), F.col("id").cast("int")).alias("__before"),
+    )
+    placed = rows.withColumn("__bucket", bucket.cast("long")).join(F.broadcast(runs), F.col("__bucket") == F.col("__own"))
+    own = F.struct(F.col("__own").alias("run"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("__before").alias("run"), F.lit(True).alias("guest"))
+    at = F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("__top")), F.array(own, guest)).otherwise(F.array(own)))
+    dealt = placed.withColumn("__at", at).select(*rows.columns, F.col("__at.run").alias("__run"), F.col("__at.guest").alias("__guest"))
     order = Window.partitionBy("__run").orderBy("__guest", F.col("doc_id").desc_nulls_last(), "text")
-    dealt = dealt.select(*rows.columns, F.col("__at.run").alias("__run"), F.col("__at.guest").alias("__guest"))
     led = dealt.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
     led = led.withColumns(derived).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in derived])
     return led.filter(~F.col("__guest")).drop("__run", "__guest")
