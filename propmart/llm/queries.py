@@ -96,6 +96,30 @@ select page_id, url, payload_bytes, payload_digest,
        case when last <> page_id then 'revisit' else 'response' end as record_type,
        case when last <> page_id then last end as refers_to
 from kept
+""",
+    "op5_jaccard_join": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), classes as (
+  select w, min(doc_id) as node, count(*)::bigint as copies from words group by w
+), sets as (
+  select node, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                  when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+  from classes
+), grams as (select node, len(s) as n, unnest(s) as g from sets
+), pairs as (
+  select a.node as x, b.node as y from grams a join grams b on a.g = b.g and a.node < b.node
+  group by a.node, b.node, a.n, b.n having count(*)::double / (a.n + b.n - count(*)) >= 0.8
+), links as (select x, y from pairs union all select y, x from pairs
+), reach as (
+  select node, node as other from classes
+  union
+  select r.node, l.y from reach r join links l on r.other = l.x
+), groups as (select node, min(other) as class_id from reach group by node
+), counts as (select x, count(*)::bigint as n_links from links group by x
+)
+select d.doc_id, g.class_id, coalesce(c.n_links, 0)::bigint as n_links, k.copies
+from words d join classes k on d.w = k.w join groups g on g.node = k.node left join counts c on c.x = k.node
 """,
     "op7_mix_sources": r"""
 with sized as (
