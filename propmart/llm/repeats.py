@@ -381,6 +381,7 @@ def spans_by_text(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> tupl
 
     # the others are compared with all contexts of their anchor
     groups = kinds.groupBy(F.col("k").alias("g")).agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("fewest")).filter("fewest = 1")
+    groups = written(groups, "repeat-groups")  # a table of its own, so that the join can split an anchor with very many contexts
     listed = kinds.join(groups, F.col("k") == F.col("g")).select(
         F.col("at.key").alias("key"),
         F.struct(F.shiftright("at.place", 32).cast("int").alias("place"), F.col("k").alias("anchor"), (F.col("n") == 1).alias("single")).alias("x"),
