@@ -14,7 +14,7 @@ from propmart.llm.common import written
 
 K = 256
 SIZE = 5
-BUCKETS_PER_PARTITION = 8
+BUCKETS_PER_PARTITION = 32
 MERGED_AT_ONCE = 64
 
 
