@@ -97,17 +97,8 @@ def attribute(docs: DataFrame, tokenizer: str, rule: str = "most", sections: str
         made = encoder(tokenizer)
         for batch in pieces(batches, "text"):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            if len(texts) == 1:  # perhaps a very long one
-                spans, base = [], 0
-                for part in long_parts(texts[0]):
-                    b, e, _ = made.spans([part])
-                    spans.append((b + base, e + base))
-                    base += len(part)
-                begin, end = (np.concatenate(x) for x in zip(*spans, strict=True))
-                per_text = np.array([len(begin)])
-            else:
-                begin, end, per_text = made.spans(texts)
-            ends = np.concatenate([[0], np.cumsum(per_text)])
+            whole = None if len(texts) == 1 else made.spans(texts)
+            ends = [0, 0] if whole is None else np.concatenate([[0], np.cumsum(whole[2])])
             given = batch.column(2).to_pylist() if sections else [None] * len(texts)
             out: list[list] = [[] for _ in range(8)]
             for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), texts, strict=True)):
@@ -119,10 +110,19 @@ def attribute(docs: DataFrame, tokenizer: str, rule: str = "most", sections: str
                         raise ValueError(f"sections of document {key} overlap")
                 else:
                     low, high = line_sections(text)
-                counts, crossing, outside = allocate(begin[ends[i] : ends[i + 1]], end[ends[i] : ends[i + 1]], low, high, rule)
                 n = len(low)
+                if whole is not None:
+                    n_tokens = int(whole[2][i])
+                    counts, crossing, outside = allocate(whole[0][ends[i] : ends[i + 1]], whole[1][ends[i] : ends[i + 1]], low, high, rule)
+                else:  # perhaps a very long text: its parts add up
+                    counts, crossing, outside, n_tokens, base = np.zeros(n), np.zeros(n, np.int64), 0, 0, 0
+                    for part in long_parts(text):
+                        b, e, _ = made.spans([part])
+                        more = allocate(b + base, e + base, low, high, rule)
+                        counts, crossing, outside = counts + more[0], crossing + more[1], outside + more[2]
+                        n_tokens, base = n_tokens + len(b), base + len(part)
                 rows = (range(n), low.tolist(), high.tolist(), counts.tolist(), crossing.tolist()) if n else ([None], [0], [0], [0.0], [0])
-                for column, values in zip(out, ([key] * max(n, 1), *rows, [int(per_text[i])] * max(n, 1), [outside] * max(n, 1)), strict=True):
+                for column, values in zip(out, ([key] * max(n, 1), *rows, [n_tokens] * max(n, 1), [outside] * max(n, 1)), strict=True):
                     column.extend(values)
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[f.split()[0] for f in SCHEMA.split(", ")])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from propmart.llm import shingles as sh
 from propmart.llm.common import pieces
-from propmart.llm.tokens import LETTER, _classes
+from propmart.llm.tokens import LETTER, LONG, _classes, long_parts
 
 SAMPLE_DOCS = 1500  # labelled rows per language that the trigrams are learned from
 BUCKET_BITS = 16
@@ -76,8 +76,8 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str
             texts = batch.column(1).to_pylist()
             langs = batch.column(0).to_pylist()
             for name in set(langs):
-                bucket, _, _ = trigrams([t for t, x in zip(texts, langs, strict=True) if x == name])
-                sums[name] = sums.get(name, 0) + np.bincount(bucket, minlength=1 << BUCKET_BITS)
+                for part in (p for t, x in zip(texts, langs, strict=True) if x == name for p in long_parts(t)):
+                    sums[name] = sums.get(name, 0) + np.bincount(trigrams([part])[0], minlength=1 << BUCKET_BITS)
         if sums:
             yield pa.RecordBatch.from_pydict({"lang": list(sums), "counts": pa.array(list(sums.values()), pa.list_(pa.int64()))})
 
@@ -122,19 +122,39 @@ def _mixture(like: np.ndarray, doc: np.ndarray, n_docs: int, allowed: np.ndarray
     return share, total
 
 
+def _word_logs(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihood of every word in every language, and words per text; long texts in parts."""
+    owner, parts = [], []
+    for i, text in enumerate(texts):
+        for part in long_parts(text):
+            owner.append(i)
+            parts.append(part)
+    logs, n_words, at = [np.zeros((0, table.shape[1]), np.float32)], np.zeros(len(texts), np.int64), 0
+    while at < len(parts):
+        stop, size = at, 0
+        while stop < len(parts) and (stop == at or size + len(parts[stop]) <= LONG):
+            size += len(parts[stop])
+            stop += 1
+        bucket, first, bounds = trigrams(parts[at:stop])
+        if len(first):
+            log = np.add.reduceat(table[bucket], first, axis=0)
+            length = np.diff(np.append(first, len(bucket)))
+            log *= np.minimum(1.0, LONGEST / length)[:, None].astype(np.float32)  # a run of letters without end is one word among others
+            logs.append(log)
+        np.add.at(n_words, owner[at:stop], np.diff(bounds))
+        at = stop
+    return np.concatenate(logs), n_words
+
+
 def infer(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Best language (-1: no letter), its proportion, and all proportions and chosen sets."""
     n, k = len(texts), table.shape[1]
-    bucket, first, bounds = trigrams(texts)
+    log, n_words = _word_logs(texts, table)
     best, score = np.full(n, -1), np.zeros(n)
     shares, chosen = np.zeros((n, k)), np.zeros((n, k), bool)
-    n_words = np.diff(bounds)
     have = np.flatnonzero(n_words)
     if not len(have) or not k:
         return best, score, shares, chosen
-    log = np.add.reduceat(table[bucket], first, axis=0)
-    length = np.diff(np.append(first, len(bucket)))
-    log *= np.minimum(1.0, LONGEST / length)[:, None].astype(np.float32)  # a run of letters without end is one word among others
     top = log.max(axis=1)
     like = np.exp(log - top[:, None]) + np.float32(1e-30)
     doc = np.repeat(np.arange(len(have)), n_words[have])

@@ -14,6 +14,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+SLICE = 1 << 21  # bytes that are hashed at once
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -63,7 +64,26 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
 
 
 def words(data: np.ndarray, bounds: np.ndarray, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first byte and end of every word, and word bounds of the documents."""
+    """Hash, first byte and end of every word, and word bounds of the documents.
+
+    Many bytes, such as those of one very long text, are taken in slices that
+    end at white space.
+    """
+    parts, low = [], 0
+    while low < len(data):
+        high = min(len(data), low + SLICE)
+        while high < len(data) and not white[data[high]]:
+            ahead = white[data[high : high + 4096]]
+            high = min(len(data), high + (int(ahead.argmax()) if ahead.any() else 4096))
+        a, b = np.searchsorted(bounds, [low, high], side="right")
+        hashes, start, end = _words(data[low:high], bounds[a:b] - low, white)
+        parts.append((hashes, start + low, end + low))
+        low = high
+    hashes, start, end = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return hashes, start, end, np.searchsorted(start, bounds)
+
+
+def _words(data: np.ndarray, bounds: np.ndarray, white: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = ~white[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
@@ -72,7 +92,7 @@ def words(data: np.ndarray, bounds: np.ndarray, white: np.ndarray = WHITE) -> tu
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
     p = prefix_hash(data)
     down = powers(len(data) + 1)[1]
-    return mix((p[end] - p[start]) * down[start]), start, end, np.searchsorted(start, bounds)
+    return mix((p[end] - p[start]) * down[start]), start, end
 
 
 @cache

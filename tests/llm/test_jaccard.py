@@ -151,3 +151,15 @@ def test_word_and_shingle_hashes():
     assert np.diff(g_bounds).tolist() == [max(len(w) - 4, min(len(w), 1)) for w in map(words, texts)]
     keys = sh.sequence_key(hashes, bounds)
     assert keys[0] == keys[6] and keys[1] == keys[2] == keys[4] and len(set(keys)) == 4
+
+
+def test_words_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("ab é\n\t") for _ in range(rnd.randint(0, 300))) for _ in range(40)] + ["x" * 500, "", " " * 100]
+    want = sh.words(*sh.text_bytes(pa.array(texts)))
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(sh, "SLICE", size)
+        got = sh.words(*sh.text_bytes(pa.array(texts)))
+        assert all((a == b).all() for a, b in zip(got, want, strict=True))

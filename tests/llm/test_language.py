@@ -84,3 +84,14 @@ def test_trigrams_do_not_cross_texts():
     alone = [language.trigrams([t])[0].tolist() for t in ("ab", "cd", "", "a b")]
     assert bucket.tolist() == sum(alone, [])
     assert first.tolist() == [0, 2, 4, 5] and bounds.tolist() == [0, 1, 2, 2, 4]
+
+
+def test_long_texts_in_parts(monkeypatch):
+    import numpy as np
+
+    table = np.log(np.random.default_rng(1).random((1 << language.BUCKET_BITS, 3)).astype(np.float32) + 0.1)
+    some = [" ".join(texts(EN, 40)), "", "12 34", " ".join(texts(DE, 25)), "é", " ".join(texts(FR, 90))]
+    want = language.infer(some, table)
+    monkeypatch.setattr(language, "LONG", 64)
+    monkeypatch.setattr(language, "long_parts", lambda t, f=language.long_parts: f(t, 30))
+    assert all(np.allclose(a, b) for a, b in zip(language.infer(some, table), want, strict=True))
