@@ -11,6 +11,7 @@ with a normalizer are refused.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -20,9 +21,9 @@ import numpy as np
 from propmart.llm.shingles import mix, powers
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
-MOST_PIECES = 500_000  # distinct pieces kept by a worker; then it starts anew
-SLOT_BITS = 21
-LONG = 1 << 22  # characters of one text that are split at once
+MOST_PIECES = 300_000  # distinct pieces kept by a worker; then it starts anew
+SLOT_BITS = 20
+LONG = 1 << 20  # characters of one text that are split at once
 JOINED = 500  # new pieces given to the library as one text
 
 
@@ -131,6 +132,8 @@ class Encoder:
     """Ids, and on request character spans, of whole texts."""
 
     def __init__(self, path: str):
+        # a task has one core; the library's own threads would also keep memory each
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
