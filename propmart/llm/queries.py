@@ -151,5 +151,57 @@ with sized as (
 select doc_id, size, source_size, target,
        (size * (whole + case when r_end * 2 - unit < need * 2 then 1 else 0 end))::bigint as taken
 from runs
+""",
+    "op9_trigram_secrets": r"""
+with d as (select doc_id, coalesce(text, '') as t from documents
+), rules as (
+  select * from (values
+    (0, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+    (1, 'access', '(AKIA[A-Z0-9]+)', 20),
+    (2, 'hex', '([0-9a-f]+)', 24),
+    (3, 'pem', '(-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----)', 1),
+    (4, 'jwt', '(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})', 1)) r(k, kind, p, least)
+), matches as (
+  -- runs of 20 and 24 characters first, as DuckDB splits texts for every match
+  select doc_id, k, kind, least, t, p, regexp_extract_all(t, p) as m, regexp_extract_all(t, p, 1) as v, string_split_regex(t, p) as gaps
+  from d, rules where regexp_matches(t, case k when 2 then '[0-9a-f]{24}' else p end)
+), places as (
+  select doc_id, k, kind, least, unnest(list_transform(range(1, len(m) + 1), lambda i: {
+           'start': list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+           'n': length(m[i]), 'v': length(v[i])})) as s
+  from matches
+), spans as (
+  select doc_id, k, s.start as start, kind || ':' || s.start::bigint || ':' || (s.start + s.n)::bigint as span from places where s.v >= least
+), sums as (
+  select doc_id, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex,
+         coalesce(string_agg(span, ',' order by start, k) filter (k < 3), '') as base, string_agg(span, ',' order by start, k) as spans
+  from spans group by doc_id
+)
+select d.doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join sums using (doc_id)
+""",
+    "op10_suffix_dedup": """
+with h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents
+), windows as (
+  select doc_id, j, md5(substring(x, 2 * j + 1, 400)) as g
+  from (select doc_id, x, unnest(range(0, len(x) // 2 - 199)) as j from h where len(x) >= 400)
+), twice as (select g from windows group by g having count(*) > 1
+), marked as (
+  select doc_id, j, coalesce((j > lag(j) over (partition by doc_id order by j) + 200)::int, 1) as fresh from windows semi join twice using (g)
+), runs as (select doc_id, j, sum(fresh) over (partition by doc_id order by j) as n from marked
+), spans as (select doc_id, n, min(j) as a, max(j) + 200 as b from runs group by doc_id, n
+), pieces as (
+  select doc_id, a as place, coalesce(lag(b) over (partition by doc_id order by a), 0) as low, a as high from spans
+  union all
+  select doc_id, max(b) + 1, max(b), null from spans group by doc_id
+), kept as (
+  select doc_id, string_agg(substring(x, 2 * low + 1, 2 * (coalesce(high, len(x) // 2) - low)), '' order by place) as k
+  from pieces join h using (doc_id) group by doc_id
+), sums as (select doc_id, sum(b - a)::bigint as n_removed, count(*)::bigint as n_spans from spans group by doc_id
+)
+select h.doc_id, (len(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(k, x))) as kept_sha256
+from h left join sums using (doc_id) left join kept using (doc_id)
 """,
 }
