@@ -107,21 +107,20 @@ class Benchmark:
 
 
 def longest_stretch(equal: np.ndarray, agree: float) -> tuple[int, int]:
-    """First place and length of the longest stretch with a share of ``agree``, from equal to equal."""
+    """First place and length of the longest stretch, from an equal token to an equal one, of which a share of ``agree`` is equal.
+
+    Of several the one with most equal tokens, then the first.
+    """
+    place = np.flatnonzero(equal)
+    if not len(place):
+        return 0, 0
     share = round(agree * 1000)
-    run = np.concatenate([[0], np.cumsum(np.where(equal, 1000 - share, -share))])
-    lows = np.minimum.accumulate(run)
-    highs = np.maximum.accumulate(run[::-1])[::-1]
-    # the first place whose running sum is no higher than the best that follows
-    starts = np.searchsorted(-lows, -highs, side="left")
-    n = np.arange(len(run)) - starts
-    best = int(n.argmax())
-    first, end = int(starts[best]), best
-    while end > first and not equal[first]:
-        first += 1
-    while end > first and not equal[end - 1]:
-        end -= 1
-    return first, end - first
+    run = 1000 * np.arange(len(place)) - share * place
+    # for each end the first start from which the share is reached
+    start = np.searchsorted(-np.minimum.accumulate(run), -(run + 1000 - share), side="left")
+    n = place - place[start] + 1
+    best = int(np.lexsort((place, -(np.arange(len(place)) - start), -n))[0])
+    return int(place[start[best]]), int(n[best])
 
 
 def _parts(benchmark: DataFrame, part_bytes: int) -> Iterator:

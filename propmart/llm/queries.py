@@ -203,5 +203,24 @@ with h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents
 select h.doc_id, (len(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
        sha256(unhex(coalesce(k, x))) as kept_sha256
 from h left join sums using (doc_id) left join kept using (doc_id)
+""",
+    "op4_spaced_seeds": """
+with d as (
+  select doc_id, unnest(w) as token, unnest(range(len(w))) as i
+  from (select doc_id, regexp_extract_all(lower(text), '[^\\x00-/:-@\\[-`{-\\x7F]+') as w from documents)
+), b as (
+  select item_id, len(w) as item_tokens, unnest(w) as token, unnest(range(len(w))) as j
+  from (select item_id, regexp_extract_all(lower(text), '[^\\x00-/:-@\\[-`{-\\x7F]+') as w from benchmark)
+), equal as (
+  select doc_id, item_id, item_tokens, i - j as shift, j, row_number() over (partition by doc_id, item_id, i - j order by j) as k
+  from d join b using (token) where item_tokens >= 5
+  qualify count(*) over (partition by doc_id, item_id, i - j) >= 0.8 * least(13, item_tokens)
+), stretches as (
+  select x.doc_id, x.item_id, x.item_tokens, x.j as first, y.j - x.j + 1 as n_tokens, y.k - x.k + 1 as n_equal
+  from equal x join equal y on x.doc_id = y.doc_id and x.item_id = y.item_id and x.shift = y.shift and x.j <= y.j
+  where (y.k - x.k + 1) * 1000 >= 800 * (y.j - x.j + 1) and y.j - x.j + 1 >= least(13, x.item_tokens)
+)
+select doc_id, item_id, item_tokens::bigint as item_tokens, first::bigint as first, n_tokens::bigint as n_tokens, n_equal::bigint as n_equal
+from stretches qualify row_number() over (partition by doc_id, item_id order by n_tokens desc, n_equal desc, first) = 1
 """,
 }
