@@ -33,7 +33,7 @@ from propmart.llm import shingles as sh
 from propmart.llm.common import pieces, sorted_groups, written
 
 WIDTH, GRAM = 200, 64
-CHUNK = 8 << 20  # bytes of one long text that are searched at once
+CHUNK = 1 << 19  # bytes of one long text that are searched at once
 LARGE_GROUP = 20_000  # contexts of one anchor that are sorted in one task
 BATCH_CONTEXTS = 5_000
 BATCH_TEXTS = 500  # texts that are Python objects at once
@@ -87,7 +87,7 @@ def _anchor_rows(width: int, gram: int):
         return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(keys[doc]), pa.array(packed)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1 << 19):  # some ten arrays of eight bytes per byte
             data, bounds = sh.text_bytes(batch.column(1))
             keys = np.asarray(batch.column(0))
             if batch.num_rows > 1 or len(data) <= CHUNK:
@@ -307,13 +307,16 @@ def _windows(width: int, gram: int):
                 if not listed:
                     continue
                 text = np.frombuffer(pa.decompress(data, n, "zstd"), np.uint8)
-                prefix, down = sh.prefix_hash(text), sh.powers(n + 1)[1]
-                for a in range(0, len(listed), 1000):
-                    place = np.array([x["place"] for x in listed[a : a + 1000]])
-                    start = np.unique(place[:, None] - np.arange(width - gram + 1))
-                    start = start[(start >= 0) & (start + width <= n)]
+                place = np.sort(np.array([x["place"] for x in listed]))
+                while len(place):  # anchors that lie near each other
+                    near, place = np.split(place, [min(1000, int(np.searchsorted(place, place[0] + CHUNK)))])
+                    base = max(0, int(near[0]) - width)
+                    part = text[base : int(near[-1]) + width]
+                    prefix, down = sh.prefix_hash(part), sh.powers(len(part) + 1)[1]
+                    start = np.unique(near[:, None] - np.arange(width - gram + 1)) - base
+                    start = start[(start >= 0) & (start + width <= len(part))]
                     hashes = sh.mix((prefix[start + width] - prefix[start]) * down[start])
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(np.full(len(start), key)), pa.array(start)], names=["hash", "key", "low"])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(np.full(len(start), key)), pa.array(start + base)], names=["hash", "key", "low"])
 
     return run
 
