@@ -1011,7 +1011,8 @@ def q_forest(spark, sf) -> DataFrame:
 
 def order_texts(spark, sf) -> DataFrame:
     """One JSON array of two listing records per order: numbers plain, then quoted or with '.0'."""
-    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    # one table file is one task; listing files come in many
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority").repartition(32)
     whole = F.floor("o_totalprice").cast("long")
     common = [
         F.struct(F.col("o_orderpriority").alias("typology"), F.lit(None).cast("string").alias("subTypology")).alias("detailedType"),

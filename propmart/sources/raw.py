@@ -58,7 +58,8 @@ def json_records(texts: DataFrame) -> DataFrame:
     records = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
     rows = parsed.select("source_file", F.when(F.col("v").isNull(), F.col("value")).alias("bad_text"), F.explode(records).alias("record"))
     is_object = F.schema_of_variant("record").startswith("OBJECT")
-    problem = F.when(F.col("bad_text").isNotNull(), "not JSON").when(~F.coalesce(is_object, F.lit(False)), "not a record")
+    keyed = F.try_variant_get("record", "$.propertyCode", "variant").isNotNull()  # the usual case, without a schema
+    problem = F.when(F.col("bad_text").isNotNull(), "not JSON").when(keyed, F.lit(None)).when(~F.coalesce(is_object, F.lit(False)), "not a record")
     rows = rows.select("source_file", "record", problem.alias("problem"), "bad_text")
     return rows.withColumn("bad_text", F.when(F.col("problem") == "not a record", F.col("record").cast("string")).otherwise(F.col("bad_text")))
 
