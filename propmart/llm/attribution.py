@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propmart.llm.common import pieces
-from propmart.llm.tokens import encoder, long_parts
+from propmart.llm.tokens import encoder
 
 RULES = ("first", "most", "share")
 
@@ -116,7 +116,7 @@ def attribute(docs: DataFrame, tokenizer: str, rule: str = "most", sections: str
                     counts, crossing, outside = allocate(whole[0][ends[i] : ends[i + 1]], whole[1][ends[i] : ends[i + 1]], low, high, rule)
                 else:  # perhaps a very long text: its parts add up
                     counts, crossing, outside, n_tokens, base = np.zeros(n), np.zeros(n, np.int64), 0, 0, 0
-                    for part in long_parts(text):
+                    for part in made.parts(text):
                         b, e, _ = made.spans([part])
                         more = allocate(b + base, e + base, low, high, rule)
                         counts, crossing, outside = counts + more[0], crossing + more[1], outside + more[2]

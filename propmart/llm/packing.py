@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propmart.llm.common import OwnFile, open_input, pieces, scratch, written
-from propmart.llm.tokens import encoder, long_parts
+from propmart.llm.tokens import encoder
 
 MAGIC = b"PMPACK01"
 HEAD, TAIL = struct.Struct("<8sII"), struct.Struct("<qqqq8s")
@@ -161,7 +161,7 @@ def write_packed(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2)
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             if len(texts) == 1:  # perhaps a very long one
                 n = 0
-                for part in long_parts(texts[0]):
+                for part in made.parts(texts[0]):
                     ids, _ = made.encode([part])
                     writer.ids(ids)
                     n += len(ids)

@@ -17,6 +17,7 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import regex
 
 from propmart.llm.shingles import mix, powers
 
@@ -25,13 +26,13 @@ MOST_PIECES = 300_000  # distinct pieces kept by a worker; then it starts anew
 SLOT_BITS = 20
 LONG = 1 << 20  # characters of one text that are split at once
 JOINED = 500  # new pieces given to the library as one text
+# where a piece ends and another starts, whatever stands before and after
+_CUT = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}])(?=\p{N})|(?<=[^\s\p{L}\p{N}'])(?=\p{L})")
 
 
 @cache
 def _classes() -> np.ndarray:
     """Class of every code point, as the split pattern tells them apart."""
-    import regex
-
     table = np.zeros(0x110000, np.uint8)
     for low, high in ((0, 0xD800), (0xE000, 0x110000)):
         run = "".join(map(chr, range(low, high)))
@@ -182,37 +183,51 @@ class Encoder:
         self.begin.extend(begin)
         self.end.extend(end)
 
-    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers and starts of the pieces of all texts, and the texts' bounds."""
-        if self.numbers.count > MOST_PIECES:
-            self._clear()
+    def _pieces(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts in a row, their code points, the starts of all pieces, and the texts' bounds."""
         text = "".join(texts)
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
         start = split(code, bounds) if len(code) else np.zeros(0, np.int64)
+        return text, code, start, bounds
+
+    def _numbered(self, text: str, code: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
+        """Numbers of the pieces in their order, in as many runs as the tables need.
+
+        The numbers of a run hold until the next one is taken.
+        """
         end = np.append(start[1:], len(code))
         up, down = powers(len(code) + 1)
         prefix = np.zeros(len(code) + 1, np.uint64)
         np.cumsum((code.astype(np.uint64) + np.uint64(1)) * up[:-1], out=prefix[1:])
         hashes = mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
         hashes[hashes == 0] = 1
-        numbers = self.numbers.find(hashes)
-        if len(missing := np.flatnonzero(numbers < 0)):
-            room = (1 << SLOT_BITS) // 2
-            distinct, where = np.unique(hashes[missing], return_index=True)
-            if self.numbers.count + len(distinct) > room:
-                if self.numbers.count == 0:
-                    raise ValueError("too many distinct pieces in one batch of texts")
-                self._clear()
-                return self._pieces(texts)
-            at = missing[where]
-            kind = _classes()
-            joinable = (code[start[at]] == 32) & (end[at] - start[at] > 1)
-            joinable &= kind[code[np.minimum(start[at] + 1, len(code) - 1)]] == LETTER
-            self._learn([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], joinable)
-            self.numbers.add(distinct)
-            numbers[missing] = self.numbers.find(hashes[missing])
-        return numbers, start, bounds
+        del prefix
+        room = (1 << SLOT_BITS) // 2
+        step = max(1, len(hashes))
+        if self.numbers.count > MOST_PIECES:
+            self._clear()
+        if self.numbers.count + len(np.unique(hashes[self.numbers.find(hashes) < 0])) > room:
+            self._clear()
+            if len(np.unique(hashes)) > room:
+                step = room
+        for low in range(0, len(hashes), step):
+            run = hashes[low : low + step]
+            numbers = self.numbers.find(run)
+            if len(missing := np.flatnonzero(numbers < 0)):
+                distinct, where = np.unique(run[missing], return_index=True)
+                if self.numbers.count + len(distinct) > room:
+                    self._clear()
+                    missing = np.arange(len(run))
+                    distinct, where = np.unique(run, return_index=True)
+                at = low + missing[where]
+                kind = _classes()
+                joinable = (code[start[at]] == 32) & (end[at] - start[at] > 1)
+                joinable &= kind[code[np.minimum(start[at] + 1, len(code) - 1)]] == LETTER
+                self._learn([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], joinable)
+                self.numbers.add(distinct)
+                numbers[missing] = self.numbers.find(run[missing])
+            yield numbers
 
     def _expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Position of every token in the piece tables, and tokens per piece."""
@@ -222,19 +237,44 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        numbers, start, bounds = self._pieces(texts)
-        at, count = self._expand(numbers)
-        ends = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
-        return self.ids.data[at], np.diff(ends[np.searchsorted(start, bounds)])
+        text, code, start, bounds = self._pieces(texts)
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)]
+        for numbers in self._numbered(text, code, start):
+            at, count = self._expand(numbers)
+            ids.append(self.ids.data[at])
+            counts.append(count)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(counts), dtype=np.int64)])
+        return np.concatenate(ids), np.diff(ends[np.searchsorted(start, bounds)])
 
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Character starts and ends (within its text) of every token, and tokens per text."""
-        numbers, start, bounds = self._pieces(texts)
-        at, count = self._expand(numbers)
+        text, code, start, bounds = self._pieces(texts)
+        begin, end, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for numbers in self._numbered(text, code, start):
+            at, count = self._expand(numbers)
+            begin.append(self.begin.data[at])
+            end.append(self.end.data[at])
+            counts.append(count)
+        count = np.concatenate(counts)
         ends = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
         per_text = np.diff(ends[np.searchsorted(start, bounds)])
         base = np.repeat(start, count) - np.repeat(bounds[:-1], per_text)
-        return base + self.begin.data[at], base + self.end.data[at], per_text
+        return base + np.concatenate(begin), base + np.concatenate(end), per_text
+
+    def parts(self, text: str, size: int = LONG) -> Iterator[str]:
+        """A text in parts whose pieces are those of the whole text.
+
+        Cuts lie where a run of letters, numbers or other characters ends, but
+        not after an apostrophe; a part grows only by one run.
+        """
+        start = 0
+        while len(text) - start > size:
+            found = next((m.start() for m in _CUT.finditer(text, start + size)), None)
+            if found is None:
+                break
+            yield text[start:found]
+            start = found
+        yield text[start:]
 
 
 def long_parts(text: str, size: int = LONG) -> Iterator[str]:
@@ -243,8 +283,6 @@ def long_parts(text: str, size: int = LONG) -> Iterator[str]:
     Cuts lie before a blank that stands between other text and a letter;
     without one the part grows.
     """
-    import regex
-
     cut = regex.compile(r"(?<=\S) (?=\p{L})")
     start = 0
     while len(text) - start > size:

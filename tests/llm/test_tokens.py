@@ -185,3 +185,36 @@ def test_overlapping_sections_and_unknown_rules_are_refused(spark, make_docs):
 
 def test_attribution_of_nothing(spark, make_docs):
     assert attribution.attribute(make_docs([]), byte_bpe()).collect() == []
+
+
+def test_more_distinct_pieces_than_the_table_holds(library, monkeypatch):
+    from propmart.llm import tokens
+
+    monkeypatch.setattr(tokens, "SLOT_BITS", 6)
+    text = "".join(f"{i},x{i}y" for i in range(500))
+    want = library.encode(text, add_special_tokens=False)
+    own = Encoder(byte_bpe())
+    ids, counts = own.encode(["12,", text, ""])
+    assert counts.tolist() == [len(library.encode("12,").ids), len(want.ids), 0]
+    assert ids[counts[0] :].tolist() == want.ids
+    begin, end, _ = own.spans([text])
+    assert list(zip(begin.tolist(), end.tolist(), strict=True)) == [tuple(o) for o in want.offsets]
+
+
+def test_long_texts_without_blanks(spark, make_docs, library):
+    text = ",".join(map(str, range(3_000_000, 3_700_000)))  # 5.6 MB, 700,000 distinct numbers
+    own = Encoder(byte_bpe())
+    want = library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, own.parts(text))) < 1_100_000
+    assert own.encode([text])[0].tolist() == want
+    row = packing.pack_and_read(make_docs([(1, text)]), byte_bpe()).collect()[0]
+    assert (row.n_tokens, row.ids_crc32) == (len(want) + 1, zlib.crc32(np.array([*want, 2], "<u4").tobytes()))
+
+
+def test_parts_are_cut_at_piece_boundaries(library):
+    own = Encoder(byte_bpe())
+    for size in (1, 3, 10):
+        for text in texts():
+            parts = list(own.parts(text, size))
+            assert "".join(parts) == text
+            assert own.encode(parts)[0].tolist() == library.encode(text, add_special_tokens=False).ids
