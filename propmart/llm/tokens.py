@@ -4,7 +4,8 @@ A byte-level BPE splits a text into pieces by a fixed pattern and encodes each
 piece by itself.  A batch of texts is split in numpy over its code points;
 pieces repeat, so a worker lets the library encode each distinct piece once
 and looks the rest up by a 64-bit hash.  Ids and character spans equal those
-of encoding whole texts (tested).  Tokenizers with any other pre-tokenizer or
+of encoding whole texts (tested); occurrences of added tokens are pieces of their
+own.  Tokenizers with any other pre-tokenizer or
 with a normalizer are refused.
 """
 
@@ -130,15 +131,19 @@ class _Numbers:
 
 
 class Encoder:
-    """Ids, and on request character spans, of whole texts."""
+    """Ids, and on request character spans, of whole texts.
 
-    def __init__(self, path: str):
+    With ``added`` the strings of added tokens in a text are these tokens, as
+    the library has it unless told otherwise; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         # a task has one core; the library's own threads would also keep memory each
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # pieces are ordinary text
         made = json.loads(self.tokenizer.to_str())
         splits = made.get("pre_tokenizer") or {}
         if splits.get("type") != "ByteLevel" or not splits.get("use_regex", True) or splits.get("add_prefix_space") or made.get("normalizer"):
@@ -147,6 +152,15 @@ class Encoder:
         self.vocab_size = max(vocabulary.values()) + 1
         self.id_bytes = np.zeros(self.vocab_size, np.int64)  # a byte-level token has a character per byte
         self.id_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.added: dict[str, int] = {}
+        if added:
+            given = made.get("added_tokens") or []
+            if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not t["special"] for t in given):
+                raise ValueError("only special added tokens that match as they are written are supported")
+            self.added = {t["content"]: t["id"] for t in given}
+            self.id_bytes[list(self.added.values())] = [len(t.encode()) for t in self.added]
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.find_added = regex.compile("|".join(map(regex.escape, longest_first))) if self.added else None
         self._clear()
 
     def _clear(self) -> None:
@@ -162,7 +176,11 @@ class Encoder:
         new = [new[i] for i in order]
         texts = ["".join(new[i : i + JOINED]) if i + JOINED <= n_join else "".join(new[i:n_join]) for i in range(0, n_join, JOINED)] + new[n_join:]
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32)
+        lists = [e.ids for e in got]
+        for i, piece in enumerate(new[n_join:], len(lists) - len(new) + n_join):
+            if piece in self.added:
+                lists[i] = [self.added[piece]]
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32)
         raw = [p.encode() for p in new]
         ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))  # of pieces, in bytes
         token_ends = np.cumsum(self.id_bytes[ids])
@@ -188,9 +206,24 @@ class Encoder:
         text = "".join(texts)
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
-        start = split(code, bounds) if len(code) else np.zeros(0, np.int64)
+        if not len(code):
+            return text, code, np.zeros(0, np.int64), bounds
+        low, high = self._occurrences(texts, text, bounds)
+        start = split(code, np.unique(np.concatenate([bounds, low, high])))
+        if len(low):  # an added token is one piece
+            at = np.searchsorted(low, start, side="right") - 1
+            start = start[(at < 0) | (start == low[at]) | (start >= high[at])]
         return text, code, start, bounds
 
+    def _occurrences(self, texts: list[str], text: str, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the added tokens in the texts in a row."""
+        found = []
+        if self.added and self.find_added.search(text):
+            for base, one in zip(bounds.tolist(), texts, strict=False):
+                found += [(base + m.start(), base + m.end()) for m in self.find_added.finditer(one)]
+        low, high = np.array(found, np.int64).reshape(-1, 2).T
+        return low, high
+
     def _numbered(self, text: str, code: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
         """Numbers of the pieces in their order, in as many runs as the tables need.
 
@@ -224,7 +257,10 @@ class Encoder:
                 kind = _classes()
                 joinable = (code[start[at]] == 32) & (end[at] - start[at] > 1)
                 joinable &= kind[code[np.minimum(start[at] + 1, len(code) - 1)]] == LETTER
-                self._learn([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)], joinable)
+                new = [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+                if self.added:
+                    joinable &= [piece not in self.added for piece in new]
+                self._learn(new, joinable)
                 self.numbers.add(distinct)
                 numbers[missing] = self.numbers.find(run[missing])
             yield numbers
@@ -265,15 +301,22 @@ class Encoder:
         """A text in parts whose pieces are those of the whole text.
 
         Cuts lie where a run of letters, numbers or other characters ends, but
-        not after an apostrophe; a part grows only by one run.
+        not after an apostrophe nor in an added token; a part grows only by
+        what cannot be cut.
         """
+        taken = ((m.start(), m.end()) for m in self.find_added.finditer(text)) if self.added else iter(())
+        low, high = next(taken, (len(text), len(text)))
         start = 0
         while len(text) - start > size:
-            found = next((m.start() for m in _CUT.finditer(text, start + size)), None)
-            if found is None:
+            for m in _CUT.finditer(text, start + size):
+                while high <= m.start() and low < len(text):
+                    low, high = next(taken, (len(text), len(text)))
+                if not low < m.start() < high:
+                    break
+            else:
                 break
-            yield text[start:found]
-            start = found
+            yield text[start : m.start()]
+            start = m.start()
         yield text[start:]
 
 
@@ -297,4 +340,4 @@ def long_parts(text: str, size: int = LONG) -> Iterator[str]:
 @cache
 def encoder(path: str) -> Encoder:
     """The worker's encoder of one tokenizer file; tasks of a worker share it."""
-    return Encoder(path)
+    return Encoder(path, added=True)

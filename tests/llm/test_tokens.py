@@ -218,3 +218,41 @@ def test_parts_are_cut_at_piece_boundaries(library):
             parts = list(own.parts(text, size))
             assert "".join(parts) == text
             assert own.encode(parts)[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def added_texts():
+    end = "<|endoftext|>"
+    rnd = random.Random(8)
+    parts = [end, end, "<|endoftext|", "|endoftext|>", "'s", " ", "a", "don't", "\n\n", "12", "<", "é", "'"]
+    made = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    return [*made, f"a {end} b", end, "", f"x  {end}  y", "<|endof", "text|>", f"{end}'s {end}'s"]
+
+
+def test_added_tokens_equal_the_unmodified_library():
+    plain, own = Tokenizer.from_file(byte_bpe()), Encoder(byte_bpe(), added=True)
+    for all_texts in (added_texts(), texts()):
+        want = [plain.encode(t, add_special_tokens=False) for t in all_texts]
+        ids, counts = own.encode(all_texts)
+        assert ids.tolist() == [i for e in want for i in e.ids]
+        assert counts.tolist() == [len(e.ids) for e in want]
+        begin, end, _ = own.spans(all_texts)
+        assert list(zip(begin.tolist(), end.tolist(), strict=True)) == [tuple(o) for e in want for o in e.offsets]
+        for size in (1, 7):
+            for text, e in zip(all_texts, want, strict=True):
+                parts = list(own.parts(text, size))
+                assert "".join(parts) == text
+                assert own.encode(parts)[0].tolist() == e.ids
+
+
+def test_operators_take_added_tokens_as_the_unmodified_library(spark, make_docs):
+    plain = Tokenizer.from_file(byte_bpe())
+    rows = list(enumerate(added_texts()[-60:]))
+    packed = {r.doc_id: r for r in packing.pack_and_read(make_docs(rows), byte_bpe()).collect()}
+    counted = {r.doc_id: r.doc_tokens for r in attribution.attribute(make_docs(rows), byte_bpe()).collect()}
+    start = 0
+    for doc_id, text in rows:
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 2]
+        got = packed[doc_id]
+        assert (got.start, got.n_tokens, got.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        assert counted[doc_id] == len(ids) - 1
+        start += len(ids)
