@@ -4,12 +4,14 @@ Tokens are lower-cased words without punctuation.  Fixed masks take some token
 positions of a window and ignore the others, so a window still hashes alike
 after a substitution at an ignored position.  Seeds of the benchmark and of
 the documents are joined on their hashes; every hit is verified along its
-alignment by the longest stretch in which enough tokens agree.
+alignment by the longest stretch in which enough tokens agree.  Items no longer
+than such a stretch are compared whole, with masks for every change allowed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from propmart.llm import shingles as sh
 from propmart.llm.common import pieces
 
-MASKS = ("110110101", "1011001011", "11100010111")  # six or seven tokens of nine to eleven
+MASKS = ("110110101", "1011001011", "11100010111", "1110111", "1111101")  # one of them hits every stretch of STRETCH tokens or more that agrees
 MIN_TOKENS = 5  # shorter items are not told from chance, and are not searched
 STRETCH = 13  # tokens of an overlap that counts; for shorter items all their tokens
 AGREE = 0.8  # share of them that must be equal
@@ -36,43 +38,59 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, bounds
 
 
-def _masks(lengths: np.ndarray) -> list[np.ndarray]:
-    """Positions that each mask takes; items below a mask's span get masks of their own."""
-    fixed = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
-    span = max(len(m) for m in MASKS)
-    short = [np.arange(n) for n in np.unique(lengths[(lengths >= MIN_TOKENS) & (lengths < span)])]
-    return fixed + short
+def _needed(length: int, agree: float) -> int:
+    """Equal tokens that a whole item of so many tokens needs."""
+    return max(1, -(-length * round(agree * 1000) // 1000))
+
+
+def _short_masks(length: int, changes: int) -> list[np.ndarray]:
+    """Positions that each mask of a whole item takes; whichever ``changes`` of them differ, one mask takes none of those."""
+    blocks = length if changes == 1 and length < 9 else {0: 1, 1: 3, 2: 5}.get(changes, changes + 1)
+    parts = np.array_split(np.arange(length), min(blocks, length))
+    return [np.concatenate([p for i, p in enumerate(parts) if i not in left]) for left in combinations(range(len(parts)), changes)]
+
+
+def _seed(hashes: np.ndarray, at: np.ndarray, number: int, mask: np.ndarray) -> np.ndarray:
+    """Hash of the tokens that a mask takes of the windows that start at ``at``."""
+    out = np.full(len(at), number + 1, np.uint64)
+    for c, i in zip(sh.multipliers(len(mask), 11), mask - mask[0], strict=True):
+        out += hashes[at + i] * c
+    return sh.mix(out)
 
 
 def _seeds(hashes: np.ndarray, bounds: np.ndarray, number: int, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Seed hash and first token of every window of a mask that lies in one text."""
-    span = int(mask[-1]) + 1
+    span = int(mask[-1] - mask[0]) + 1
     n = np.maximum(np.diff(bounds) - span + 1, 0)
     ends = np.cumsum(n)
     at = np.repeat(bounds[:-1] - (ends - n), n) + np.arange(int(n.sum()))
-    out = np.full(len(at), number + 1, np.uint64)
-    for c, i in zip(sh.multipliers(len(mask), 11), mask, strict=True):
-        out += hashes[at + i] * c
-    return sh.mix(out), at
+    return _seed(hashes, at, number, mask), at
 
 
 class Benchmark:
     """Seeds and tokens of one part of the benchmark, as sorted arrays."""
 
-    def __init__(self, items: pa.Table):
+    def __init__(self, items: pa.Table, stretch: int = STRETCH, agree: float = AGREE):
         texts = items.column("text").combine_chunks()
         self.ids = items.column("item_id").to_pylist()
         self.hashes, self.bounds = tokens(texts)
+        self.stretch, self.agree = stretch, agree
         lengths = np.diff(self.bounds)
-        self.masks = _masks(lengths)
+        self.masks = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
+        long = np.where(lengths > stretch, lengths, 0)
         seeds, places = [], []
         for number, mask in enumerate(self.masks):
             seed, at = _seeds(self.hashes, self.bounds, number, mask)
-            if number >= len(MASKS):  # a short mask serves items of its length
-                right = lengths[np.searchsorted(self.bounds, at, side="right") - 1] == len(mask)
-                seed, at = seed[right], at[right]
-            seeds.append(seed)
-            places.append(at)
+            right = long[np.searchsorted(self.bounds, at, side="right") - 1] > 0
+            seeds.append(seed[right])
+            places.append(at[right])
+        for length in np.unique(lengths[(lengths >= MIN_TOKENS) & (lengths <= stretch)]).tolist():
+            first = self.bounds[:-1][lengths == length]
+            for mask in _short_masks(length, length - _needed(length, agree)):
+                at = first + mask[0]
+                seeds.append(_seed(self.hashes, at, len(self.masks), mask))
+                places.append(at)
+                self.masks.append(mask)
         seed, place = np.concatenate(seeds), np.concatenate(places)
         order = np.argsort(seed, kind="stable")
         self.seeds, self.places = seed[order], place[order]
@@ -95,14 +113,25 @@ class Benchmark:
             found.append(np.stack([doc, item, token - place], axis=1))
         return np.unique(np.concatenate(found), axis=0)
 
-    def overlaps(self, hashes: np.ndarray, bounds: np.ndarray, stretch: int, agree: float) -> Iterator[tuple[int, int, int, int, int]]:
+    def overlaps(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, item, first token of the item, tokens, equal tokens) of verified hits."""
-        for doc, item, shift in self.hits(hashes, bounds).tolist():
+        hits = self.hits(hashes, bounds)
+        lengths = np.diff(self.bounds)[hits[:, 1]]
+        for length in np.unique(lengths[lengths <= self.stretch]).tolist():  # whole items
+            doc, item, shift = (rows := hits[lengths == length]).T
+            at = self.bounds[item][:, None] + np.arange(length)
+            other = at + shift[:, None]
+            inside = (other >= bounds[doc][:, None]) & (other < bounds[doc + 1][:, None])
+            equal = (inside & (self.hashes[at] == hashes[np.clip(other, 0, len(hashes) - 1)])).sum(axis=1)
+            right = equal >= _needed(length, self.agree)
+            for (d, i, _), n in zip(rows[right].tolist(), equal[right].tolist(), strict=True):
+                yield d, i, 0, length, n
+        for doc, item, shift in hits[lengths > self.stretch].tolist():
             low, high = int(self.bounds[item]), int(self.bounds[item + 1])
             a, b = max(low, int(bounds[doc]) - shift), min(high, int(bounds[doc + 1]) - shift)
             equal = self.hashes[a:b] == hashes[a + shift : b + shift]
-            first, n = longest_stretch(equal, agree)
-            if n >= min(stretch, high - low):
+            first, n = longest_stretch(equal, self.agree)
+            if n >= self.stretch:
                 yield doc, item, a - low + first, n, int(equal[first : first + n].sum())
 
 
@@ -123,7 +152,7 @@ def longest_stretch(equal: np.ndarray, agree: float) -> tuple[int, int]:
     return int(place[start[best]]), int(n[best])
 
 
-def _parts(benchmark: DataFrame, part_bytes: int) -> Iterator:
+def _parts(benchmark: DataFrame, part_bytes: int, options: tuple[int, float]) -> Iterator:
     """The benchmark in broadcast parts of about ``part_bytes`` of text."""
     rows = benchmark.select(F.col("item_id"), F.lower(F.col("text").cast("string")).alias("text")).filter("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -132,15 +161,15 @@ def _parts(benchmark: DataFrame, part_bytes: int) -> Iterator:
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         items = part.orderBy("item_id", "text").toArrow()
         if items.num_rows:
-            yield benchmark.sparkSession.sparkContext.broadcast(Benchmark(items))
+            yield benchmark.sparkSession.sparkContext.broadcast(Benchmark(items, *options))
 
 
-def _scan(docs: DataFrame, part, schema: str, emit: Callable, options: tuple[int, float]) -> DataFrame:
+def _scan(docs: DataFrame, part, schema: str, emit: Callable) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = part.value
         for batch in pieces(batches, "__text"):
             hashes, bounds = tokens(batch.column(batch.num_columns - 1))
-            if (out := emit(known, batch, list(known.overlaps(hashes, bounds, *options)))) is not None:
+            if (out := emit(known, batch, list(known.overlaps(hashes, bounds)))) is not None:
                 yield out
 
     return docs.mapInArrow(run, schema)
@@ -170,8 +199,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, stretch: int = STRETCH,
 
     text = docs.select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("__text"))
     out = docs.sparkSession.createDataFrame([], schema)
-    for part in _parts(benchmark, part_bytes):
-        out = out.union(_scan(text, part, schema, emit, (stretch, agree)))
+    for part in _parts(benchmark, part_bytes, (stretch, agree)):
+        out = out.union(_scan(text, part, schema, emit))
     return out
 
 
@@ -183,10 +212,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, stretch: int = STRETCH,
         kept[[f[0] for f in found]] = False
         return batch.filter(pa.array(kept)).select(batch.schema.names[:-1])
 
-    for part in _parts(benchmark, part_bytes):
+    for part in _parts(benchmark, part_bytes, (stretch, agree)):
         # positions instead of names, for columns whose names clash
         names = docs.columns
         plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
         plain = plain.withColumn("__text", F.lower(F.col(f"c{names.index('text')}").cast("string")))
-        docs = _scan(plain, part, plain.drop("__text").schema, emit, (stretch, agree)).toDF(*names)
+        docs = _scan(plain, part, plain.drop("__text").schema, emit).toDF(*names)
     return docs

@@ -1,6 +1,8 @@
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from propmart.llm import decontaminate as dc
@@ -85,3 +87,46 @@ def test_longest_stretch(seed):
 def test_masks_ignore_positions():
     spans = [len(m) for m in dc.MASKS]
     assert all(m[0] == m[-1] == "1" and "0" in m for m in dc.MASKS) and max(spans) <= dc.STRETCH
+
+
+@pytest.mark.parametrize("length", range(5, 21))
+def test_every_accepted_change_is_found(length):
+    item = [f"w{i}" for i in range(length)]
+    changed = [c for k in range(length // 5 + 2) for c in itertools.combinations(range(length), k)]
+    docs = ["before it " + " ".join("other" if i in c else w for i, w in enumerate(item)) + " after it" for c in changed]
+    known = dc.Benchmark(pa.table({"item_id": [1], "text": [" ".join(item)]}))
+    got = {d: (first, n, equal) for d, _, first, n, equal in known.overlaps(*dc.tokens(pa.array(docs)))}
+    want = {}
+    for d, c in enumerate(changed):
+        equal = np.array([i not in c for i in range(length)])
+        if length <= 13:
+            if 5 * equal.sum() >= 4 * length:
+                want[d] = (0, length, int(equal.sum()))
+            continue
+        first, n = dc.longest_stretch(equal, 0.8)
+        if n >= 13:
+            want[d] = (first, n, int(equal[first : first + n].sum()))
+    assert got == want
+
+
+@pytest.mark.parametrize("length", [5, 9, 10, 13])
+def test_short_item_cut_by_the_end_of_a_document(length):
+    item = [f"w{i}" for i in range(length)]
+    known = dc.Benchmark(pa.table({"item_id": [1], "text": [" ".join(item)]}))
+    docs = [" ".join(item[1:]), " ".join(item[:-1]), " ".join(item[: length // 2])]
+    assert [(f[0], f[4]) for f in known.overlaps(*dc.tokens(pa.array(docs)))] == [(0, length - 1), (1, length - 1)]
+
+
+def test_masks_hit_every_stretch_that_agrees():
+    masks = [(len(m), int(m, 2)) for m in dc.MASKS]
+    width = max(n for n, _ in masks)
+    most = {(1, 1): 1}  # last tokens (bits), how many -> most of (equal tokens - 4 x changed ones) without a hit
+    for n in range(2, 300):
+        after = {}
+        for (bits, have), score in most.items():
+            for equal in (0, 1):
+                now, size = (bits << 1 | equal) & ((1 << width) - 1), min(width, have + 1)
+                if not any(size >= span and now & m == m for span, m in masks):
+                    after[now, size] = max(after.get((now, size), -(10**6)), score + (1 if equal else -4))
+        most = after
+        assert n < dc.STRETCH or all(score < 0 for (bits, _), score in most.items() if bits & 1)
