@@ -1,6 +1,7 @@
 """Benchmark decontamination with spaced-seed hashing.
 
-Tokens are lower-cased words without punctuation.  Fixed masks take some token
+Tokens are lower-cased words without punctuation, and single characters of
+scripts that are written without blanks.  Fixed masks take some token
 positions of a window and ignore the others, so a window still hashes alike
 after a substitution at an ignored position.  Seeds of the benchmark and of
 the documents are joined on their hashes; every hit is verified along its
@@ -22,7 +23,8 @@ from propmart.llm import shingles as sh
 from propmart.llm.common import pieces
 
 MASKS = ("110110101", "1011001011", "11100010111", "1110111", "1111101")  # one of them hits every stretch of STRETCH tokens or more that agrees
-MIN_TOKENS = 5  # shorter items are not told from chance, and are not searched
+MIN_TOKENS = 5  # shorter items must be equal in all their tokens
+MIN_CHARS = 16  # of the tokens of such an item; below it is not told from chance
 STRETCH = 13  # tokens of an overlap that counts; for shorter items all their tokens
 AGREE = 0.8  # share of them that must be equal
 PART_BYTES = 16 << 20  # benchmark text that one pass over the documents holds
@@ -32,15 +34,62 @@ FILTER_BITS = 22
 SEPARATORS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
+# code points of scripts written without blanks: each is a token
+UNSPACED = (
+    (0x0E00, 0x1000),  # Thai, Lao, Tibetan
+    (0x1000, 0x10A0),  # Myanmar
+    (0x1780, 0x1800),  # Khmer
+    (0x1950, 0x1A00),  # Tai Le, New Tai Lue, Khmer symbols
+    (0x1A20, 0x1AB0),  # Tai Tham
+    (0x1B00, 0x1B80),  # Balinese
+    (0x2E80, 0x2FE0),  # radicals
+    (0x3005, 0x3008),  # ideographic marks
+    (0x3040, 0x3130),  # kana, Bopomofo
+    (0x31A0, 0x31C0),
+    (0x31F0, 0x3200),
+    (0x3400, 0x4DC0),  # Han
+    (0x4E00, 0xA4D0),  # Han, Yi
+    (0xA980, 0xAA00),  # Javanese, Myanmar
+    (0xAA60, 0xAAE0),  # Myanmar, Tai Viet
+    (0xF900, 0xFB00),
+    (0xFF66, 0xFFA0),  # halfwidth kana
+    (0x1AFF0, 0x1B170),  # kana
+    (0x20000, 0x40000),  # Han
+)
+
+
+def _spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and bounds of texts, with a blank on both sides of every character of an unspaced script."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return data, bounds
+    size = np.where(data[lead] >= 0xF0, 4, 3)
+    code = data[lead].astype(np.int32) & np.where(size == 4, 0x07, 0x0F)
+    for i in (1, 2, 3):
+        code = np.where(i < size, code << 6 | (data[np.minimum(lead + i, len(data) - 1)] & 0x3F), code)
+    low, high = np.array(UNSPACED).T
+    alone = code < high[np.searchsorted(low, code, side="right") - 1]
+    alone &= code >= low[0]
+    cut = np.unique(np.concatenate([lead[alone], (lead + size)[alone]]))
+    return np.insert(data, cut, 32), bounds + np.searchsorted(cut, bounds, side="left")
+
+
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of lower-cased texts, and token bounds of the texts."""
-    hashes, _, _, bounds = sh.words(*sh.text_bytes(column), SEPARATORS)
+    hashes, _, _, bounds = sh.words(*_spaced(*sh.text_bytes(column)), SEPARATORS)
     return hashes, bounds
 
 
+def _characters(column: pa.Array) -> np.ndarray:
+    """Characters in the tokens of every text."""
+    data, bounds = sh.text_bytes(column)
+    counted = ~SEPARATORS[data] & ((data & 0xC0) != 0x80)
+    return np.diff(np.concatenate([[0], np.cumsum(counted)])[bounds])
+
+
 def _needed(length: int, agree: float) -> int:
     """Equal tokens that a whole item of so many tokens needs."""
-    return max(1, -(-length * round(agree * 1000) // 1000))
+    return length if length < MIN_TOKENS else max(1, -(-length * round(agree * 1000) // 1000))
 
 
 def _short_masks(length: int, changes: int) -> list[np.ndarray]:
@@ -84,8 +133,9 @@ class Benchmark:
             right = long[np.searchsorted(self.bounds, at, side="right") - 1] > 0
             seeds.append(seed[right])
             places.append(at[right])
-        for length in np.unique(lengths[(lengths >= MIN_TOKENS) & (lengths <= stretch)]).tolist():
-            first = self.bounds[:-1][lengths == length]
+        whole = (lengths > 0) & (lengths <= stretch) & ((lengths >= MIN_TOKENS) | (_characters(texts) >= MIN_CHARS))
+        for length in np.unique(lengths[whole]).tolist():
+            first = self.bounds[:-1][whole & (lengths == length)]
             for mask in _short_masks(length, length - _needed(length, agree)):
                 at = first + mask[0]
                 seeds.append(_seed(self.hashes, at, len(self.masks), mask))

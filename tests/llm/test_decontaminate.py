@@ -130,3 +130,43 @@ def test_masks_hit_every_stretch_that_agrees():
                     after[now, size] = max(after.get((now, size), -(10**6)), score + (1 if equal else -4))
         most = after
         assert n < dc.STRETCH or all(score < 0 for (bits, _), score in most.items() if bits & 1)
+
+
+def test_items_of_few_tokens_are_searched_exactly(spark, make_docs):
+    items = [(1, "Photosynthesis, chlorophyll!"), (2, "Honorificabilitudinitatibus"), (3, "of the"), (4, "Wie heißt die Hauptstadt?")]
+    rows = [
+        (10, "what photosynthesis chlorophyll does"),
+        (11, "photosynthesis of chlorophyll"),
+        (12, "photosynthesis"),
+        (13, "HONORIFICABILITUDINITATIBUS"),
+        (14, "of the of the"),
+        (15, "wie heißt die hauptstadt"),
+        (16, "wie heißt die stadt"),
+    ]
+    docs, bench = make_docs(rows), spark.createDataFrame(items, ITEMS)
+    got = dc.contaminated(docs, bench).collect()
+    assert sorted(tuple(r) for r in got) == [(10, 1, 2, 0, 2, 2), (13, 2, 1, 0, 1, 1), (15, 4, 4, 0, 4, 4)]
+    assert sorted(r.doc_id for r in dc.decontaminate(docs, bench).collect()) == [11, 12, 14, 16]
+
+
+def test_unspaced_scripts(spark, make_docs):
+    items = [
+        (1, "光合作用是植物利用阳光把二氧化碳和水转化为有机物的过程"),
+        (2, "日本の首都はどこですか"),
+        (3, "ประเทศไทยมีกี่จังหวัดในปัจจุบัน"),
+        (4, "𠀀𠀁𠀂𠀃𠀄𠀅"),
+    ]
+    rows = [(10 + i, f"x {t} y") for i, t in items] + [(21, items[0][1].replace("阳光", "日光")), (22, "前文" + items[1][1] + "後文"), (23, "植物需要水和阳光"), (24, "word " * 20), (25, None)]
+    docs, bench = make_docs(rows), spark.createDataFrame(items, ITEMS)
+    got = {(r.doc_id, r.item_id): r.item_tokens for r in dc.contaminated(docs, bench).collect()}
+    assert got == {(11, 1): 27, (12, 2): 11, (13, 3): len(items[2][1]), (14, 4): 6, (21, 1): 27, (22, 2): 11}
+    assert sorted(r.doc_id for r in dc.decontaminate(docs, bench).collect()) == [23, 24, 25]
+
+
+def test_tokens_of_unspaced_scripts_among_words():
+    text = ["", "abc中文def", "é“x” ก.ข", None, "中"]
+    _, bounds = dc.tokens(pa.array(text))
+    assert np.diff(bounds).tolist() == [0, 4, 3, 0, 1]
+    for code in [c for pair in dc.UNSPACED for c in pair]:
+        apart = any(low <= code < high for low, high in dc.UNSPACED)
+        assert np.diff(dc.tokens(pa.array([f"a{chr(code)}b"]))[1]).tolist() == [3 if apart else 1]
