@@ -1,11 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
-
-Every document gets a MinHash signature, cut into trees of a fixed depth.  In
-a forest, a tree's signatures sorted as strings form a prefix trie, and two
-documents are candidates when they share a prefix.  Matched prefixes start at
-the full depth and are shortened while the chance that a pair at the threshold
-shares one in any tree stays below the target recall; the subtrees at that
-depth are the candidate buckets.  Documents with the same sequence of words
+"""N-gram Jaccard join with MinHash banding and exact verification.
+
+Every document gets a MinHash signature, cut into bands ("trees") of a fixed
+depth.  An LSH forest would keep them as sorted prefix tries and shorten the
+matched prefixes by what it finds; here fixed-length banding replaces that:
+one prefix length follows from the threshold and the target recall alone, and
+documents are candidates when they share a prefix of that length in any tree.
+Documents with the same sequence of words
 are one class, compared once.  Candidates are then verified exactly:
 
 - candidate edges join classes of a bucket whose one-bit signatures agree (in
