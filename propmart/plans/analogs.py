@@ -34,7 +34,7 @@ from propmart.operators.ml import (
     split_label,
     string_indexers,
 )
-from propmart.operators.reconcile import broadcast_if_small, lookup_conflicts, reconcile
+from propmart.operators.reconcile import lookup_conflicts, reconcile
 from propmart.operators.snapshot import latest_dates, latest_snapshot, require_key
 from propmart.operators.tables import format_income, format_listings, format_rent, union_by_name
 from propmart.operators.views import kpi_mart, view_avg_price, view_roi
@@ -51,7 +51,8 @@ from propmart.schemas import (
     struct_of,
 )
 from propmart.sources.parquet import read_table, read_with_source
-from propmart.sources.raw import bind_by_header, income_names, json_records, listings_from_records
+from propmart.session import scratch_path
+from propmart.sources.raw import bind_by_header, income_names, json_records, listings_from_records, read_csv_inferred, read_listings, records_inferred
 
 ROI = ROI_COLUMNS[3]
 OTHER_RENT_LABEL = "Lloguer mitjà per superfície (Euros/m2 mes)"
@@ -575,7 +576,7 @@ def _mart(roi_df: DataFrame, avg_df: DataFrame, names: DataFrame) -> DataFrame:
 
 def q_kpi_mart(spark, sf) -> DataFrame:
     """Payback rows related to the average-price KPI by neighborhood."""
-    listings, rents = order_listings(spark, sf), broadcast_if_small(monthly_rent_per_nation(spark, sf))
+    listings, rents = order_listings(spark, sf), monthly_rent_per_nation(spark, sf)
     return _mart(roi_from_avg_rent(listings, rents), q_avg_by_group(spark, sf, sort=False), roi_names(listings, rents))
 
 
@@ -587,7 +588,7 @@ FROM ({_G3_SQL}) r FULL OUTER JOIN ({_A1_SQL}) a ON r.neighborhood = a.Neighborh
 
 def q_kpi_mart_disjoint(spark, sf) -> DataFrame:
     """J7 where no name matches (return flags vs nations): both outer sides kept."""
-    listings, rents = line_listings(spark, sf), broadcast_if_small(avg_rent(line_rent_rows(spark, sf)))
+    listings, rents = line_listings(spark, sf), avg_rent(line_rent_rows(spark, sf))
     return _mart(roi_from_avg_rent(listings, rents), q_avg_by_group(spark, sf, sort=False), roi_names(listings, rents))
 
 
@@ -1009,8 +1010,8 @@ def q_forest(spark, sf) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def order_texts(spark, sf) -> DataFrame:
-    """One JSON array of two listing records per order: numbers plain, then quoted or with '.0'."""
+def order_records(spark, sf) -> DataFrame:
+    """Two listing records (JSON texts ``plain`` and ``quoted``) per order: numbers plain, and quoted or with '.0'."""
     # one table file is one task; listing files come in many
     o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority").repartition(32)
     whole = F.floor("o_totalprice").cast("long")
@@ -1027,7 +1028,67 @@ def order_texts(spark, sf) -> DataFrame:
         F.lit("12.5").alias("size"), F.col("o_orderstatus").alias("floor"), F.lit("true").alias("hasLift"),
         F.struct(F.concat((F.col("o_orderkey") % 9).cast("string"), F.lit(".5")).alias("parkingSpacePrice")).alias("parkingSpace"), *common,
     ))
-    return o.select(F.concat(F.lit("["), plain, F.lit(",\n "), text, F.lit("]")).alias("value"), F.concat(F.lit("orders_"), F.col("o_orderstatus")).alias("source_file"))
+    return o.select("o_orderkey", "o_orderstatus", plain.alias("plain"), text.alias("quoted"))
+
+
+def order_texts(spark, sf) -> DataFrame:
+    """One JSON array of both records per order."""
+    value = F.concat(F.lit("["), F.col("plain"), F.lit(",\n "), F.col("quoted"), F.lit("]"))
+    return order_records(spark, sf).select(value.alias("value"), F.concat(F.lit("orders_"), F.col("o_orderstatus")).alias("source_file"))
+
+
+ARRAY_FILES = 4
+
+
+def _text_files(rows: DataFrame, name: str) -> str:
+    """Write rows (file number ``file``, ``place``, ``value``) as one text file per number; returns the folder."""
+    path = scratch_path(rows.sparkSession, name)
+    rows = rows.repartition("file").sortWithinPartitions("file", "place").select("file", "value")
+    rows.write.partitionBy("file").text(path)
+    return path
+
+
+def q_split_arrays(spark, sf) -> DataFrame:
+    """All orders in a few JSON array files, without a line break between records, cut by every task."""
+    records = order_records(spark, sf).withColumn("file", (F.col("o_orderkey") % ARRAY_FILES).cast("int"))
+    first = records.groupBy("file").agg(F.min("o_orderkey").alias("first"))
+    rows = records.join(F.broadcast(first), "file").select(
+        "file", F.col("o_orderkey").alias("place"), F.concat(F.when(F.col("o_orderkey") == F.col("first"), "[").otherwise(","), "plain", F.lit(", "), "quoted").alias("value")
+    )
+    ends = first.select("file", F.lit(2**62).alias("place"), F.lit("]").alias("value"))
+    path = _text_files(rows.unionByName(ends), "order-arrays")
+    listed = read_listings(spark, path, glob="part-*")
+    return listed.select("propertyCode", "price", F.col("size").cast("double").alias("size"), "floor", "hasLift", F.col("suggestedTexts.title").alias("title"))
+
+
+_S2_SPLIT_SQL = """
+SELECT CAST(o_orderkey AS INTEGER) AS propertyCode, CAST(floor(o_totalprice) AS INTEGER) AS price,
+       CASE WHEN x.quoted = 1 THEN 12.5 ELSE CAST(floor(o_totalprice) AS BIGINT) % 4000 / 4 END AS size,
+       CASE WHEN x.quoted = 1 THEN o_orderstatus ELSE CAST(o_orderkey % 100 AS VARCHAR) END AS floor,
+       x.quoted = 1 OR o_orderstatus = 'O' AS hasLift, o_orderstatus || ', "quoted" é' AS title
+FROM orders, (VALUES (0), (1)) x(quoted)
+"""
+
+
+def q_inferred_json(spark, sf) -> DataFrame:
+    """S3: the same records with an inferred schema; the price is text in half of them."""
+    texts = order_records(spark, sf).select(F.explode(F.array("plain", "quoted")).alias("value"), F.lit("orders.json").alias("source_file"))
+    df = records_inferred(json_records(texts))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.select(
+        "propertyCode", "price", F.col("size").cast("string").alias("size"), "hasLift", F.col("detailedType.typology").alias("typology"),
+        *[F.lit(kinds[c]).alias(f"{c}_type") for c in ("propertyCode", "price", "floor", "detailedType", "parkingSpace")],
+    )
+
+
+_S3_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS propertyCode, CAST(floor(o_totalprice) AS BIGINT)::VARCHAR || CASE WHEN x.quoted = 1 THEN '.0' ELSE '' END AS price,
+       CASE WHEN x.quoted = 1 THEN '12.5' ELSE rtrim(rtrim(CAST(CAST(CAST(floor(o_totalprice) AS BIGINT) % 4000 / 4 AS DECIMAL(18, 2)) AS VARCHAR), '0'), '.') END AS size,
+       CASE WHEN x.quoted = 1 THEN 'true' WHEN o_orderstatus = 'O' THEN 'true' ELSE 'false' END AS hasLift, o_orderpriority AS typology,
+       'string' AS propertyCode_type, 'string' AS price_type, 'string' AS floor_type,
+       'struct<typology:string>' AS detailedType_type, 'struct<parkingSpacePrice:string>' AS parkingSpace_type
+FROM orders, (VALUES (0), (1)) x(quoted)
+"""
 
 
 def _json_listings(spark, sf) -> DataFrame:
@@ -1071,6 +1132,27 @@ FROM orders, (VALUES (0), (1)) x(quoted)
 """
 
 
+def q_csv_line_breaks(spark, sf) -> DataFrame:
+    """Customers as CSV files with their own headers, line breaks, commas and quotes inside cells."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    said = F.concat(F.lit('says "'), "c_name", F.lit('",\n\nthen, '), "c_mktsegment", F.when(F.col("c_custkey") % 5 == 0, '\n"').otherwise(""))
+    cells = {"key": F.col("c_custkey").cast("string"), "said": said, "balance": F.col("c_acctbal").cast("string")}
+    second = F.col("c_custkey") % 2 == 1
+    line = lambda order: F.to_csv(F.struct(*[cells[x].alias(x) for x in order]), {"escape": '"'})
+    one, two = ["key", "said", "balance"], ["balance", "key", "said"]
+    rows = c.select(second.cast("int").alias("file"), F.col("c_custkey").alias("place"), F.when(second, line(two)).otherwise(line(one)).alias("value"))
+    heads = spark.createDataFrame([(0, -1, ",".join(one)), (1, -1, ",".join(two))], "file int, place long, value string")
+    path = _text_files(rows.unionByName(heads), "customer-csv")
+    return read_csv_inferred(spark, path, glob="part-*").select("key", "said", F.col("balance").cast("double").alias("balance"))
+
+
+_S4_BREAKS_SQL = """
+SELECT c_custkey AS key, 'says "' || c_name || '",' || chr(10) || chr(10) || 'then, ' || c_mktsegment || CASE WHEN c_custkey % 5 = 0 THEN chr(10) || '"' ELSE '' END AS said,
+       c_acctbal AS balance
+FROM customer
+"""
+
+
 def _csv_files(spark, rows: DataFrame, second: Column, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """Lines and headers of two CSV files made of ``rows``.
 
@@ -1080,7 +1162,7 @@ def _csv_files(spark, rows: DataFrame, second: Column, names: dict[str, str]) ->
     first = list(names)
     other = [*reversed(first), "more"]
     rows = rows.withColumn("more", F.lit('extra, "column"'))
-    value = F.when(second, F.to_csv(F.struct(*other))).otherwise(F.to_csv(F.struct(*first)))
+    value = F.when(second, F.to_csv(F.struct(*other), {"escape": '"'})).otherwise(F.to_csv(F.struct(*first), {"escape": '"'}))
     lines = rows.select(value.alias("value"), F.when(second, "b.csv").otherwise("a.csv").alias("__file"))
     headers = [("a.csv", "﻿" + ",".join(names.values())), ("b.csv", ",".join(names.get(c, c) for c in other))]
     return lines, spark.createDataFrame(headers, "__file string, header string")
@@ -1220,7 +1302,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "M3_assembled": q_assembled,
     "M4_forest": q_forest,
     "S2_json_listings": q_json_listings,
+    "S2_split_arrays": q_split_arrays,
+    "S3_inferred_json": q_inferred_json,
     "X12_nested_fields": q_nested_fields,
+    "S4_csv_line_breaks": q_csv_line_breaks,
     "S4_lookup_csv": q_lookup_csv,
     "S5_rent_csv": q_rent_csv,
     "S6_income_csv": q_income_csv,
@@ -1268,7 +1353,10 @@ ORACLE_SQL: dict[str, str] = {
     "A7_metrics": _A7_SQL,
     "M3_assembled": _M3_SQL,
     "S2_json_listings": _S2_SQL,
+    "S2_split_arrays": _S2_SPLIT_SQL,
+    "S3_inferred_json": _S3_SQL,
     "X12_nested_fields": _X12_SQL,
+    "S4_csv_line_breaks": _S4_BREAKS_SQL,
     "S4_lookup_csv": _S4_SQL,
     "S5_rent_csv": _S5_SQL,
     "S6_income_csv": _S6_SQL,

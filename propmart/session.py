@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+import uuid
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: adaptive execution re-plans joins and shuffle
@@ -11,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join side of at most this size, known at runtime, is broadcast
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # split a hot key's partition even when that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -62,6 +70,36 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they find it by themselves.
+
+    They do where its folder is the working folder or on PYTHONPATH, or where
+    the job was submitted with ``--py-files``.  Once per Spark context.
+    """
+    root = Path(__file__).resolve().parents[1]
+    known = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    sc = spark.sparkContext
+    if root.suffix == ".zip" or any(p.resolve() == root for p in known) or any("propmart" in f for f in sc.listFiles):
+        return
+    made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='propmart-')}/propmart", "zip", root, "propmart")
+    sc.addPyFile(made)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; nothing is created yet.
+
+    Where ``spark.checkpoint.dir`` is unset, a plain local session (one JVM)
+    gets a temporary folder; any other session must name one.
+    """
+    shared = checkpoint_dir(spark)
+    if shared is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="propmart-shared-"))
+        shared = spark.sparkContext.getCheckpointDir()
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint).
 

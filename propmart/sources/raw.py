@@ -1,13 +1,15 @@
 """Raw landing readers: listing JSON (S2, S3) and headered CSV.
 
-No reader nulls or drops a value silently.  JSON records are parsed once into
-variants, which keep every scalar as written, and CSV cells are text; both are
-typed by ``conform`` (S8).  What cannot be read at all goes to a quarantine
+No reader nulls or drops a value silently.  Files are cut into records by all
+tasks (``splitting``).  JSON records are parsed once into variants, which keep
+every scalar as written, and CSV cells are text; both are typed by ``conform``
+(S8).  What cannot be read at all goes to a quarantine
 frame with its file, reason and text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -27,6 +29,7 @@ from propmart.schemas import (
     RENT_RANGES,
     RENT_SCHEMA,
 )
+from propmart.sources.splitting import JsonArray, csv_records, fragments, json_elements, numbered
 
 _BOM = "﻿"
 
@@ -36,23 +39,26 @@ _BOM = "﻿"
 
 
 def json_texts(reader, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
-    """(value, source_file) of JSON files: one row per file, or per line.
+    """(value, source_file) of JSON files: one row per array element, or per line.
 
-    ``reader`` is ``spark.read`` or ``spark.readStream``.
+    Arrays of any size are cut by as many tasks as Spark has splits for them.
     """
-    reader = reader.option("wholetext", not json_lines)
+    if not json_lines:
+        return json_elements(fragments(reader, path, glob, JsonArray.separator.decode()))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
 
 
 def json_records(texts: DataFrame) -> DataFrame:
-    """One row per record of JSON texts (arrays of records, or one record each).
+    """One row per record of JSON texts (one record each, or arrays of records).
 
     Columns source_file, record (variant) and problem.  A text that is no JSON
     gives one row with a problem and its text as ``bad_text``, and so does an
-    element that is no object.  Blank texts give no row.
+    element that is no object.  Blank texts give no row.  The last value of a
+    repeated key counts (a setting of the session).
     """
+    texts.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     text = F.regexp_replace("value", f"^{_BOM}", "")
     parsed = texts.where(F.trim(text) != "").select("source_file", "value", F.try_parse_json(text).alias("v"))
     records = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
@@ -100,13 +106,13 @@ def listings_from_records(records: DataFrame, on_error: str = "raise") -> DataFr
 def read_listings(spark: SparkSession, path: str, on_error: str = "raise", glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
     """Listing snapshot files (JSON arrays of records) -> typed rows + ``source_file``.
 
-    One pass and one plan for plain, quoted and ``149000.0`` numbers alike:
-    nothing runs at call time.  A JSON array file is one task; many files
-    parallelise, and ``json_lines=True`` reads one record per line instead,
-    which Spark splits like any text file.  Absent optional columns (parking,
-    neighborhood) read as null; an empty array gives no rows.  With
-    ``on_error="null"`` a value that does not fit is null, and unreadable
-    records are found by ``quarantined_listings``.
+    One plan for plain, quoted and ``149000.0`` numbers alike: nothing runs at
+    call time.  Arrays are cut into records by all the tasks that their splits
+    give (two scans, no shuffle of the text); ``json_lines=True`` reads one
+    record per line.  An unreadable record costs that record alone.  Absent
+    optional columns (parking, neighborhood) read as null; an empty array gives
+    no rows.  With ``on_error="null"`` a value that does not fit is null, and
+    unreadable records are found by ``quarantined_listings``.
     """
     return listings_from_records(json_records(json_texts(spark.read, path, glob, json_lines)), on_error)
 
@@ -129,16 +135,36 @@ def absent_columns(records: DataFrame, required: Sequence[str]) -> DataFrame:
     return per_file.select("source_file", F.explode(pairs).alias("s")).where(~F.col("s.there")).select("source_file", F.col("s.column").alias("column"))
 
 
+def infer_json(records: DataFrame) -> T.StructType:
+    """The schema that takes every record, from one mergeable aggregate.
+
+    Fractions are doubles; a column of several types, or of nulls only, is text.
+    """
+    found = records.where(F.col("problem").isNull()).agg(F.schema_of_variant_agg("record")).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        return T.StructType()
+    found = re.sub(r"DECIMAL\(\d+,\s*0\)", "DECIMAL(38,0)", found)
+    found = re.sub(r"DECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE", found)
+    found = re.sub(r"\b(VARIANT|VOID)\b(?=[,>])", "STRING", found)
+    return T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", found))
+
+
 def read_json_inferred(spark: SparkSession, path: str, glob: str | None = "*.json") -> DataFrame:
     """S3: any other JSON array files, schema inferred over all of them, + ``source_file``.
 
-    Only files of that suffix are read (F6).  Text that is no JSON stays as a
-    row with ``_corrupt_record``.
+    Only files of that suffix are read (F6).  A text that is no JSON, or no
+    record, stays as a row with ``_corrupt_record``.
     """
-    reader = spark.read.option("multiLine", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.json(path).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return records_inferred(json_records(json_texts(spark.read, path, glob)))
+
+
+def records_inferred(records: DataFrame) -> DataFrame:
+    """Records with the columns that ``infer_json`` finds, and ``_corrupt_record`` where there are bad ones."""
+    schema = infer_json(records)
+    columns = [F.try_variant_get("record", "$['" + f.name.replace("'", "\\'") + "']", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    good = records.where(F.col("problem").isNull()).select(*columns, "source_file")
+    bad = records.where(F.col("problem").isNotNull()).select(F.col("bad_text").alias("_corrupt_record"), "source_file")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------------------
@@ -150,13 +176,8 @@ HEADER_BROADCAST_FILES = 100_000
 
 
 def csv_lines(reader, path: str, glob: str | None = "*.csv", encoding: str = "UTF-8") -> DataFrame:
-    """Lines of CSV files: value, __file, and __start/__n, their order within a file."""
-    reader = reader.option("encoding", encoding)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
-        "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__n")
-    )
+    """Logical lines of CSV files: value, __file, and __start/__n, their order within a file."""
+    return csv_records(numbered(fragments(reader, path, glob, encoding=encoding)))
 
 
 def header_lines(lines: DataFrame) -> DataFrame:
@@ -168,7 +189,7 @@ def header_lines(lines: DataFrame) -> DataFrame:
 def _cells(line: Column, width: int) -> Column:
     """The cells of a CSV line as text: no byte-order mark or outer blanks; empty: null."""
     schema = ", ".join(f"c{i} string" for i in range(width))
-    row = F.from_csv(F.regexp_replace(line, f"^{_BOM}", ""), schema, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    row = F.from_csv(F.regexp_replace(line, f"^{_BOM}", ""), schema, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "escape": '"'})
     return F.array(*[F.nullif(F.trim(row[f"c{i}"]), F.lit("")) for i in range(width)])
 
 
@@ -214,8 +235,8 @@ def lacking_columns(headers: DataFrame, names: Mapping[str, Sequence[str]]) -> D
 def read_csv_by_name(spark: SparkSession, path: str, names: Mapping[str, Sequence[str]], glob: str | None = "*.csv", on_error: str = "raise") -> DataFrame:
     """Headered CSV files -> text columns named by ``names``.
 
-    Two passes over the files: one for their first lines, one for the data.
-    Line breaks inside quotes are not supported.
+    A doubled quote inside quotes is a quote, a line break inside quotes part
+    of its cell.
     """
     lines = csv_lines(spark.read, path, glob)
     return bind_by_header(lines, header_lines(lines), names, on_error)

@@ -15,23 +15,23 @@ from pyspark.sql import types as T
 
 from propmart.functions.conform import conform
 from propmart.sources.raw import bind_by_header, header_lines, json_records, json_texts, listings_from_records
+from propmart.sources.splitting import JsonArray, csv_records, fragments, json_elements, numbered
 
 
-def listing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, json_lines: bool = False) -> DataFrame:
-    """Streaming form of S2: typed listing rows + ``source_file``, strict."""
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return listings_from_records(json_records(json_texts(reader, landing_dir, json_lines=json_lines)))
-
+def persist_listing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str, json_lines: bool = False, max_files_per_trigger: int | None = None):
+    """Append new listing files to the persistent zone, strictly typed (S2); returns the finished query.
 
-def persist_listing_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str, json_lines: bool = False):
-    """Append new listing files to the persistent zone; returns the finished query.
-
-    Every micro-batch is written to ``out_dir/batch=<id>`` (overwrite), so a
+    Every micro-batch holds whole files, whose arrays are cut into records by
+    all tasks.  It is written to ``out_dir/batch=<id>`` (overwrite), so a
     replayed batch replaces its own output.
     """
-    return _run(listing_stream(spark, landing_dir, json_lines=json_lines), out_dir, checkpoint, lambda rows: rows)
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if json_lines:
+        return _run(json_texts(reader, landing_dir, json_lines=True), out_dir, checkpoint, lambda lines: listings_from_records(json_records(lines)))
+    pieces = fragments(reader, landing_dir, "*.json", JsonArray.separator.decode())
+    return _run(pieces, out_dir, checkpoint, lambda batch: listings_from_records(json_records(json_elements(batch))))
 
 
 def persist_csv_stream(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str, names: dict[str, list[str]], schema: T.StructType):
@@ -42,14 +42,11 @@ def persist_csv_stream(spark: SparkSession, landing_dir: str, out_dir: str, chec
     (overwrite), which makes a replayed batch idempotent.
     """
 
-    def typed(lines: DataFrame) -> DataFrame:
-        lines = lines.withColumn("__n", F.monotonically_increasing_id())
+    def typed(pieces: DataFrame) -> DataFrame:
+        lines = csv_records(numbered(pieces))
         return conform(bind_by_header(lines, header_lines(lines), names), schema, keep=["source_file"])  # strict
 
-    # line numbers are given per batch: a stream has none
-    reader = spark.readStream.option("pathGlobFilter", "*.csv")
-    lines = reader.text(landing_dir).select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"))
-    return _run(lines, out_dir, checkpoint, typed)
+    return _run(fragments(spark.readStream, landing_dir, "*.csv"), out_dir, checkpoint, typed)
 
 
 def _run(stream: DataFrame, out_dir: str, checkpoint: str, convert):

@@ -141,11 +141,11 @@ def test_listing_quarantine_keeps_what_cannot_be_read(spark, tmp_dir):
     write_text(f"{tmp_dir}/q/2020_01_02_b.json", '[{"propertyCode": 3}, {"prop')
     write_text(f"{tmp_dir}/q/2020_01_03_c.json", " ")
     lenient = read_listings(spark, f"{tmp_dir}/q", on_error="null")
-    assert sorted((r.propertyCode, r.rooms) for r in lenient.select("propertyCode", "rooms").fillna(-1).collect()) == [(1, 2), (921, -1)]
+    assert sorted((r.propertyCode, r.rooms) for r in lenient.select("propertyCode", "rooms").fillna(-1).collect()) == [(1, 2), (3, -1), (921, -1)]
     bad = quarantined_listings(spark, f"{tmp_dir}/q").collect()
     assert sorted((r.source_file, r.problem, r.bad_text) for r in bad) == [
         ("2020_01_01_a.json", "not a record", "5"),
-        ("2020_01_02_b.json", "not JSON", '[{"propertyCode": 3}, {"prop'),
+        ("2020_01_02_b.json", "not JSON", ' {"prop'),  # the record that the file ends in, and no other
     ]
     strict = read_listings(spark, f"{tmp_dir}/q")
     for action in (strict.count, strict.select("source_file").collect):
