@@ -28,14 +28,33 @@ from pyspark.sql import types as T
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _fail_or_null(bad: Column, value: Column, message: str, on_error: str) -> Column:
+def _fail_or_null(given: Column, value: Column, message: str, on_error: str) -> Column:
+    """``value``; where it is null and ``given`` is not, an error or null.
+
+    ``value`` stands once in the expression, so it is computed once.
+    """
     if on_error == "raise":
-        return F.when(bad, F.raise_error(F.lit(message))).otherwise(value)
+        return F.coalesce(value, F.when(given.isNotNull(), F.raise_error(F.lit(message))))
     if on_error == "null":
-        return F.when(bad, F.lit(None)).otherwise(value)
+        return value
     raise ValueError(f"on_error must be 'raise' or 'null', not {on_error!r}")
 
 
+def _whole(text: Column) -> Column:
+    """The digits of a whole number written with a decimal point or an exponent, else null.
+
+    The fraction is tested on the text: its digits past the exponent must be
+    zeros, however many there are.
+    """
+    parts = [F.regexp_extract(text, r"^([+-]?)(\d*)(?:\.(\d*))?(?:[eE]([+-]?\d{1,3}))?$", i) for i in (1, 2, 3, 4)]
+    shift = F.coalesce(F.nullif(parts[3], F.lit("")).cast("int"), F.lit(0))
+    digits = F.concat(parts[1], F.rpad(parts[2], F.greatest(F.length(parts[2]), shift), "0"))
+    point = F.length(parts[1]) + shift  # digits before the decimal point
+    whole, rest = F.substr(digits, F.lit(1), F.greatest(point, F.lit(0))), F.substr(digits, F.greatest(point, F.lit(0)) + 1, F.length(digits))
+    some = F.length(parts[1]) + F.length(parts[2]) > 0
+    return F.when(some & ~rest.rlike("[1-9]"), F.concat(parts[0], F.when(whole == "", "0").otherwise(whole)))
+
+
 def cast_checked(
     col: Column, source: T.DataType, target: T.DataType, name: str, on_error: str = "raise"
 ) -> Column:
@@ -63,21 +82,14 @@ def cast_checked(
     if isinstance(source, T.StringType):
         text = F.trim(col)
         if isinstance(target, _INTEGRAL):
-            exact = text.try_cast("decimal(38,18)")  # decimal points and exponents
-            whole = F.when(exact == F.floor(exact), exact.try_cast(target))
-            value = F.coalesce(text.try_cast(target), whole)
-            bad = col.isNotNull() & value.isNull()
-            return _fail_or_null(bad, value, f"column {name}: value is not a whole {target.simpleString()}", on_error)
-        value = text.try_cast(target)
-        bad = col.isNotNull() & value.isNull()
-        return _fail_or_null(bad, value, f"column {name}: value is not a {target.simpleString()}", on_error)
+            value = F.when(text.rlike("[.eE]"), _whole(text).try_cast(target)).otherwise(text.try_cast(target))
+            return _fail_or_null(col, value, f"column {name}: value is not a whole {target.simpleString()}", on_error)
+        return _fail_or_null(col, text.try_cast(target), f"column {name}: value is not a {target.simpleString()}", on_error)
     # numeric/boolean/date source: widen or narrow with an overflow check
     value = col.try_cast(target)
     if isinstance(target, _INTEGRAL) and isinstance(source, (T.FloatType, T.DoubleType, T.DecimalType)):
-        bad = col.isNotNull() & ((col != F.floor(col)) | value.isNull())
-    else:
-        bad = col.isNotNull() & value.isNull()
-    return _fail_or_null(bad, value, f"column {name}: cannot cast to {target.simpleString()}", on_error)
+        value = F.when(col == F.floor(col), value)
+    return _fail_or_null(col, value, f"column {name}: cannot cast to {target.simpleString()}", on_error)
 
 
 def conform(
@@ -105,7 +117,7 @@ def conform(
             value = cast_checked(F.col(f"`{f.name}`"), present[f.name], f.dataType, f.name, on_error)
             if f.name in ranges:
                 low, high = ranges[f.name]
-                value = _fail_or_null(~value.between(low, high), value, f"column {f.name}: value is not in {low}..{high}", on_error)
+                value = _fail_or_null(value, F.when(value.between(low, high), value), f"column {f.name}: value is not in {low}..{high}", on_error)
             out.append(value.alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from propmart.functions.dates import year_of
 from propmart.functions.numbers import is_price_text, payback_years, round_half_up, text_to_double
-from propmart.operators.reconcile import broadcast_if_small
 from propmart.schemas import AVG_PRICE_COLUMNS, PRICE_SENTINELS, RENT_MONTHLY_LABEL, ROI_COLUMNS
 
 
@@ -76,8 +75,8 @@ def avg_rent(rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_S
 def roi_from_avg_rent(listings: DataFrame, rents: DataFrame) -> DataFrame:
     """J5 + X9 + A4 on an already averaged rent table (year, neighborhood, avg_rent).
 
-    The rent side has one row per (year, neighborhood); its size is checked,
-    and a small one is broadcast, so listings are not shuffled for the join.
+    The rent side has one row per (year, neighborhood); adaptive execution
+    broadcasts it where its size, known at runtime, allows it.
     ``distinct`` (A4/U2) combines map-side.
     """
     y, n, code, roi_name = ROI_COLUMNS
@@ -87,7 +86,7 @@ def roi_from_avg_rent(listings: DataFrame, rents: DataFrame) -> DataFrame:
         F.col("propertyCode").cast("bigint").alias(code),
         F.col("price"),
     )
-    joined = l.join(broadcast_if_small(rents), [y, n], "inner")
+    joined = l.join(rents, [y, n], "inner")
     return joined.select(y, n, code, payback_years(F.col("price"), F.col("avg_rent")).alias(roi_name)).distinct()
 
 
@@ -95,7 +94,7 @@ def roi_names(listings: DataFrame, rents: DataFrame) -> DataFrame:
     """The neighborhoods that ``roi_from_avg_rent`` has rows of, without computing those."""
     y, n = ROI_COLUMNS[:2]
     keys = listings.select(year_of(F.col("date")).alias(y), F.col("neighborhood").alias(n)).distinct()
-    return keys.join(broadcast_if_small(rents.select(y, n)), [y, n], "left_semi").select(n).distinct()
+    return keys.join(rents.select(y, n), [y, n], "left_semi").select(n).distinct()
 
 
 def roi(listings: DataFrame, rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_SENTINELS) -> DataFrame:

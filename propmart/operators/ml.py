@@ -11,7 +11,6 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propmart.operators.reconcile import broadcast_if_small
 from propmart.schemas import ML_CATEGORICAL, ML_LABEL, ML_NUMERIC, ML_SEED, SEGMENT_COLUMNS
 
 
@@ -22,13 +21,13 @@ def segment_average(
 
     Same values as that window, computed as an aggregate joined back on the
     segment keys (null-safe, as window partitions group nulls together).  The
-    aggregate combines map-side and is counted: a small one is broadcast, so
-    the listings are neither shuffled nor sorted; a large one is an ordinary
-    join whose hot segments adaptive execution splits.
+    aggregate combines map-side; adaptive execution broadcasts a small one and
+    splits hot segments of a large one.  Nothing is sorted per segment and no
+    job runs when the plan is built.
     """
     by = list(by)
     seg = df.groupBy(*by).agg(F.avg(value).alias(out))
-    seg = broadcast_if_small(seg.select(*[F.col(c).alias(f"__seg{i}") for i, c in enumerate(by)], out))
+    seg = seg.select(*[F.col(c).alias(f"__seg{i}") for i, c in enumerate(by)], out)
     cond = None
     for i, c in enumerate(by):
         e = df[c].eqNullSafe(F.col(f"__seg{i}"))

@@ -46,33 +46,12 @@ def lookup_conflicts(lookup: DataFrame, keys: Sequence[str], value: str = "neigh
     )
 
 
-# What a join side may have to be sent to every task.
-BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` as a broadcast side if its size is found to be small, else ``df`` itself.
-
-    At most ``max_rows`` (``BROADCAST_ROWS``) + 1 rows are fetched, in one job,
-    and a small side is not computed again.  The other side of the join is then neither shuffled
-    nor chosen for the broadcast.
-    """
-    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > BROADCAST_BYTES:
-        return df
-    if not rows.num_rows:
-        return F.broadcast(df.sparkSession.createDataFrame([], df.schema))
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def reconcile(
     df: DataFrame,
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
     take: dict[str, str],
     keep_fanout: bool = False,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Inner equi-join of ``df`` with the lookup, unmatched rows drop.
 
@@ -80,10 +59,8 @@ def reconcile(
     -> lookup column, replacing a df column of that name.  SQL semantics: a
     null key never reconciles.
 
-    ``broadcast_rows``: when given, the prepared lookup is broadcast if it has
-    at most that many rows and ``BROADCAST_BYTES`` (a checked bound); above
-    it, or when None, the planner decides from statistics and adaptive
-    execution converts to a broadcast at runtime if the side turns out small.
+    No job runs when the plan is built: the planner broadcasts a lookup whose
+    files are small, and adaptive execution one that turns out small.
     """
     lk_keys = [r for _, r in on]
     lk = lookup_for(lookup, lk_keys, list(take.values()), keep_fanout)
@@ -91,8 +68,6 @@ def reconcile(
         *[F.col(r).alias(f"__lk{i}") for i, r in enumerate(lk_keys)],
         *[F.col(src).alias(f"__take_{out}") for out, src in take.items()],
     )
-    if broadcast_rows is not None:
-        lk = broadcast_if_small(lk, broadcast_rows)
     cond = None
     for i, (left, _) in enumerate(on):
         c = df[left] == F.col(f"__lk{i}")

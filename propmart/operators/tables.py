@@ -29,7 +29,7 @@ def _typed(df: DataFrame, schema) -> DataFrame:
 
 
 def format_listings(
-    listings: DataFrame, lookup: DataFrame, keep_fanout: bool = False, broadcast_rows: int | None = None
+    listings: DataFrame, lookup: DataFrame, keep_fanout: bool = False
 ) -> DataFrame:
     """P1 + J4 + P6: latest listings -> the 15 formatted columns.
 
@@ -43,28 +43,27 @@ def format_listings(
         on=[("neighborhood", "neighborhood")],
         take={"neighborhood": "neighborhood_n_reconciled"},
         keep_fanout=keep_fanout,
-        broadcast_rows=broadcast_rows,
     )
     return _typed(rec, FORMATTED_LISTING_SCHEMA)
 
 
 def format_income(
-    income: DataFrame, lookup: DataFrame, broadcast_rows: int | None = None, keep_fanout: bool = False
+    income: DataFrame, lookup: DataFrame, keep_fanout: bool = False
 ) -> DataFrame:
     """P2 + J2: income rows with reconciled district/neighborhood names."""
     rec = reconcile(
-        income, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, keep_fanout=keep_fanout, broadcast_rows=broadcast_rows
+        income, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, keep_fanout=keep_fanout
     )
     rec = rec.withColumnRenamed("Any", "year").withColumnRenamed("Població", INCOME_POPULATION_OUT)
     return _typed(rec, FORMATTED_INCOME_SCHEMA)
 
 
 def format_rent(
-    rent: DataFrame, lookup: DataFrame, broadcast_rows: int | None = None, keep_fanout: bool = False
+    rent: DataFrame, lookup: DataFrame, keep_fanout: bool = False
 ) -> DataFrame:
     """P3 + J3: rent rows with reconciled district/neighborhood names."""
     rec = reconcile(
-        rent, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, keep_fanout=keep_fanout, broadcast_rows=broadcast_rows
+        rent, lookup, on=_TWO_KEYS, take=_RECONCILED_NAMES, keep_fanout=keep_fanout
     )
     return _typed(rec.withColumnRenamed("Any", "year"), FORMATTED_RENT_SCHEMA)
 

@@ -14,10 +14,6 @@ from propmart.schemas import INCOME_SCHEMA, LISTING_SCHEMA, LOOKUP_SCHEMA, RENT_
 from propmart.sources.parquet import read_zone
 from propmart.sources.sinks import write_zone
 
-# A lookup of names is small by nature; above this many rows it is joined
-# without a broadcast hint.
-LOOKUP_BROADCAST_ROWS = 200_000
-
 PERSISTED_LISTING_SCHEMA = T.StructType(LISTING_SCHEMA.fields + [T.StructField("source_file", T.StringType())])
 
 
@@ -38,7 +34,7 @@ def persisted_listings(spark: SparkSession, path: str, strict_names: bool = True
 def formatted_listings(listings: DataFrame, lookup: DataFrame, keep_fanout: bool = False) -> DataFrame:
     """J1 + J4 + P1: latest snapshot of each listing, reconciled and projected."""
     latest = latest_snapshot(listings, "propertyCode", "date")
-    return format_listings(latest, lookup, keep_fanout=keep_fanout, broadcast_rows=LOOKUP_BROADCAST_ROWS)
+    return format_listings(latest, lookup, keep_fanout=keep_fanout)
 
 
 def build_formatted(spark: SparkSession, persistent_dir: str, formatted_dir: str, keep_fanout: bool = False) -> None:
@@ -51,6 +47,6 @@ def build_formatted(spark: SparkSession, persistent_dir: str, formatted_dir: str
     listings = formatted_listings(persisted_listings(spark, f"{src}/idealista"), lookup, keep_fanout)
     write_zone(listings, f"{dst}/idealista")
     income = read_zone(spark, f"{src}/opendatabcn-income", INCOME_SCHEMA)
-    write_zone(format_income(income, lookup, LOOKUP_BROADCAST_ROWS, keep_fanout), f"{dst}/income")
+    write_zone(format_income(income, lookup, keep_fanout), f"{dst}/income")
     rent = read_zone(spark, f"{src}/opendata-rent", RENT_SCHEMA)
-    write_zone(format_rent(rent, lookup, LOOKUP_BROADCAST_ROWS, keep_fanout), f"{dst}/rent")
+    write_zone(format_rent(rent, lookup, keep_fanout), f"{dst}/rent")

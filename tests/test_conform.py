@@ -59,8 +59,11 @@ def test_big_whole_numbers_stay_exact(spark):
     texts = ["9007199254740993", "9007199254740993.000", "-9223372036854775808", "1.49E5", " 7 ", None]
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     assert [r.v for r in conform(df, schema).collect()] == [9007199254740993, 9007199254740993, -(2**63), 149000, 7, None]
-    bad = spark.createDataFrame([(t,) for t in ("9223372036854775808", "0.5", "nan", "inf", "")], "v string")
-    assert [r.v for r in conform(bad, schema, on_error="null").collect()] == [None] * 5
+    bad = spark.createDataFrame([(t,) for t in ("9223372036854775808", "0.5", "nan", "inf", "", "1e-19", "12.0000000000000000000001", ".", "e5", "1.2.3", "15e-1")], "v string")
+    assert [r.v for r in conform(bad, schema, on_error="null").collect()] == [None] * 11
+    whole = [("150e-1", 15), ("1.50E1", 15), ("-0.0", 0), (".0e9", 0), ("12.", 12), ("+1e3", 1000), ("0.00012e5", 12), ("1." + "0" * 40, 1)]
+    df = spark.createDataFrame([(t,) for t, _ in whole], "v string")
+    assert [r.v for r in conform(df, schema).collect()] == [v for _, v in whole]
 
 
 def test_ranges(spark):

@@ -36,13 +36,14 @@ def test_lookup_for_projects_before_distinct(spark):
     assert lookup_for(lk, ["neighborhood"], keep_fanout=True).count() == 2
 
 
-def test_broadcast_only_below_checked_rows(spark):
+def test_lookup_joins_without_a_job_of_its_own(spark):
     lk = _lookup(spark, [("D", "g", "Dist", "Gracia")])
     df = spark.createDataFrame([(1, "g")], "id int, neighborhood string")
     args = dict(on=[("neighborhood", "neighborhood")], take={"neighborhood": "neighborhood_n_reconciled"})
-    small = reconcile(df, lk, broadcast_rows=10, **args)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert reconcile(df, lk, broadcast_rows=0, **args).count() == 1
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    joined = reconcile(df, lk, **args)
+    assert set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == set(jobs)
+    assert joined.count() == 1
 
 
 def test_format_income_rent_listings(spark):
