@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propmart.functions.dates import year_of
-from propmart.functions.numbers import is_price_text, payback_years, round_half_up, text_to_double
+from propmart.functions.numbers import is_price_text, payback_years, round_exact, text_to_double
 from propmart.schemas import AVG_PRICE_COLUMNS, PRICE_SENTINELS, RENT_MONTHLY_LABEL, ROI_COLUMNS
 
 
@@ -35,7 +35,7 @@ def average_from_partials(
     """
     group_name, avg_name = names
     out = partials.groupBy(F.col(by).alias(group_name)).agg(
-        round_half_up(F.sum("price_sum") / F.sum("price_n"), 2).alias(avg_name)
+        round_exact(F.try_divide(F.sum("price_sum"), F.sum("price_n")), 2).alias(avg_name)
     )
     return out.orderBy(F.col(avg_name).desc(), F.col(group_name).asc()) if sort else out
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propmart.schemas import ML_CATEGORICAL, ML_LABEL, ML_NUMERIC, ML_SEED, SEGMENT_COLUMNS
@@ -117,6 +118,42 @@ def linear_fit(df: DataFrame, label: str, feature: str, by: Sequence[str] = ())
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+def sgd_linear(
+    df: DataFrame, label: str, features: Sequence[str], by: Sequence[str] = (), step: float = 1.0, iterations: int = 100, tolerance: float = 0.001
+) -> DataFrame:
+    """M8: least squares by gradient descent over all rows, without intercept.
+
+    From weights 0, iteration i subtracts ``step / sqrt(i)`` times the mean
+    gradient ``(w.x - y) x``, and the descent stops after ``iterations`` or
+    once the weights move by less than ``tolerance * max(|w|, 1)``.  The
+    mean gradient depends on the rows through their second moments alone, so
+    one aggregate of k * (k + 3) / 2 sums per group serves all iterations,
+    which are then folded over the moments.  Rows with a null are left out; a
+    group without rows gives none.  Columns: ``by``, weights (array in the
+    order of ``features``), steps (iterations made).
+    """
+    k = len(features)
+    x = [F.col(c).cast("double") for c in features]
+    y = F.col(label).cast("double")
+    rows = df.where(reduce(lambda a, b: a & b, [c.isNotNull() for c in (*x, y)]))
+    sums = [F.avg(x[i] * x[j]).alias(f"__m{i}_{j}") for i in range(k) for j in range(i, k)] + [F.avg(x[i] * y).alias(f"__b{i}") for i in range(k)]
+    moments = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), *sums).where("__n > 0")
+    m = lambda i, j: F.col(f"__m{min(i, j)}_{max(i, j)}")
+
+    def advance(state: Column, i: Column) -> Column:
+        w = state["w"]
+        rate = F.lit(float(step)) / F.sqrt(i.cast("double"))
+        new = F.array(*[F.get(w, F.lit(a)) - rate * (reduce(lambda p, q: p + q, [m(a, b) * F.get(w, F.lit(b)) for b in range(k)]) - F.col(f"__b{a}")) for a in range(k)])
+        norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, e: t + e * e))
+        moved = norm(F.zip_with(new, w, lambda p, q: p - q))
+        done = moved < F.lit(float(tolerance)) * F.greatest(norm(new), F.lit(1.0))
+        return F.when(state["done"], state).otherwise(F.struct(new.alias("w"), (state["steps"] + 1).alias("steps"), done.alias("done")))
+
+    start = F.struct(F.array(*[F.lit(0.0)] * k).alias("w"), F.lit(0).alias("steps"), F.lit(False).alias("done"))
+    folded = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, advance)
+    return moments.select(*by, folded.alias("s")).select(*by, F.col("s.w").alias("weights"), F.col("s.steps").alias("steps"))
+
+
 def fit_linear_model(df: DataFrame, label: str, features: Sequence[str]):
     """M8 (any number of features): ``pyspark.ml`` linear regression."""
     assembled = VectorAssembler(inputCols=list(features), outputCol="lr_features").transform(model_input(df, features, label))

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from propmart.session import scratch_path
+from propmart.sources.footers import read_footers, totals
+
+TARGET_FILE_BYTES = 128 << 20
+
 
 def persist_landing(df: DataFrame, path: str, batch_ts: int | None = None) -> None:
     """K1: typed snappy Parquet of one landing dataset.
@@ -25,6 +30,7 @@ def write_zone(
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
     rebalance: bool = False,
+    keep_other_partitions: bool = False,
 ) -> None:
     """K2/K3: replace one zone dataset with ``df`` as snappy Parquet.
 
@@ -44,9 +50,28 @@ def write_zone(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if keep_other_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def write_sized(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES) -> tuple[int, int]:
+    """K2: replace one dataset with files of about ``target_bytes``; returns (files, rows per file).
+
+    ``df`` is computed once, into the shared scratch folder.  The footers of
+    those files tell the bytes that a row takes, and from that follow the
+    number of files and the most rows per file.
+    """
+    staged = scratch_path(df.sparkSession, "staged")
+    df.write.option("compression", "snappy").parquet(staged)
+    _, n_rows, n_bytes = totals(read_footers(df.sparkSession, staged))
+    n_files = max(1, -(-n_bytes // target_bytes))
+    per_file = max(1, -(-n_rows // n_files))
+    out = df.sparkSession.read.schema(df.schema).parquet(staged).repartition(n_files)
+    out.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", per_file + per_file // 4).parquet(path)
+    return n_files, per_file
+
+
 def write_kpi_csv(df: DataFrame, path: str, sort_by: Sequence[Column] = ()) -> None:
     """K4: headered CSV of a KPI, replacing the previous one.
 

@@ -37,3 +37,20 @@ def test_text(spark):
         name_prefix(F.lit("2020_01_02_x.json"), 10).alias("p"),
     ).first()
     assert (r.u, r.f, r.s, r.p) == ("https://a.org/x/d/2020_lloguer_preu_trim.csv", "2020_lloguer_preu_trim.csv", "2020_lloguer_preu_trim", "2020_01_02")
+
+
+def test_round_exact_is_the_rounding_of_binary_values(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from propmart.functions.numbers import round_exact
+
+    rnd = random.Random(9)
+    values = [2.675, 0.125, 1.005, -2.675, 0.375, 0.0, -0.125, 1e300, float(2**53 + 1), 5e-324, 0.005, 0.015, 1.115, 4.35, 1234567.885, None]
+    values += [rnd.uniform(0, 10 ** rnd.randrange(-3, 9)) for _ in range(3000)] + [k / 2**j for k in range(1, 300, 7) for j in range(12)]
+    values += [round(rnd.uniform(0, 1000), 2) + 0.005 for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 5):
+        for v, got in df.select("v", round_exact(F.col("v"), digits).alias("r")).collect():
+            assert got == (None if v is None else round(v, digits)), v

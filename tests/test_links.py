@@ -1,4 +1,6 @@
-from propmart.operators.links import extract_links, new_links, resolve_links
+from pyspark.sql import functions as F
+
+from propmart.operators.links import bitmaps_for, extract_links, merge_filters, name_filter, new_links, new_links_filtered, perhaps_stored, resolve_links
 
 HTML = (
     '<html><body><a href="/dataset/2020_lloguer_preu_trim.csv">x</a>'
@@ -35,3 +37,21 @@ def test_files_to_fetch_skips_stored(spark, tmp_dir):
     pages = spark.createDataFrame([(1, "https://opendata.example.org", HTML), (2, "https://opendata.example.org", HTML)], "page_id int, url string, html string")
     got = [r.file_name for r in files_to_fetch(spark, pages, f"{tmp_dir}/local").collect()]
     assert got == ["2021_lloguer_preu_trim.csv"]
+
+
+def test_filter_splits_links_without_loss(spark):
+    stored = spark.range(5000).select(F.concat(F.lit("file"), "id").alias("file_name"))
+    links = spark.range(4000, 9000).select(F.concat(F.lit("file"), "id").alias("file_name"), "id").union(spark.createDataFrame([(None, -1)], "file_name string, id long"))
+    n = bitmaps_for(5000)
+    assert n == 2
+    halves = [name_filter(stored.where(c), n) for c in ("file_name < 'file3'", "file_name >= 'file3'")]
+    names = merge_filters(*halves)
+    assert {(r.bitmap, bytes(r.bits)) for r in names.collect()} == {(r.bitmap, bytes(r.bits)) for r in name_filter(stored, n).collect()}
+    marked = perhaps_stored(links, names, n)
+    assert marked.where("id < 5000 AND id >= 0 AND NOT perhaps").count() == 0  # never a false "new"
+    wrong = marked.where("id >= 5000 AND perhaps").count()
+    assert wrong < 0.03 * 4000
+    got = sorted(r.id for r in new_links_filtered(links, stored, names, n).collect())
+    assert got == sorted(r.id for r in new_links(links, stored).collect()) == [-1, *range(5000, 9000)]
+    empty = name_filter(stored.limit(0), 1)
+    assert new_links_filtered(links, stored.limit(0), empty, 1).count() == 5001

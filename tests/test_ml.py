@@ -82,3 +82,32 @@ def test_linear_model_on_rows_made_here(spark):
     assert abs(model.intercept - intercept) < 1e-6
     closed = linear_fit(df, "avg_rent", "price").first()
     assert abs(closed.slope - slope) < 1e-9 and closed.n == 3
+
+
+def test_gradient_descent_steps(spark):
+    import math
+    import random
+
+    from propmart.operators.ml import sgd_linear
+
+    rnd = random.Random(2)
+    rows = [("g", rnd.random(), rnd.random(), rnd.random()) for _ in range(50)] + [("h", 0.5, 1.0, 2.0), ("h", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, a double, b double, y double")
+
+    def plain(data, step, iterations, tolerance):
+        w = [0.0, 0.0]
+        for i in range(1, iterations + 1):
+            g = [sum((w[0] * a + w[1] * b - y) * x[j] for a, b, y in data for x in [(a, b)]) / len(data) for j in range(2)]
+            new = [w[j] - step / math.sqrt(i) * g[j] for j in range(2)]
+            moved, w = math.dist(new, w), new
+            if moved < tolerance * max(math.hypot(*w), 1.0):
+                return w, i
+        return w, iterations
+
+    for step, iterations, tolerance in ((1.0, 100, 0.001), (0.5, 7, 0.0), (1.0, 100, 0.05)):
+        got = {r.k: (r.weights, r.steps) for r in sgd_linear(df, "y", ["a", "b"], ["k"], step, iterations, tolerance).collect()}
+        for key in ("g", "h"):
+            w, n = plain([r[1:] for r in rows if r[0] == key and None not in r], step, iterations, tolerance)
+            assert got[key][1] == n
+            assert all(abs(p - q) < 1e-9 for p, q in zip(got[key][0], w, strict=True))
+    assert sgd_linear(df.limit(0), "y", ["a"]).count() == 0
