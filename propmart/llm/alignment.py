@@ -11,6 +11,7 @@ the counts up, each key verified against the one that is stored at its place.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,8 +30,8 @@ from propmart.llm.common import OwnFile, open_input, pieces, scratch, sorted_gro
 from propmart.llm.shingles import mix
 from propmart.llm.tokens import _CUT
 
-LONG = 1 << 20  # characters of one text that are aligned at once
-MOST_PIECES = 200_000  # distinct pieces kept by a worker; then it starts anew
+LONG = 1 << 21  # characters of one text that are aligned at once
+MOST_PIECES = 400_000  # distinct pieces that a worker knows at most; then it keeps the common ones
 LONGEST = 200  # characters of a piece that is kept
 SHARD_KEYS = 1 << 17  # pairs of ids per shard, in the mean
 GROUP_ROWS = 1 << 20  # partial counts that one dense vector takes in
@@ -39,6 +41,8 @@ OPEN_SHARDS = 24  # shards that a worker keeps open
 
 # before a blank that follows other text: both tokenizers start a token there
 _BLANK = re.compile("(?<=[^\\s\x1c-\x1f\x85\u180e\u200b\ufeff\u2581]) ")
+# a blank at the start or after white space, which is no place to cut, or what may look like that
+_UNEVEN = "^ |[\\x09-\\x0d\\x1c-\\x20\\x85\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}\\x{2581}] "
 
 
 def byte_of_char() -> dict[str, int]:
@@ -52,22 +56,63 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+# fixed value: the split pattern of byte-level pre-tokenization
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def ranked_encoder(made: dict, token_bytes: list[bytes]):
+    """A faster encoder of a byte-level tokenizer whose ids are the order of its merges; None for any other."""
+    merges = [m.split(" ") if isinstance(m, str) else m for m in made["model"].get("merges", [])]
+    vocabulary = made["model"].get("vocab", {})
+    if len(set(token_bytes[:256])) != 256 or any(len(t) != 1 for t in token_bytes[:256]) or any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    import tiktoken
+
+    ranks = {t: i for i, t in enumerate(token_bytes[: 256 + len(merges)])}
+    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class Pieces:
-    """What is known of the pieces that a worker has met: alignment, and more on request."""
+    """The pieces that a worker knows: their alignment, uses, and sums over the counts of their links."""
 
     def __init__(self):
         self.number: dict = {}
+        self.units: list = []
         self.text: list[str] = []  # of their groups
         self.sizes = np.zeros((0, 3), np.int64)  # tokens of A, tokens of B, groups; no groups: the bytes differ
         self.first = np.zeros(1, np.int64)  # of their links
         self.keys = np.zeros(0, np.int64)
-        self.seen = np.zeros(0, np.int64)  # occurrences in texts that count
+        self.uses = np.zeros(0, np.int64)  # lookups, for what is worth keeping
+        self.seen = np.zeros(0, np.int64)  # occurrences in texts that count, since the last flush
         self.sums = np.zeros((0, 3), np.int64)  # over links: best ones, counts, links that have a count
+        self.counted = ""  # the counts that the sums are of
+
+    def add(self, units: list, sizes: np.ndarray, said: list[str], first: np.ndarray, keys: np.ndarray) -> None:
+        for u in units:
+            self.number[u] = len(self.number)
+        self.units += units
+        self.text += said
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.first = np.concatenate([self.first, self.first[-1] + first[1:]])
+        self.keys = np.concatenate([self.keys, keys])
+        self.uses, self.seen = (np.concatenate([x, np.zeros(len(units), np.int64)]) for x in (self.uses, self.seen))
 
-    def occurrences(self) -> np.ndarray:
-        """``seen``, grown to all pieces."""
-        self.seen = np.concatenate([self.seen, np.zeros(len(self.text) - len(self.seen), np.int64)])
-        return self.seen
+    def full(self) -> bool:
+        return len(self.text) > MOST_PIECES or len(self.keys) > 8 * MOST_PIECES
+
+    def thin_out(self) -> None:
+        """Keep the pieces used most, and several times; occurrences must have been flushed."""
+        least = max(2, int(np.partition(self.uses, -MOST_PIECES // 2)[-MOST_PIECES // 2]) + 1 if len(self.uses) > MOST_PIECES // 2 else 2)
+        keep = np.flatnonzero((self.uses >= least) & (np.diff(self.first) <= LONGEST))
+        size = np.diff(self.first)[keep]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        self.keys = self.keys[np.repeat(self.first[keep] - ends[:-1], size) + np.arange(ends[-1])]
+        self.first, self.sizes, self.seen = ends, self.sizes[keep], np.zeros(len(keep), np.int64)
+        self.uses = self.uses[keep] // 2  # what has not come for long gives way
+        self.sums = self.sums[keep] if len(self.sums) > keep[-1:].max(initial=-1) else np.zeros((0, 3), np.int64)
+        at = keep.tolist()
+        self.units, self.text = [self.units[i] for i in at], [self.text[i] for i in at]
+        self.number = {u: i for i, u in enumerate(self.units)}
 
 
 class Aligner:
@@ -86,6 +131,11 @@ class Aligner:
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(map(byte.__getitem__, token))
+        made = json.loads(self.a.to_str())
+        splits = made.get("pre_tokenizer") or {}
+        if splits.get("type") != "ByteLevel" or not splits.get("use_regex", True) or splits.get("add_prefix_space") or made.get("normalizer"):
+            raise ValueError("only byte-level tokenizers without normalizer or added space are supported")
+        self.ranked = ranked_encoder(made, self.a_bytes)
         model = proto.ModelProto()
         with open(b_path, "rb") as file:
             model.ParseFromString(file.read())
@@ -104,7 +154,7 @@ class Aligner:
         self.known = Pieces()
 
     def segments(self, text: str) -> Iterator[str]:
-        """A text in parts between which both tokenizers cut."""
+        """A text in parts between which both tokenizers cut; the blank between two parts is left out."""
         start = 0
         while len(text) - start > LONG:
             found = _BLANK.search(text, start + LONG)
@@ -114,12 +164,24 @@ class Aligner:
             start = found.end()
         yield text[start:]
 
-    def cut(self, text: str) -> list:
-        """The pieces of a segment: a string stands for itself after a blank, a tuple for the string in it."""
-        out: list = _BLANK.split(text)
-        if max(map(len, out)) > LONG // 16:
-            out = [u for p in out for u in (self._finer(" " + p) if len(p) > LONG // 16 else [p])]
-        return out
+    def cut(self, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+        """The distinct pieces of some segments, the pieces in their order, and their number per segment.
+
+        A string stands for itself after a blank, a tuple for the string in it.
+        """
+        found = pc.split_pattern(texts, " ")
+        if pc.any(pc.match_substring_regex(texts, _UNEVEN)).as_py() or pc.max(pc.binary_length(found.flatten())).as_py() > LONG // 16:
+            out, counts = [], []
+            for text in texts.to_pylist():
+                units = _BLANK.split(text)
+                if max(map(len, units)) > LONG // 16:
+                    units = [u for p in units for u in (self._finer(" " + p) if len(p) > LONG // 16 else [p])]
+                out += units
+                counts.append(len(units))
+            number = {u: i for i, u in enumerate(dict.fromkeys(out))}
+            return list(number), np.array([number[u] for u in out], np.int64), np.array(counts, np.int64)
+        coded = found.flatten().dictionary_encode()
+        return coded.dictionary.to_pylist(), np.asarray(coded.indices, np.int64), np.asarray(found.value_lengths(), np.int64)
 
     def _finer(self, text: str) -> Iterator[tuple[str]]:
         """A piece without blanks, cut where A ends a run and no piece of B passes on."""
@@ -138,7 +200,8 @@ class Aligner:
         """
         raw = [u.encode() for u in units]
         text = "".join(units)
-        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        a = self.ranked.encode_ordinary(text) if self.ranked else self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        a = np.array(a, np.int64)
         b = np.array(self.b.encode(text), np.int64)
         data = b"".join(raw)
         fits = b"".join(map(self.a_bytes.__getitem__, a.tolist())) == data and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == data
@@ -169,33 +232,23 @@ class Aligner:
             base += len(m[3])
         return np.concatenate([m[0] for m in made]), list(chain.from_iterable(m[1] for m in made)), np.concatenate(firsts), np.concatenate([m[3] for m in made])
 
-    def numbers(self, units: list) -> np.ndarray:
-        """Numbers of the pieces; new ones are aligned."""
-        number = self.known.number
-        out = list(map(number.get, units))
+    def numbers(self, units: list, order: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces ``units[i]`` for i in ``order``; new ones are aligned."""
+        out = list(map(self.known.number.get, units))
         if None in out:
-            new = list({u: None for u, at in zip(units, out, strict=True) if at is None})
             run, alone = [], []
-            for u in new:
+            for u in (u for u, at in zip(units, out, strict=True) if at is None):
                 if isinstance(u, str) and u and u[-1] > " " and not u[-1].isspace() and "▁" not in u and len(u) < LONGEST:
                     run.append(u)
                 else:
                     alone.append(u)
             made = [self.align([" " + u for u in run[i : i + 2000]]) for i in range(0, len(run), 2000)]
             made += [self.align([u[0] if isinstance(u, tuple) else " " + u]) for u in alone]
-            sizes, said, first, keys = self._joined(made)
-            known = self.known
-            known.first = np.concatenate([known.first, known.first[-1] + first[1:]])
-            known.keys = np.concatenate([known.keys, keys])
-            known.sizes = np.concatenate([known.sizes, sizes])
-            known.text += said
-            for u in chain(run, alone):
-                number[u] = len(number)
-            out = list(map(number.__getitem__, units))
-        return np.array(out, np.int64)
-
-    def full(self) -> bool:
-        return len(self.known.text) > MOST_PIECES or len(self.known.keys) > 8 * MOST_PIECES
+            self.known.add(run + alone, *self._joined(made))
+            out = list(map(self.known.number.__getitem__, units))
+        numbers = np.array(out, np.int64)[order]
+        self.known.uses += np.bincount(numbers, minlength=len(self.known.uses))
+        return numbers
 
     def fits(self, numbers: np.ndarray) -> np.ndarray:
         return self.known.sizes[numbers, 2] > 0
@@ -207,54 +260,66 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
-def _work(made: Aligner, texts: list[str]) -> Iterator[tuple[list[int], list[list]]]:
-    """Rows and their pieces, in runs of bounded size; a long text comes in several runs of its own."""
-    rows, cuts, size = [], [], 0
+def _work(made: Aligner, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Rows, numbers of their pieces, and the first piece of each row, in runs of bounded size.
+
+    A long text comes in several runs of its own.  Before a run is taken up,
+    the worker must not know more pieces than it may.
+    """
+    rows, held, size = [], [], 0
+
+    def run() -> tuple[list[int], np.ndarray, np.ndarray]:
+        units, order, counts = made.cut(pa.array(held, pa.string()))
+        return rows, made.numbers(units, order), np.cumsum(counts) - counts
+
     for row, text in enumerate(texts):
-        if not text:
-            continue
-        for segment in made.segments(text):
+        for segment in made.segments(text) if text else ():
             if len(segment) + size > LONG and rows:
-                yield rows, cuts
-                rows, cuts, size = [], [], 0
+                yield run()
+                rows, held, size = [], [], 0
             rows.append(row)
-            cuts.append(made.cut(segment))
+            held.append(segment)
             size += len(segment)
     if rows:
-        yield rows, cuts
+        yield run()
 
 
 def count_links(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Partial counts of linked id pairs: key, n, and the flush they come from."""
 
     def flush(known: Pieces, count: int) -> pa.RecordBatch:
-        keys, where = np.unique(known.keys, return_inverse=True)
-        n = np.bincount(where, np.repeat(known.occurrences(), np.diff(known.first)), len(keys)).astype(np.int64)
-        there = n > 0
-        origin = np.full(int(there.sum()), (TaskContext.get().partitionId() << 20) + count, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys[there]), pa.array(n[there]), pa.array(origin)], names=["key", "n", "origin"])
+        used = np.flatnonzero(known.seen)
+        size = np.diff(known.first)[used]
+        at = np.repeat(known.first[used] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        keys, where = np.unique(known.keys[at], return_inverse=True)
+        n = np.zeros(len(keys), np.int64)
+        np.add.at(n, where, np.repeat(known.seen[used], size))
+        known.seen[:] = 0
+        origin = np.full(len(keys), (TaskContext.get().partitionId() << 20) + count, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), pa.array(origin)], names=["key", "n", "origin"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, flushes = aligner(a_path, b_path), 0
-        made.known = Pieces()
-        for batch in pieces(batches, "text"):
+        made.known.seen[:] = 0
+        for batch in pieces(batches, "text", LONG):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             bad: set[int] = set()
             if len(texts) == 1 and len(texts[0]) > LONG:  # a misfit in any run takes the whole text away
-                for rows, cuts in _work(made, texts):
-                    if made.full():
-                        yield flush(made.known, flushes)
-                        made.known, flushes = Pieces(), flushes + 1
-                    if not all(made.fits(made.numbers(cut)).all() for cut in cuts):
+                for rows, numbers, _ in _work(made, texts):
+                    if not made.fits(numbers).all():
                         bad.update(rows)
-            for rows, cuts in _work(made, texts):
-                if made.full():
+                    if made.known.full():
+                        yield flush(made.known, flushes)
+                        made.known.thin_out()
+                        flushes += 1
+            for rows, numbers, first in _work(made, texts):
+                good = np.logical_and.reduceat(made.fits(numbers), first) & ~np.isin(rows, list(bad))
+                counts = np.diff(np.append(first, len(numbers)))
+                made.known.seen += np.bincount(numbers[np.repeat(good, counts)], minlength=len(made.known.seen))
+                if made.known.full():
                     yield flush(made.known, flushes)
-                    made.known, flushes = Pieces(), flushes + 1
-                numbers = made.numbers(list(chain.from_iterable(cuts)))
-                ends = np.cumsum([len(c) for c in cuts])
-                good = np.logical_and.reduceat(made.fits(numbers), np.concatenate([[0], ends[:-1]])) & ~np.isin(rows, list(bad))
-                made.known.occurrences()[:] += np.bincount(numbers[np.repeat(good, np.diff(ends, prepend=0))], minlength=len(made.known.text))
+                    made.known.thin_out()
+                    flushes += 1
         yield flush(made.known, flushes)
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "key long, n long, origin long")
@@ -474,34 +539,33 @@ def look_up(docs: DataFrame, a_path: str, b_path: str, folder: str, files: dict[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, counts = aligner(a_path, b_path), Counts(folder, files, n_shards)
-        made.known = Pieces()
-        for batch in pieces(batches, "text"):
+        if made.known.counted != folder:
+            made.known.sums, made.known.counted = np.zeros((0, 3), np.int64), folder
+        for batch in pieces(batches, "text", LONG):
             n = batch.num_rows
             texts = [t or "" for t in batch.column(1).to_pylist()]
             totals, digests = np.zeros((n, 6), np.int64), [None] * n
             fits = np.array([bool(t) for t in texts])
-            for rows, cuts in _work(made, texts):
-                if made.full():
-                    made.known = Pieces()
-                numbers, known = made.numbers(list(chain.from_iterable(cuts))), made.known
-                if (old := len(known.sums)) < len(known.text):  # pieces that are new here
+            for rows, numbers, first in _work(made, texts):
+                known = made.known
+                if (old := len(known.sums)) < len(known.text):  # pieces without sums
                     keys, where = np.unique(known.keys[known.first[old] :], return_inverse=True)
                     count, best = counts.find(keys)
                     piece = np.repeat(np.arange(len(known.text) - old), np.diff(known.first[old:]))
                     more = [np.zeros((len(known.text) - old, 3), np.int64)]
                     np.add.at(more[0], piece, np.stack([best, count, count > 0], axis=1)[where])
                     known.sums = np.concatenate([known.sums, *more])
-                ends = np.cumsum([len(c) for c in cuts])
-                first = np.concatenate([[0], ends[:-1]])
                 np.add.at(totals, rows, np.add.reduceat(np.concatenate([known.sizes[numbers], known.sums[numbers]], axis=1), first))
                 np.logical_and.at(fits, rows, np.logical_and.reduceat(made.fits(numbers), first))
                 order = numbers.tolist()
-                for row, a, b in zip(rows, first.tolist(), ends.tolist(), strict=True):
+                for row, a, b in zip(rows, first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
                     said = ";".join(map(known.text.__getitem__, order[a:b])).encode()
                     if digests[row] is None:
                         digests[row] = hashlib.sha256(said)
                     else:
                         digests[row].update(b";" + said)
+                if known.full():
+                    known.thin_out()
             totals[~fits] = 0
             if (totals[:, 2] != totals[:, 5]).any():
                 raise ValueError("a link has no count")

@@ -82,10 +82,10 @@ def test_without_pairs(spark, make_docs):
 def test_parts_are_those_of_the_whole_text(monkeypatch, size):
     monkeypatch.setattr(alignment, "LONG", size)
     made = alignment.Aligner(A, B)
-    for text in TEXTS + [" ".join(TEXTS), "漢字。かな,12 a'b" * 100]:
+    for text in TEXTS + [" ".join(TEXTS), "漢字。かな,12 a'b" * 100, "plain words only " * 30 + "end"]:
         want = plain(text)
-        cuts = [u for segment in made.segments(text) for u in made.cut(segment)]
-        numbers = made.numbers(cuts)
+        made.known = alignment.Pieces()
+        numbers = np.concatenate([x for _, x, _ in alignment._work(made, [text])])
         assert (want is not None) == bool(made.fits(numbers).all())
         if want:
             known = made.known
@@ -94,6 +94,18 @@ def test_parts_are_those_of_the_whole_text(monkeypatch, size):
             assert [(k // made.n_b, k % made.n_b) for k in keys.tolist()] == want[3]
 
 
+def test_common_pieces_stay(monkeypatch):
+    monkeypatch.setattr(alignment, "MOST_PIECES", 50)
+    made = alignment.Aligner(A, B)
+    texts = [" ".join(["common", "often"] * 5 + [f"rare{i}x{j}" for j in range(30)]) for i in range(12)]
+    for text in texts:
+        want, numbers = plain(text), np.concatenate([x for _, x, _ in alignment._work(made, [text])])
+        assert ";".join(made.known.text[i] for i in numbers) == ";".join(want[2])
+        if made.known.full():
+            made.known.thin_out()
+            assert {"common", "often"} <= set(made.known.number) and len(made.known.text) <= 50
+
+
 def test_few_pieces_and_shards_at_once(spark, make_docs, monkeypatch):
     rows = [(i, f"text number {i} with word{i * 7} and some 漢字 {i}") for i in range(60)]
     monkeypatch.setattr(alignment, "SHARD_KEYS", 16)
