@@ -82,7 +82,10 @@ def cast_checked(
     if isinstance(source, T.StringType):
         text = F.trim(col)
         if isinstance(target, _INTEGRAL):
-            value = F.when(text.rlike("[.eE]"), _whole(text).try_cast(target)).otherwise(text.try_cast(target))
+            plain = F.when(text.contains("."), F.regexp_replace(text, r"(?<=\d)\.0*$", "")).otherwise(text)
+            # in a lambda, which is evaluated for the rare text alone and adds no code to the stage
+            rest = F.get(F.transform(F.array(text), _whole), F.lit(0)).try_cast(target)
+            value = F.coalesce(plain.try_cast(target), F.when(text.rlike("[.eE]"), rest))
             return _fail_or_null(col, value, f"column {name}: value is not a whole {target.simpleString()}", on_error)
         return _fail_or_null(col, text.try_cast(target), f"column {name}: value is not a {target.simpleString()}", on_error)
     # numeric/boolean/date source: widen or narrow with an overflow check

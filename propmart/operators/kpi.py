@@ -77,11 +77,14 @@ def roi_from_avg_rent(listings: DataFrame, rents: DataFrame) -> DataFrame:
 
     The rent side has one row per (year, neighborhood); adaptive execution
     broadcasts it where its size, known at runtime, allows it.
-    ``distinct`` (A4/U2) combines map-side.
+    ``distinct`` (A4/U2) combines map-side.  Listings written in partitions by
+    year (a column of that name) are joined on it, so that only the partitions
+    of years with a rent are read.
     """
     y, n, code, roi_name = ROI_COLUMNS
+    year = F.col(y).cast("bigint") if y in listings.columns else year_of(F.col("date"))
     l = listings.select(
-        year_of(F.col("date")).alias(y),
+        year.alias(y),
         F.col("neighborhood").alias(n),
         F.col("propertyCode").cast("bigint").alias(code),
         F.col("price"),

@@ -11,7 +11,6 @@ engines sum doubles in different orders; the average-price KPI keeps its
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -1235,19 +1234,6 @@ SELECT CAST(c_custkey % 20 + 2000 AS INTEGER) AS Any, CAST(c_nationkey % 10 AS S
 FROM customer
 """
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
-
-
-def q_inventory(spark, sf) -> DataFrame:
-    """S1 + A9: rows read from each table's files, named through the files themselves."""
-    name = F.regexp_extract("_metadata.file_path", r"([^/]+)\.parquet(?:/[^/]*)?$", 1)
-    counts = [_t(spark, sf, t).groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows")) for t in TABLES]
-    return reduce(DataFrame.unionByName, counts)
-
-
-_A9_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES)
-
-
 _G2_SQL = f"""
 WITH fl AS ({_G1_SQL}), fr AS ({_P3_SQL}),
 ar AS (SELECT year, neighborhood, avg(TRY_CAST(Preu AS DOUBLE)) AS avg_rent FROM fr
@@ -1309,7 +1295,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "S4_lookup_csv": q_lookup_csv,
     "S5_rent_csv": q_rent_csv,
     "S6_income_csv": q_income_csv,
-    "A9_inventory": q_inventory,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -1360,5 +1345,4 @@ ORACLE_SQL: dict[str, str] = {
     "S4_lookup_csv": _S4_SQL,
     "S5_rent_csv": _S5_SQL,
     "S6_income_csv": _S6_SQL,
-    "A9_inventory": _A9_SQL,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from propmart.operators.ml import segment_average
 from propmart.operators.snapshot import latest_snapshot
-from propmart.plans.analogs import QUERIES
+from propmart.plans.registered import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "Window ", "WindowGroupLimit")
 

@@ -16,7 +16,7 @@ from collections import Counter
 
 sys.path.insert(0, ".")
 
-from propmart.plans.analogs import QUERIES  # noqa: E402
+from propmart.plans.registered import QUERIES  # noqa: E402
 from propmart.session import build_session  # noqa: E402
 
 KEEP = re.compile(
