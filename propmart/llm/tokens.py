@@ -3,7 +3,9 @@
 A byte-level BPE splits a text into pieces by a fixed pattern and encodes each
 piece by itself.  A batch of texts is split in numpy over its code points;
 pieces repeat, so a worker lets the library encode each distinct piece once
-and looks the rest up by a 64-bit hash.  Ids and character spans equal those
+and looks the rest up by a 64-bit hash.  A piece that is found is compared with
+the one that is known, character by character; pieces of one hash get places of
+their own.  Ids and character spans equal those
 of encoding whole texts (tested); occurrences of added tokens are pieces of their
 own.  Tokenizers with any other pre-tokenizer or
 with a normalizer are refused.
@@ -168,6 +170,20 @@ class Encoder:
         self.ids, self.first = _Grown(np.uint32), _Grown(np.int64)
         self.count = _Grown(np.int32)
         self.begin, self.end = _Grown(np.int32), _Grown(np.int32)
+        self.chars, self.char_first, self.char_count = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
+
+    def _differ(self, numbers: np.ndarray, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where pieces of a text are not the known pieces of these numbers (whose hash is the same)."""
+        size = (end - start).astype(np.int64)
+        wrong = self.char_count.data[numbers] != size
+        ends = np.cumsum(size)
+        held = self.char_first.data[numbers]
+        held[wrong] = 0
+        shift = np.repeat(held - (ends - size), size)
+        at = np.arange(len(shift))
+        unlike = np.flatnonzero(self.chars.data[np.minimum(shift + at, self.chars.size - 1)] != code[start[0] : end[-1]])
+        wrong[np.searchsorted(ends, unlike, side="right")] = True
+        return wrong
 
     def _learn(self, new: list[str], joinable: np.ndarray) -> None:
         """Let the library encode new pieces; blank-and-letters pieces many at once."""
@@ -200,6 +216,11 @@ class Encoder:
         self.ids.extend(ids)
         self.begin.extend(begin)
         self.end.extend(end)
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        first = self.chars.size + np.cumsum(sizes) - sizes
+        self.chars.extend(np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), "<u4"))
+        self.char_first.extend(first[back])
+        self.char_count.extend(sizes[back])
 
     def _pieces(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
         """The texts in a row, their code points, the starts of all pieces, and the texts' bounds."""
@@ -247,7 +268,16 @@ class Encoder:
         for low in range(0, len(hashes), step):
             run = hashes[low : low + step]
             numbers = self.numbers.find(run)
-            if len(missing := np.flatnonzero(numbers < 0)):
+            while True:
+                missing = np.flatnonzero(numbers < 0)
+                if not len(missing):
+                    wrong = np.flatnonzero(self._differ(numbers, code, start[low : low + step], end[low : low + step]))
+                    if not len(wrong):
+                        break
+                    # other pieces of this hash: their next place
+                    run[wrong] = mix(run[wrong] + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+                    numbers[wrong] = self.numbers.find(run[wrong])
+                    continue
                 distinct, where = np.unique(run[missing], return_index=True)
                 if self.numbers.count + len(distinct) > room:
                     self._clear()

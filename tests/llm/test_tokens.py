@@ -256,3 +256,20 @@ def test_operators_take_added_tokens_as_the_unmodified_library(spark, make_docs)
         assert (got.start, got.n_tokens, got.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         assert counted[doc_id] == len(ids) - 1
         start += len(ids)
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[i.bit_count() % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_one_polynomial_hash_get_their_own_ids(n):
+    made, plain = Encoder(byte_bpe()), Tokenizer.from_file(byte_bpe())
+    plain.encode_special_tokens = True
+    pair = [thue_morse(n), thue_morse(n, "b", "a")]
+    for texts in (pair, pair[::-1], [" ".join(pair * 3)], [f"x {t} y" for t in pair]):
+        ids, counts = made.encode(texts)
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+        low, high, _ = made.spans(texts)
+        assert list(zip(low.tolist(), high.tolist())) == [o for e in plain.encode_batch(texts, add_special_tokens=False) for o in e.offsets]
