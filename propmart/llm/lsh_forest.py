@@ -55,8 +55,9 @@ def prepare(docs: DataFrame, length: int, size: int = 5, trees: int = TREES, dep
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64(1) << np.arange(64, dtype=np.uint64)
         for batch in pieces(batches, "text"):
-            hashes, _, _, bounds = sh.words(*sh.text_bytes(batch.column(2)))
-            keys = sh.sequence_key(hashes, bounds)
+            data, texts = sh.text_bytes(batch.column(2))
+            hashes, start, end, bounds = sh.words(data, texts)
+            keys = sh.sequence_key(data, start, end, bounds)
             grams, g_bounds = sh.shingles(hashes, bounds, size)
             sig = sh.signatures(grams, g_bounds, trees * depth)
             odd = (sh.mix(sig.astype(np.uint64)) & np.uint64(1)).astype(bool)
@@ -123,8 +124,9 @@ def candidate_edges(classes: DataFrame, n_bits: int) -> DataFrame:
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            hashes, _, _, bounds = sh.words(*sh.text_bytes(batch.column(0)))
-            keys = sh.sequence_key(hashes, bounds)
+            data, texts = sh.text_bytes(batch.column(0))
+            hashes, start, end, bounds = sh.words(data, texts)
+            keys = sh.sequence_key(data, start, end, bounds)
             grams, g_bounds = sh.shingles(hashes, bounds, size)
             right = [i for i, (a, b) in enumerate(zip(keys, batch.column(1).to_pylist(), strict=True)) if a == b]
             sets = [np.unique(grams[g_bounds[i] : g_bounds[i + 1]]).tobytes() for i in right]

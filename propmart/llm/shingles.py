@@ -7,6 +7,7 @@ any word has one shingle of all its words.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cache
 
 import numpy as np
@@ -90,9 +91,14 @@ def _words(data: np.ndarray, bounds: np.ndarray, white: np.ndarray) -> tuple[np.
     inner = bounds[(bounds > 0) & (bounds < len(data))]
     before[inner], after[inner - 1] = False, False
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    p = prefix_hash(data)
-    down = powers(len(data) + 1)[1]
-    return mix((p[end] - p[start]) * down[start]), start, end
+    # a byte at its place in the word is mixed before it is added: a polynomial
+    # modulo 2**64 gives one value to long words that differ in a regular way
+    at = np.flatnonzero(inside)
+    place = at - np.repeat(start, end - start)
+    p = np.zeros(len(at) + 1, np.uint64)
+    np.cumsum(mix(data[at].astype(np.uint64) + np.uint64(1) + (place.astype(np.uint64) << np.uint64(8)) * BASE), out=p[1:])
+    ends = np.cumsum(end - start)
+    return mix(p[ends] - p[ends - (end - start)]), start, end
 
 
 @cache
@@ -121,16 +127,16 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int = 5) -> tuple[np.
     return mix(out), np.concatenate([[0], ends])
 
 
-def sequence_key(hashes: np.ndarray, bounds: np.ndarray) -> list[str]:
-    """A 128-bit name of each document's sequence of words, as hexadecimal text."""
-    n = np.diff(bounds)
-    place = (np.arange(len(hashes)) - np.repeat(bounds[:-1], n)).astype(np.uint64)
-    halves = []
-    for c in multipliers(2, 6):
-        p = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(mix(hashes * c + place * BASE), out=p[1:])
-        halves.append(mix(p[bounds[1:]] - p[bounds[:-1]] + n.astype(np.uint64)))
-    return [f"{a:016x}{b:016x}" for a, b in zip(*(h.tolist() for h in halves), strict=True)]
+def sequence_key(data: np.ndarray, start: np.ndarray, end: np.ndarray, bounds: np.ndarray) -> list[str]:
+    """128 bits of the SHA-256 of each document's words, joined by blanks, as hexadecimal text."""
+    out = []
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if low == high:
+            out.append(hashlib.sha256().hexdigest()[:32])
+            continue
+        text = data[start[low] : end[high - 1]].tobytes()
+        out.append(hashlib.sha256(b" ".join(text.split())).hexdigest()[:32])
+    return out
 
 
 def signatures(hashes: np.ndarray, bounds: np.ndarray, count: int, seed: int = 7) -> np.ndarray:

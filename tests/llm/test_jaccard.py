@@ -163,3 +163,10 @@ def test_words_in_slices(monkeypatch):
         monkeypatch.setattr(sh, "SLICE", size)
         got = sh.words(*sh.text_bytes(pa.array(texts)))
         assert all((a == b).all() for a, b in zip(got, want, strict=True))
+
+
+def test_words_of_one_polynomial_hash_are_different_texts(spark, make_docs):
+    word = lambda n, a, b: "".join((a, b)[i.bit_count() % 2] for i in range(n))
+    rows = [(i * 10 + j, f"one two {word(n, *ab)} three four five") for i, n in enumerate((1024, 2048)) for j, ab in enumerate(("ab", "ba"))]
+    got = {r.doc_id: r for r in lsh_forest.jaccard_join(make_docs(rows)).collect()}
+    assert {i: (r.class_id, r.copies) for i, r in got.items()} == {i: (i, 1) for i, _ in rows}
