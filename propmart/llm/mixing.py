@@ -10,6 +10,8 @@ are lower, so mixes are nested.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +26,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def row_hash(key: Column, seed: str = "mix") -> Column:
-    """60-bit hash of a key, from MD5 so that SQL elsewhere can repeat it."""
-    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":" + seed))
+def row_hash(key: Column, digest: Column, ordinal: Column, seed: str = "mix") -> Column:
+    """60-bit hash of a row's id, the MD5 of its text and its number among equal rows; SQL elsewhere can repeat it."""
+    text = F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("")), F.coalesce(digest, F.lit("")), ordinal.cast("string"), F.lit(seed))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -124,19 +126,37 @@ def mix_plan(
     return out.select("source", "source_size", "target", "whole", F.coalesce("threshold", F.lit(0).cast("long")).alias("threshold"))
 
 
-def sized_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, h) per row; a null text has size 0, a null id its own hash."""
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-        row_hash(F.col(id_col)).alias("h"),
-    )
+def hashed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` as the struct ``row``, with doc_id, source, size (of a null text: 0) and h.
+
+    No two rows have the same h but by chance: rows of one id, text and source
+    are numbered.  Which of them gets which number does not matter, so they are
+    numbered within the partitions that they lie in, after those of earlier
+    partitions; no task gets more of them than it read.
+    """
+    group = ("doc_id", "source", "digest")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("t"))
+    rows = rows.select("row", "doc_id", "source", word_count(F.col("t")).alias("size"), F.md5(F.col("t").cast("binary")).alias("digest"))
+    rows = written(rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "mix-rows")
+    counts = rows.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("n"))
+    same = lambda: [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in group]
+    several = counts.groupBy(*[F.col(c).alias(f"g_{c}") for c in group]).agg(F.sum("n").alias("all")).where("all > 1").drop("all")
+    several = written(several, "mix-repeated")
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    joined = counts.join(several, reduce(lambda a, b: a & b, same())).select(*group, "part", "n")
+    firsts = joined.select(*[F.col(c).alias(f"g_{c}") for c in group], F.col("part").alias("g_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    firsts = written(firsts, "mix-firsts")
+    known = rows.join(firsts, reduce(lambda a, b: a & b, [*same(), F.col("part") == F.col("g_part")]), "left")
+    single = known.where("before IS NULL").withColumn("ordinal", F.lit(1).cast("long"))
+    within = Window.partitionBy(*group, "part").orderBy("place")
+    repeated = known.where("before IS NOT NULL").withColumn("ordinal", F.row_number().over(within) + F.col("before"))
+    both = single.unionByName(repeated)
+    return both.select("row", "doc_id", "source", "size", row_hash(F.col("doc_id"), F.col("digest"), F.col("ordinal")).alias("h"))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    sized = written(sized_rows(docs), "mix-sized")
+    sized = written(hashed_rows(docs.select("doc_id", "source", "text")).drop("row"), "mix-sized")
     plan = written(mix_plan(sized, **options), "mix-plan").withColumnRenamed("source", "s")
     copies = F.col("whole") + (F.col("h") < F.col("threshold")).cast("int")
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
@@ -149,11 +169,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Rows without words are kept once: they take nothing from the budget.
     """
-    sized = written(sized_rows(docs), "mix-sized")
-    plan = written(mix_plan(sized, **options), "mix-plan")
-    plan = plan.select(F.col("source").alias("__mix_source"), F.col("whole").alias("__mix_whole"), F.col("threshold").alias("__mix_below"))
-    copies = F.when(word_count(F.col("text")) == 0, 1).otherwise(
-        F.col("__mix_whole") + (row_hash(F.col("doc_id")) < F.col("__mix_below")).cast("int")
-    )
-    rows = docs.join(plan, F.col("source").eqNullSafe(F.col("__mix_source")))
-    return rows.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = written(hashed_rows(docs), "mix-sized")
+    plan = written(mix_plan(rows.drop("row"), **options), "mix-plan").withColumnRenamed("source", "s")
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.col("whole") + (F.col("h") < F.col("threshold")).cast("int"))
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"))
+    return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -155,7 +155,8 @@ from words d join classes k on d.w = k.w join groups g on g.node = k.node left j
     "op7_mix_sources": r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         substr(md5(coalesce(doc_id::varchar, '') || ':mix'), 1, 15) as h
+         substr(md5(concat_ws(':', coalesce(doc_id::varchar, ''), coalesce(md5(text), ''),
+                              row_number() over (partition by doc_id, source, text)::varchar, 'mix')), 1, 15) as h
   from documents
 ), totals as (
   select source, sum(size)::bigint as source_size,

@@ -30,13 +30,19 @@ def targets(totals, share=1.5, most=2.0):
 
 
 def brute(rows):
-    totals = defaultdict(int)
+    totals, seen = defaultdict(int), defaultdict(int)
     for r in rows:
         totals[r[3]] += size(r[1])
     target = targets(totals)
+    named = []
+    for r in rows:
+        seen[r[0], r[1], r[3]] += 1
+        text = "" if r[1] is None else hashlib.md5(r[1].encode()).hexdigest()
+        name = f"{'' if r[0] is None else r[0]}:{text}:{seen[r[0], r[1], r[3]]}:mix"
+        named.append((hashlib.md5(name.encode()).hexdigest()[:15], *r))
     out = []
     for source, total in totals.items():
-        mine = [(hashlib.md5(f"{'' if r[0] is None else r[0]}:mix".encode()).hexdigest()[:15], r[0], size(r[1])) for r in rows if r[3] == source]
+        mine = [(r[0], r[1], size(r[2])) for r in named if r[4] == source]
         whole = min(2, int(target[source] // total)) if total else 0
         need = target[source] - whole * total
         for h, doc_id, n in mine:
@@ -77,7 +83,7 @@ def test_reruns_and_partitions_agree(spark, make_docs):
 
 
 def test_mix_repeats_and_drops_rows(spark, make_docs):
-    rows = [r for r in case() if r[0] is not None and r[0] != 1003]
+    rows = [r for r in case() if r[0] is not None and r[0] != 1003]  # ids that name one row
     docs = make_docs(rows, extra=True)
     kept = mixing.mix(docs)
     assert kept.columns == docs.columns
@@ -96,3 +102,24 @@ def test_tables_without_words(spark, make_docs):
     docs = make_docs([(1, None), (2, "")])
     assert [r.taken for r in mixing.mix_report(docs).collect()] == [0, 0]
     assert mixing.mix(docs).count() == 2
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_of_one_id_come_near_the_target(spark, make_docs, key):
+    """Sums only, whatever the hash is: many rows of one id, also of one text."""
+    rows = [(key, " ".join(["w"] * (1 + (i if i % 2 else 0) % 5)), "en", f"s{i % 3}") for i in range(3000)]
+    rows += [(key, None, "en", "s0"), (key, "", "en", "s1")] * 3
+    docs = make_docs(rows, extra=True)
+    totals, taken = defaultdict(int), defaultdict(int)
+    for r in rows:
+        totals[r[3]] += size(r[1])
+    got = mixing.mix_report(docs).collect()
+    assert len(got) == len(rows) and all(r.taken <= 2 * r["size"] for r in got)
+    goal = targets(totals)
+    for r in got:
+        taken[r.target] += r.taken
+    assert sorted(taken) == pytest.approx(sorted(set(goal.values())))
+    assert all(abs(n - t * sum(g == pytest.approx(t) for g in goal.values())) <= 5 * 3 for t, n in taken.items())
+    kept = mixing.mix(docs)
+    words = sum(size(r.text) for r in kept.select("text").collect())
+    assert abs(words - sum(goal.values())) <= 15 and kept.columns == docs.columns
