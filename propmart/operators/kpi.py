@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from propmart.functions.dates import year_of
 from propmart.functions.numbers import is_price_text, payback_years, round_exact, text_to_double
+from propmart.operators.exact import exact_average, exact_sums
 from propmart.schemas import AVG_PRICE_COLUMNS, PRICE_SENTINELS, RENT_MONTHLY_LABEL, ROI_COLUMNS
 
 
@@ -41,15 +42,20 @@ def average_from_partials(
 
 
 def avg_price_by(
-    df: DataFrame, by: str = "neighborhood", price: str = "price", operation: str | None = None, sort: bool = True
+    df: DataFrame, by: str = "neighborhood", price: str = "price", operation: str | None = None, sort: bool = True, exact: bool = False
 ) -> DataFrame:
     """A1 + O1 + X8: average listing price per ``by``, 2 decimals, desc.
 
     Sale and rent listings are mixed as in the source unless ``operation`` is
-    given (Q11).  Null prices are ignored (Q12).
+    given (Q11).  Null prices are ignored (Q12).  ``exact`` sums without
+    rounding, so that the figure is the same for every partitioning.
     """
     if operation is not None:
         df = df.where(F.col("operation") == operation)
+    if exact:
+        df = df.withColumn("__by", F.col(by))
+        partials = exact_sums(df, ["__by"], price).select(F.col("__by").alias(by), F.col("total").alias("price_sum"), F.col("n").alias("price_n"))
+        return average_from_partials(partials, by, sort=sort)
     return average_from_partials(price_partials(df, by, price), by, sort=sort)
 
 
@@ -58,13 +64,18 @@ def monthly_rent_rows(rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinel
     return rent.where((F.col("Lloguer_mitja") == label) & is_price_text(F.col("Preu"), sentinels))
 
 
-def avg_rent(rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_SENTINELS) -> DataFrame:
+def avg_rent(rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_SENTINELS, exact: bool = False) -> DataFrame:
     """A3: mean monthly rent per (year, neighborhood); quarters weigh equally.
 
+    ``exact`` sums without rounding, as in ``avg_price_by``.
+
     Output: year (bigint), neighborhood, avg_rent.  Grouped by the measure as
     well, then the measure is dropped (it is constant after F3).
     """
     rows = monthly_rent_rows(rent, label, sentinels)
+    if exact:
+        rows = rows.select(F.col("year").cast("bigint").alias("year"), "neighborhood", text_to_double(F.col("Preu")).alias("price"))
+        return exact_average(rows, ["year", "neighborhood"], "price", "avg_rent")
     return (
         rows.groupBy(F.col("year").cast("bigint").alias("year"), "neighborhood", "Lloguer_mitja")
         .agg(F.avg(text_to_double(F.col("Preu"))).alias("avg_rent"))
@@ -100,11 +111,11 @@ def roi_names(listings: DataFrame, rents: DataFrame) -> DataFrame:
     return keys.join(rents.select(y, n), [y, n], "left_semi").select(n).distinct()
 
 
-def roi(listings: DataFrame, rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_SENTINELS) -> DataFrame:
+def roi(listings: DataFrame, rent: DataFrame, label: str = RENT_MONTHLY_LABEL, sentinels=PRICE_SENTINELS, exact: bool = False) -> DataFrame:
     """Years of rent that pay back each listing's price.
 
     ``ROI/Year = price / (12 * mean monthly rent of its year and neighborhood)``
     (Q8: a payback period, the name is kept).  Listings without a rent figure
     for their (year, neighborhood) drop; zero rent gives null (Q7).
     """
-    return roi_from_avg_rent(listings, avg_rent(rent, label, sentinels))
+    return roi_from_avg_rent(listings, avg_rent(rent, label, sentinels, exact))

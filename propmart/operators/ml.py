@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from propmart.schemas import ML_CATEGORICAL, ML_LABEL, ML_NUMERIC, ML_SEED, SEGMENT_COLUMNS
 
 
+MAX_DEPTH = 5  # of the forest's trees
+
+
 def segment_average(
     df: DataFrame, by: Sequence[str] = SEGMENT_COLUMNS, value: str = ML_LABEL, out: str = "avg"
 ) -> DataFrame:
@@ -82,7 +85,7 @@ def price_pipeline(
     label: str = ML_LABEL,
     seed: int = ML_SEED,
     num_trees: int = 20,
-    max_depth: int = 5,
+    max_depth: int = MAX_DEPTH,
 ) -> Pipeline:
     """M1-M5: indexers, encoders, assembler (M3), random forest (M4, fixed seed),
     in that order as one pipeline (M5)."""

@@ -17,7 +17,7 @@ from propmart.sources.sinks import write_kpi_csv
 def build_exploitation(spark: SparkSession, formatted_dir: str, out_dir: str, operation: str | None = None) -> dict[str, str]:
     """``avg_price`` (sorted desc) and ``ROI`` (payback table).
 
-    The payback table has a row per listing and is written unsorted, straight
+    Averages are sums without rounding, the same for every partitioning.  The payback table has a row per listing and is written unsorted, straight
     from the distinct stage, as the source wrote it.
     """
     src = formatted_dir.rstrip("/")
@@ -26,11 +26,11 @@ def build_exploitation(spark: SparkSession, formatted_dir: str, out_dir: str, op
     rent = read_zone(spark, f"{src}/rent", FORMATTED_RENT_SCHEMA)
     name, value = AVG_PRICE_COLUMNS
     write_kpi_csv(
-        avg_price_by(listings, "neighborhood", "price", operation, sort=False),  # the writer sorts
+        avg_price_by(listings, "neighborhood", "price", operation, sort=False, exact=True),  # the writer sorts
         f"{dst}/avg_price",
         sort_by=[F.col(value).desc(), F.col(name).asc()],
     )
-    write_kpi_csv(roi(listings, rent), f"{dst}/ROI")
+    write_kpi_csv(roi(listings, rent, exact=True), f"{dst}/ROI")
     return {"avg_price": f"{dst}/avg_price", "ROI": f"{dst}/ROI"}
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,9 @@ from propmart.functions.numbers import round_exact
 from propmart.operators.exact import exact_sums
 from propmart.operators.kpi import avg_price_by, roi_from_avg_rent
 from propmart.operators.links import bitmaps_for, name_filter, new_links_filtered
-from propmart.operators.ml import sgd_linear
-from propmart.plans.analogs import _G3_SQL, _J6_SQL, _ORDER_LISTINGS_SQL, ROI, _r6, _resolved, _t, monthly_rent_per_nation, order_listings
+from propmart.operators.forest import forest_nodes, score_with_nodes
+from propmart.operators.ml import hash_split, predict, price_pipeline, sgd_linear
+from propmart.plans.analogs import _G3_SQL, _J6_SQL, _ORDER_LISTINGS_SQL, ROI, _r6, _TRAIN_BELOW, _resolved, _t, monthly_rent_per_nation, order_listings, part_sales
 from propmart.plans.exploitation import build_exploitation
 from propmart.plans.formatted import build_formatted
 from propmart.plans.persistent import build_persistent
@@ -26,7 +28,7 @@ from propmart.sources.files import inventory, inventory_counts
 from propmart.sources.footers import lacking_in_files, read_footers
 from propmart.sources.parquet import read_zone
 from propmart.sources.raw import read_kpi_csv
-from propmart.sources.sinks import write_kpi_csv, write_sized, write_zone
+from propmart.sources.sinks import save_model, write_kpi_csv, write_sized, write_zone
 
 # ---------------------------------------------------------------------------
 # Footers, sizes, partitions
@@ -176,6 +178,21 @@ SELECT p_brand, round(wa, 6) AS w_size, round(wb, 6) AS w_place, CAST(i AS INTEG
 QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY i DESC) = 1
 """
 
+def q_forest_table(spark, sf) -> DataFrame:
+    """M4, M5, M7, K5: the forest of the part sales, saved; the loaded pipeline and its node table predict the same."""
+    train, test = hash_split(part_sales(spark, sf), "p_partkey")
+    path = scratch_path(spark, "forest")
+    save_model(price_pipeline(categorical=["p_brand", "p_type"], numeric=["quantity", "n_lines"], label="paid").fit(train), path)
+    scored = predict(PipelineModel.load(path), test)
+    by_table = score_with_nodes(scored, forest_nodes(spark, path), "p_partkey", out="by_table")
+    return scored.select("p_partkey", "prediction").join(by_table, "p_partkey").select("p_partkey", (F.col("prediction") == F.col("by_table")).alias("same"))
+
+
+_M7_SQL = f"""
+SELECT p_partkey, true AS same FROM part
+WHERE p_partkey IN (SELECT l_partkey FROM lineitem) AND substr(md5(CAST(p_partkey AS VARCHAR)), 1, 15) >= '{_TRAIN_BELOW}'
+"""
+
 # ---------------------------------------------------------------------------
 # All zones
 # ---------------------------------------------------------------------------
@@ -298,6 +315,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "A1_exact_average": q_exact_average,
     "X8_round_exact": q_round_exact,
     "M8_gradient_descent": q_gradient_descent,
+    "M7_forest_table": q_forest_table,
     "K4_published_kpi": q_sorted_csv,
     "G5_zones": q_zones,
 }
@@ -311,6 +329,7 @@ ORACLE_SQL: dict[str, str] = {
     "A1_exact_average": _A1_EXACT_SQL,
     "X8_round_exact": _X8_SQL,
     "M8_gradient_descent": _M8_SGD_SQL,
+    "M7_forest_table": _M7_SQL,
     "K4_published_kpi": _K4_SQL,
     "G5_zones": _G5_SQL,
 }

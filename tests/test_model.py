@@ -28,3 +28,21 @@ def test_small_fractions_get_their_share(spark):
         assert n + test.count() == 20_000 and abs(n - 20_000 * fraction) < 4 * (20_000 * fraction * (1 - fraction)) ** 0.5
     train, test = hash_split(spark.createDataFrame([(None,), (1,)], "id long"), "id")
     assert train.count() + test.count() == 2
+
+
+def test_node_table_predicts_as_the_model_does(spark, tmp_dir):
+    from pyspark.ml import PipelineModel
+
+    from propmart.operators.forest import forest_nodes, score_with_nodes
+    from propmart.operators.ml import price_pipeline
+    from propmart.sources.sinks import save_model
+
+    rows = [(i, "abcde"[i % 5], float(i % 13), float((i * 7) % 100), float((i % 13) * 3 + ord("abcde"[i % 5]) % 3 + i % 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, kind string, x double, z double, y double")
+    pipe = price_pipeline(categorical=["kind"], numeric=["x", "z"], label="y", num_trees=7, max_depth=4)
+    save_model(pipe.fit(df), f"{tmp_dir}/m")
+    scored = PipelineModel.load(f"{tmp_dir}/m").transform(df)
+    nodes = forest_nodes(spark, f"{tmp_dir}/m")
+    assert nodes.where("node = 0").count() == 7 and nodes.where("left IS NULL").count() == nodes.where("left IS NOT NULL").count() + 7
+    got = {r.id: r.prediction for r in score_with_nodes(scored, nodes, "id", depth=4).collect()}
+    assert got == {r.id: r.prediction for r in scored.collect()}
