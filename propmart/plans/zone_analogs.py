@@ -13,16 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propmart.functions.numbers import round_exact
+from propmart.functions.text import strip_extension
 from propmart.operators.exact import exact_sums
 from propmart.operators.kpi import avg_price_by, roi_from_avg_rent
 from propmart.operators.links import bitmaps_for, name_filter, new_links_filtered
 from propmart.operators.forest import forest_nodes, score_with_nodes
 from propmart.operators.ml import hash_split, predict, price_pipeline, sgd_linear
-from propmart.plans.analogs import _G3_SQL, _J6_SQL, _ORDER_LISTINGS_SQL, ROI, _r6, _TRAIN_BELOW, _resolved, _t, monthly_rent_per_nation, order_listings, part_sales
+from propmart.plans.analogs import _G1_SQL, _G3_SQL, _J6_SQL, _ORDER_LISTINGS_SQL, _RESOLVED_SQL, ROI, _r6, _TRAIN_BELOW, _resolved, _t, monthly_rent_per_nation, order_listings, part_sales, q_formatted_listings
 from propmart.plans.exploitation import build_exploitation
 from propmart.plans.formatted import build_formatted
+from propmart.plans.model import train_price_model
 from propmart.plans.persistent import build_persistent
-from propmart.schemas import RENT_MONTHLY_LABEL
+from propmart.schemas import PREDICTION_COLUMNS, RENT_MONTHLY_LABEL
 from propmart.session import scratch_path, ship_package
 from propmart.sources.files import inventory, inventory_counts
 from propmart.sources.footers import lacking_in_files, read_footers
@@ -193,6 +195,31 @@ SELECT p_partkey, true AS same FROM part
 WHERE p_partkey IN (SELECT l_partkey FROM lineitem) AND substr(md5(CAST(p_partkey AS VARCHAR)), 1, 15) >= '{_TRAIN_BELOW}'
 """
 
+def q_price_model(spark, sf) -> DataFrame:
+    """The price model on formatted listings; its test rows in their published columns."""
+    listings = q_formatted_listings(spark, sf).withColumns({
+        "rooms": F.col("price") % 5 + 1, "bathrooms": F.col("price") % 3 + 1, "floor": F.col("operation"),
+    })
+    _, predictions, _ = train_price_model(spark, listings)
+    known = [c for c in PREDICTION_COLUMNS if c != "prediction"]
+    bounds = listings.agg(F.min("price").alias("least"), F.max("price").alias("most"))
+    low, high = bounds.first()
+    return predictions.select(*known, F.col("prediction").between(float(low), float(high)).alias("in_range"))
+
+
+_G4_SQL = f"""
+SELECT neighborhood, district, date, size, price % 5 + 1 AS rooms, price % 3 + 1 AS bathrooms, propertyType, operation AS floor, status, hasLift, price, true AS in_range
+FROM ({_G1_SQL}) WHERE substr(md5(CAST(propertyCode AS VARCHAR)), 1, 15) >= '{_TRAIN_BELOW}'
+"""
+
+
+def q_base_names(spark, sf) -> DataFrame:
+    """X11: names of linked files without their extension."""
+    return _resolved(spark, sf).select("page_id", "link_url", strip_extension(F.col("file_name")).alias("base_name"))
+
+
+_X11_SQL = f"SELECT page_id, link_url, regexp_replace(file_name, '\\.[^./]*$', '') AS base_name FROM ({_RESOLVED_SQL})"
+
 # ---------------------------------------------------------------------------
 # All zones
 # ---------------------------------------------------------------------------
@@ -316,6 +343,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "X8_round_exact": q_round_exact,
     "M8_gradient_descent": q_gradient_descent,
     "M7_forest_table": q_forest_table,
+    "G4_price_model": q_price_model,
+    "X11_base_names": q_base_names,
     "K4_published_kpi": q_sorted_csv,
     "G5_zones": q_zones,
 }
@@ -330,6 +359,8 @@ ORACLE_SQL: dict[str, str] = {
     "X8_round_exact": _X8_SQL,
     "M8_gradient_descent": _M8_SGD_SQL,
     "M7_forest_table": _M7_SQL,
+    "G4_price_model": _G4_SQL,
+    "X11_base_names": _X11_SQL,
     "K4_published_kpi": _K4_SQL,
     "G5_zones": _G5_SQL,
 }

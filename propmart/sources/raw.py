@@ -193,17 +193,25 @@ def _cells(line: Column, width: int) -> Column:
     return F.array(*[F.nullif(F.trim(row[f"c{i}"]), F.lit("")) for i in range(width)])
 
 
-def bind_by_header(lines: DataFrame, headers: DataFrame, names: Mapping[str, Sequence[str]], on_error: str = "raise") -> DataFrame:
+def _shape(headers: DataFrame) -> tuple[int, int]:
+    """Files with a header, and the most cells that one may have."""
+    found = headers.agg(F.count(F.lit(1)), F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()
+    return found[0], found[1] or 1
+
+
+def bind_by_header(
+    lines: DataFrame, headers: DataFrame, names: Mapping[str, Sequence[str]], on_error: str = "raise", shape: tuple[int, int] | None = None
+) -> DataFrame:
     """The columns ``names`` of CSV lines, found through each file's own header.
 
     ``lines`` has value and __file, ``headers`` __file and header; ``names``
     maps output column -> header spellings.  Columns may come in any order
     and among others, which are ignored.  A file that lacks one fails the job
     (``raise``) or reads it as null (``null``; ``lacking_columns`` lists such
-    files).  Lines equal to the header are not data.
+    files).  Lines equal to the header are not data.  ``shape`` is that of the
+    headers where it is known; else a job finds it.
     """
-    n_files, width = headers.agg(F.count(F.lit(1)), F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()
-    width = width or 1
+    n_files, width = shape or _shape(headers)
     heads = headers.select(F.col("__file").alias("__hfile"), _cells(F.col("header"), width).alias("__header"))
     heads = heads.select("*", *[_position(F.col("__header"), s).alias(f"__p{j}") for j, s in enumerate(names.values())])
     if n_files <= HEADER_BROADCAST_FILES:
@@ -296,12 +304,12 @@ def read_csv_inferred(spark: SparkSession, path: str, glob: str | None = "*.csv"
     """
     lines = csv_lines(spark.read, path, glob)
     headers = header_lines(lines)
-    width = headers.agg(F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()[0]
-    if width is None:
+    shape = _shape(headers)
+    if not shape[0]:
         return spark.createDataFrame([], "source_file string")
-    cells = headers.select(F.posexplode(_cells(F.col("header"), width))).where("col IS NOT NULL")
+    cells = headers.select(F.posexplode(_cells(F.col("header"), shape[1]))).where("col IS NOT NULL")
     columns = [r["col"] for r in cells.groupBy("col").agg(F.min("pos").alias("pos")).orderBy("pos", "col").collect()]
-    rows = bind_by_header(lines, headers, {c: [c] for c in columns}, on_error="null")
+    rows = bind_by_header(lines, headers, {c: [c] for c in columns}, on_error="null", shape=shape)
     return infer_types(rows.withColumn("source_file", F.substring_index("source_file", "/", -1)), columns)
 
 
