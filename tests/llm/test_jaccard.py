@@ -140,7 +140,8 @@ def test_word_and_shingle_hashes():
     import pyarrow as pa
 
     texts = ["a b  c", "", None, "é\tb\nc d e f", "  ", "x" * 3, "a b c"]
-    hashes, start, end, bounds = sh.words(*sh.text_bytes(pa.array(texts)))
+    data, texts_bounds = sh.text_bytes(pa.array(texts))
+    hashes, start, end, bounds = sh.words(data, texts_bounds)
     assert np.diff(bounds).tolist() == [len(words(t)) for t in texts]
     joined = "".join(t or "" for t in texts).encode()
     seen = {}
@@ -149,7 +150,7 @@ def test_word_and_shingle_hashes():
     assert len(set(seen.values())) == len(seen)
     grams, g_bounds = sh.shingles(hashes, bounds)
     assert np.diff(g_bounds).tolist() == [max(len(w) - 4, min(len(w), 1)) for w in map(words, texts)]
-    keys = sh.sequence_key(hashes, bounds)
+    keys = sh.sequence_key(data, start, end, bounds)
     assert keys[0] == keys[6] and keys[1] == keys[2] == keys[4] and len(set(keys)) == 4
 
 
