@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from propmart.llm import queries  # noqa: E402
 
-QUERIES = ["op1_warc_index", "op2_line_tokens", "op5_jaccard_join", "op7_mix_sources", "op8_pack_ids", "op10_suffix_dedup"]
+QUERIES = ["op1_warc_index", "op2_line_tokens", "op5_jaccard_join", "op7_mix_sources", "op8_pack_ids", "op10_suffix_dedup", "op11_pair_counts", "op12_ranked_search", "op13_chat_windows"]
 MARKS = os.environ["RETRY_MARK_DIR"]
 
 

@@ -67,7 +67,7 @@ def brute(rows):
 
 
 def test_equals_whole_text_encoding(spark, make_docs, edge_rows):
-    rows = [(i, t) for i, t in enumerate(TEXTS, 100)] + edge_rows + [(90, "word " * 250_000 + "▁"), (91, "x-1 " * 300_000)]
+    rows = [(i, t) for i, t in enumerate(TEXTS, 100)] + edge_rows + [(90, "word " * 450_000 + "▁"), (91, "x-1 " * 60_000)]
     got = alignment.align(make_docs(rows, extra=True), A, B)
     assert got.columns == [f.split()[0] for f in alignment.SCHEMA.split(", ")]
     assert Counter(map(tuple, got.collect())) == brute(rows)
