@@ -126,37 +126,53 @@ def mix_plan(
     return out.select("source", "source_size", "target", "whole", F.coalesce("threshold", F.lit(0).cast("long")).alias("threshold"))
 
 
-def hashed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` as the struct ``row``, with doc_id, source, size (of a null text: 0) and h.
+_GROUP = ("doc_id", "source", "digest")
 
-    No two rows have the same h but by chance: rows of one id, text and source
-    are numbered.  Which of them gets which number does not matter, so they are
-    numbered within the partitions that they lie in, after those of earlier
-    partitions; no task gets more of them than it read.
-    """
-    group = ("doc_id", "source", "digest")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("t"))
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size (of a null text: 0) and digest of each row, its partition and its place there, and the row itself."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", F.col("text").alias("t"))
     rows = rows.select("row", "doc_id", "source", word_count(F.col("t")).alias("size"), F.md5(F.col("t").cast("binary")).alias("digest"))
-    rows = written(rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "mix-rows")
-    counts = rows.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("n"))
-    same = lambda: [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in group]
-    several = counts.groupBy(*[F.col(c).alias(f"g_{c}") for c in group]).agg(F.sum("n").alias("all")).where("all > 1").drop("all")
-    several = written(several, "mix-repeated")
-    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    joined = counts.join(several, reduce(lambda a, b: a & b, same())).select(*group, "part", "n")
-    firsts = joined.select(*[F.col(c).alias(f"g_{c}") for c in group], F.col("part").alias("g_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    firsts = written(firsts, "mix-firsts")
-    known = rows.join(firsts, reduce(lambda a, b: a & b, [*same(), F.col("part") == F.col("g_part")]), "left")
+    return rows.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
+
+
+def _same_group() -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in _GROUP]
+
+
+def _repeated(light: DataFrame) -> DataFrame:
+    """Groups of rows of one id, text and source: how many of them lie in earlier partitions, per partition."""
+    counts = light.groupBy(*_GROUP, "part").agg(F.count(F.lit(1)).alias("n"))
+    several = counts.groupBy(*[F.col(c).alias(f"g_{c}") for c in _GROUP]).agg(F.sum("n").alias("all")).where("all > 1").drop("all")
+    joined = counts.join(written(several, "mix-repeated"), reduce(lambda a, b: a & b, _same_group())).select(*_GROUP, "part", "n")
+    before = Window.partitionBy(*_GROUP).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = joined.select(*[F.col(c).alias(f"g_{c}") for c in _GROUP], F.col("part").alias("g_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return written(firsts, "mix-firsts")
+
+
+def _hashed(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with h.  Equal rows are numbered within the partition that they lie in, after those of earlier ones."""
+    known = rows.join(repeated, reduce(lambda a, b: a & b, [*_same_group(), F.col("part") == F.col("g_part")]), "left")
     single = known.where("before IS NULL").withColumn("ordinal", F.lit(1).cast("long"))
-    within = Window.partitionBy(*group, "part").orderBy("place")
-    repeated = known.where("before IS NOT NULL").withColumn("ordinal", F.row_number().over(within) + F.col("before"))
-    both = single.unionByName(repeated)
-    return both.select("row", "doc_id", "source", "size", row_hash(F.col("doc_id"), F.col("digest"), F.col("ordinal")).alias("h"))
+    within = Window.partitionBy(*_GROUP, "part").orderBy("place")
+    equal = known.where("before IS NOT NULL").withColumn("ordinal", F.row_number().over(within) + F.col("before"))
+    return single.unionByName(equal).withColumn("h", row_hash(F.col("doc_id"), F.col("digest"), F.col("ordinal")))
+
+
+def _sized(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, h) per row, and the groups of equal rows; no text is written."""
+    light = written(_marked(docs.select("doc_id", "source", "text")).drop("row"), "mix-rows")
+    repeated = _repeated(light)
+    return written(_hashed(light, repeated).select("doc_id", "source", "size", "h"), "mix-sized"), repeated
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """Per row: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    sized = written(hashed_rows(docs.select("doc_id", "source", "text")).drop("row"), "mix-sized")
+    """Per row: doc_id, size, source_size, target, taken (words, repeats counted).
+
+    No two rows have one hash but by chance: rows of one id, text and source
+    are numbered, and which of them has which number changes nothing.
+    """
+    sized, _ = _sized(docs)
     plan = written(mix_plan(sized, **options), "mix-plan").withColumnRenamed("source", "s")
     copies = F.col("whole") + (F.col("h") < F.col("threshold")).cast("int")
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
@@ -168,9 +184,11 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, repeated or left out.
 
     Rows without words are kept once: they take nothing from the budget.
+    ``docs`` is read twice and should come in the same partitions both times,
+    as files do: equal rows are numbered by them.
     """
-    rows = written(hashed_rows(docs), "mix-sized")
-    plan = written(mix_plan(rows.drop("row"), **options), "mix-plan").withColumnRenamed("source", "s")
+    sized, repeated = _sized(docs)
+    plan = written(mix_plan(sized, **options), "mix-plan").withColumnRenamed("source", "s")
     copies = F.when(F.col("size") == 0, 1).otherwise(F.col("whole") + (F.col("h") < F.col("threshold")).cast("int"))
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"))
-    return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    joined = _hashed(_marked(docs), repeated).join(plan, F.col("source").eqNullSafe(F.col("s")))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
