@@ -235,7 +235,8 @@ def lookup(wanted: DataFrame, index: DataFrame, folder: str) -> DataFrame:
     """Captures of the rows (url_key, capture) of ``wanted``, which must be distinct.
 
     The driver passes one row per index file to the tasks; their number is
-    that of the shuffle partitions, whatever the number of captures.
+    that of the shuffle partitions, whatever the number of captures.  There are
+    as many tasks as index files, or as cores.
     """
     files = [(r.first_key, r.first_capture, r.file) for r in index.orderBy("first_key", "first_capture").collect()]
 
@@ -247,15 +248,22 @@ def lookup(wanted: DataFrame, index: DataFrame, folder: str) -> DataFrame:
                 types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], names=list(LINE))
 
-    ordered = wanted.select("url_key", "capture").repartitionByRange("url_key", "capture").sortWithinPartitions("url_key", "capture")
+    tasks = max(len(files), wanted.sparkSession.sparkContext.defaultParallelism)
+    ordered = wanted.select("url_key", "capture").repartitionByRange(tasks, "url_key", "capture").sortWithinPartitions("url_key", "capture")
     return ordered.mapInArrow(search, CAPTURES)
 
 
+FETCH_BYTES = 32 << 20  # compressed records that a task reads
+
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
 def fetch(found: DataFrame, folder: str) -> DataFrame:
-    """Range-read the records that ``lookup`` found, in the order of the archives."""
+    """Range-read the records that ``lookup`` found, in the order of the archives.
+
+    Tasks get about ``FETCH_BYTES`` of records each; left to adaptive execution,
+    which sees only the small rows that name them, a few tasks would get all.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = file = None
@@ -273,7 +281,9 @@ def fetch(found: DataFrame, folder: str) -> DataFrame:
 
     # written first: the range shuffle samples its input, and would search twice
     located = written(found, "warc-located").select("file", "offset", "length")
-    ordered = located.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    n_bytes = located.agg(F.sum("length")).first()[0] or 0
+    tasks = max(found.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // FETCH_BYTES))
+    ordered = located.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(read, RECORDS)
 
 
