@@ -10,8 +10,10 @@ engines sum doubles in different orders; the average-price KPI keeps its
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,7 +52,7 @@ from propmart.schemas import (
     struct_of,
 )
 from propmart.sources.parquet import read_table, read_with_source
-from propmart.session import scratch_path
+from propmart.session import scratch_path, ship_package
 from propmart.sources.raw import bind_by_header, income_names, json_records, listings_from_records, read_csv_inferred, read_listings, records_inferred
 
 ROI = ROI_COLUMNS[3]
@@ -1037,25 +1039,42 @@ def order_texts(spark, sf) -> DataFrame:
 
 
 ARRAY_FILES = 4
+ORDERS_PER_FILE = 1_000_000  # at most, on average: some 400 MB, several splits
 
 
-def _text_files(rows: DataFrame, name: str) -> str:
-    """Write rows (file number ``file``, ``place``, ``value``) as one text file per number; returns the folder."""
+def _text_files(rows: DataFrame, name: str, heads: Sequence[str], glue: str = "", tail: str | None = None) -> str:
+    """Write rows (file number ``file``, ``value``) as one text file per number; returns the folder.
+
+    A file begins with its ``heads`` entry and ends with ``tail``; all its
+    values but the first follow ``glue``.  The values come in no set order: a
+    task writes its file as the shuffle brings them, and holds a batch of it.
+    """
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows_of = lambda values: pa.RecordBatch.from_arrays([values.cast(pa.string())], ["value"])
+        begun = False
+        for batch in batches:
+            values = batch.column("value")
+            if not begun and len(values):
+                yield rows_of(pa.array([heads[batch.column("file")[0].as_py()]]))
+                yield rows_of(values[:1])
+                values, begun = values[1:], True
+            yield rows_of(pc.binary_join_element_wise(glue, values.cast(pa.string()), ""))
+        if begun and tail is not None:
+            yield rows_of(pa.array([tail]))
+
     path = scratch_path(rows.sparkSession, name)
-    rows = rows.repartition("file").sortWithinPartitions("file", "place").select("file", "value")
-    rows.write.partitionBy("file").text(path)
+    rows.repartitionById(len(heads), F.col("file")).select("file", "value").mapInArrow(run, "value string").write.text(path)
     return path
 
 
 def q_split_arrays(spark, sf) -> DataFrame:
-    """All orders in a few JSON array files, without a line break between records, cut by every task."""
-    records = order_records(spark, sf).withColumn("file", (F.col("o_orderkey") % ARRAY_FILES).cast("int"))
-    first = records.groupBy("file").agg(F.min("o_orderkey").alias("first"))
-    rows = records.join(F.broadcast(first), "file").select(
-        "file", F.col("o_orderkey").alias("place"), F.concat(F.when(F.col("o_orderkey") == F.col("first"), "[").otherwise(","), "plain", F.lit(", "), "quoted").alias("value")
-    )
-    ends = first.select("file", F.lit(2**62).alias("place"), F.lit("]").alias("value"))
-    path = _text_files(rows.unionByName(ends), "order-arrays")
+    """All orders in a few JSON array files, without a line break inside a record, cut by every task."""
+    n_files = max(ARRAY_FILES, -(-_t(spark, sf, "orders").count() // ORDERS_PER_FILE))
+    records = order_records(spark, sf).where(F.col("o_orderkey").isNotNull())
+    file = F.pmod(F.xxhash64("o_orderkey"), F.lit(n_files)).cast("int").alias("file")
+    path = _text_files(records.select(file, F.concat("plain", F.lit(", "), "quoted").alias("value")), "order-arrays", ["["] * n_files, ",", "]")
     listed = read_listings(spark, path, glob="part-*")
     return listed.select("propertyCode", "price", F.col("size").cast("double").alias("size"), "floor", "hasLift", F.col("suggestedTexts.title").alias("title"))
 
@@ -1136,12 +1155,11 @@ def q_csv_line_breaks(spark, sf) -> DataFrame:
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     said = F.concat(F.lit('says "'), "c_name", F.lit('",\n\nthen, '), "c_mktsegment", F.when(F.col("c_custkey") % 5 == 0, '\n"').otherwise(""))
     cells = {"key": F.col("c_custkey").cast("string"), "said": said, "balance": F.col("c_acctbal").cast("string")}
-    second = F.col("c_custkey") % 2 == 1
+    second = F.coalesce(F.col("c_custkey") % 2 == 1, F.lit(False))
     line = lambda order: F.to_csv(F.struct(*[cells[x].alias(x) for x in order]), {"escape": '"'})
     one, two = ["key", "said", "balance"], ["balance", "key", "said"]
-    rows = c.select(second.cast("int").alias("file"), F.col("c_custkey").alias("place"), F.when(second, line(two)).otherwise(line(one)).alias("value"))
-    heads = spark.createDataFrame([(0, -1, ",".join(one)), (1, -1, ",".join(two))], "file int, place long, value string")
-    path = _text_files(rows.unionByName(heads), "customer-csv")
+    rows = c.select(second.cast("int").alias("file"), F.when(second, line(two)).otherwise(line(one)).alias("value"))
+    path = _text_files(rows, "customer-csv", [",".join(one), ",".join(two)])
     return read_csv_inferred(spark, path, glob="part-*").select("key", "said", F.col("balance").cast("double").alias("balance"))
 
 

@@ -124,3 +124,26 @@ def test_inferred_json_in_one_aggregate(spark, tmp_dir):
     assert dict(df.dtypes) == {"a": "bigint", "b": "double", "c d": "struct<e:string>", "l": "array<bigint>", "m": "string", "n": "string", "z": "boolean", "source_file": "string", "_corrupt_record": "string"}
     rows = {(r.a, r.b, r.m, r.z, r._corrupt_record, r.source_file) for r in df.collect()}
     assert rows == {(1, 1.5, "1", None, None, "a.json"), (3000000000, 2.0, "t", True, None, "b.json"), (None, None, None, None, "5", "a.json"), (None, None, None, None, " {oops}", "b.json")}
+
+
+def test_a_text_file_is_written_without_a_sort(spark, monkeypatch):
+    """The task of a file held all its texts in a sort."""
+    from propmart.plans.analogs import _text_files
+
+    def no_sort(*_, **__):
+        raise AssertionError("the texts of a file are sorted")
+
+    monkeypatch.setattr(type(spark.range(1)), "sortWithinPartitions", no_sort)
+    rows = spark.range(1000).select((F.col("id") % 3).cast("int").alias("file"), F.col("id").cast("string").alias("value")).repartition(5)
+    path = _text_files(rows, "texts", ["[", "[", "["], ",", "]")
+    files = spark.read.option("wholetext", True).text(path).collect()
+    assert sorted(sorted(json.loads(f.value)) for f in files) == [list(range(i, 1000, 3)) for i in range(3)]
+
+
+def test_array_files_hold_repeated_keys(spark, tmp_dir):
+    from propmart.plans.analogs import q_split_arrays
+
+    orders = spark.range(40).select((F.col("id") % 10).alias("o_orderkey"), F.lit(1000.0).alias("o_totalprice"), F.lit("O").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(f"{tmp_dir}/orders.parquet")
+    got = q_split_arrays(spark, tmp_dir).groupBy("propertyCode").count().collect()
+    assert sorted((r.propertyCode, r["count"]) for r in got) == [(i, 8) for i in range(10)]
