@@ -15,7 +15,8 @@ from propmart.sources.raw import (
     absent_columns,
     json_records,
     json_texts,
-    quarantined_listings,
+    listings_from_records,
+    quarantined_records,
     read_csv_inferred,
     read_income,
     read_json_inferred,
@@ -74,14 +75,19 @@ class MissingColumnsError(ValueError):
     """A landing file lacks a required column (reported per file and column)."""
 
 
-def check_required_listing_columns(spark: SparkSession, folder: str, report_dir: str, on_error: str = "raise") -> int:
-    """T5: listing files of which no record has a required key; run before anything is written.
+def staged_listings(spark: SparkSession, folder: str, staged_dir: str) -> DataFrame:
+    """The records of a listing folder, cut once for all that reads them; their texts are kept in ``staged_dir``."""
+    return json_records(json_texts(spark.read, folder, staged=staged_dir))
+
+
+def check_required_listing_columns(spark: SparkSession, records: DataFrame, report_dir: str, on_error: str = "raise") -> int:
+    """T5: listing files of which no record has a required key; run before the dataset is written.
 
     The (file, column) pairs are written to ``report_dir``, not collected.
     Returns how many there are; in strict mode any raises.
     """
     required = [f.name for f in LISTING_SCHEMA.fields if f.name not in LISTING_OPTIONAL]
-    report = absent_columns(json_records(json_texts(spark.read, folder)), required)
+    report = absent_columns(records, required)
     report.write.mode("overwrite").parquet(report_dir)
     found = spark.read.parquet(report_dir).count()
     if found and on_error == "raise":
@@ -89,9 +95,9 @@ def check_required_listing_columns(spark: SparkSession, folder: str, report_dir:
     return found
 
 
-def quarantine_listings(spark: SparkSession, folder: str, report_dir: str) -> int:
+def quarantine_listings(spark: SparkSession, records: DataFrame, report_dir: str) -> int:
     """Write what the lenient reader cannot read, with file, reason and text; returns the count."""
-    quarantined_listings(spark, folder).write.mode("overwrite").parquet(report_dir)
+    quarantined_records(records).write.mode("overwrite").parquet(report_dir)
     return spark.read.parquet(report_dir).count()
 
 
@@ -103,6 +109,8 @@ def build_persistent(
     With ``check_required`` the listing files are first checked for absent
     required columns, before the old dataset is replaced.  With
     ``on_error="null"`` unreadable records go to ``_reports/<dataset>_quarantine``.
+    Listing files are cut once, into ``_staged/<dataset>``, which the reports
+    and the dataset are made from.
     """
     written = {}
     batch_ts = int(time.time())
@@ -111,10 +119,14 @@ def build_persistent(
         out = f"{root}/{d}"
         src = f"{landing_dir.rstrip('/')}/{d}"
         if d.endswith("idealista"):
+            records = staged_listings(spark, src, f"{root}/_staged/{d}")
             if on_error == "null":
-                quarantine_listings(spark, src, f"{root}/_reports/{d}_quarantine")
+                quarantine_listings(spark, records, f"{root}/_reports/{d}_quarantine")
             if check_required:
-                check_required_listing_columns(spark, src, f"{root}/_reports/{d}_missing_columns", on_error)
-        persist_landing(read_landing_dataset(spark, src, on_error), out, batch_ts)
+                check_required_listing_columns(spark, records, f"{root}/_reports/{d}_missing_columns", on_error)
+            rows = listings_from_records(records, on_error)
+        else:
+            rows = read_landing_dataset(spark, src, on_error)
+        persist_landing(rows, out, batch_ts)
         written[d] = out
     return written

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -238,16 +239,20 @@ def write_named(rows: DataFrame, folder: str, head: str, glue: str, tail: str) -
         filesystem.create_dir(base, recursive=True)
         last, out, names = None, None, []
         for batch in batches:
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            at = 0
+            runs = pc.run_end_encode(batch.column(0))
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                text, at = glue.join(batch.column(1)[at:end].to_pylist()), end
                 if name != last:
                     if out is not None:
                         out.write(tail.encode())
                         out.close()
                     out, last = filesystem.open_output_stream(f"{base}/{name}"), name
                     names.append(name)
-                    out.write(head.encode() + value.encode())
+                    out.write(head.encode())
                 else:
-                    out.write(glue.encode() + value.encode())
+                    out.write(glue.encode())
+                out.write(text.encode())
         if out is not None:
             out.write(tail.encode())
             out.close()
@@ -258,7 +263,10 @@ def write_named(rows: DataFrame, folder: str, head: str, glue: str, tail: str) -
 
 
 def write_landing(spark, sf, landing: str) -> None:
-    """Monthly listing snapshots (customer = listing), rent, income and lookup files."""
+    """Monthly listing snapshots (customer = listing), rent, income and lookup files.
+
+    The rents, which go to two files, are computed once.
+    """
     o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n, r = _t(spark, sf, "nation"), _t(spark, sf, "region")
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
@@ -287,6 +295,9 @@ def write_landing(spark, sf, landing: str) -> None:
     rent = li.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == c.c_custkey)
     rent = rent.groupBy(F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"), "c_nationkey").agg(F.round(F.avg("l_extendedprice") / 100, 2).cast("string").alias("p"))
     rent = rent.join(n, F.col("c_nationkey") == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    rents = scratch_path(spark, "rents")
+    rent.write.parquet(rents)
+    rent = spark.read.schema(rent.schema).parquet(rents)
     heads = ["Any", "Trimestre", "Codi_Districte", "Nom_Districte", "Codi_Barri", "Nom_Barri", "Lloguer_mitja", "Preu"]
     cells = [F.col("y"), F.col("q"), F.col("r_regionkey"), F.col("r_name"), F.col("n_nationkey"), F.col("n_name"), F.lit(RENT_MONTHLY_LABEL), F.col("p")]
     csv(rent.where("y % 2 = 0"), "opendata-rent", "even_lloguer_preu_trim.csv", heads, cells)

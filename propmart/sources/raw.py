@@ -38,13 +38,14 @@ _BOM = "﻿"
 # ---------------------------------------------------------------------------
 
 
-def json_texts(reader, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
+def json_texts(reader, path: str, glob: str | None = "*.json", json_lines: bool = False, staged: str | None = None) -> DataFrame:
     """(value, source_file) of JSON files: one row per array element, or per line.
 
-    Arrays of any size are cut by as many tasks as Spark has splits for them.
+    Arrays of any size are cut by as many tasks as Spark has splits for them;
+    a folder ``staged`` keeps the cut texts (see ``cut_records``).
     """
     if not json_lines:
-        return json_elements(fragments(reader, path, glob, JsonArray.separator.decode()))
+        return json_elements(fragments(reader, path, glob, JsonArray.separator.decode()), staged)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
@@ -59,7 +60,7 @@ def json_records(texts: DataFrame) -> DataFrame:
     repeated key counts (a setting of the session).
     """
     texts.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    text = F.regexp_replace("value", f"^{_BOM}", "")
+    text = F.when(F.startswith("value", F.lit(_BOM)), F.substring("value", 2, 2**31 - 1)).otherwise(F.col("value"))
     parsed = texts.where(F.trim(text) != "").select("source_file", "value", F.try_parse_json(text).alias("v"))
     records = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
     rows = parsed.select("source_file", F.when(F.col("v").isNull(), F.col("value")).alias("bad_text"), F.explode(records).alias("record"))
@@ -70,21 +71,25 @@ def json_records(texts: DataFrame) -> DataFrame:
     return rows.withColumn("bad_text", F.when(F.col("problem") == "not a record", F.col("record").cast("string")).otherwise(F.col("bad_text")))
 
 
-def _leaf(record: Column, path: str, dtype: T.DataType) -> Column:
+def _as_text(dtype: T.DataType) -> T.DataType:
     if isinstance(dtype, T.StructType):
-        fields = [_leaf(record, f"{path}.{f.name}", f.dataType).alias(f.name) for f in dtype.fields]
-        present = F.try_variant_get(record, path, "map<string,variant>").isNotNull()
-        return F.when(present, F.struct(*fields))
-    return F.try_variant_get(record, path, "string")
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in dtype.fields])
+    return T.StringType()
 
 
 def record_columns(records: DataFrame, schema: T.StructType, record: str = "record") -> DataFrame:
     """The fields of ``schema`` of each record as text (nested ones by name, X12).
 
     ``149000.0``, ``"921"`` and whole numbers beyond 2**53 keep their value.
+    The fields are taken in one pass over the record.
     """
-    fields = [_leaf(F.col(record), f"$.{f.name}", f.dataType).alias(f.name) for f in schema.fields]
-    return records.select("source_file", *fields)
+    fields = F.try_variant_get(record, "$", _as_text(schema).simpleString()).alias("fields")
+    return records.select("source_file", fields).select("source_file", "fields.*")
+
+
+def missing_keys(record: str, names: Sequence[str]) -> Column:
+    """Those of ``names`` that a record has no key of."""
+    return F.array_except(F.array(*[F.lit(c) for c in names]), F.map_keys(F.try_variant_get(record, "$", "map<string,variant>")))
 
 
 def listings_from_records(records: DataFrame, on_error: str = "raise") -> DataFrame:
@@ -119,7 +124,11 @@ def read_listings(spark: SparkSession, path: str, on_error: str = "raise", glob:
 
 def quarantined_listings(spark: SparkSession, path: str, glob: str | None = "*.json", json_lines: bool = False) -> DataFrame:
     """(source_file, problem, bad_text) of everything ``read_listings`` cannot read."""
-    records = json_records(json_texts(spark.read, path, glob, json_lines))
+    return quarantined_records(json_records(json_texts(spark.read, path, glob, json_lines)))
+
+
+def quarantined_records(records: DataFrame) -> DataFrame:
+    """(source_file, problem, bad_text) of the records with a problem."""
     return records.where(F.col("problem").isNotNull()).select("source_file", "problem", "bad_text")
 
 
@@ -128,11 +137,13 @@ def absent_columns(records: DataFrame, required: Sequence[str]) -> DataFrame:
 
     A key whose values are all null is present.
     """
-    good = records.where(F.col("problem").isNull())
-    flags = [F.max(F.try_variant_get("record", f"$.{c}", "variant").isNotNull()).alias(c) for c in required]
-    per_file = good.groupBy("source_file").agg(*flags)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("there")) for c in required])
-    return per_file.select("source_file", F.explode(pairs).alias("s")).where(~F.col("s.there")).select("source_file", F.col("s.column").alias("column"))
+    missing = missing_keys("record", required)
+    # a row per file and set of missing keys; a column is absent that all sets of the file have.  Null stands for a set.
+    sets = records.where(F.col("problem").isNull()).select("source_file", missing.alias("missing")).distinct()
+    found = sets.select("source_file", F.explode(F.concat("missing", F.array(F.lit(None).cast("string")))).alias("column"))
+    found = found.groupBy("source_file", "column").agg(F.count(F.lit(1)).alias("n"))
+    per_file = found.groupBy("source_file").agg(F.max(F.when(F.col("column").isNull(), F.col("n"))).alias("n_sets"), F.collect_list(F.struct("column", "n")).alias("found"))
+    return per_file.select("source_file", "n_sets", F.inline("found")).where("column IS NOT NULL AND n = n_sets").select("source_file", "column")
 
 
 def infer_json(records: DataFrame) -> T.StructType:

@@ -268,7 +268,8 @@ def entry_states(summaries: DataFrame) -> DataFrame:
 CUT = "source_file string, __file string, __start long, __n long, kind int, value binary"
 
 
-def _cut(fragments: DataFrame, states: DataFrame, make: Callable) -> DataFrame:
+def _cut(fragments: DataFrame, states: DataFrame, make: Callable, whole_ones: bool | None) -> DataFrame:
+    """The whole records, or the parts of those that cross a border (None: both)."""
     schema = pa.schema([("source_file", pa.string()), ("__file", pa.string()), ("__start", pa.int64()), ("__n", pa.int64()), ("kind", pa.int32()), ("value", pa.binary())])
 
     def rows_of(key: tuple, numbers: list, kind: int, values: list[bytes]) -> pa.RecordBatch:
@@ -282,7 +283,7 @@ def _cut(fragments: DataFrame, states: DataFrame, make: Callable) -> DataFrame:
         def finish() -> Iterator[pa.RecordBatch]:
             left = held.end(size)
             # a later split of the file needs a start to go with, were it blank
-            if left is not None and (left.strip() or held.at < size):
+            if whole_ones is not True and left is not None and (left.strip() or held.at < size):
                 yield rows_of(key, [number], MIDDLE if headless else TAIL, [left])
 
         for rows, new in _splits(batches):
@@ -300,8 +301,10 @@ def _cut(fragments: DataFrame, states: DataFrame, make: Callable) -> DataFrame:
             whole, first = held.feed(rows.column("value"))
             if first is not None:
                 kind, headless = HEAD if headless else WHOLE, False
-                if first.strip() or kind == HEAD:
+                if (first.strip() or kind == HEAD) and whole_ones in (None, kind == WHOLE):
                     yield rows_of(key, [int(numbers[0])], kind, [first])
+            if whole_ones is False:
+                whole = []
             if whole and isinstance(whole[0], tuple):
                 yield rows_of(key, numbers[[i for i, _ in whole]].tolist(), WHOLE, [line for _, line in whole])
             elif whole:
@@ -315,16 +318,24 @@ def _cut(fragments: DataFrame, states: DataFrame, make: Callable) -> DataFrame:
     return known.select(*FRAGMENTS, "s_inside", "s_depth", "s_array", "s_before").mapInArrow(run, CUT)
 
 
-def cut_records(fragments: DataFrame, make: Callable, summary: Callable) -> DataFrame:
+def cut_records(fragments: DataFrame, make: Callable, summary: Callable, staged: str | None = None) -> DataFrame:
     """Records (source_file, __file, __start, __n, value) of fragments in file order.
 
+    The second scan runs once for the whole records and once for the parts of
+    the others, unless a folder ``staged`` keeps what it finds; it then runs
+    at once, and the result reads that folder.
+
     The states that are broadcast are a row per split of a file that has
     several, which the driver lists anyway to plan the scan.
     """
     ship_package(fragments.sparkSession)
-    pieces = _cut(fragments, entry_states(_summaries(fragments, summary)), make)
-    whole = pieces.where(F.col("kind") == WHOLE).drop("kind")
-    parts = pieces.where(F.col("kind") != WHOLE)
+    states = entry_states(_summaries(fragments, summary))
+    if staged:
+        _cut(fragments, states, make, None).write.mode("overwrite").parquet(staged)
+        pieces = fragments.sparkSession.read.schema(CUT).parquet(staged)
+        whole, parts = pieces.where(F.col("kind") == WHOLE).drop("kind"), pieces.where(F.col("kind") != WHOLE)
+    else:
+        whole, parts = _cut(fragments, states, make, True).drop("kind"), _cut(fragments, states, make, False)
     so_far = Window.partitionBy("__file").orderBy("__start", "kind").rowsBetween(Window.unboundedPreceding, 0)
     parts = parts.withColumn("record", F.coalesce(F.sum((F.col("kind") == TAIL).cast("int")).over(so_far), F.lit(0)))
     texts = F.array_sort(F.collect_list(F.struct("__start", "kind", F.col("value").cast("string").alias("value"))))
@@ -357,13 +368,13 @@ def numbered(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("__n", F.monotonically_increasing_id())
 
 
-def json_elements(pieces: DataFrame) -> DataFrame:
+def json_elements(pieces: DataFrame, staged: str | None = None) -> DataFrame:
     """(source_file, value): the elements of JSON array files cut at ``}``.
 
     A file that is no array is one element, and so is the text after the end
     of a file's array.  Blank elements give no row.
     """
-    found = cut_records(numbered(pieces), JsonArray, JsonSummary)
+    found = cut_records(numbered(pieces), JsonArray, JsonSummary, staged)
     return found.where(F.trim(F.col("value"), F.lit(" \t\r\n")) != "").select("value", "source_file")
 
 

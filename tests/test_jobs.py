@@ -149,3 +149,24 @@ def test_zone_jobs_on_derived_landing_match_duckdb(spark, tmp_dir):
     out = run_zones(spark, "/root/testdata/sf0.001", f"{tmp_dir}/zones")
     assert out["avg_price_matches_duckdb"] is True
     assert out["listing_rows"] > 0 and out["formatted_listings"] == out["roi_rows"] > 0
+
+
+def test_listing_files_are_cut_once(spark, tmp_dir, monkeypatch):
+    """The check of the columns and the dataset cut the same files anew, each in three scans."""
+    from propmart.sources import splitting
+
+    cuts, scans = [], splitting._cut
+    monkeypatch.setattr(splitting, "_cut", lambda *args: cuts.append(args[-1]) or scans(*args))
+    write_json(f"{tmp_dir}/land/idealista/2020_01_01_a.json", [listing(i) for i in range(50)])
+    build_persistent(spark, f"{tmp_dir}/land", f"{tmp_dir}/pers")
+    assert cuts == [None]
+    assert sorted(r.propertyCode for r in spark.read.parquet(f"{tmp_dir}/pers/idealista").collect()) == list(range(50))
+
+
+def test_absent_columns_are_those_no_record_of_a_file_has(spark):
+    from propmart.sources.raw import absent_columns, json_records
+
+    texts = [('{"propertyCode": 1, "a": null}', "x"), ('{"propertyCode": 2, "b": 1}', "x"), ('{"propertyCode": 3}', "y"), ('{"propertyCode": 4, "c": 1}', "y"), ("[", "z")]
+    records = json_records(spark.createDataFrame(texts, "value string, source_file string"))
+    got = absent_columns(records, ["propertyCode", "a", "b", "c"]).collect()
+    assert sorted((r.source_file, r.column) for r in got) == [("x", "c"), ("y", "a"), ("y", "b")]
