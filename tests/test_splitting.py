@@ -136,7 +136,7 @@ def test_a_text_file_is_written_without_a_sort(spark, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "sortWithinPartitions", no_sort)
     rows = spark.range(1000).select((F.col("id") % 3).cast("int").alias("file"), F.col("id").cast("string").alias("value")).repartition(5)
     path = _text_files(rows, "texts", ["[", "[", "["], ",", "]")
-    files = spark.read.option("wholetext", True).text(path).collect()
+    files = spark.read.text(path, wholetext=True).collect()
     assert sorted(sorted(json.loads(f.value)) for f in files) == [list(range(i, 1000, 3)) for i in range(3)]
 
 
